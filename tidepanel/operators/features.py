@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, KEY, TARGET
 from tidepanel.functions.scalars import day_of_week, fourier_annual, fourier_weekly
-from tidepanel.operators.panel import IN_ORDER
+from tidepanel.operators.panel import in_order
 
 
 def _back(values: Column, lag: int, ahead: Column | int) -> Column:
@@ -34,7 +34,7 @@ class Lag:
         return self.lag
 
     def over(self, y: Column) -> Column:
-        return F.lag(y, self.lag).over(IN_ORDER)
+        return F.lag(y, self.lag).over(in_order())
 
     def at(self, values: Column, ahead: Column) -> Column:
         return _back(values, self.lag, ahead)
@@ -76,7 +76,7 @@ class Rolling:
         return self.lag + self.window - 1
 
     def over(self, y: Column) -> Column:
-        frame = IN_ORDER.rowsBetween(-self.reach, -self.lag)
+        frame = in_order().rowsBetween(-self.reach, -self.lag)
         value = {
             "mean": lambda: F.avg(y),
             "std": lambda: F.stddev_samp(y),
@@ -120,7 +120,7 @@ class SeasonalMean:
         return self.season
 
     def over(self, y: Column) -> Column:
-        return sum(F.lag(y, k * self.season).over(IN_ORDER) for k in range(1, self.seasons + 1)) / self.seasons
+        return sum(F.lag(y, k * self.season).over(in_order()) for k in range(1, self.seasons + 1)) / self.seasons
 
     def at(self, values: Column, ahead: Column) -> Column:
         return sum(_back(values, k * self.season, ahead) for k in range(1, self.seasons + 1)) / self.seasons

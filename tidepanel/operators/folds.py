@@ -5,6 +5,7 @@ with their folds needs neither a join nor a driver round trip.
 """
 
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ class Folds:
     def array(self) -> Column:
         return F.array(*[self.cutoff(i) for i in range(self.windows)])
 
+    def tag(self, rows: DataFrame, uses: Callable[[Column], Column], into: str = "cutoff") -> DataFrame:
+        """Each row once per cutoff whose condition ``uses(cutoff)`` it meets."""
+        cutoffs = [self.cutoff(i) for i in range(self.windows)]
+        met = F.array(*[F.when(uses(c), c) for c in cutoffs])
+        return rows.select("*", F.explode(met).alias(into)).filter(F.col(into).isNotNull())
+
     def earlier(self, n: int) -> "Folds":
         """The same folds preceded by n more, used to calibrate intervals."""
         return Folds(self.last, self.windows + n, self.step, self.horizon)
@@ -51,17 +58,14 @@ def cv_cutoffs(panel: DataFrame, windows: int = DEFAULTS.windows, step: int = DE
 
 def cv_folds(panel: DataFrame, folds: Folds) -> DataFrame:
     """Every row once per fold it belongs to, as ``train`` (ds <= cutoff) or ``test`` (the horizon after it)."""
-    used = F.filter(folds.array(), lambda c: F.col(DAY) <= F.date_add(c, folds.horizon))
-    out = panel.select("*", F.explode(used).alias("cutoff"))
+    out = folds.tag(panel, lambda c: F.col(DAY) <= F.date_add(c, folds.horizon))
     return out.withColumn("part", F.when(F.col(DAY) <= F.col("cutoff"), "train").otherwise("test"))
 
 
 def assign_test_window(panel: DataFrame, folds: Folds) -> DataFrame:
     """Rows inside a test window, with its cutoff and the step h within it."""
-    inside = F.filter(
-        folds.array(), lambda c: (F.col(DAY) > c) & (F.col(DAY) <= F.date_add(c, folds.horizon))
-    )
-    out = panel.filter(F.col(DAY) > folds.first).select("*", F.explode(inside).alias("cutoff"))
+    later = panel.filter(F.col(DAY) > folds.first)
+    out = folds.tag(later, lambda c: (F.col(DAY) > c) & (F.col(DAY) <= F.date_add(c, folds.horizon)))
     return out.withColumn("h", F.datediff(DAY, "cutoff"))
 
 
@@ -83,22 +87,20 @@ def drop_missing_actuals(grid: DataFrame, panel: DataFrame) -> DataFrame:
 
 def drop_short_context(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
     """(unique_id, cutoff, n_context) for the folds in which a series has at least two seasons of rows."""
-    used = F.filter(folds.array(), lambda c: F.col(DAY) <= c)
-    counted = panel.select(KEY, F.explode(used).alias("cutoff")).groupBy(KEY, "cutoff")
+    counted = folds.tag(panel.select(KEY, DAY), lambda c: F.col(DAY) <= c).groupBy(KEY, "cutoff")
     return counted.agg(F.count(F.lit(1)).alias("n_context")).filter(F.col("n_context") >= 2 * season)
 
 
 def refit_frames(panel: DataFrame, folds: Folds, refit: bool = DEFAULTS.refit) -> DataFrame:
     """Training rows by the cutoff their model is fitted at: one fit at the first cutoff, or one per fold."""
-    fits = folds.array() if refit else F.array(folds.first)
-    used = F.filter(fits, lambda c: F.col(DAY) <= c)
-    return panel.select("*", F.explode(used).alias("fit_cutoff"))
+    if not refit:
+        return panel.filter(F.col(DAY) <= folds.first).withColumn("fit_cutoff", folds.first)
+    return folds.tag(panel, lambda c: F.col(DAY) <= c, "fit_cutoff")
 
 
 def inner_validation(panel: DataFrame, folds: Folds) -> DataFrame:
     """Training rows per fold with the last horizon of them marked as held out."""
-    used = F.filter(folds.array(), lambda c: F.col(DAY) <= c)
-    out = panel.select("*", F.explode(used).alias("cutoff"))
+    out = folds.tag(panel, lambda c: F.col(DAY) <= c)
     held = F.col(DAY) > F.date_sub("cutoff", folds.horizon)
     return out.withColumn("part", F.when(held, "valid").otherwise("fit"))
 
@@ -112,12 +114,8 @@ def fold_context(panel: DataFrame, folds: Folds, lookback: int) -> DataFrame:
     in a fold's context are left out of that fold.
     """
     h = folds.horizon
-    recent = panel.filter(F.col(DAY) > F.date_sub(folds.first, lookback))
-    inside = F.filter(
-        folds.array(),
-        lambda c: (F.col(DAY) > F.date_sub(c, lookback)) & (F.col(DAY) <= F.date_add(c, h)),
-    )
-    placed = recent.select(KEY, DAY, TARGET, F.explode(inside).alias("cutoff"))
+    recent = panel.filter(F.col(DAY) > F.date_sub(folds.first, lookback)).select(KEY, DAY, TARGET)
+    placed = folds.tag(recent, lambda c: (F.col(DAY) > F.date_sub(c, lookback)) & (F.col(DAY) <= F.date_add(c, h)))
     at = F.datediff(DAY, "cutoff")
     packed = placed.groupBy(KEY, "cutoff").agg(
         F.sort_array(F.collect_list(F.struct(at.alias("at"), F.col(TARGET).alias("v")))).alias("_rows")

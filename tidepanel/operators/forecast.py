@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.scalars import clip_lower
 from tidepanel.operators.folds import Folds, fold_context, unpack
-from tidepanel.operators.panel import IN_ORDER
+from tidepanel.operators.panel import in_order
 
 
 class Forecaster(Protocol):
@@ -50,7 +50,7 @@ def residual_sigma(panel: DataFrame, folds: Folds, lag: int) -> DataFrame:
 
     The folds are conditional sums of one pass, so no row is copied per fold.
     """
-    error = F.col(TARGET) - F.lag(TARGET, lag).over(IN_ORDER)
+    error = F.col(TARGET) - F.lag(TARGET, lag).over(in_order())
     squares = panel.select(KEY, DAY, (error * error).alias("_sq"))
     sums = []
     for i in range(folds.windows):

@@ -1,13 +1,16 @@
 """Building and repairing the daily panel (unique_id, ds, y)."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.scalars import series_key
 from tidepanel.sources.readers import DAY_PREFIX
 
-IN_ORDER = Window.partitionBy(KEY).orderBy(DAY)
+
+def in_order() -> WindowSpec:
+    """A series in day order."""
+    return Window.partitionBy(KEY).orderBy(DAY)
 
 
 def melt_wide(sales: DataFrame, ids: tuple[str, ...] = ("item_id", "store_id")) -> DataFrame:
@@ -54,10 +57,10 @@ def fill_gaps(panel: DataFrame, start: str = "series", end: str = "global", span
     first, last = F.col(DAY), F.col(DAY)
     if start == "global":
         opening = F.least(F.col(DAY), span.select("lo").scalar())
-        first = F.when(F.lag(DAY).over(IN_ORDER).isNull(), opening).otherwise(first)
+        first = F.when(F.lag(DAY).over(in_order()).isNull(), opening).otherwise(first)
     if end == "global":
         last = F.greatest(F.col(DAY), span.select("hi").scalar())
-    last = F.coalesce(F.date_sub(F.lead(DAY).over(IN_ORDER), 1), last)
+    last = F.coalesce(F.date_sub(F.lead(DAY).over(in_order()), 1), last)
     bounded = panel.select(KEY, F.col(DAY).alias("_at"), TARGET, first.alias("_first"), last.alias("_last"))
     days = bounded.select(KEY, "_at", TARGET, F.explode(F.sequence("_first", "_last")).alias(DAY))
     return days.select(KEY, DAY, F.when(F.col(DAY) == F.col("_at"), F.col(TARGET)).alias(TARGET))
@@ -70,7 +73,7 @@ def zero_fill(panel: DataFrame) -> DataFrame:
 def forward_fill(panel: DataFrame) -> DataFrame:
     """Carry the last known value forward; days before the first one stay NULL."""
     return panel.withColumn(TARGET, F.last(TARGET, ignorenulls=True).over(
-        IN_ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
 
 def gap_summary(panel: DataFrame) -> DataFrame:
@@ -94,7 +97,7 @@ def assert_no_gaps(panel: DataFrame) -> DataFrame:
 
 def longest_gap(panel: DataFrame) -> DataFrame:
     """Per series: the longest run of missing days."""
-    run = F.datediff(DAY, F.lag(DAY).over(IN_ORDER)) - 1
+    run = F.datediff(DAY, F.lag(DAY).over(in_order())) - 1
     return panel.select(KEY, run.alias("_run")).groupBy(KEY).agg(
         F.coalesce(F.max("_run"), F.lit(0)).cast("long").alias("longest_gap")
     )
@@ -104,7 +107,7 @@ def drop_gappy_series(panel: DataFrame, max_share: float = 0.30, max_run: int |
     """Keep series whose missing share is at most ``max_share`` and, if given, whose longest gap is below
     ``max_run`` days. Three aggregates over the series window share its one shuffle."""
     whole = Window.partitionBy(KEY)
-    run = F.datediff(DAY, F.lag(DAY).over(IN_ORDER)) - 1
+    run = F.datediff(DAY, F.lag(DAY).over(in_order())) - 1
     expected = F.datediff(F.max(DAY).over(whole), F.min(DAY).over(whole)) + 1
     share = 1 - F.count(DAY).over(whole) / expected
     out = panel.withColumn("_run", run).withColumn("_share", share)
