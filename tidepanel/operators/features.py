@@ -6,6 +6,7 @@ be free of gaps. A rolling feature is NULL until its window is full.
 """
 
 from dataclasses import dataclass
+from datetime import date
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -185,10 +186,10 @@ def add_features(panel: DataFrame, specs: list[Spec]) -> DataFrame:
     )
 
 
-def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: Column | None = None,
+def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: date | None = None,
                     static: DataFrame | None = None) -> DataFrame:
     """Feature rows up to ``cutoff`` without NULLs, with the series' static columns if given."""
-    rows = panel if cutoff is None else panel.filter(F.col(DAY) <= cutoff)
+    rows = panel if cutoff is None else panel.filter(F.col(DAY) <= F.lit(cutoff))
     out = add_features(rows, specs).dropna(subset=[TARGET, *[s.name for s in specs]])
     return attach_static(out, static) if static is not None else out
 

@@ -1,10 +1,11 @@
 """Rolling-origin back-test frames.
 
-The cutoffs come from one scalar, the panel's last day, and a small array expression on it, so tagging rows
-with their folds needs neither a join nor a driver round trip.
+The cutoffs follow from the panel's last day, so they are literals, and tagging rows with their folds needs no
+join.
 """
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +17,9 @@ from tidepanel.operators.panel import last_day
 
 @dataclass(frozen=True)
 class Folds:
-    """``last`` is the newest day: a scalar subquery, a column or a date literal."""
+    """``last`` is the newest day; the last test window ends on it when step == horizon."""
 
-    last: Column
+    last: date
     windows: int = DEFAULTS.windows
     step: int = DEFAULTS.step
     horizon: int = DEFAULTS.horizon
@@ -27,21 +28,21 @@ class Folds:
     def of(panel: DataFrame, **settings) -> "Folds":
         return Folds(last_day(panel), **settings)
 
-    def cutoff(self, i: int) -> Column:
-        """The i-th cutoff, oldest first; negative i are earlier calibration cutoffs."""
-        return F.date_sub(self.last, (self.windows - i) * self.step)
+    @property
+    def cutoffs(self) -> list[date]:
+        """Oldest first."""
+        return [self.last - timedelta(days=(self.windows - i) * self.step) for i in range(self.windows)]
 
     @property
-    def first(self) -> Column:
-        return self.cutoff(0)
+    def first(self) -> date:
+        return self.cutoffs[0]
 
     def array(self) -> Column:
-        return F.array(*[self.cutoff(i) for i in range(self.windows)])
+        return F.array(*[F.lit(c) for c in self.cutoffs])
 
     def tag(self, rows: DataFrame, uses: Callable[[Column], Column], into: str = "cutoff") -> DataFrame:
         """Each row once per cutoff whose condition ``uses(cutoff)`` it meets."""
-        cutoffs = [self.cutoff(i) for i in range(self.windows)]
-        met = F.array(*[F.when(uses(c), c) for c in cutoffs])
+        met = F.array(*[F.when(uses(F.lit(c)), F.lit(c)) for c in self.cutoffs])
         return rows.select("*", F.explode(met).alias(into)).filter(F.col(into).isNotNull())
 
     def earlier(self, n: int) -> "Folds":
@@ -51,9 +52,8 @@ class Folds:
 
 def cv_cutoffs(panel: DataFrame, windows: int = DEFAULTS.windows, step: int = DEFAULTS.step) -> DataFrame:
     """(fold, cutoff) rows, oldest first."""
-    last = panel.agg(F.max(DAY).alias("last"))
-    folds = Folds(F.col("last"), windows, step)
-    return last.select(F.posexplode(folds.array()).alias("fold", "cutoff"))
+    cutoffs = [F.date_sub("last", (windows - i) * step) for i in range(windows)]
+    return panel.agg(F.max(DAY).alias("last")).select(F.posexplode(F.array(*cutoffs)).alias("fold", "cutoff"))
 
 
 def cv_folds(panel: DataFrame, folds: Folds) -> DataFrame:
@@ -64,7 +64,7 @@ def cv_folds(panel: DataFrame, folds: Folds) -> DataFrame:
 
 def assign_test_window(panel: DataFrame, folds: Folds) -> DataFrame:
     """Rows inside a test window, with its cutoff and the step h within it."""
-    later = panel.filter(F.col(DAY) > folds.first)
+    later = panel.filter(F.col(DAY) > F.lit(folds.first))
     out = folds.tag(later, lambda c: (F.col(DAY) > c) & (F.col(DAY) <= F.date_add(c, folds.horizon)))
     return out.withColumn("h", F.datediff(DAY, "cutoff"))
 
@@ -94,7 +94,7 @@ def drop_short_context(panel: DataFrame, folds: Folds, season: int = DEFAULTS.se
 def refit_frames(panel: DataFrame, folds: Folds, refit: bool = DEFAULTS.refit) -> DataFrame:
     """Training rows by the cutoff their model is fitted at: one fit at the first cutoff, or one per fold."""
     if not refit:
-        return panel.filter(F.col(DAY) <= folds.first).withColumn("fit_cutoff", folds.first)
+        return panel.filter(F.col(DAY) <= F.lit(folds.first)).withColumn("fit_cutoff", F.lit(folds.first))
     return folds.tag(panel, lambda c: F.col(DAY) <= c, "fit_cutoff")
 
 
@@ -114,7 +114,8 @@ def fold_context(panel: DataFrame, folds: Folds, lookback: int) -> DataFrame:
     in a fold's context are left out of that fold.
     """
     h = folds.horizon
-    recent = panel.filter(F.col(DAY) > F.date_sub(folds.first, lookback)).select(KEY, DAY, TARGET)
+    oldest = folds.first - timedelta(days=lookback)
+    recent = panel.filter(F.col(DAY) > F.lit(oldest)).select(KEY, DAY, TARGET)
     placed = folds.tag(recent, lambda c: (F.col(DAY) > F.date_sub(c, lookback)) & (F.col(DAY) <= F.date_add(c, h)))
     at = F.datediff(DAY, "cutoff")
     packed = placed.groupBy(KEY, "cutoff").agg(

@@ -53,12 +53,12 @@ def residual_sigma(panel: DataFrame, folds: Folds, lag: int) -> DataFrame:
     error = F.col(TARGET) - F.lag(TARGET, lag).over(in_order())
     squares = panel.select(KEY, DAY, (error * error).alias("_sq"))
     sums = []
-    for i in range(folds.windows):
-        seen = F.col(DAY) <= folds.cutoff(i)
+    for i, cutoff in enumerate(folds.cutoffs):
+        seen = F.col(DAY) <= F.lit(cutoff)
         sums.append(F.sqrt(F.avg(F.when(seen, F.col("_sq")))).alias(f"s{i}"))
     per_series = squares.groupBy(KEY).agg(*sums)
     cells = F.array(*[
-        F.struct(folds.cutoff(i).alias("cutoff"), F.col(f"s{i}").alias("sigma")) for i in range(folds.windows)
+        F.struct(F.lit(cutoff).alias("cutoff"), F.col(f"s{i}").alias("sigma")) for i, cutoff in enumerate(folds.cutoffs)
     ])
     return per_series.select(KEY, F.inline(cells))
 
@@ -101,7 +101,7 @@ def conformal_interval(panel: DataFrame, forecaster: Forecaster, folds: Folds, n
     # range frame in days: a calibration cutoff without an actual must not let an older one in
     before = Window.partitionBy(KEY, "h").orderBy(F.unix_date("cutoff")).rangeBetween(-n_windows * folds.step, -1)
     rows = rows.withColumn("_errors", F.collect_list(F.abs(F.col(TARGET) - F.col("y_hat"))).over(before))
-    rows = rows.filter(F.col("cutoff") >= folds.first)
+    rows = rows.filter(F.col("cutoff") >= F.lit(folds.first))
     signed = F.sort_array(F.concat(F.col("_errors"), F.transform("_errors", lambda e: -e)))
     tail = (1 - coverage) / 2
     enough = F.size("_errors") == n_windows

@@ -1,6 +1,6 @@
 """Running forecasts in production: snapshots, corrections, late data, fallback and accuracy over time."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +15,15 @@ from tidepanel.operators.panel import last_day
 from tidepanel.operators.select import series_totals
 
 
-def feature_snapshot(panel: DataFrame, specs: list[Spec], day: Column | None = None) -> DataFrame:
+def feature_snapshot(panel: DataFrame, specs: list[Spec], day: date | None = None) -> DataFrame:
     """Features of one day for all series, labelled with it.
 
     Only the days the features look back over are read.
     """
-    day = last_day(panel) if day is None else day
-    recent = panel.filter((F.col(DAY) <= day) & (F.col(DAY) >= F.date_sub(day, reach(specs))))
-    return add_features(recent, specs).filter(F.col(DAY) == day).withColumn("snapshot_date", F.col(DAY))
+    day = day or last_day(panel)
+    oldest = day - timedelta(days=reach(specs))
+    recent = panel.filter(F.col(DAY).between(F.lit(oldest), F.lit(day)))
+    return add_features(recent, specs).filter(F.col(DAY) == F.lit(day)).withColumn("snapshot_date", F.col(DAY))
 
 
 def affected_rows(corrections: DataFrame, specs: list[Spec]) -> DataFrame:
@@ -121,9 +122,9 @@ def fallback_forecast(expected: DataFrame, current: DataFrame, last_good: DataFr
     )
 
 
-def input_drift(panel: DataFrame, days: int = 28, limit: float = 3.0) -> DataFrame:
+def input_drift(panel: DataFrame, days: int = 28, limit: float = 3.0, last: date | None = None) -> DataFrame:
     """Per series: mean of the last ``days`` against mean and deviation before them."""
-    start = F.date_sub(last_day(panel), days)
+    start = F.lit((last or last_day(panel)) - timedelta(days=days))
     recent = F.when(F.col(DAY) > start, F.col(TARGET))
     before = F.when(F.col(DAY) <= start, F.col(TARGET))
     out = panel.groupBy(KEY).agg(

@@ -1,5 +1,7 @@
 """Building and repairing the daily panel (unique_id, ds, y)."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -40,26 +42,26 @@ def panel_daily(rows: DataFrame, key: Column, day: Column, value: Column) -> Dat
     return rows.groupBy(key.alias(KEY), day.cast("date").alias(DAY)).agg(F.sum(value).cast("double").alias(TARGET))
 
 
-def fill_gaps(panel: DataFrame, start: str = "series", end: str = "global", span: DataFrame | None = None
+def fill_gaps(panel: DataFrame, start: str = "series", end: str = "global", span: tuple[date, date] | None = None
               ) -> DataFrame:
     """A row for every day of each series; y is NULL on the added ones.
 
     ``start`` and ``end`` say whether a series runs from/to its own first/last day ("series") or the first/last
-    day of the whole panel ("global"). ``span`` is a one-row (lo, hi) table that replaces the scan for them.
+    day of the whole panel ("global"). ``span`` gives these two days and saves the scan for them.
 
     Each row expands to itself and the missing days up to the next row, so there is one shuffle by series and
     no join against a day grid.
     """
     if {start, end} - {"series", "global"}:
         raise ValueError("start and end are 'series' or 'global'")
-    if span is None:
-        span = panel.agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi"))
+    if span is None and "global" in (start, end):
+        span = day_span(panel)
     first, last = F.col(DAY), F.col(DAY)
     if start == "global":
-        opening = F.least(F.col(DAY), span.select("lo").scalar())
+        opening = F.least(F.col(DAY), F.lit(span[0]))
         first = F.when(F.lag(DAY).over(in_order()).isNull(), opening).otherwise(first)
     if end == "global":
-        last = F.greatest(F.col(DAY), span.select("hi").scalar())
+        last = F.greatest(F.col(DAY), F.lit(span[1]))
     last = F.coalesce(F.date_sub(F.lead(DAY).over(in_order()), 1), last)
     bounded = panel.select(KEY, F.col(DAY).alias("_at"), TARGET, first.alias("_first"), last.alias("_last"))
     days = bounded.select(KEY, "_at", TARGET, F.explode(F.sequence("_first", "_last")).alias(DAY))
@@ -122,20 +124,30 @@ def sort_panel(panel: DataFrame) -> DataFrame:
     return panel.orderBy(KEY, DAY)
 
 
-def train_rows(panel: DataFrame, cutoff: Column) -> DataFrame:
+def train_rows(panel: DataFrame, cutoff: date) -> DataFrame:
     """Rows strictly before ``cutoff``: what series selection looks at."""
-    return panel.filter(F.col(DAY) < cutoff)
+    return panel.filter(F.col(DAY) < F.lit(cutoff))
 
 
-def context_rows(panel: DataFrame, cutoff: Column) -> DataFrame:
+def context_rows(panel: DataFrame, cutoff: date) -> DataFrame:
     """Rows up to and including ``cutoff``: what a model may see."""
-    return panel.filter(F.col(DAY) <= cutoff)
+    return panel.filter(F.col(DAY) <= F.lit(cutoff))
+
+
+def day_span(panel: DataFrame) -> tuple[date, date]:
+    """First and last day of the panel.
+
+    Two values go to the driver, so that later plans filter by literals, which reach the file scan.
+    """
+    lo, hi = panel.agg(F.min(DAY), F.max(DAY)).first()
+    if hi is None:
+        raise ValueError("the panel has no rows")
+    return lo, hi
 
 
-def last_day(panel: DataFrame) -> Column:
-    """The newest day of the panel as a scalar subquery."""
-    return panel.agg(F.max(DAY).alias("last")).scalar()
+def last_day(panel: DataFrame) -> date:
+    return day_span(panel)[1]
 
 
-def first_cutoff(last: Column, windows: int = DEFAULTS.windows, step: int = DEFAULTS.step) -> Column:
-    return F.date_sub(last, windows * step)
+def first_cutoff(last: date, windows: int = DEFAULTS.windows, step: int = DEFAULTS.step) -> date:
+    return last - timedelta(days=windows * step)

@@ -1,5 +1,7 @@
 """Tables that describe a panel's health."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,12 +64,11 @@ def zero_fraction_summary(fractions: DataFrame, threshold: float = 0.30) -> Data
     ).withColumn("median_fraction", median)
 
 
-def history_depth(panel: DataFrame, last: Column | None = None, min_history: int = DEFAULTS.min_history,
+def history_depth(panel: DataFrame, last: date | None = None, min_history: int = DEFAULTS.min_history,
                   windows: int = DEFAULTS.windows, step: int = DEFAULTS.step) -> DataFrame:
     """Per series: first day, the start the back-test needs, and whether it is met."""
-    last = last_day(panel) if last is None else last
-    needed = F.date_sub(first_cutoff(last, windows, step), min_history)
-    out = panel.groupBy(KEY).agg(F.min(DAY).alias("start_date")).withColumn("needed_start", needed)
+    needed = first_cutoff(last or last_day(panel), windows, step) - timedelta(days=min_history)
+    out = panel.groupBy(KEY).agg(F.min(DAY).alias("start_date")).withColumn("needed_start", F.lit(needed))
     return out.withColumn("sufficient", F.col("start_date") <= F.col("needed_start"))
 
 

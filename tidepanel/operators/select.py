@@ -1,5 +1,7 @@
 """Choosing series and slices of a panel or forecast table."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ def top_n_panel(panel: DataFrame, n: int = DEFAULTS.micro_series) -> DataFrame:
     return keep_series(panel, top_series(panel, n))
 
 
-def training_stats(panel: DataFrame, cutoff: Column) -> DataFrame:
+def training_stats(panel: DataFrame, cutoff: date) -> DataFrame:
     """Per series, over its training rows: first day, share of zero days, total. One pass for all filters."""
     return train_rows(panel, cutoff).groupBy(KEY).agg(
         F.min(DAY).alias("first_day"),
@@ -35,8 +37,8 @@ def training_stats(panel: DataFrame, cutoff: Column) -> DataFrame:
     )
 
 
-def long_enough(cutoff: Column, days: int = DEFAULTS.min_history) -> Column:
-    return F.col("first_day") <= F.date_sub(cutoff, days)
+def long_enough(cutoff: date, days: int = DEFAULTS.min_history) -> Column:
+    return F.col("first_day") <= F.lit(cutoff - timedelta(days=days))
 
 
 def rarely_zero(share: float = DEFAULTS.max_zero) -> Column:
@@ -49,9 +51,9 @@ def sells() -> Column:
 
 def policy_series(panel: DataFrame, n: int = DEFAULTS.top_series, min_history: int = DEFAULTS.min_history,
                   max_zero: float = DEFAULTS.max_zero, windows: int = DEFAULTS.windows, step: int = DEFAULTS.step,
-                  last: Column | None = None) -> DataFrame:
+                  last: date | None = None) -> DataFrame:
     """Series with enough history, few zero days and sales, then the n largest by training total."""
-    cutoff = first_cutoff(last_day(panel) if last is None else last, windows, step)
+    cutoff = first_cutoff(last or last_day(panel), windows, step)
     kept = training_stats(panel, cutoff).filter(long_enough(cutoff, min_history) & rarely_zero(max_zero) & sells())
     return kept.orderBy(F.desc("total"), KEY).limit(n)
 
@@ -74,16 +76,16 @@ def models_with_full_intervals(forecasts: DataFrame) -> DataFrame:
     return forecasts.groupBy("model").agg(full.alias("_full")).filter("_full").select("model")
 
 
-def latest_slice(forecasts: DataFrame, ids: DataFrame, models: list[str] | None = None, cutoff: Column | None = None
+def latest_slice(forecasts: DataFrame, ids: DataFrame, models: list[str] | None = None, cutoff: date | None = None
                  ) -> DataFrame:
     """Forecasts of the listed series and models at the newest (or given) cutoff."""
-    at = forecasts.agg(F.max("cutoff").alias("c")).scalar() if cutoff is None else cutoff
+    at = F.lit(cutoff) if cutoff else forecasts.agg(F.max("cutoff").alias("c")).scalar()
     out = forecasts.filter(F.col("cutoff") == at)
     if models is not None:
         out = out.filter(F.col("model").isin(*models))
     return keep_series(out, ids).orderBy("model", KEY, DAY)
 
 
-def lookback_slice(panel: DataFrame, ids: DataFrame, cutoff: Column, days: int) -> DataFrame:
+def lookback_slice(panel: DataFrame, ids: DataFrame, cutoff: date, days: int) -> DataFrame:
     """Actuals of the listed series from ``days`` before the cutoff on."""
-    return keep_series(panel.filter(F.col(DAY) >= F.date_sub(cutoff, days)), ids).orderBy(KEY, DAY)
+    return keep_series(panel.filter(F.col(DAY) >= F.lit(cutoff - timedelta(days=days))), ids).orderBy(KEY, DAY)

@@ -5,6 +5,7 @@ A learner turns a training matrix into a scorer; a scorer adds ``y_hat`` to rows
 
 import math
 from dataclasses import dataclass
+from datetime import timedelta
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -156,7 +157,7 @@ def recursive_forecast(scorer: Scorer, panel: DataFrame, folds: Folds, specs: li
 
 def _only(folds: Folds, i: int) -> Folds:
     """The folds with just the i-th window."""
-    return Folds(F.date_sub(folds.last, (folds.windows - i - 1) * folds.step), 1, folds.step, folds.horizon)
+    return Folds(folds.cutoffs[i] + timedelta(days=folds.step), 1, folds.step, folds.horizon)
 
 
 def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str, Column] | None = None,

@@ -2,6 +2,7 @@
 
 import re
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 from typing import Callable
 
@@ -34,6 +35,9 @@ SERIES_SQL = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}  # read from the files once
+
+
 class Tables:
     """The given tables of one scale, and the panels built from them."""
 
@@ -44,7 +48,10 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def sales(self) -> DataFrame:
         orders = self["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
@@ -79,19 +86,20 @@ class Tables:
         key, dims = keys[kind]
         return P.panel_daily(self.dims(self.sales(), *dims), key, F.col("o_orderdate"), F.col("l_quantity"))
 
-    def span(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date")
-        return self["orders"].agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    @cached_property
+    def span(self) -> tuple[date, date]:
+        return P.day_span(self["orders"].select(F.col("o_orderdate").cast("date").alias(DAY)))
 
-    def last(self) -> Column:
-        return self.span().select("hi").scalar()
+    @property
+    def last(self) -> date:
+        return self.span[1]
 
     def panel(self, kind: str) -> DataFrame:
         """The panel without gaps: every day of the orders' date range, 0 where nothing was sold."""
-        return P.zero_fill(P.fill_gaps(self.raw(kind), "global", "global", self.span()))
+        return P.zero_fill(P.fill_gaps(self.raw(kind), "global", "global", self.span))
 
     def folds(self, **settings) -> Folds:
-        return Folds(self.last(), **settings)
+        return Folds(self.last, **settings)
 
     @cached_property
     def forecasts(self) -> DataFrame:

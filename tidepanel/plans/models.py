@@ -160,7 +160,7 @@ def _(t):
     return tidy(N.conformal_interval(t.panel("nation"), N.naive, t.folds()))
 
 
-@query("conformal_interval_seasonal", _conformal_sql("snaive", "c.cutoff - 6 + (p.ds - c.cutoff - 1) % 7"))
+@query("conformal_interval_seasonal", _conformal_sql("snaive", "c.cutoff - 6 + CAST((p.ds - c.cutoff - 1) % 7 AS INTEGER)"))
 def _(t):
     return tidy(N.conformal_interval(t.panel("nation"), N.seasonal_naive, t.folds()))
 

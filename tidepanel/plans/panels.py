@@ -17,7 +17,7 @@ STATS = (f"SELECT unique_id, min(ds) AS first_day, avg(CASE WHEN y = 0 THEN 1.0:
 
 
 def cut(t):
-    return P.first_cutoff(t.last())
+    return P.first_cutoff(t.last)
 
 
 @query("train_before_cutoff", sql(f"SELECT * FROM panel_nation WHERE ds < {CUT}"))
@@ -59,7 +59,7 @@ def _(t):
     f"AND total > 0 AND first_day <= {CUT} - 365 ORDER BY total DESC, unique_id LIMIT 10)",
     stats=STATS % "panel_type_region"))
 def _(t):
-    return S.subset_policy(t.panel("type_region"), n=10, last=t.last())
+    return S.subset_policy(t.panel("type_region"), n=10, last=t.last)
 
 
 @query("top_n_series", sql(
@@ -132,7 +132,7 @@ def _(t):
     f"SELECT * FROM panel_nation WHERE unique_id IN ({TOP1}) AND ds >= (SELECT max(cutoff) FROM cutoffs) - 42"))
 def _(t):
     panel = t.panel("nation")
-    return S.lookback_slice(panel, S.top_series(panel, 1), t.folds().cutoff(2), 42)
+    return S.lookback_slice(panel, S.top_series(panel, 1), t.folds().cutoffs[-1], 42)
 
 
 @query("sort_panel", sql("SELECT * FROM panel_nation ORDER BY unique_id, ds"))
@@ -189,7 +189,7 @@ def _(t):
     "SELECT unique_id, min(ds) AS start_date, any_value(hi) - 84 - 365 AS needed_start, "
     "min(ds) <= any_value(hi) - 84 - 365 AS sufficient FROM raw_supplier, span GROUP BY 1"))
 def _(t):
-    return R.history_depth(t.raw("supplier"), t.last())
+    return R.history_depth(t.raw("supplier"), t.last)
 
 
 GAPS = ("SELECT unique_id, min(ds) AS start_date, max(ds) AS end_date, count(ds) AS observed_rows, "

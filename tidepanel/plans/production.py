@@ -30,7 +30,7 @@ def _(t):
 @query("feature_snapshot", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
                                " ".join(RICH_SQL), m=rich_sql("panel_nation")))
 def _(t):
-    out = O.feature_snapshot(t.panel("nation"), X.RICH, t.last())
+    out = O.feature_snapshot(t.panel("nation"), X.RICH, t.last)
     return tidy(out.withColumn("month", F.col("month").cast("double")))
 
 
@@ -189,7 +189,7 @@ AS prior_mean, stddev_samp(y) FILTER (ds <= hi - 28) AS prior_std, (avg(y) FILTE
 FILTER (ds <= hi - 28)) / nullif(stddev_samp(y) FILTER (ds <= hi - 28), 0)) > 0.1, false) AS drifted FROM panel_supplier,
 span GROUP BY 1""", "recent_mean prior_mean prior_std z_score"))
 def _(t):
-    return tidy(O.input_drift(t.panel("supplier"), limit=0.1))
+    return tidy(O.input_drift(t.panel("supplier"), limit=0.1, last=t.last))
 
 
 @query("prediction_sanity", sql("""SELECT f.unique_id, f.model, f.max_y_hat, f.n_zero, h.max_y, h.recent_mean,

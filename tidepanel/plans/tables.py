@@ -20,7 +20,7 @@ MELTED_SQL = sql(
 
 def wide_sales(t: Tables):
     """Sales with one column per day, as raw files have them."""
-    lo, hi = t.span().first()
+    lo, hi = t.span
     days = [f"d_{i + 1}" for i in range((hi - lo).days + 1)]
     label = F.concat(F.lit("d_"), (F.datediff(DAY, F.lit(lo)) + 1).cast("string"))
     parts = F.split(KEY, "_")
@@ -36,7 +36,7 @@ def wide_sales(t: Tables):
 def calendar(t: Tables):
     """The label of each day that has orders."""
     day = F.col("o_orderdate").cast("date")
-    label = F.concat(F.lit("d_"), (F.datediff(day, t.span().select("lo").scalar()) + 1).cast("string"))
+    label = F.concat(F.lit("d_"), (F.datediff(day, F.lit(t.span[0])) + 1).cast("string"))
     return t["orders"].select(label.alias("d"), day.alias(DAY)).distinct()
 
 
@@ -200,7 +200,7 @@ def _(t):
     from tidepanel.operators.forecast import naive
 
     # without zero filling, a series that sold nothing on the cutoff day has no last value
-    gappy = P.fill_gaps(t.raw("nation"), "global", "global", t.span())
+    gappy = P.fill_gaps(t.raw("nation"), "global", "global", t.span)
     rows = naive(P.zero_fill(gappy), t.folds()).drop("y_hat")
     last = t.raw("nation").select(KEY, F.col(DAY).alias("cutoff"), F.col(TARGET).alias("y_hat"))
     rows = rows.join(last, [KEY, "cutoff"], "left")
@@ -266,7 +266,7 @@ CASE c.column_name WHEN 'y' THEN n.bad ELSE 0 END AS bad_rows, n.n_rows
 FROM (VALUES ('unique_id'), ('ds'), ('y')) c(column_name), (SELECT count(*) AS n_rows, count(*) -
 (SELECT count(*) FROM raw_nation) AS bad FROM panel_nation) n"""))
 def _(t):
-    gappy = P.fill_gaps(t.raw("nation"), "global", "global", t.span())
+    gappy = P.fill_gaps(t.raw("nation"), "global", "global", t.span)
     return C.contract_report(gappy, "panel").filter(F.col("check") == "null")
 
 
