@@ -16,9 +16,15 @@ def in_order() -> WindowSpec:
 
 
 def melt_wide(sales: DataFrame, ids: tuple[str, ...] = ("item_id", "store_id")) -> DataFrame:
-    """Day columns to rows: (ids…, d, y)."""
+    """Day columns to rows: (ids…, d, y).
+
+    The day columns become one array that is exploded; unpivot() would plan a projection per day, and a sales
+    file has thousands of them.
+    """
     days = [c for c in sales.columns if c.startswith(DAY_PREFIX)]
-    return sales.select(*ids, *days).unpivot(list(ids), days, "d", TARGET)
+    labels = F.split(F.lit(",".join(days)), ",")
+    rows = sales.select(*ids, F.posexplode(F.array(*days)).alias("_i", TARGET))
+    return rows.select(*ids, F.get(labels, F.col("_i")).alias("d"), TARGET)
 
 
 def key_sales(melted: DataFrame) -> DataFrame:

@@ -268,11 +268,9 @@ def _(t):
     return tidy(R.interval_width_median(t.forecasts_on("supplier")))
 
 
-@query("exact_quantiles", """SELECT l_returnflag, p AS prob, quantile_cont(l_extendedprice, p) AS quantile FROM lineitem,
-(VALUES (0.1::DOUBLE), (0.5::DOUBLE), (0.99::DOUBLE)) v(p) GROUP BY ALL""".replace(
-    "quantile_cont(l_extendedprice, p) AS quantile",
-    "round(CASE p WHEN 0.1 THEN quantile_cont(l_extendedprice, 0.1) WHEN 0.5 THEN quantile_cont(l_extendedprice, 0.5) "
-    "ELSE quantile_cont(l_extendedprice, 0.99) END, 6) AS quantile"))
+@query("exact_quantiles", " UNION ALL ".join(
+    f"SELECT l_returnflag, {p}::DOUBLE AS prob, round(quantile_cont(l_extendedprice, {p}), 6) AS quantile FROM lineitem "
+    "GROUP BY 1" for p in (0.1, 0.5, 0.99)))
 def _(t):
     return tidy(exact_quantiles(t["lineitem"], "l_extendedprice", [0.1, 0.5, 0.99], ["l_returnflag"]))
 

@@ -22,12 +22,14 @@ def wide_sales(t: Tables):
     """Sales with one column per day, as raw files have them."""
     lo, hi = t.span
     days = [f"d_{i + 1}" for i in range((hi - lo).days + 1)]
-    label = F.concat(F.lit("d_"), (F.datediff(DAY, F.lit(lo)) + 1).cast("string"))
     parts = F.split(KEY, "_")
+    at = F.datediff(DAY, F.lit(lo))
     rows = t.panel("type_region").select(
-        parts[0].alias("item_id"), parts[1].alias("store_id"), label.alias("d"), F.col(TARGET).cast("int").alias(TARGET)
+        parts[0].alias("item_id"), parts[1].alias("store_id"),
+        F.struct(at.alias("at"), F.col(TARGET).cast("int").alias("v")).alias("c"),
     )
-    wide = rows.groupBy("item_id", "store_id").pivot("d", days).agg(F.sum(TARGET).cast("int"))
+    packed = rows.groupBy("item_id", "store_id").agg(F.sort_array(F.collect_list("c"))["v"].alias("v"))
+    wide = packed.select("item_id", "store_id", *[F.col("v")[i].alias(d) for i, d in enumerate(days)])
     ids = {"id": F.concat_ws("_", "item_id", "store_id"), "dept_id": F.col("item_id"), "cat_id": F.col("item_id"),
            "state_id": F.col("store_id")}
     return wide.withColumns(ids).select(*readers.SALES_IDS, *days)
