@@ -1,18 +1,20 @@
 """Lag, rolling and calendar features.
 
 A spec gives the same feature in two forms: ``over`` a day-ordered window, for training tables, and ``at`` an
-offset past the end of an array of recent values, for forecasting days whose lags are known so far. Panels must
-be free of gaps. A rolling feature is NULL until its window is full.
+offset past the end of an array of recent values, for forecasting days whose lags are known so far. The window
+columns a feature is made of are its ``parts``; features share those they have in common. Panels must be free of
+gaps. A rolling feature is NULL until its window is full.
 """
 
 from dataclasses import dataclass
 from datetime import date
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, KEY, TARGET
+from tidepanel.functions.ranks import running_total
 from tidepanel.functions.scalars import day_of_week, fourier_annual, fourier_weekly
 from tidepanel.operators.panel import in_order
 
@@ -34,8 +36,11 @@ class Lag:
     def reach(self) -> int:
         return self.lag
 
-    def over(self, y: Column) -> Column:
-        return F.lag(y, self.lag).over(in_order())
+    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
+        return {f"_lag{self.lag}": F.lag(y, self.lag).over(in_order())}
+
+    def over(self, specs: list["Spec"]) -> Column:
+        return F.col(f"_lag{self.lag}")
 
     def at(self, values: Column, ahead: Column) -> Column:
         return _back(values, self.lag, ahead)
@@ -76,16 +81,33 @@ class Rolling:
     def reach(self) -> int:
         return self.lag + self.window - 1
 
-    def over(self, y: Column) -> Column:
+    @property
+    def _frame(self) -> str:
+        return f"_l{self.lag}_w{self.window}"
+
+    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
+        """The frame's count and this feature's aggregate; all quantiles of a frame come from one aggregate."""
         frame = in_order().rowsBetween(-self.reach, -self.lag)
         value = {
             "mean": lambda: F.avg(y),
             "std": lambda: F.stddev_samp(y),
             "min": lambda: F.min(y),
             "max": lambda: F.max(y),
-            "quantile": lambda: F.percentile(y, F.lit(self.q)),
+            "quantile": lambda: F.percentile(y, F.array(*[F.lit(q) for q in self._quantiles(specs)])),
         }[self.kind]()
-        return F.when(F.count(y).over(frame) == self.window, value.over(frame))
+        return {f"_n{self._frame}": F.count(y).over(frame), f"_{self.kind}{self._frame}": value.over(frame)}
+
+    def _quantiles(self, specs: list["Spec"]) -> list[float]:
+        return sorted({
+            s.q for s in specs
+            if isinstance(s, Rolling) and s.kind == "quantile" and s._frame == self._frame
+        })
+
+    def over(self, specs: list["Spec"]) -> Column:
+        value = F.col(f"_{self.kind}{self._frame}")
+        if self.kind == "quantile":
+            value = value[self._quantiles(specs).index(self.q)]
+        return F.when(F.col(f"_n{self._frame}") == self.window, value)
 
     def at(self, values: Column, ahead: Column) -> Column:
         n = self.window
@@ -120,11 +142,18 @@ class SeasonalMean:
     def lag(self) -> int:
         return self.season
 
-    def over(self, y: Column) -> Column:
-        return sum(F.lag(y, k * self.season).over(in_order()) for k in range(1, self.seasons + 1)) / self.seasons
+    @property
+    def _lags(self) -> range:
+        return range(self.season, self.reach + 1, self.season)
+
+    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
+        return {f"_lag{k}": F.lag(y, k).over(in_order()) for k in self._lags}
+
+    def over(self, specs: list["Spec"]) -> Column:
+        return sum(F.col(f"_lag{k}") for k in self._lags) / self.seasons
 
     def at(self, values: Column, ahead: Column) -> Column:
-        return sum(_back(values, k * self.season, ahead) for k in range(1, self.seasons + 1)) / self.seasons
+        return sum(_back(values, k, ahead) for k in self._lags) / self.seasons
 
 
 @dataclass(frozen=True)
@@ -179,11 +208,14 @@ def block(specs: list[Spec]) -> int:
 
 
 def add_features(panel: DataFrame, specs: list[Spec]) -> DataFrame:
-    """One window per series, sorted once; each spec adds its frame or lag to it."""
-    y, day = F.col(TARGET), F.col(DAY)
-    return panel.select(
-        "*", *[(s.of(day) if isinstance(s, Calendar) else s.over(y)).alias(s.name) for s in specs]
-    )
+    """One window per series, sorted once; all lags and frames are computed over it."""
+    parts: dict[str, Column] = {}
+    for s in lagged(specs):
+        parts.update(s.parts(F.col(TARGET), specs))
+    windowed = panel.select("*", *[c.alias(n) for n, c in parts.items()])
+    day = F.col(DAY)
+    features = [(s.of(day) if isinstance(s, Calendar) else s.over(specs)).alias(s.name) for s in specs]
+    return windowed.select(*panel.columns, *features)
 
 
 def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: date | None = None,
@@ -204,10 +236,10 @@ def static_of(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def category_codes(rows: DataFrame, column: str, into: str) -> DataFrame:
-    """Alphabetical integer codes, 0 first. Only the distinct labels are numbered."""
-    labels = rows.select(column).filter(F.col(column).isNotNull()).distinct()
-    order = Window.orderBy(column)  # the labels of one category, not the rows
-    codes = labels.select(column, (F.row_number().over(order) - 1).alias(into))
+    """Alphabetical integer codes, 0 first. The distinct labels are numbered range by range."""
+    labels = rows.select(column, F.lit(1).alias("_one")).filter(F.col(column).isNotNull()).distinct()
+    numbered = running_total(labels, "_one", [F.col(column)], "_position")
+    codes = numbered.select(column, (F.col("_position") - 1).cast("int").alias(into))
     return rows.join(codes, column, "left")
 
 

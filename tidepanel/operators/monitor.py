@@ -26,17 +26,6 @@ def feature_snapshot(panel: DataFrame, specs: list[Spec], day: date | None = Non
     return add_features(recent, specs).filter(F.col(DAY) == F.lit(day)).withColumn("snapshot_date", F.col(DAY))
 
 
-def affected_rows(corrections: DataFrame, specs: list[Spec]) -> DataFrame:
-    """(unique_id, from_ds, to_ds) of the feature rows a corrected value can change, as merged intervals per
-    series, so that many corrections of one series do not multiply."""
-    near, far = min(s.lag for s in lagged(specs)), reach(specs)
-    each = corrections.select(KEY, F.date_add(DAY, near).alias("a"), F.date_add(DAY, far).alias("b")).distinct()
-    order = Window.partitionBy(KEY).orderBy("a")
-    fresh = F.col("a") > F.date_add(F.lag("b").over(order), 1)
-    groups = each.withColumn("_g", F.sum(F.when(fresh, 1).otherwise(0)).over(order))
-    return groups.groupBy(KEY, "_g").agg(F.min("a").alias("from_ds"), F.max("b").alias("to_ds")).drop("_g")
-
-
 def feature_backfill(panel: DataFrame, corrections: DataFrame, specs: list[Spec]) -> DataFrame:
     """Recomputed feature rows (unique_id, ds, features) for the days that corrected values reach.
 

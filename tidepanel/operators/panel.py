@@ -22,9 +22,15 @@ def melt_wide(sales: DataFrame, ids: tuple[str, ...] = ("item_id", "store_id"))
     file has thousands of them.
     """
     days = [c for c in sales.columns if c.startswith(DAY_PREFIX)]
-    labels = F.split(F.lit(",".join(days)), ",")
-    rows = sales.select(*ids, F.posexplode(F.array(*days)).alias("_i", TARGET))
-    return rows.select(*ids, F.get(labels, F.col("_i")).alias("d"), TARGET)
+    cells = F.expr("array(" + ", ".join(f"`{d}`" for d in days) + ")")  # one expression for all days
+    rows = sales.select(*ids, F.posexplode(cells).alias("_i", TARGET))
+    # labels number the days from 1 without holes when the file is complete; otherwise look them up
+    first = int(days[0].removeprefix(DAY_PREFIX))
+    if days == [f"{DAY_PREFIX}{first + i}" for i in range(len(days))]:
+        label = F.concat(F.lit(DAY_PREFIX), (F.col("_i") + first).cast("string"))
+    else:
+        label = F.get(F.split(F.lit(",".join(days)), ","), F.col("_i"))
+    return rows.select(*ids, label.alias("d"), TARGET)
 
 
 def key_sales(melted: DataFrame) -> DataFrame:
@@ -37,9 +43,9 @@ def key_sales(melted: DataFrame) -> DataFrame:
 def join_calendar(melted: DataFrame, calendar: DataFrame) -> DataFrame:
     """Replace the day label by its date; an unknown label gives a NULL date, which the contract rejects.
 
-    A calendar has one row per day, so it is small at any panel size.
+    Spark broadcasts the calendar when its size is known to be small.
     """
-    dated = melted.join(F.broadcast(calendar.select("d", DAY)), "d", "left")
+    dated = melted.join(calendar.select("d", DAY), "d", "left")
     return dated.select(KEY, DAY, TARGET)
 
 

@@ -9,6 +9,7 @@ from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.ranks import exact_quantiles
 from tidepanel.functions.scalars import clip_upper, day_of_week, ratio
 from tidepanel.operators.panel import first_cutoff, last_day
+from tidepanel.session import settle
 
 LABELS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
@@ -151,7 +152,7 @@ def interval_width_hist(forecasts: DataFrame, bins: int = 60, cap: float = 0.99)
     top = exact_quantiles(widths, "width", [cap], ["model"])
     low = widths.groupBy("model").agg(F.min("width").alias("lo"), F.count(F.lit(1)).alias("total"))
     ends = low.join(top.select("model", F.col("quantile").alias("hi")), "model")
-    clipped = widths.join(F.broadcast(ends), "model")  # one row per model
+    clipped = widths.join(settle(ends, "ends"), "model")  # stored, so that its size is known
     clipped = clipped.withColumn("width", clip_upper(F.col("width"), F.col("hi")))
     at = _bin(F.col("width"), F.col("lo"), F.col("hi"), bins).alias("bin")
     counts = clipped.groupBy("model", "lo", "hi", "total", at).agg(F.count(F.lit(1)).alias("n"))

@@ -92,15 +92,24 @@ def tree_learner(params: TreeParams = TreeParams()) -> Learner:
     return learn
 
 
-def tweedie_learner(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-6) -> Learner:
-    """Generalised linear model with log link and variance ~ mean ** power."""
+def tweedie_learner(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-6, tol: float = 1e-4) -> Learner:
+    """Generalised linear model with log link and variance ~ mean ** power.
+
+    With a log link the mean is a product of powers of the features, so they enter as logarithms; a raw lag
+    would be exponentiated, and a recursion on it would run away.
+    """
+
+    def logs(rows: DataFrame, features: list[str]) -> DataFrame:
+        return rows.withColumns({f"_log_{f}": F.signum(f) * F.log1p(F.abs(f)) for f in features})
 
     def learn(matrix: DataFrame, features: list[str], labels: list[str]) -> Scorer:
         glm = GeneralizedLinearRegression(
             featuresCol="_vector", labelCol=TARGET, family="tweedie", variancePower=power, linkPower=0.0,
-            maxIter=max_iter, regParam=penalty,
+            maxIter=max_iter, regParam=penalty, tol=tol,
         )
-        return _fit(matrix, features, labels, glm)
+        names = [f"_log_{f}" for f in features]
+        score = _fit(logs(matrix, features), names, labels, glm)
+        return lambda rows: score(logs(rows, features)).drop(*names)
 
     return learn
 

@@ -29,10 +29,10 @@ def wide_sales(t: Tables):
         F.struct(at.alias("at"), F.col(TARGET).cast("int").alias("v")).alias("c"),
     )
     packed = rows.groupBy("item_id", "store_id").agg(F.sort_array(F.collect_list("c"))["v"].alias("v"))
-    wide = packed.select("item_id", "store_id", *[F.col("v")[i].alias(d) for i, d in enumerate(days)])
+    wide = packed.selectExpr("item_id", "store_id", *[f"v[{i}] AS {d}" for i, d in enumerate(days)])
     ids = {"id": F.concat_ws("_", "item_id", "store_id"), "dept_id": F.col("item_id"), "cat_id": F.col("item_id"),
            "state_id": F.col("store_id")}
-    return wide.withColumns(ids).select(*readers.SALES_IDS, *days)
+    return wide.withColumns(ids)
 
 
 def calendar(t: Tables):

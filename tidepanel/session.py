@@ -19,6 +19,8 @@ def local_session(cores: str | int = "*", app: str = "tidepanel", **extra: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small inputs keep all cores busy; a cluster leaves this at its default
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64kb")
     )
     for name, value in extra.items():
         builder = builder.config(name.replace("__", "."), value)
