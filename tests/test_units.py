@@ -357,8 +357,21 @@ def test_append_adds_and_overwrite_replaces(spark, tmp_path):
     writers.overwrite_partitions(panel(spark, {"a": [9]}).withColumn("store", F.col("unique_id")), path, ("store",))
     rows = sorted((r["unique_id"], r["y"]) for r in spark.read.parquet(path).collect())
     assert rows == [("a", 9.0), ("b", 3.0), ("c", 4.0)]
-    with pytest.raises(C.ContractError):
+    with pytest.raises(Exception, match="bad value in column y"):
         writers.append_partitions(first.withColumn("y", F.lit(None).cast("double")), path, "panel", ("store",))
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_enforce_keeps_good_rows(spark):
+    df = forecasts(spark, [("m", 1.0, 1.0, None, 2.0)]).withColumn("note", F.lit("x")).withColumn("y", F.lit("1.5"))
+    row = C.enforce(df, "forecast").first()
+    assert (row["y"], row["lo_80"], row["note"]) == (1.5, None, "x")
+    with pytest.raises(Exception, match="bad value in column hi_80: wide"):
+        C.enforce(df.withColumn("hi_80", F.lit("wide")), "forecast").collect()
+    score = E.score_forecasts(forecasts(spark, [("m", 1.0, 1.0, 0.0, 2.0)]), "x")
+    assert C.enforce(score, "score").count() == 4
+    with pytest.raises(Exception, match="per_series"):
+        C.enforce(score.withColumn("aggregation_scope", F.lit("per_series")), "score").collect()
 
 
 def test_final_tables_prefer_the_richest_variant(spark):

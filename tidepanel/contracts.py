@@ -56,6 +56,11 @@ def _as(column: str, to: str) -> Column:
     return F.col(column).try_cast(to)
 
 
+def _typed(column: str, to: str) -> Column:
+    value = _as(column, to)
+    return F.when(~F.isnan(value), value) if to == "double" else value
+
+
 def conform(df: DataFrame, contract: str, name: str = "table") -> DataFrame:
     """Cast the contract's columns lazily; NaN becomes NULL. Other columns pass unchanged."""
     rules = get_contract(contract)
@@ -63,9 +68,29 @@ def conform(df: DataFrame, contract: str, name: str = "table") -> DataFrame:
     if missing:
         raise ContractError(f"[{name}] missing required columns {missing}; found {df.columns}")
     types = {**rules.required, **{c: t for c, t in rules.optional.items() if c in df.columns}}
-    casts = {c: _as(c, t) for c, t in types.items()}
-    casts.update({c: F.when(~F.isnan(v), v) for c, v in casts.items() if types[c] == "double"})
-    return df.withColumns(casts)
+    return df.withColumns({c: _typed(c, t) for c, t in types.items()})
+
+
+def enforce(df: DataFrame, contract: str, name: str = "table") -> DataFrame:
+    """``conform`` with the checks inside the plan: the job that meets a bad value fails and names its column.
+
+    Costs no pass of its own, and a write that fails publishes nothing. ``validate`` counts violations first.
+    """
+    rules = get_contract(contract)
+    typed = conform(df, contract, name)
+    types = {**rules.required, **{c: t for c, t in rules.optional.items() if c in df.columns}}
+    checked = {}
+    for c, t in types.items():
+        value = F.col(f"typed.{c}")
+        bad = value.isNull() if c in rules.required else F.col(f"raw.{c}").isNotNull() & value.isNull()
+        if c in rules.allowed:
+            bad = bad | ~value.isin(*rules.allowed[c])
+        problem = F.raise_error(F.concat(
+            F.lit(f"[{name}] bad value in column {c}: "), F.coalesce(F.col(f"raw.{c}").cast("string"), F.lit("NULL"))))
+        checked[c] = F.when(bad, problem.cast(t)).otherwise(value).alias(c)
+    pairs = df.select(F.struct("*").alias("raw"), F.struct(*[
+        _typed(c, t).alias(c) for c, t in types.items()]).alias("typed"))
+    return pairs.select(*[checked.get(c, F.col(f"raw.{c}")) for c in typed.columns])
 
 
 def contract_counts(df: DataFrame, contract: str) -> DataFrame:

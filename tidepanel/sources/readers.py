@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepanel.config import DAY
-from tidepanel.contracts import validate
+from tidepanel.contracts import enforce, validate
 
 # Id columns of a wide sales file.
 SALES_IDS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
@@ -80,15 +80,20 @@ def _open(spark: SparkSession, entry: Dataset) -> DataFrame:
     return reader.format(entry.format).load(entry.path)
 
 
-def load_dataset(spark: SparkSession, registry: Registry, name: str) -> DataFrame:
-    """Read a registered table with the reader its suffix asks for, and check its contract."""
+def load_dataset(spark: SparkSession, registry: Registry, name: str, eager: bool = False) -> DataFrame:
+    """Read a registered table with the reader its suffix asks for, and check its contract.
+
+    Missing columns fail at once. Values are checked as they are read, or with ``eager`` in a pass of their own.
+    """
     if name not in registry:
         raise KeyError(f"{name!r} is not registered; known: {sorted(registry)}")
     entry = registry[name]
     fmt = entry.format
     _need(spark, entry.path)
     df = _open(spark, entry)
-    return validate(df, entry.contract, f"{name} ({fmt})") if entry.contract else df
+    if entry.contract is None:
+        return df
+    return (validate if eager else enforce)(df, entry.contract, f"{name} ({fmt})")
 
 
 def dataset_status(spark: SparkSession, registry: Registry) -> DataFrame:
