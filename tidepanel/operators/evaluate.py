@@ -117,7 +117,8 @@ def score_forecasts(forecasts: DataFrame, subset_name: str, stage: str | None =
 
 def pivot_metrics(scores: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Score rows to one column per metric; a metric nobody has is a NULL column."""
-    return scores.groupBy("model", "stage", "subset_name").pivot("metric", list(metrics)).agg(F.avg("score"))
+    cells = [F.avg(F.when(F.col("metric") == m, F.col("score"))).alias(m) for m in metrics]
+    return scores.groupBy("model", "stage", "subset_name").agg(*cells)
 
 
 def build_leaderboard(scores: list[DataFrame], order_by: str = "wMAPE") -> DataFrame:

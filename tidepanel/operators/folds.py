@@ -105,36 +105,51 @@ def inner_validation(panel: DataFrame, folds: Folds) -> DataFrame:
     return out.withColumn("part", F.when(held, "valid").otherwise("fit"))
 
 
-def fold_context(panel: DataFrame, folds: Folds, lookback: int) -> DataFrame:
+def fold_context(panel: DataFrame, folds: Folds, lookback: int,
+                 per_fold: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """One row per series and cutoff: ``past``, the last ``lookback`` values up to the cutoff, oldest first,
-    and ``future``, the values of the test window.
+    and ``future``, the values of the test window. Folds in which a series has no known past are left out.
 
-    Both are arrays of fixed size in day order (NULL where the panel has no row), so a group's state is bounded
-    by lookback + horizon. Rows older than the first context are filtered at the scan. Series without any row
-    in a fold's context are left out of that fold.
+    A series is grouped once and cut per fold afterwards. The group holds its days from the first context to the
+    last test day, so its size is bounded. Without ``per_fold`` older days are filtered at the scan; with it,
+    those aggregates (name -> aggregate of all rows, given the cutoff) come from the same pass.
     """
-    h = folds.horizon
-    oldest = folds.first - timedelta(days=lookback)
-    recent = panel.filter(F.col(DAY) > F.lit(oldest)).select(KEY, DAY, TARGET)
-    placed = folds.tag(recent, lambda c: (F.col(DAY) > F.date_sub(c, lookback)) & (F.col(DAY) <= F.date_add(c, h)))
-    at = F.datediff(DAY, "cutoff")
-    packed = placed.groupBy(KEY, "cutoff").agg(
-        F.sort_array(F.collect_list(F.struct(at.alias("at"), F.col(TARGET).alias("v")))).alias("_rows")
-    )
-    # a gap-free series fills the array exactly; otherwise look each offset up
-    size = lookback + h
-    full = F.size("_rows") == size
+    oldest = folds.first - timedelta(days=lookback - 1)
+    newest = folds.cutoffs[-1] + timedelta(days=folds.horizon)
+    size = (newest - oldest).days + 1
+    used = F.col(DAY).between(F.lit(oldest), F.lit(newest))
+    cell = F.struct(F.datediff(DAY, F.lit(oldest)).alias("at"), F.col(TARGET).alias("v"))
+    extras = [
+        how(F.lit(c)).alias(f"_{name}_{i}")
+        for name, how in (per_fold or {}).items() for i, c in enumerate(folds.cutoffs)
+    ]
+    rows = panel if per_fold else panel.filter(used)
+    packed = rows.groupBy(KEY).agg(F.sort_array(F.collect_list(F.when(used, cell))).alias("_rows"), *extras)
+    packed = packed.filter(F.size("_rows") > 0)
+    first, last = F.col("_rows")[0]["at"], F.element_at("_rows", -1)["at"]
+
+    def unknown(n: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast("double"), n)
+
+    gap_free = F.concat(unknown(first), F.col("_rows.v"), unknown(F.lit(size - 1) - last))
     looked_up = F.transform(
-        F.sequence(F.lit(1 - lookback), F.lit(h)),
+        F.sequence(F.lit(0), F.lit(size - 1)),
         lambda o: F.get(F.filter("_rows", lambda r: r["at"] == o), F.lit(0))["v"],
     )
-    out = packed.withColumn("_all", F.when(full, F.col("_rows.v")).otherwise(looked_up))
-    out = out.filter(F.exists("_rows", lambda r: r["at"] <= 0))
-    return out.select(
-        KEY, "cutoff",
-        F.slice("_all", 1, lookback).alias("past"),
-        F.slice("_all", lookback + 1, h).alias("future"),
-    )
+    whole = F.when(last - first + 1 == F.size("_rows"), gap_free).otherwise(looked_up)
+    packed = packed.withColumn("_all", whole)
+
+    def fold(i: int, cutoff: date) -> Column:
+        start = (cutoff - oldest).days - lookback + 2  # slices count from 1
+        return F.struct(
+            F.lit(cutoff).alias("cutoff"),
+            F.slice("_all", start, lookback).alias("past"),
+            F.slice("_all", start + lookback, folds.horizon).alias("future"),
+            *[F.col(f"_{name}_{i}").alias(name) for name in per_fold or {}],
+        )
+
+    cut = packed.select(KEY, F.inline(F.array(*[fold(i, c) for i, c in enumerate(folds.cutoffs)])))
+    return cut.filter(F.exists("past", lambda v: v.isNotNull()))
 
 
 def unpack(contexts: DataFrame, y_hat, extra: dict[str, Column] | None = None) -> DataFrame:

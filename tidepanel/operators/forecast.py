@@ -45,38 +45,30 @@ def both_naive(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) ->
     return rows.select(KEY, DAY, "cutoff", "h", TARGET, F.inline(pair))
 
 
-def residual_sigma(panel: DataFrame, folds: Folds, lag: int) -> DataFrame:
-    """Root mean square of y - lag(y) over the training rows of each fold: (unique_id, cutoff, sigma).
-
-    The folds are conditional sums of one pass, so no row is copied per fold.
-    """
+def with_sigma(panel: DataFrame, folds: Folds, lookback: int, lag: int) -> DataFrame:
+    """Contexts with ``sigma``, the root mean square of y - lag(y) over all training rows of the fold."""
     error = F.col(TARGET) - F.lag(TARGET, lag).over(in_order())
-    squares = panel.select(KEY, DAY, (error * error).alias("_sq"))
-    sums = []
-    for i, cutoff in enumerate(folds.cutoffs):
-        seen = F.col(DAY) <= F.lit(cutoff)
-        sums.append(F.sqrt(F.avg(F.when(seen, F.col("_sq")))).alias(f"s{i}"))
-    per_series = squares.groupBy(KEY).agg(*sums)
-    cells = F.array(*[
-        F.struct(F.lit(cutoff).alias("cutoff"), F.col(f"s{i}").alias("sigma")) for i, cutoff in enumerate(folds.cutoffs)
-    ])
-    return per_series.select(KEY, F.inline(cells))
+    squares = panel.select(KEY, DAY, TARGET, (error * error).alias("_sq"))
+    return fold_context(squares, folds, lookback, {
+        "sigma": lambda cutoff: F.sqrt(F.avg(F.when(F.col(DAY) <= cutoff, F.col("_sq"))))
+    })
 
 
-def gaussian_interval(forecasts: DataFrame, sigma: DataFrame, growth: Column, z: float = DEFAULTS.z) -> DataFrame:
-    """y_hat -/+ z * sigma * growth(h)."""
-    out = forecasts.join(sigma, [KEY, "cutoff"], "left")
-    half = z * F.col("sigma") * growth
-    return out.withColumn("lo_80", F.col("y_hat") - half).withColumn("hi_80", F.col("y_hat") + half).drop("sigma")
+def gaussian(contexts: DataFrame, point: Callable[[Column], Column], growth: Callable[[Column], Column],
+             z: float = DEFAULTS.z) -> DataFrame:
+    """Forecast rows with y_hat -/+ z * sigma * growth(h)."""
+    h = F.col("h")
+    half = z * F.col("sigma") * growth(h)
+    return unpack(contexts, point, {"lo_80": point(h) - half, "hi_80": point(h) + half})
 
 
-def naive_gaussian(panel: DataFrame, folds: Folds) -> DataFrame:
-    return gaussian_interval(naive(panel, folds), residual_sigma(panel, folds, 1), F.sqrt(F.col("h")))
+def naive_gaussian(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
+    return gaussian(with_sigma(panel, folds, season, 1), _last, F.sqrt)
 
 
 def seasonal_naive_gaussian(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
-    growth = F.sqrt(F.floor((F.col("h") - 1) / season) + 1)
-    return gaussian_interval(seasonal_naive(panel, folds, season), residual_sigma(panel, folds, season), growth)
+    contexts = with_sigma(panel, folds, season, season)
+    return gaussian(contexts, _last_week(season), lambda h: F.sqrt(F.floor((h - 1) / season) + 1))
 
 
 def _quantile_of(sorted_values: Column, q: float) -> Column:
