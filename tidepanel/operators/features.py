@@ -36,10 +36,10 @@ class Lag:
     def reach(self) -> int:
         return self.lag
 
-    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
+    def parts(self, y: Column) -> dict[str, Column]:
         return {f"_lag{self.lag}": F.lag(y, self.lag).over(in_order())}
 
-    def over(self, specs: list["Spec"]) -> Column:
+    def over(self) -> Column:
         return F.col(f"_lag{self.lag}")
 
     def at(self, values: Column, ahead: Column) -> Column:
@@ -51,12 +51,16 @@ def _mean(x: Column, n: int) -> Column:
 
 
 def _std(x: Column, n: int) -> Column:
-    mean = _mean(x, n)
-    return F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / (n - 1))
+    # the one-element transform binds the mean, which the inner lambda would compute again for each value
+    bound = F.transform(
+        F.array(_mean(x, n)),
+        lambda m: F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)) / (n - 1)),
+    )
+    return F.get(bound, F.lit(0))
 
 
-def _quantile(x: Column, n: int, q: float) -> Column:
-    ordered, place = F.sort_array(x), q * (n - 1)
+def _quantile(ordered: Column, n: int, q: float) -> Column:
+    place = q * (n - 1)
     low = int(place)
     share = place - low
     high = F.get(ordered, F.lit(min(low + 1, n - 1)))
@@ -85,42 +89,42 @@ class Rolling:
     def _frame(self) -> str:
         return f"_l{self.lag}_w{self.window}"
 
-    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
-        """The frame's count and this feature's aggregate; all quantiles of a frame come from one aggregate."""
+    @property
+    def _sliding(self) -> bool:
+        return self.kind in ("mean", "std")
+
+    def parts(self, y: Column) -> dict[str, Column]:
+        """Sums slide with the window; order statistics share the frame's collected values, sorted once, which is
+        several times faster than a sliding aggregate for each."""
         frame = in_order().rowsBetween(-self.reach, -self.lag)
-        value = {
-            "mean": lambda: F.avg(y),
-            "std": lambda: F.stddev_samp(y),
-            "min": lambda: F.min(y),
-            "max": lambda: F.max(y),
-            "quantile": lambda: F.percentile(y, F.array(*[F.lit(q) for q in self._quantiles(specs)])),
-        }[self.kind]()
-        return {f"_n{self._frame}": F.count(y).over(frame), f"_{self.kind}{self._frame}": value.over(frame)}
+        if self._sliding:
+            value = F.avg(y) if self.kind == "mean" else F.stddev_samp(y)
+            return {f"_n{self._frame}": F.count(y).over(frame), f"_{self.kind}{self._frame}": value.over(frame)}
+        return {f"_values{self._frame}": F.collect_list(y).over(frame)}
 
-    def _quantiles(self, specs: list["Spec"]) -> list[float]:
-        return sorted({
-            s.q for s in specs
-            if isinstance(s, Rolling) and s.kind == "quantile" and s._frame == self._frame
-        })
+    def shared(self) -> dict[str, Column]:
+        return {} if self._sliding else {f"_sorted{self._frame}": F.sort_array(f"_values{self._frame}")}
 
-    def over(self, specs: list["Spec"]) -> Column:
-        value = F.col(f"_{self.kind}{self._frame}")
-        if self.kind == "quantile":
-            value = value[self._quantiles(specs).index(self.q)]
-        return F.when(F.col(f"_n{self._frame}") == self.window, value)
+    def over(self) -> Column:
+        if self._sliding:
+            return F.when(F.col(f"_n{self._frame}") == self.window, F.col(f"_{self.kind}{self._frame}"))
+        return self._of(F.col(f"_values{self._frame}"), F.col(f"_sorted{self._frame}"))
 
     def at(self, values: Column, ahead: Column) -> Column:
+        part = F.slice(values, F.lit(ahead) - F.lit(self.reach), F.lit(self.window))
+        known = F.filter(part, lambda v: v.isNotNull())
+        return self._of(known, F.sort_array(known))
+
+    def _of(self, values: Column, ordered: Column) -> Column:
         n = self.window
-        part = F.slice(values, F.lit(ahead) - F.lit(self.reach), F.lit(n))
         value = {
-            "mean": lambda: _mean(part, n),
-            "std": lambda: _std(part, n),
-            "min": lambda: F.array_min(part),
-            "max": lambda: F.array_max(part),
-            "quantile": lambda: _quantile(part, n, self.q),
+            "mean": lambda: _mean(values, n),
+            "std": lambda: _std(values, n),
+            "min": lambda: F.get(ordered, F.lit(0)),
+            "max": lambda: F.get(ordered, F.lit(n - 1)),
+            "quantile": lambda: _quantile(ordered, n, self.q),
         }[self.kind]()
-        full = (F.size(part) == n) & ~F.exists(part, lambda v: v.isNull())
-        return F.when(full, value)
+        return F.when(F.size(values) == n, value)
 
 
 @dataclass(frozen=True)
@@ -146,10 +150,10 @@ class SeasonalMean:
     def _lags(self) -> range:
         return range(self.season, self.reach + 1, self.season)
 
-    def parts(self, y: Column, specs: list["Spec"]) -> dict[str, Column]:
+    def parts(self, y: Column) -> dict[str, Column]:
         return {f"_lag{k}": F.lag(y, k).over(in_order()) for k in self._lags}
 
-    def over(self, specs: list["Spec"]) -> Column:
+    def over(self) -> Column:
         return sum(F.col(f"_lag{k}") for k in self._lags) / self.seasons
 
     def at(self, values: Column, ahead: Column) -> Column:
@@ -210,11 +214,14 @@ def block(specs: list[Spec]) -> int:
 def add_features(panel: DataFrame, specs: list[Spec]) -> DataFrame:
     """One window per series, sorted once; all lags and frames are computed over it."""
     parts: dict[str, Column] = {}
+    shared: dict[str, Column] = {}
     for s in lagged(specs):
-        parts.update(s.parts(F.col(TARGET), specs))
-    windowed = panel.select("*", *[c.alias(n) for n, c in parts.items()])
+        parts.update(s.parts(F.col(TARGET)))
+        if isinstance(s, Rolling):
+            shared.update(s.shared())
+    windowed = panel.select("*", *[c.alias(n) for n, c in parts.items()]).withColumns(shared)
     day = F.col(DAY)
-    features = [(s.of(day) if isinstance(s, Calendar) else s.over(specs)).alias(s.name) for s in specs]
+    features = [(s.of(day) if isinstance(s, Calendar) else s.over()).alias(s.name) for s in specs]
     return windowed.select(*panel.columns, *features)
 
 
