@@ -218,6 +218,14 @@ def test_recursion_shuffles_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_day_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    writers.write_panel(panel(spark, {"a": list(range(200))}), path)
+    stored = spark.read.parquet(path)
+    plan = N.seasonal_naive(stored, Folds.of(stored))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ds,2020-04-" in plan and plan.count("Exchange") == 1
+
+
 def test_features_use_one_window(spark):
     plan = X.add_features(panel(spark, {"a": [1, 2, 3]}), X.RICH)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") == 1 and plan.count("Exchange") == 1

@@ -90,13 +90,14 @@ def stamp_run(forecasts: DataFrame, run_date: date) -> DataFrame:
     return forecasts.withColumn("run_date", F.lit(run_date))
 
 
-def freshness_monitor(runs: DataFrame, deadline: datetime, max_age_hours: int = 24) -> DataFrame:
+def freshness_monitor(runs: DataFrame, deadline: datetime, max_age_hours: float = 24) -> DataFrame:
     """Per dataset: newest run, its age at the deadline in hours, and whether it is late.
 
     ``runs`` is (dataset, run_ts).
     """
     newest = runs.groupBy("dataset").agg(F.max(F.col("run_ts").cast("timestamp")).alias("last_run"))
-    age = (F.unix_timestamp(F.lit(deadline)) - F.unix_timestamp("last_run")) / 3600.0
+    due = F.lit(deadline.isoformat(sep=" ")).cast("timestamp")  # as text, it is read in the session's zone
+    age = (F.unix_timestamp(due) - F.unix_timestamp("last_run")) / 3600.0
     return newest.withColumn("age_hours", age).withColumn("late", age > max_age_hours)
 
 

@@ -76,13 +76,14 @@ def history_depth(panel: DataFrame, last: date | None = None, min_history: int =
 def describe(df: DataFrame, column: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """count, mean, std, min, quantiles and max of one column, rounded to 3 digits."""
     quantiles = exact_quantiles(df, column, list(probs))
-    wide = quantiles.groupBy().pivot("prob", list(probs)).agg(F.first("quantile"))
     whole = df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
                    F.min(column).alias("min"), F.max(column).alias("max"))
-    names = {str(p): f"p{round(p * 100)}" for p in probs}
-    one = wide.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])).scalar()
-    out = whole.withColumns({n: one.getField(n) for n in names.values()})
-    rounded = [F.round(c, 3).alias(c) for c in ("mean", "std", "min", *names.values(), "max")]
+    names = {f"p{round(p * 100)}": p for p in probs}
+    one = quantiles.agg(F.struct(*[
+        F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for n, p in names.items()
+    ])).scalar()
+    out = whole.withColumns({n: one.getField(n) for n in names})
+    rounded = [F.round(c, 3).alias(c) for c in ("mean", "std", "min", *names, "max")]
     return out.select("count", *rounded)
 
 

@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, KEY, TARGET
+from tidepanel.functions.metrics import wmape
 from tidepanel.operators import evaluate as E
 from tidepanel.operators import forecast as N
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.ets import ets_auto, simple_smoothing
-from tidepanel.plans.base import BLEND, BLEND_SPECS, Tables, query, sql, tidy
+from tidepanel.operators.select import keep_series, top_series
+from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.session import settle
 
 # small trees keep the registered runs short; the library's defaults are larger
@@ -113,7 +115,7 @@ def _(t):
     return tidy(N.per_series(four_week_mean, 28)(t.panel("nation"), t.folds()))
 
 
-# 357 = 364 - 7 errors are at hand for a context of 364 + 7 days; every day of the pool is known in this panel
+# the pool is the newest 364 seasonal errors; every day is known in this panel
 PATHS_SQL = """SELECT t.unique_id, t.cutoff, t.ds, t.h, t.y, CAST(s.sample AS INTEGER) AS sample, n.y_hat + e.e AS y_sim
 FROM tests_nation t CROSS JOIN range(1, 21) s(sample)
 JOIN snaive_nation n ON n.unique_id = t.unique_id AND n.cutoff = t.cutoff AND n.ds = t.ds
@@ -132,8 +134,7 @@ def _(t):
 @query("sample_path_summary", sql(
     "SELECT unique_id, cutoff, ds, h, any_value(y) AS y, greatest(quantile_cont(y_sim, 0.5), 0.0) AS y_hat, "
     "greatest(quantile_cont(y_sim, 0.1), 0.0) AS lo_80, greatest(quantile_cont(y_sim, 0.9), 0.0) AS hi_80 "
-    "FROM paths GROUP BY ALL HAVING true", "y_hat lo_80 hi_80", pool=POOL_SQL, paths=PATHS_SQL).replace(
-        "GROUP BY ALL HAVING true", "GROUP BY unique_id, cutoff, ds, h"))
+    "FROM paths GROUP BY unique_id, cutoff, ds, h", "y_hat lo_80 hi_80", pool=POOL_SQL, paths=PATHS_SQL))
 def _(t):
     return tidy(N.path_summary(N.sample_paths(t.panel("nation"), t.folds(), 20)))
 
@@ -178,11 +179,8 @@ def _(t):
     "UNION ALL SELECT model, 'IntervalScore_80', \"IntervalScore_80\", stage, 'pooled_all_windows' FROM micro "
     "UNION ALL SELECT model, 'Coverage_80', \"Coverage_80\", stage, 'pooled_all_windows' FROM micro) x", "score",
     micro="SELECT model, min(stage) AS stage, %s FROM forecasts_type_region WHERE unique_id IN (SELECT unique_id FROM "
-          "panel_type_region GROUP BY 1 ORDER BY sum(y) DESC, unique_id LIMIT 10) GROUP BY 1" % __import__(
-              "tidepanel.plans.base", fromlist=["METRIC_SQL"]).METRIC_SQL))
+          "panel_type_region GROUP BY 1 ORDER BY sum(y) DESC, unique_id LIMIT 10) GROUP BY 1" % METRIC_SQL))
 def _(t):
-    from tidepanel.operators.select import keep_series, top_series
-
     every = t.forecasts_on("type_region")
     micro = keep_series(every, top_series(t.panel("type_region"), 10))
     return tidy(E.union_forecasts(E.score_forecasts(every, "type_region"), E.score_forecasts(micro, "micro")))
@@ -231,8 +229,6 @@ def trials(t: Tables):
                       for i, w in enumerate(WEIGHTS)])
     rows = pairs.select(TARGET, "n", "s", F.inline(cells))
     mixed = F.col("weight") * F.col("n") + (1 - F.col("weight")) * F.col("s")
-    from tidepanel.functions.metrics import wmape
-
     return rows.groupBy("trial", "weight").agg(wmape(F.col(TARGET), mixed).alias("loss"))
 
 

@@ -15,12 +15,14 @@ def read_stream(spark: SparkSession, folder: str, schema, pattern: str) -> DataF
 def daily_totals(events: DataFrame, key: Column, ts: Column, value: Column, delay: str = "1 day") -> DataFrame:
     """Sum per series and day; a day is final once the watermark passes its end.
 
-    State is one number per series and open day.
+    State is one number per series and open day. Windows start at midnight UTC, so the clock time of an event is
+    read as UTC whatever the session's zone is.
     """
-    keyed = events.select(key.alias(KEY), ts.cast("timestamp").alias("ts"), value.alias("_v"))
-    # the day is the key's window, so state of closed days is dropped
+    zone = F.current_timezone()
+    clock = F.from_utc_timestamp(ts.cast("timestamp"), zone)
+    keyed = events.select(key.alias(KEY), clock.alias("ts"), value.alias("_v"))
     days = keyed.withWatermark("ts", delay).groupBy(KEY, F.window("ts", "1 day")).agg(F.sum("_v").alias(TARGET))
-    return days.select(KEY, F.col("window.start").cast("date").alias(DAY), TARGET)
+    return days.select(KEY, F.to_utc_timestamp("window.start", zone).cast("date").alias(DAY), TARGET)
 
 
 def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
