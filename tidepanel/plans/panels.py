@@ -10,6 +10,7 @@ from tidepanel.operators import panel as P
 from tidepanel.operators import profile as R
 from tidepanel.operators import select as S
 from tidepanel.plans.base import query, sql, tidy
+from tidepanel.session import settle
 
 CUT = "(SELECT hi - 84 FROM span)"
 STATS = (f"SELECT unique_id, min(ds) AS first_day, avg(CASE WHEN y = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS "
@@ -259,13 +260,13 @@ ON e.model = w.model) x GROUP BY model, lo, hi, bin""", "left_edge density", wid
                                   ends="SELECT model, min(width) AS lo, quantile_cont(width, 0.99) AS hi, count(*) AS "
                                        "total FROM widths GROUP BY 1"))
 def _(t):
-    return tidy(R.interval_width_hist(t.forecasts_on("supplier")))
+    return tidy(R.interval_width_hist(settle(t.forecasts_on("supplier"))))
 
 
 @query("interval_width_median", sql("SELECT model, quantile_cont(width, 0.5) AS median_width FROM widths GROUP BY 1",
                                     "median_width", widths=WIDTHS))
 def _(t):
-    return tidy(R.interval_width_median(t.forecasts_on("supplier")))
+    return tidy(R.interval_width_median(settle(t.forecasts_on("supplier"))))
 
 
 @query("exact_quantiles", " UNION ALL ".join(

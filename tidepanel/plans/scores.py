@@ -7,6 +7,7 @@ from tidepanel.functions import metrics as M
 from tidepanel.operators import evaluate as E
 from tidepanel.operators import forecast as N
 from tidepanel.plans.base import Tables, query, sql, tidy
+from tidepanel.session import settle
 
 FOUR = "wMAPE Bias IntervalScore_80 Coverage_80"
 
@@ -122,7 +123,7 @@ def _(t):
     "SELECT 'scores', 8, sum(\"wMAPE\" + \"Bias\" + \"IntervalScore_80\" + \"Coverage_80\") FROM wide_scores_nation WHERE stage "
     "= 'baseline' UNION ALL SELECT 'leaderboard', count(*), sum(\"wMAPE\") FROM board_nation", "total"))
 def _(t):
-    f = t.forecasts
+    f = settle(t.forecasts)  # three results are computed from it
     baselines = f.filter("model = 'Naive'")
     every, scored, ranked = E.final_tables(
         baselines, {"base": f.filter("model = 'LagBlend'")}, f.filter("model = 'SeasonalNaive'"), "nation")
