@@ -1,9 +1,10 @@
 """One query per operator over its whole table, and the SQL of those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import licenses, mixing, quality, urls
+from tidepanel.llm import licenses, mixing, pieces, quality, simhash, urls
 from tidepanel.llm.words import documents, pages
 
 YEAR = 365
@@ -38,11 +39,21 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(captures, entries, last_day=YEAR)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compared(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_source_mix": op2_source_mix,
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op10_simhash": op10_simhash,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
