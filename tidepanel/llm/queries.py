@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import licenses, mixing, pieces, quality, simhash, suffixes, urls
+from tidepanel.llm import licenses, mixing, ngram_join, pieces, quality, simhash, suffixes, urls
 from tidepanel.llm.words import documents, pages
 
 YEAR = 365
@@ -43,6 +43,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(documents(spark, sf_dir))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats(documents(spark, sf_dir)).drop("span_starts", "span_ends")
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_ngram_join": op8_ngram_join,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
