@@ -149,7 +149,8 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
         end = np.r_[first[1:], len(place)]
         stop = end - 1 + length
         cover = mixed((sums[stop] - sums[first]) * inverse[first] + (stop - first).astype(_U) * ODD)
-        found.append((grams[place[first]], first + begin, end + begin, cover, place[first] + begin))
+        # least hashes are small, so they are scrambled again to spread over the buckets
+        found.append((mixed(grams[place[first]] ^ ODD), first + begin, end + begin, cover, place[first] + begin))
     if not found:
         none = np.zeros(0, np.int64)
         return none.astype(_U), none, none, none.astype(_U), none
