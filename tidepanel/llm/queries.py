@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import ctw, licenses, mixing, ngram_join, pieces, quality, simhash, suffixes, urls
+from tidepanel.llm import ctw, licenses, mixing, ngram_join, pages as web, pieces, quality, simhash, suffixes, urls
 from tidepanel.llm.words import documents, pages
 
 YEAR = 365
@@ -43,6 +43,10 @@ def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.scored(documents(spark, sf_dir))
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.extracted(pages(spark, sf_dir))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
     "op5_context_tree": op5_context_tree,
+    "op6_page_text": op6_page_text,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_dedup": op9_suffix_dedup,
