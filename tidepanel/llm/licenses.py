@@ -92,9 +92,11 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, more: dict[str, str] = MO
     near = Window.partitionBy("_row", "template").orderBy("_start")
     gap = F.col("_start") - F.lag("_start").over(near)
     exact = F.size("_ats") == F.col("pairs")
-    # a base phrase counts on one diagonal only, so its diagonals never merge
-    new = F.when(F.col("base") | gap.isNull() | (gap > NEIGHBOURS), 1).otherwise(0)
-    votes = votes.withColumns({"_new": new, "_exact": exact})
+    # a base phrase counts on one diagonal only, and a diagonal with all pairs needs no other
+    votes = votes.withColumn("_exact", exact)
+    alone = F.col("base") | F.col("_exact") | F.lag("_exact").over(near)
+    new = F.when(alone | gap.isNull() | (gap > NEIGHBOURS), 1).otherwise(0)
+    votes = votes.withColumn("_new", new)
     votes = votes.withColumn("_band", F.sum("_new").over(near.rowsBetween(Window.unboundedPreceding, 0)))
     bands = votes.groupBy(*key, "_band").agg(
         F.array_distinct(F.flatten(F.collect_list("_ats"))).alias("_ats"),

@@ -140,22 +140,24 @@ def accepted(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> D
 
     A verdict follows from the text and the host, so it is looked up by both; a null doc_id does not matter.
     """
-    out = judged(docs, rules, host).filter("kept").select("_host", "_text").distinct()
-    marked = docs.withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
-    marked = marked.withColumn("_text", F.xxhash64(whole()))
-    return marked.join(out, ["_host", "_text"], "left_semi").select(*docs.columns)
+    out = judged(docs, rules, host).filter("kept")
+    out = out.select(F.col("_host").alias("__host"), F.col("_text").alias("__text")).distinct()
+    marked = docs.withColumn("__host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
+    marked = marked.withColumn("__text", F.xxhash64(whole()))
+    return marked.join(out, ["__host", "__text"], "left_semi").select(*docs.columns)
 
 
 def without_frequent_lines(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
     """The rows of ``docs`` with the frequent lines of their host taken out of the text (null stays null)."""
     rows = measured(docs, host)
     key = F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
-    marked = docs.withColumns({"_id": F.monotonically_increasing_id(), "_host": key})
-    lines = marked.select("_id", "_host", F.posexplode(F.split(whole(), "\n")).alias("_at", "_line"))
-    lines = lines.withColumn("h", F.xxhash64(F.lower(F.concat_ws(" ", words(F.col("_line"), WORD)))))
-    cut = lines.join(frequent_lines(rows, rules), ["_host", "h"], "left_anti")
-    text = cut.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("_at", "_line"))).alias("_l"))
-    text = text.select("_id", F.concat_ws("\n", F.col("_l._line")).alias("_new"))
-    joined = marked.join(text, "_id", "left")
-    new = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.coalesce(F.col("_new"), F.lit("")))
+    marked = docs.withColumns({"__id": F.monotonically_increasing_id(), "__host": key})
+    lines = marked.select("__id", "__host", F.posexplode(F.split(whole(), "\n")).alias("__at", "__line"))
+    lines = lines.withColumn("__h", F.xxhash64(F.lower(F.concat_ws(" ", words(F.col("__line"), WORD)))))
+    often = frequent_lines(rows, rules).select(F.col("_host").alias("__host"), F.col("h").alias("__h"))
+    cut = lines.join(often, ["__host", "__h"], "left_anti")
+    text = cut.groupBy("__id").agg(F.sort_array(F.collect_list(F.struct("__at", "__line"))).alias("__l"))
+    text = text.select("__id", F.concat_ws("\n", F.col("__l.__line")).alias("__new"))
+    joined = marked.join(text, "__id", "left")
+    new = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.coalesce(F.col("__new"), F.lit("")))
     return joined.withColumn("text", new).select(*docs.columns)

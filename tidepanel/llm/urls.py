@@ -57,24 +57,24 @@ def judged(captures: DataFrame, entries: DataFrame, last_day: int, url: str = "u
             )
         ),
     )
-    own = captures.withColumn("_id", F.monotonically_increasing_id())
+    own = captures.withColumn("__id", F.monotonically_increasing_id())
     names = F.when(host(F.col(url)) != "", domains(host(F.col(url)))).otherwise(F.array(F.lit("")))
     asked = own.select(
-        "_id", F.col(day).cast("int").alias("_day"), F.explode(names).alias("domain"),
+        "__id", F.col(day).cast("int").alias("_day"), F.explode(names).alias("domain"),
         F.floor(F.col(day).cast("int") / SPAN).alias("block"),
     )
     found = (
         asked.join(spans, ["domain", "block"])
         .filter((F.col("since") <= F.col("_day")) & (F.col("_day") < F.col("until")))
-        .groupBy("_id")
+        .groupBy("__id")
         .agg(F.max(F.struct(F.length("domain").alias("n"), "domain", "since", "blocks")).alias("_e"))
         .select(
-            "_id",
+            "__id",
             (F.col("_e.blocks") == 1).alias("blocked"),
             F.col("_e.domain").alias("entry_domain"),
             F.col("_e.since").cast("long").alias("entry_since"),
         )
     )
     new = ["blocked", "entry_domain", "entry_since"]
-    out = own.drop(*new).join(found, "_id", "left").drop("_id")
+    out = own.drop(*new).join(found, "__id", "left").drop("__id")
     return out.withColumn("blocked", F.coalesce("blocked", F.lit(False)))
