@@ -4,6 +4,9 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
+from tidepanel.config import KEY
 from tidepanel.operators import evaluate as E
 from tidepanel.operators import features as X
 from tidepanel.operators import folds as B
@@ -22,7 +25,11 @@ from tidepanel.session import local_session, settle
 def jobs(t: Tables, panel, types):
     """Name to a function that returns the DataFrame to run. ``panel`` has one series per supplier."""
     folds = t.folds()
-    trees = T.TreeParams(trees=20, depth=5)
+    trees, fewer = T.TreeParams(), T.TreeParams(trees=20)  # 100 trees by default
+    top = settle(S.top_n_panel(panel, 50), "bench-top")
+    # ids of five levels for the hierarchy of the categorical model
+    five = F.concat_ws("_", F.lit("F"), F.col(KEY).cast("int") % 3, KEY, F.lit("R"), F.col(KEY).cast("int") % 5)
+    levels = settle(top.withColumn(KEY, five), "bench-levels")
 
     def both():
         return E.union_forecasts(
@@ -32,6 +39,7 @@ def jobs(t: Tables, panel, types):
 
     return {
         "flagship": lambda: flagship(t),
+        "naive_all_series": lambda: N.naive(t.sparse("supplier"), folds),
         "panel_build": lambda: t.panel("supplier"),
         "gap_summary": lambda: P.gap_summary(t.raw("supplier")),
         "subset_policy": lambda: S.subset_policy(panel, max_zero=1.0, last=t.last),
@@ -46,11 +54,12 @@ def jobs(t: Tables, panel, types):
         "ets_auto": lambda: ets_auto(panel, folds),
         "sample_paths": lambda: N.path_summary(N.sample_paths(panel, folds)),
         "abc_tiers": lambda: O.abc_tiers(panel),
-        "gbt_base_50_series": lambda: T.gbt_base(trees)(S.top_n_panel(panel, 50), folds),
-        "gbt_rich_50_series": lambda: T.gbt_rich(trees)(S.top_n_panel(panel, 50), folds),
-        "direct_50_series": lambda: T.direct_multihorizon(T.tree_learner(trees))(S.top_n_panel(panel, 50), folds),
+        "gbt_base_50_series": lambda: T.gbt_base(trees)(top, folds),
+        "gbt_rich_50_series": lambda: T.gbt_rich(trees)(top, folds),
+        "gbt_cat_50_series": lambda: T.gbt_cat(trees)(levels, folds),
+        "direct_50_series": lambda: T.direct_multihorizon(T.tree_learner(fewer))(top, folds),
         "tweedie_glm_all_series": lambda: T.tweedie_glm(1.5)(panel, folds),
-        "gbt_base_types": lambda: T.gbt_base(trees)(types, folds),
+        "gbt_base_types": lambda: T.gbt_base(fewer)(types, folds),
     }
 
 

@@ -15,7 +15,8 @@ SOME = [
     "roll_std_l7_w28", "roll_q25_l7_w28", "training_matrix", "category_codes", "cv_folds", "refit_policy",
     "recursive_linear", "ets_simple", "sample_path_summary", "conformal_interval_seasonal", "score_forecasts",
     "champion_challenger", "best_candidate", "feature_backfill", "abc_tiers", "stream_daily_panel",
-    "coverage_drift", "user_forecaster",
+    "coverage_drift", "user_forecaster", "naive", "filter_min_history", "filter_positive_total", "batch_scoring_ahead",
+    "feature_snapshot", "feature_backfill_table", "backfill_overwrite", "contract_score", "scan_raw_csv",
 ]
 NAMES = sorted(oracle_sql()) if os.environ.get("FULL") else SOME
 

@@ -19,8 +19,8 @@ from tidepanel.operators import profile as R
 from tidepanel.operators import select as S
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
-from tidepanel.operators.ets import candidate_grid, ets_auto, fit_paths
-from tidepanel.operators.folds import Folds, cv_folds, fold_context
+from tidepanel.operators.ets import candidate_grid, ets_auto, fit_paths, series_arrays
+from tidepanel.operators.folds import Folds, SparsePanel, cv_folds, fold_context
 from tidepanel.sources import readers, writers
 
 START = date(2020, 1, 1)
@@ -326,15 +326,182 @@ def test_paths_repeat_and_bound_the_median(spark):
 def test_search_space(spark):
     a, b = (sorted(map(tuple, H.search_space(spark, 50).repartition(n).collect())) for n in (1, 4))
     assert a == b
-    rows = H.search_space(spark, 200, tweedie=True).collect()
+    rows = H.search_space(spark, 200).collect()
     assert {r["lags"] for r in rows} == {"7_14_28", "7_14_21_28", "7_28"}
     assert all(0.005 <= r["learning_rate"] <= 0.2 and 15 <= r["num_leaves"] <= 127 for r in rows)
-    assert all(1.0 <= r["tweedie_variance_power"] < 1.9 for r in rows)
+    rows = H.search_space(spark, 200, tweedie=True).collect()
+    assert all(1.0 <= r["tweedie_variance_power"] < 1.9 and 1e-4 <= r["reg_lambda"] <= 1 for r in rows)
     direct = H.search_space_direct(spark, 100).collect()
     assert {r["input_size"] for r in direct} == {28, 56, 84}
     assert all(r["max_steps"] in (100, 200, 300, 400, 500) for r in direct)
 
 
+def test_candidates_are_fitted_with_their_settings(spark):
+    for row in H.search_space(spark, 20).collect():
+        fit = H.estimator_for(row.asDict())
+        assert fit.getMaxIter() == row["n_estimators"] and fit.getStepSize() == row["learning_rate"]
+        assert 2 ** (fit.getMaxDepth() - 1) < row["num_leaves"] <= 2 ** fit.getMaxDepth()
+        assert fit.getMinInstancesPerNode() == row["min_child_samples"]
+        assert fit.getSubsamplingRate() == row["subsample"]
+        assert float(fit.getFeatureSubsetStrategy()) == row["colsample_bytree"]
+        assert [x.lag for x in H.specs_for(row["lags"])[:-3]] == [int(x) for x in row["lags"].split("_")]
+    for row in H.search_space(spark, 20, tweedie=True).collect():
+        fit = H.estimator_for(row.asDict())
+        assert fit.getVariancePower() == row["tweedie_variance_power"] and fit.getRegParam() == row["reg_lambda"]
+    for row in H.search_space_direct(spark, 20).collect():
+        params = H.direct_params(row.asDict())
+        assert params.trees == row["max_steps"] and params.rate == row["learning_rate"]
+    # every setting of a row has an effect
+    used = {"lags", "n_estimators", "learning_rate", "num_leaves", "min_child_samples", "subsample", "colsample_bytree"}
+    assert set(H.TREE_RANGES) == used and set(H.TWEEDIE_RANGES) == {"lags", "tweedie_variance_power", "reg_lambda"}
+
+
+def test_search_feeds_a_fit(spark):
+    p = panel(spark, {f"s{k}": [10 * (k + i % 7) for i in range(200)] for k in range(2)})
+    folds = Folds.of(p, windows=1)
+    found = H.search_cv(p, H.search_space(spark, 2, tweedie=True), H.recursive_candidate, folds)
+    best = H.winner(found)
+    losses = {r["trial"]: r["loss"] for r in found.collect()}
+    assert losses[best["trial"]] == min(losses.values())
+    assert H.pooled_loss(H.recursive_candidate(best)(p, folds)) == pytest.approx(losses[best["trial"]], rel=1e-6)
+
+
+def test_intervals_leave_the_forecast_alone(spark):
+    rng = random.Random(3)
+    p = panel(spark, {f"s{k}": [rng.randint(0, 9) + i % 7 for i in range(320)] for k in range(3)})
+    folds = Folds.of(p)
+    trees = T.TreeParams(trees=4, depth=3, min_rows=2)
+    for model in (T.gbt_base(trees), T.direct_multihorizon(T.tree_learner(trees)), ets_auto, N.seasonal_naive):
+        key = ["unique_id", "cutoff", "h", "ds", "y", "y_hat"]
+        plain = sorted(map(tuple, model(p, folds).select(*key).collect()))
+        rows = N.conformal_interval(p, model, folds)
+        assert sorted(map(tuple, rows.select(*key).collect())) == plain
+        assert rows.filter("lo_80 IS NULL OR lo_80 > y_hat OR hi_80 < y_hat").isEmpty()
+
+
+def test_forecasts_beyond_the_last_day(spark):
+    p = panel(spark, {"a": [1 + i % 7 for i in range(200)], "b": [5.0] * 200})
+    last = START + timedelta(days=199)
+    ahead = Folds.beyond(last)
+    trees = T.TreeParams(trees=3, depth=3, min_rows=2)
+    blend = lambda q, f: T.recursive_forecast(T.linear_scorer({"lag7": 1.0}), q, f, [X.Lag(7)])
+    models = (N.naive, N.seasonal_naive, N.naive_gaussian, ets_auto, T.gbt_base(trees), blend,
+              T.direct_multihorizon(T.tree_learner(trees)), N.per_series(lambda past, h: [past[-1]] * h, 7))
+    for model in models:
+        rows = model(p, ahead).collect()
+        assert len(rows) == 2 * 28 and {r["ds"] for r in rows} == {last + timedelta(days=i) for i in range(1, 29)}
+        assert all(r["y"] is None and r["y_hat"] is not None for r in rows)
+    week = {r["h"]: r["y_hat"] for r in blend(p, ahead).filter("unique_id = 'a'").collect()}
+    assert all(week[h] == 1 + (199 + h) % 7 for h in range(1, 29))
+    bands = N.conformal_interval(p, N.seasonal_naive, Folds.beyond(last))
+    assert bands.count() == 56
+    assert N.sample_paths(p, ahead, 3).count() == 2 * 28 * 3
+
+
+def test_last_known_value(spark):
+    values = [float(i) for i in range(120)]
+    values[119 - 28] = None
+    p = panel(spark, {"a": values})
+    assert {r["y_hat"] for r in N.naive(p, Folds.of(p, windows=1)).collect()} == {90.0}
+
+
+def test_sparse_panel_equals_the_filled_one(spark):
+    rows = panel(spark, {"a": [1, None, 3] + [None] * 90 + [5, None], "b": [None] * 20 + [2] + [None] * 75, "c": [7] * 96})
+    span = P.day_span(rows)
+    full = P.zero_fill(P.fill_gaps(rows, "global", "global", span))
+    sparse = SparsePanel(rows, rows.select("unique_id").distinct(), span)
+    folds = Folds(span[1], windows=2, step=28, horizon=28)
+    for model in (N.naive, N.seasonal_naive):
+        a, b = (sorted(map(tuple, model(x, folds).collect())) for x in (full, sparse))
+        assert a == b and len(a) == 3 * 2 * 28
+
+
+def test_short_series_get_no_paths(spark):
+    p = panel(spark, {"a": [1] * 60, "b": [None] * 20 + [2] * 40})
+    folds = Folds.of(p, windows=1)  # b has 12 days before the cutoff, less than two weeks
+    assert {r["unique_id"] for r in N.sample_paths(p, folds, 2).collect()} == {"a"}
+
+
+def test_smoothing_keeps_days_and_unknown_values(spark):
+    p = panel(spark, {"a": [1, None, 3, 4] + [5] * 30, "b": [None, None] + [2] * 32})
+    arrays = {r["unique_id"]: r for r in series_arrays(p, Folds.of(p, windows=1)).collect()}
+    assert arrays["a"]["past"] == [1, None, 3, 4, 5, 5] and arrays["b"]["past"] == [2] * 4
+    weekly = np.tile(np.arange(7.0), 30)
+    gappy = weekly.copy()
+    gappy[50:55] = np.nan
+    out = fit_paths(np.stack([weekly, gappy]), candidate_grid(), 28, 7)
+    assert np.allclose(out[1], out[0], atol=0.5) and len(candidate_grid()) <= 200
+
+
+def test_quantiles_on_every_size(spark):
+    rng = random.Random(8)
+    for n in (1, 2, 3, 7, 100, 3000):
+        values = [float(rng.choice([rng.randint(0, 5), rng.random()])) for _ in range(n)]
+        df = spark.createDataFrame([(v, "g") for v in values] + [(1.5, None), (None, "g")], "v double, k string")
+        probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+        got = {r["prob"]: r["quantile"] for r in exact_quantiles(df.filter("k = 'g'"), "v", probs).collect()}
+        assert [got[p] for p in probs] == pytest.approx(list(np.quantile(values, probs)))
+    by = {(r["k"], r["prob"]): r["quantile"] for r in exact_quantiles(df.fillna("h", ["k"]), "v", [0.5], ["k"]).collect()}
+    assert by["g", 0.5] == pytest.approx(np.median(values)) and by["h", 0.5] == 1.5
+
+
+def test_backfill_leaves_other_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "features")
+    p = panel(spark, {"a": [i % 11 for i in range(1200)], "b": [i % 5 for i in range(1200)]})
+    specs = [X.Lag(7), X.Rolling("mean", 7, 28)]
+    O.write_features(p, specs, path)
+
+    def files():
+        return {str(f.relative_to(path)) for f in (tmp_path / "features").rglob("*.parquet")}
+
+    before = files()
+    fixes = spark.createDataFrame([("a", START + timedelta(days=500), 99.0)], "unique_id string, ds date, y double")
+    assert O.backfill_features(p, fixes, specs, path) == [2021]
+    kept = {f for f in before if not f.startswith("year=2021")}
+    assert kept <= files() and not {f for f in before if f.startswith("year=2021")} & files()
+    corrected = p.join(fixes.withColumnRenamed("y", "new"), ["unique_id", "ds"], "left")
+    corrected = corrected.select("unique_id", "ds", F.coalesce("new", "y").alias("y"))
+    want = X.add_features(corrected, specs).drop("y").withColumn("year", F.year("ds"))
+    got = spark.read.parquet(path)
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    day = START + timedelta(days=1199)
+    for d in (day - timedelta(days=1), day, day):
+        O.write_snapshot(p, specs, str(tmp_path / "snap"), d)
+    assert spark.read.parquet(str(tmp_path / "snap")).groupBy("snapshot_date").count().count() == 2
+
+
+def test_per_category_reads_its_own_files(spark):
+    p = panel(spark, {f"{c}_{k}": [(k + 1) * (5 + i % 7) for i in range(200)] for c in "xy" for k in range(2)})
+    rows = T.per_category(T.tweedie_learner(1.5), F.split("unique_id", "_")[0])(p, Folds.of(p, windows=1)).collect()
+    assert {(r["category"], r["unique_id"][0]) for r in rows} == {("x", "x"), ("y", "y")} and len(rows) == 4 * 28
+
+
+def test_contract_error_has_all_values(spark):
+    score = E.score_forecasts(forecasts(spark, [("m", 1.0, 1.0, 0.0, 2.0)]), "x")
+    many = score.withColumn("aggregation_scope", F.explode(F.transform(F.sequence(F.lit(100), F.lit(149)),
+                                                                       lambda i: i.cast("string"))))
+    with pytest.raises(C.ContractError, match="50 values from '100' to '149'") as error:
+        C.validate(many, "score")
+    assert error.value.values["aggregation_scope"].count() == 50
+    with pytest.raises(FileNotFoundError, match="prices.csv"):
+        readers.read_raw(spark, *_raw_without_prices(spark))
+
+
+def _raw_without_prices(spark):
+    from tidepanel.session import fresh_path
+
+    folder = fresh_path(spark, "raw")
+    spark.createDataFrame([("i", "s", 1)], "item_id string, store_id string, d_1 int").write.option("header", True).csv(
+        f"{folder}/sales.csv")
+    spark.createDataFrame([("d_1", START)], "d string, date date").write.option("header", True).csv(f"{folder}/calendar.csv")
+    return (folder,)
+
+
+def test_depth_beyond_the_learner_is_refused():
+    with pytest.raises(ValueError, match="depth"):
+        T.TreeParams.of({"num_leaves": 2**31})
+
+
 def test_parameters_skip_comments():
     p = T.TreeParams.of({"_comment": "x", "n_estimators": 675, "num_leaves": 95, "subsample": 0.8, "reg_alpha": 1})
     assert (p.trees, p.depth, p.row_share) == (675, 7, 0.8)

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, KEY, SCOPE, TARGET
+from tidepanel.session import settle
 
 
 class ContractError(ValueError):
-    pass
+    """``values`` has, for each column with values that are not allowed, all of them with their counts."""
+
+    def __init__(self, message: str, values: dict[str, DataFrame] | None = None):
+        super().__init__(message)
+        self.values = values or {}
 
 
 @dataclass(frozen=True)
@@ -29,6 +34,11 @@ CONTRACTS = {
         optional={"lo_80": "double", "hi_80": "double"},
         key=(KEY, DAY, "model", "cutoff"),
     ),
+    "scoring": Contract(  # forecasts of days that have not come yet
+        {KEY: "string", DAY: "date", "model": "string", "y_hat": "double", "cutoff": "date", "stage": "string"},
+        optional={"lo_80": "double", "hi_80": "double"},
+        key=(KEY, DAY, "model", "cutoff"),
+    ),
     "score": Contract(
         {"model": "string", "metric": "string", "score": "double", "stage": "string",
          "aggregation_scope": "string", "subset_name": "string"},
@@ -139,16 +149,26 @@ def duplicate_keys(df: DataFrame, contract: str) -> DataFrame:
 def validate(df: DataFrame, contract: str, name: str = "table", unique: bool = False) -> DataFrame:
     """Check ``df`` and return it with the contract's types; raise on the first kind of violation.
 
-    ``unique`` also checks the key, which costs a shuffle.
+    ``df`` is stored first, so its plan runs once for the counts, the key and the result. ``unique`` also checks
+    the key, which costs a shuffle.
     """
-    out = conform(df, contract, name)
-    row = contract_counts(df, contract).first().asDict()
+    missing = missing_columns(df, contract)
+    stored = df if missing else settle(df, "validated")
+    out = conform(stored, contract, name)
+    row = contract_counts(stored, contract).first().asDict()
     for kind, text in (("cast", "values cannot be cast"), ("rule", "values not allowed"), ("null", "null values")):
         bad = {c.split("__", 1)[1]: n for c, n in row.items() if c.startswith(kind + "__") and n}
-        if kind == "rule" and bad:
-            bad = {c: [r[0] for r in disallowed_values(df, contract, c).limit(20).collect()] for c in bad}
-        if bad:
-            raise ContractError(f"[{name}] {text}: {bad} of {row['n_rows']} rows")
+        if not bad:
+            continue
+        values = {c: disallowed_values(stored, contract, c) for c in bad} if kind == "rule" else {}
+        shown = {c: _spread(v, c) for c, v in values.items()} or bad
+        raise ContractError(f"[{name}] {text}: {shown} of {row['n_rows']} rows", values)
     if unique and not duplicate_keys(out, contract).isEmpty():
         raise ContractError(f"[{name}] repeated keys {get_contract(contract).key}")
     return out
+
+
+def _spread(values: DataFrame, column: str) -> str:
+    """How many rows and different values, and the first and last of these."""
+    n, rows, least, most = values.agg(F.count(F.lit(1)), F.sum("n_rows"), F.min(column), F.max(column)).first()
+    return f"{rows} rows with {n} values from {least!r} to {most!r}"

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tidepanel.session import settle
 
-SMALL_GROUP = 100_000
 ACCURACY = 100_000  # percentile_approx is off by at most n / ACCURACY ranks
 MARGIN = 5.0 / ACCURACY
 
@@ -14,27 +13,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     """Linear-interpolated quantiles as rows (by…, prob, quantile).
 
     percentile() keeps every distinct value of a group in one task. Here approximate quantiles only choose a
-    band of values around each target; rows below the band are counted, rows above it dropped, and only the
-    band, collapsed to distinct values, is ordered. The approximation cannot change the result, as the counts
-    are exact and the band is wider than its error bound.
+    band of values around each target. Rows below and above the band are counted, with the largest below and the
+    smallest above, which a target in a short column may fall on; only the band, collapsed to distinct values, is
+    ordered, in ranges over all groups together. The approximation cannot change the result: the counts are exact,
+    and the band with its two neighbours is wider than the error bound at every size.
     """
     by = by or []
     data = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     cuts = [min(max(p + side * MARGIN, 0.0), 1.0) for p in probs for side in (-1, 1)]
     stats = data.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
         F.percentile_approx("_v", cuts, ACCURACY).alias("_cuts"),
     )
 
     def band(i: int, p: float) -> Column:
-        low, high = F.col("_cuts")[2 * i], F.col("_cuts")[2 * i + 1]
-        whole = F.col("_n") <= SMALL_GROUP
         return F.struct(
-            F.lit(p).alias("prob"),
-            F.when(whole | F.lit(p <= MARGIN), F.col("_min")).otherwise(low).alias("low"),
-            F.when(whole | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(high).alias("high"),
+            F.lit(p).alias("prob"), F.col("_cuts")[2 * i].alias("low"), F.col("_cuts")[2 * i + 1].alias("high")
         )
 
     bands = stats.select(*by, "_n", F.array(*[band(i, p) for i, p in enumerate(probs)]).alias("_bands"))
@@ -44,24 +38,35 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     else:
         one = bands.select(F.struct("_n", "_bands")).scalar()
         joined = data.select("_v", one.getField("_n").alias("_n"), one.getField("_bands").alias("_bands"))
-    reached = F.filter("_bands", lambda b: F.col("_v") <= b["high"])
-    spot = F.when(F.col("_v") >= F.col("low"), F.col("_v"))
-    counts = (
-        joined.select(*by, "_v", "_n", F.inline(reached))
-        .groupBy(*by, "prob", "_n", spot.alias("_spot"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+    side = F.when(F.col("_v") < F.col("low"), -1).when(F.col("_v") > F.col("high"), 1).otherwise(0)
+    spot = F.when(side == 0, F.col("_v"))
+    counts = settle(
+        joined.select(*by, "_v", "_n", F.inline("_bands"))
+        .groupBy(*by, "prob", "_n", side.alias("_side"), spot.alias("_spot"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most")),
+        "band-counts",
     )
-    walk = Window.partitionBy(*by, "prob").orderBy(F.col("_spot").asc_nulls_first())
-    seen = F.sum("_c").over(walk.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    group = [*by, "prob"]
+    order = [*[F.col(c) for c in group], F.col("_side"), F.col("_spot")]
+    walked = settle(running_total(counts, "_c", order, "_walk"), "walked")
+    # the sum runs over all groups; what stands before a group comes off
+    begin = walked.groupBy(*group).agg(F.min(F.col("_walk") - F.col("_c")).alias("_begin"))
+    keys = [F.col(c).eqNullSafe(F.col(f"_{c}_key")) for c in group]
+    begin = begin.select("_begin", *[F.col(c).alias(f"_{c}_key") for c in group])
+    on = keys[0]
+    for key in keys[1:]:
+        on = on & key
+    walked = walked.join(begin, on).withColumn("_seen", F.col("_walk") - F.col("_begin"))
     place = F.col("prob") * (F.col("_n") - 1)
     low, high = F.floor(place), F.ceil(place)
+    here = F.when(F.col("_side") < 0, F.col("_most")).when(F.col("_side") > 0, F.col("_least")).otherwise(F.col("_spot"))
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_seen") - F.col("_c") <= rank) & (rank < F.col("_seen")), F.col("_spot")))
+        return F.max(F.when((F.col("_seen") - F.col("_c") <= rank) & (rank < F.col("_seen")), here))
 
-    ends = counts.withColumn("_seen", seen).groupBy(*by, "prob", "_n").agg(at(low).alias("_lo"), at(high).alias("_hi"))
+    ends = walked.groupBy(*group, "_n").agg(at(low).alias("_lo"), at(high).alias("_hi"))
     share = place - low
-    return ends.select(*by, "prob", (F.col("_lo") * (1 - share) + F.col("_hi") * share).alias("quantile"))
+    return ends.select(*group, (F.col("_lo") * (1 - share) + F.col("_hi") * share).alias("quantile"))
 
 
 def running_total(df: DataFrame, value: str, order: list[Column], into: str = "running", rank: str | None = None

@@ -3,49 +3,46 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
-from tidepanel.operators.folds import Folds, unpack
+from tidepanel.config import DEFAULTS, KEY
+from tidepanel.operators.folds import Folds, fold_context, unpack
+from tidepanel.operators.panel import day_span
 
 
 def series_arrays(panel: DataFrame, folds: Folds) -> DataFrame:
     """One row per series and cutoff with all values up to it (``past``) and the test values (``future``).
 
-    Each series is shuffled once and cut per fold afterwards. A series has one value per day, so the array is
-    as long as the calendar at most. The panel must be free of gaps.
+    Each series is shuffled once and cut per fold afterwards. Values stand at their day: a series begins with its
+    first known one, and days without a row are NULL. An array is as long as the calendar at most.
     """
-    rows = F.sort_array(F.collect_list(F.struct(DAY, TARGET)))
-    packed = panel.groupBy(KEY).agg(rows.alias("_rows"))
-    per_fold = packed.select(
-        KEY, F.col("_rows")[0][DAY].alias("_first"), F.col(f"_rows.{TARGET}").alias("_values"),
-        F.explode(folds.array()).alias("cutoff"),
-    )
-    n = F.datediff("cutoff", "_first") + 1
-    return per_fold.filter(n > 0).select(
-        KEY, "cutoff", F.slice("_values", F.lit(1), n).alias("past"),
-        F.slice("_values", n + 1, F.lit(folds.horizon)).alias("future"),
-    )
+    start = day_span(panel)[0]
+    length = max((folds.cutoffs[-1] - start).days + 1, 1)
+    contexts = fold_context(panel, folds, length)
+    first = F.array_position(F.transform("past", lambda v: v.isNotNull()), True).cast("int")
+    return contexts.withColumn("past", F.slice("past", first, length))
 
 
 def smoothed_level(values: Column, alpha: float) -> Column:
-    """Level after simple exponential smoothing, started at the first value."""
+    """Level after simple exponential smoothing, started at the first value; an unknown day leaves it as it is."""
     return F.aggregate(
         F.slice(values, F.lit(2), F.size(values)), F.element_at(values, 1),
-        lambda level, y: level * (1 - alpha) + y * alpha,
+        lambda level, y: F.when(y.isNull(), level).otherwise(level * (1 - alpha) + y * alpha),
     )
 
 
 def simple_smoothing(panel: DataFrame, folds: Folds, alpha: float = 0.3) -> DataFrame:
     contexts = series_arrays(panel, folds).withColumn("_level", smoothed_level(F.col("past"), alpha))
-    return unpack(contexts.drop("past"), lambda h: F.col("_level"))
+    return unpack(contexts.drop("past"), folds, lambda h: F.col("_level"))
 
 
-ALPHAS = (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9)
-BETAS = (0.01, 0.05, 0.2)
+ALPHAS = (0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9)
+BETAS = (0.01, 0.1)
 GAMMAS = (0.02, 0.1, 0.3)
 DAMPING = (0.9, 0.98)
+BATCH_ROWS = 64  # series whose arrays are handled together
 
 
 def candidate_grid() -> np.ndarray:
@@ -62,29 +59,36 @@ def candidate_grid() -> np.ndarray:
 def fit_paths(values: np.ndarray, grid: np.ndarray, horizon: int, season: int) -> np.ndarray:
     """Best candidate's forecast for each row of ``values`` (series by day), all candidates at once.
 
-    Additive-error recursions, chosen by AICc.
+    Additive-error recursions, chosen by AICc. Unknown days are NaN: they give no error, so a level moves on by its
+    trend alone. The first day must be known.
     """
     n_series, n = values.shape
+    known = ~np.isnan(values)
+    seen = known.sum(axis=1)[:, None]
     alpha, beta, phi, gamma, k = grid.T
     seasonal = gamma > 0
     first = values[:, : 2 * season] if n >= 2 * season else values
-    level = np.repeat(first.mean(axis=1)[:, None], len(grid), axis=1)
+    mean = np.nanmean(first, axis=1)
+    level = np.repeat(mean[:, None], len(grid), axis=1)
     trend = np.zeros_like(level)
     cycle = np.zeros((season, n_series, len(grid)))
     for i in range(min(season, n)):
-        start = first[:, i::season].mean(axis=1) - first.mean(axis=1)
+        days = first[:, i::season]
+        some = ~np.isnan(days).all(axis=1)
+        start = np.zeros(n_series)
+        start[some] = np.nanmean(days[some], axis=1) - mean[some]
         cycle[i] = start[:, None] * seasonal
     sse = np.zeros_like(level)
     for t in range(n):
         slot = t % season
         base = level + phi * trend
-        error = values[:, t, None] - base - cycle[slot]
+        error = np.where(known[:, t, None], values[:, t, None] - base - cycle[slot], 0.0)
         sse += error * error
         level = base + alpha * error
         trend = phi * trend + beta * error
         cycle[slot] += gamma * error
-    spare = np.maximum(n - k - 1.0, 1.0)
-    score = n * np.log(np.maximum(sse, 1e-12) / n) + 2 * k + 2 * k * (k + 1) / spare
+    spare = np.maximum(seen - k - 1.0, 1.0)
+    score = seen * np.log(np.maximum(sse, 1e-12) / seen) + 2 * k + 2 * k * (k + 1) / spare
     best, rows = score.argmin(axis=1), np.arange(n_series)
     damp = np.cumsum(phi[best][:, None] ** np.arange(1, horizon + 1), axis=1)
     out = level[rows, best][:, None] + damp * trend[rows, best][:, None]
@@ -94,19 +98,24 @@ def fit_paths(values: np.ndarray, grid: np.ndarray, horizon: int, season: int) -
 
 
 def ets_auto(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
-    """The best of a grid of level, trend, damped and weekly-season models, per series and cutoff."""
+    """The best of a grid of level, trend, damped and weekly-season models, per series and cutoff.
+
+    Arrow batches are cut into BATCH_ROWS series before anything is copied, so a task holds few of them as arrays.
+    """
     horizon, grid = folds.horizon, candidate_grid()
 
     def run(batches):
         for batch in batches:
-            lengths = batch["past"].map(len)
-            for _, same in batch.groupby(lengths):
-                values = np.array([np.nan_to_num(np.asarray(p, dtype=float)) for p in same["past"]])
-                for start in range(0, len(same), 64):  # keeps the candidate arrays small
-                    part = same.iloc[start:start + 64]
-                    paths = fit_paths(values[start:start + 64], grid, horizon, season)
-                    yield part[[KEY, "cutoff", "future"]].assign(path=list(paths))
-
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                few = batch.slice(begin, BATCH_ROWS).to_pandas()
+                for _, same in few.groupby(few["past"].map(len)):
+                    values = np.array([np.array(p, dtype=float) for p in same["past"]])
+                    paths = fit_paths(values, grid, horizon, season)
+                    out = same[[KEY, "cutoff", "future"]].assign(path=list(paths))
+                    yield pa.RecordBatch.from_pandas(out, schema=fields, preserve_index=False)
+
+    numbers = pa.list_(pa.float64())
+    fields = pa.schema({KEY: pa.string(), "cutoff": pa.date32(), "future": numbers, "path": numbers})
     schema = f"{KEY} string, cutoff date, future array<double>, path array<double>"
-    scored = series_arrays(panel, folds).mapInPandas(run, schema)
-    return unpack(scored, lambda h: F.get("path", h - 1))
+    scored = series_arrays(panel, folds).mapInArrow(run, schema)
+    return unpack(scored, folds, lambda h: F.get("path", h - 1))

@@ -4,7 +4,7 @@ The cutoffs follow from the panel's last day, so they are literals, and tagging
 join.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from typing import Callable
 
@@ -23,6 +23,12 @@ class Folds:
     windows: int = DEFAULTS.windows
     step: int = DEFAULTS.step
     horizon: int = DEFAULTS.horizon
+    ahead: bool = False  # forecast days without an actual too
+
+    @staticmethod
+    def beyond(last: date, horizon: int = DEFAULTS.horizon) -> "Folds":
+        """One window of days after ``last``, none of which is known yet."""
+        return Folds(last + timedelta(days=horizon), 1, horizon, horizon, ahead=True)
 
     @staticmethod
     def of(panel: DataFrame, **settings) -> "Folds":
@@ -47,7 +53,7 @@ class Folds:
 
     def earlier(self, n: int) -> "Folds":
         """The same folds preceded by n more, used to calibrate intervals."""
-        return Folds(self.last, self.windows + n, self.step, self.horizon)
+        return replace(self, windows=self.windows + n)
 
 
 def cv_cutoffs(panel: DataFrame, windows: int = DEFAULTS.windows, step: int = DEFAULTS.step) -> DataFrame:
@@ -105,39 +111,64 @@ def inner_validation(panel: DataFrame, folds: Folds) -> DataFrame:
     return out.withColumn("part", F.when(held, "valid").otherwise("fit"))
 
 
-def fold_context(panel: DataFrame, folds: Folds, lookback: int,
+@dataclass(frozen=True)
+class SparsePanel:
+    """A panel whose missing days inside ``span`` have the value ``fill``, kept as the rows that exist.
+
+    Back-tests that look at a few recent days fill only those. ``ids`` has one row per series.
+    """
+
+    rows: DataFrame
+    ids: DataFrame
+    span: tuple[date, date]
+    fill: float = 0.0
+
+
+def fold_context(panel: "DataFrame | SparsePanel", folds: Folds, lookback: int,
                  per_fold: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """One row per series and cutoff: ``past``, the last ``lookback`` values up to the cutoff, oldest first,
     and ``future``, the values of the test window. Folds in which a series has no known past are left out.
 
     A series is grouped once and cut per fold afterwards. The group holds its days from the first context to the
     last test day, so its size is bounded. Without ``per_fold`` older days are filtered at the scan; with it,
-    those aggregates (name -> aggregate of all rows, given the cutoff) come from the same pass.
+    those aggregates (name -> aggregate of all rows, given the cutoff) come from the same pass. Of a sparse panel
+    only the days of the contexts are read and filled.
     """
     oldest = folds.first - timedelta(days=lookback - 1)
     newest = folds.cutoffs[-1] + timedelta(days=folds.horizon)
     size = (newest - oldest).days + 1
     used = F.col(DAY).between(F.lit(oldest), F.lit(newest))
     cell = F.struct(F.datediff(DAY, F.lit(oldest)).alias("at"), F.col(TARGET).alias("v"))
+    sparse = isinstance(panel, SparsePanel)
+    if sparse and per_fold:
+        raise ValueError("a sparse panel has no rows to aggregate for the missing days")
     extras = [
         how(F.lit(c)).alias(f"_{name}_{i}")
         for name, how in (per_fold or {}).items() for i, c in enumerate(folds.cutoffs)
     ]
-    rows = panel if per_fold else panel.filter(used)
+    whole = panel.rows if sparse else panel
+    rows = whole if per_fold else whole.filter(used)
     packed = rows.groupBy(KEY).agg(F.sort_array(F.collect_list(F.when(used, cell))).alias("_rows"), *extras)
-    packed = packed.filter(F.size("_rows") > 0)
-    first, last = F.col("_rows")[0]["at"], F.element_at("_rows", -1)["at"]
+    if sparse:
+        packed = panel.ids.select(KEY).join(packed, KEY, "left")
+        packed = packed.withColumn("_rows", F.coalesce("_rows", F.expr("cast(array() as array<struct<at: int, v: double>>)")))
+    else:
+        packed = packed.filter(F.size("_rows") > 0)
 
+    # each row stands for itself and the days up to the next one, so the work is one step per day
     def unknown(n: Column) -> Column:
         return F.array_repeat(F.lit(None).cast("double"), n)
 
-    gap_free = F.concat(unknown(first), F.col("_rows.v"), unknown(F.lit(size - 1) - last))
-    looked_up = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda o: F.get(F.filter("_rows", lambda r: r["at"] == o), F.lit(0))["v"],
-    )
-    whole = F.when(last - first + 1 == F.size("_rows"), gap_free).otherwise(looked_up)
-    packed = packed.withColumn("_all", whole)
+    def until_next(row: Column, i: Column) -> Column:
+        following = F.coalesce(F.get(F.col("_rows"), i + 1)["at"], F.lit(size))
+        return F.concat(F.array(row["v"]), unknown(following - row["at"] - 1))
+
+    opening = F.coalesce(F.get(F.col("_rows"), F.lit(0))["at"], F.lit(size))
+    every = F.concat(unknown(opening), F.flatten(F.transform("_rows", until_next)))
+    if sparse:
+        since, until = (panel.span[0] - oldest).days, (panel.span[1] - oldest).days
+        every = F.transform(every, lambda v, o: F.coalesce(v, F.when(o.between(since, until), F.lit(panel.fill))))
+    packed = packed.withColumn("_all", every)
 
     def fold(i: int, cutoff: date) -> Column:
         start = (cutoff - oldest).days - lookback + 2  # slices count from 1
@@ -152,12 +183,14 @@ def fold_context(panel: DataFrame, folds: Folds, lookback: int,
     return cut.filter(F.exists("past", lambda v: v.isNotNull()))
 
 
-def unpack(contexts: DataFrame, y_hat, extra: dict[str, Column] | None = None) -> DataFrame:
+def unpack(contexts: DataFrame, folds: Folds, y_hat, extra: dict[str, Column] | None = None) -> DataFrame:
     """Contexts to forecast rows (unique_id, ds, cutoff, h, y, y_hat…).
 
-    ``y_hat`` maps the step column to the forecast; days without an actual are dropped.
+    ``y_hat`` maps the step column to the forecast. Days without an actual are dropped unless the folds look ahead.
     """
-    steps = contexts.select("*", F.posexplode("future").alias("_i", TARGET)).filter(F.col(TARGET).isNotNull())
+    steps = contexts.select("*", F.posexplode("future").alias("_i", TARGET))
+    if not folds.ahead:
+        steps = steps.filter(F.col(TARGET).isNotNull())
     steps = steps.withColumn("h", F.col("_i") + 1)
     columns = {"y_hat": y_hat(F.col("h")), **(extra or {})}
     return steps.select(

@@ -1,5 +1,6 @@
 """Forecasting without training: last value, last week, sample paths, intervals."""
 
+from datetime import date
 from typing import Callable, Protocol
 
 from pyspark.sql import Column, DataFrame, Window
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.scalars import clip_lower
 from tidepanel.operators.folds import Folds, fold_context, unpack
-from tidepanel.operators.panel import in_order
+from tidepanel.operators.panel import day_span, in_order
 
 
 class Forecaster(Protocol):
@@ -18,7 +19,8 @@ class Forecaster(Protocol):
 
 
 def _last(h: Column) -> Column:
-    return F.element_at("past", -1)
+    """The last known value of the context."""
+    return F.element_at(F.filter("past", lambda v: v.isNotNull()), -1)
 
 
 def _last_week(season: int) -> Callable[[Column], Column]:
@@ -27,17 +29,17 @@ def _last_week(season: int) -> Callable[[Column], Column]:
 
 def naive(panel: DataFrame, folds: Folds) -> DataFrame:
     """The last value, repeated."""
-    return unpack(fold_context(panel, folds, DEFAULTS.season), _last)
+    return unpack(fold_context(panel, folds, DEFAULTS.season), folds, _last)
 
 
 def seasonal_naive(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
     """The value of the same weekday in the last known week."""
-    return unpack(fold_context(panel, folds, season), _last_week(season))
+    return unpack(fold_context(panel, folds, season), folds, _last_week(season))
 
 
 def both_naive(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
     """Naive and SeasonalNaive rows, with a ``model`` column, from one pass."""
-    rows = unpack(fold_context(panel, folds, season), _last, {"_week": _last_week(season)(F.col("h"))})
+    rows = unpack(fold_context(panel, folds, season), folds, _last, {"_week": _last_week(season)(F.col("h"))})
     pair = F.array(
         F.struct(F.lit("Naive").alias("model"), F.col("y_hat")),
         F.struct(F.lit("SeasonalNaive").alias("model"), F.col("_week").alias("y_hat")),
@@ -54,21 +56,21 @@ def with_sigma(panel: DataFrame, folds: Folds, lookback: int, lag: int) -> DataF
     })
 
 
-def gaussian(contexts: DataFrame, point: Callable[[Column], Column], growth: Callable[[Column], Column],
+def gaussian(contexts: DataFrame, folds: Folds, point: Callable[[Column], Column], growth: Callable[[Column], Column],
              z: float = DEFAULTS.z) -> DataFrame:
     """Forecast rows with y_hat -/+ z * sigma * growth(h)."""
     h = F.col("h")
     half = z * F.col("sigma") * growth(h)
-    return unpack(contexts, point, {"lo_80": point(h) - half, "hi_80": point(h) + half})
+    return unpack(contexts, folds, point, {"lo_80": point(h) - half, "hi_80": point(h) + half})
 
 
 def naive_gaussian(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
-    return gaussian(with_sigma(panel, folds, season, 1), _last, F.sqrt)
+    return gaussian(with_sigma(panel, folds, season, 1), folds, _last, F.sqrt)
 
 
 def seasonal_naive_gaussian(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> DataFrame:
     contexts = with_sigma(panel, folds, season, season)
-    return gaussian(contexts, _last_week(season), lambda h: F.sqrt(F.floor((h - 1) / season) + 1))
+    return gaussian(contexts, folds, _last_week(season), lambda h: F.sqrt(F.floor((h - 1) / season) + 1))
 
 
 def _quantile_of(sorted_values: Column, q: float) -> Column:
@@ -86,13 +88,25 @@ def conformal_interval(panel: DataFrame, forecaster: Forecaster, folds: Folds, n
     The model forecasts ``n_windows`` extra cutoffs, a horizon apart, before each fold. The bounds are quantiles
     of the forecast minus and plus those absolute errors. Needs step == horizon, so that the folds share their
     calibration cutoffs; each is forecast once, and one window per series reads the errors before each fold.
+
+    A forecaster that is fitted (``fitted`` is set on it) runs twice: the errors come from the fit at the first
+    calibration cutoff, which never leaks, the forecasts from the same fit as without intervals.
     """
     if folds.step != folds.horizon:
         raise ValueError("conformal_interval needs step == horizon")
     rows = forecaster(panel, folds.earlier(n_windows))
+    if getattr(forecaster, "fitted", False):
+        point = forecaster(panel, folds).select(KEY, "cutoff", "h", DAY, TARGET, F.col("y_hat").alias("_point"))
+        later = F.col("cutoff") >= F.lit(folds.first)
+        errors = rows.withColumn("_error", F.abs(F.col(TARGET) - F.col("y_hat")))
+        errors = errors.select(KEY, "cutoff", "h", "_error")
+        rows = rows.filter(~later).unionByName(point.withColumnRenamed("_point", "y_hat"))
+        rows = rows.join(errors, [KEY, "cutoff", "h"], "left")
+    else:
+        rows = rows.withColumn("_error", F.abs(F.col(TARGET) - F.col("y_hat")))
     # range frame in days: a calibration cutoff without an actual must not let an older one in
     before = Window.partitionBy(KEY, "h").orderBy(F.unix_date("cutoff")).rangeBetween(-n_windows * folds.step, -1)
-    rows = rows.withColumn("_errors", F.collect_list(F.abs(F.col(TARGET) - F.col("y_hat"))).over(before))
+    rows = rows.withColumn("_errors", F.collect_list("_error").over(before))
     rows = rows.filter(F.col("cutoff") >= F.lit(folds.first))
     signed = F.sort_array(F.concat(F.col("_errors"), F.transform("_errors", lambda e: -e)))
     tail = (1 - coverage) / 2
@@ -102,25 +116,32 @@ def conformal_interval(panel: DataFrame, forecaster: Forecaster, folds: Folds, n
         rows.withColumn("_half", half)
         .withColumn("lo_80", F.col("y_hat") - F.col("_half"))
         .withColumn("hi_80", F.col("y_hat") + F.col("_half"))
-        .drop("_errors", "_half")
+        .drop("_error", "_errors", "_half")
     )
 
 
-def sample_paths(panel: DataFrame, folds: Folds, n_paths: int = 20, history: int = 364,
-                 season: int = DEFAULTS.season) -> DataFrame:
+def sample_paths(panel: DataFrame, folds: Folds, n_paths: int = 20, season: int = DEFAULTS.season,
+                 start: date | None = None) -> DataFrame:
     """Simulated futures: last week's value plus a past seasonal error drawn per series, cutoff, step and path.
 
-    Draws are a hash of the keys, so a lost task gives the same rows again. Rows
-    (unique_id, cutoff, ds, h, y, sample, y_sim).
+    Errors of all days up to the cutoff are drawn from; ``start``, the panel's first day, saves the scan for it.
+    Series with less than two seasons of known days get no paths. Draws are a hash of the keys, so a lost task
+    gives the same rows again. Rows (unique_id, cutoff, ds, h, y, sample, y_sim).
     """
-    contexts = fold_context(panel, folds, history + season)
+    start = start or day_span(panel)[0]
+    length = max((folds.cutoffs[-1] - start).days + 1, 2 * season)
+    contexts = fold_context(panel, folds, length)
+    known = F.size(F.filter("past", lambda v: v.isNotNull()))
+    contexts = contexts.filter(known >= 2 * season)
     pool = F.zip_with(
-        F.slice("past", season + 1, history), F.slice("past", 1, history), lambda new, old: new - old
+        F.slice("past", season + 1, length - season), F.slice("past", 1, length - season), lambda new, old: new - old
     )
     contexts = contexts.withColumn("_pool", F.filter(pool, lambda e: e.isNotNull()))
     centre = _last_week(season)
     steps = contexts.filter(F.size("_pool") > 0).select("*", F.posexplode("future").alias("_i", TARGET))
-    steps = steps.filter(F.col(TARGET).isNotNull()).withColumn("h", F.col("_i") + 1)
+    if not folds.ahead:
+        steps = steps.filter(F.col(TARGET).isNotNull())
+    steps = steps.withColumn("h", F.col("_i") + 1)
     steps = steps.withColumn("_centre", centre(F.col("h")))
     draws = steps.select(
         KEY, "cutoff", F.date_add("cutoff", F.col("h")).alias(DAY), "h", TARGET, "_centre", "_pool",
@@ -161,6 +182,6 @@ def per_series(predict, lookback: int) -> Forecaster:
 
         schema = f"{KEY} string, cutoff date, future array<double>, path array<double>"
         scored = contexts.mapInPandas(run, schema)
-        return unpack(scored, lambda h: F.get("path", h - 1))
+        return unpack(scored, folds, lambda h: F.get("path", h - 1))
 
     return forecaster

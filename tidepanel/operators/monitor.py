@@ -13,6 +13,8 @@ from tidepanel.operators.evaluate import wide_scores
 from tidepanel.operators.features import Spec, add_features, lagged, reach
 from tidepanel.operators.panel import last_day
 from tidepanel.operators.select import series_totals
+from tidepanel.session import settle
+from tidepanel.sources.writers import overwrite_partitions
 
 
 def feature_snapshot(panel: DataFrame, specs: list[Spec], day: date | None = None) -> DataFrame:
@@ -42,6 +44,35 @@ def feature_backfill(panel: DataFrame, corrections: DataFrame, specs: list[Spec]
     return add_features(merged, specs).filter("_reached").drop("_reached")
 
 
+def write_snapshot(panel: DataFrame, specs: list[Spec], path: str, day: date | None = None) -> None:
+    """Write one day's features as the partition snapshot_date of the table at ``path``, replacing only that one."""
+    overwrite_partitions(feature_snapshot(panel, specs, day), path, ("snapshot_date",))
+
+
+def write_features(panel: DataFrame, specs: list[Spec], path: str) -> None:
+    """All feature rows (unique_id, ds, features), partitioned by year, a series' year together."""
+    rows = add_features(panel, specs).drop(TARGET).withColumn("year", F.year(DAY))
+    rows.repartition("year", KEY).write.mode("overwrite").partitionBy("year").parquet(path)
+
+
+def backfill_features(panel: DataFrame, corrections: DataFrame, specs: list[Spec], path: str) -> list[int]:
+    """Bring the table of :func:`write_features` up to date with corrected values; returns the years it rewrote.
+
+    Only years with a row that the corrections reach are read and written; the other partitions' files stay. The
+    recomputed rows are stored before the table is touched, so a failed job leaves it as it was.
+    """
+    spark = panel.sparkSession
+    fresh = feature_backfill(panel, corrections, specs).drop(TARGET).withColumn("year", F.year(DAY))
+    fresh = settle(fresh, "recomputed")
+    years = sorted(r[0] for r in fresh.select("year").distinct().collect())  # as many as the calendar has
+    if years:
+        table = spark.read.parquet(path)
+        kept = table.filter(F.col("year").isin(years)).join(fresh.select(KEY, DAY), [KEY, DAY], "left_anti")
+        merged = settle(kept.unionByName(fresh.select(*table.columns)), "merged")
+        overwrite_partitions(merged.repartition("year", KEY), path, ("year",))
+    return years
+
+
 def late_data_report(rows: DataFrame, key: str, event_day: str, arrival_day: str, allowed_days: int = 0) -> DataFrame:
     """Per series: rows, rows that arrived more than ``allowed_days`` after their day, their share and the
     largest delay."""

@@ -4,8 +4,9 @@ A learner turns a training matrix into a scorer; a scorer adds ``y_hat`` to rows
 """
 
 import math
-from dataclasses import dataclass
-from datetime import timedelta
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
+from functools import reduce
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -21,6 +22,8 @@ from tidepanel.operators.features import (
     BASE, RICH, Calendar, Spec, block, lagged, pooled_blocks, reach, training_matrix,
 )
 from tidepanel.operators.folds import Folds, fold_context, unpack
+from tidepanel.operators.panel import day_span
+from tidepanel.session import fresh_path
 
 Scorer = Callable[[DataFrame], DataFrame]
 Learner = Callable[[DataFrame, list[str], list[str]], Scorer]
@@ -37,14 +40,21 @@ class TreeParams:
     bins: int = 32
     seed: int = DEFAULTS.seed
 
+    def __post_init__(self):
+        if not 1 <= self.depth <= 30:
+            raise ValueError(f"trees have a depth of 1 to 30, not {self.depth}")
+
     @staticmethod
     def of(settings: dict) -> "TreeParams":
-        """From a flat parameter mapping; keys that start with ``_`` are comments, unknown keys are ignored."""
+        """From a flat parameter mapping; keys that start with ``_`` are comments, unknown keys are ignored.
+
+        A tree of ``num_leaves`` leaves becomes one of the depth that holds as many.
+        """
         s = {k: v for k, v in settings.items() if not k.startswith("_")}
         return TreeParams(
             trees=int(s.get("n_estimators", 100)),
             rate=float(s.get("learning_rate", 0.1)),
-            depth=min(30, math.ceil(math.log2(s.get("num_leaves", 31)))),
+            depth=math.ceil(math.log2(s.get("num_leaves", 31))),
             min_rows=int(s.get("min_child_samples", 20)),
             row_share=float(s.get("subsample", 1.0)),
             feature_share=float(s.get("colsample_bytree", 1.0)),
@@ -79,17 +89,25 @@ def _fit(matrix: DataFrame, features: list[str], labels: list[str], estimator) -
     return scorer
 
 
+def tree_estimator(params: TreeParams = TreeParams()) -> GBTRegressor:
+    share = "all" if params.feature_share >= 1.0 else str(params.feature_share)
+    return GBTRegressor(
+        featuresCol="_vector", labelCol=TARGET, maxIter=params.trees, stepSize=params.rate, maxDepth=params.depth,
+        minInstancesPerNode=params.min_rows, subsamplingRate=params.row_share, featureSubsetStrategy=share,
+        maxBins=params.bins, seed=params.seed, cacheNodeIds=False, maxMemoryInMB=512,
+    )
+
+
 def tree_learner(params: TreeParams = TreeParams()) -> Learner:
-    def learn(matrix: DataFrame, features: list[str], labels: list[str]) -> Scorer:
-        share = "all" if params.feature_share >= 1.0 else str(params.feature_share)
-        trees = GBTRegressor(
-            featuresCol="_vector", labelCol=TARGET, maxIter=params.trees, stepSize=params.rate,
-            maxDepth=params.depth, minInstancesPerNode=params.min_rows, subsamplingRate=params.row_share,
-            featureSubsetStrategy=share, maxBins=params.bins, seed=params.seed, cacheNodeIds=False,
-        )
-        return _fit(matrix, features, labels, trees)
+    return lambda matrix, features, labels: _fit(matrix, features, labels, tree_estimator(params))
 
-    return learn
+
+def tweedie_estimator(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-6, tol: float = 1e-4
+                      ) -> GeneralizedLinearRegression:
+    return GeneralizedLinearRegression(
+        featuresCol="_vector", labelCol=TARGET, family="tweedie", variancePower=power, linkPower=0.0,
+        maxIter=max_iter, regParam=penalty, tol=tol,
+    )
 
 
 def tweedie_learner(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-6, tol: float = 1e-4) -> Learner:
@@ -103,12 +121,8 @@ def tweedie_learner(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-
         return rows.withColumns({f"_log_{f}": F.signum(f) * F.log1p(F.abs(f)) for f in features})
 
     def learn(matrix: DataFrame, features: list[str], labels: list[str]) -> Scorer:
-        glm = GeneralizedLinearRegression(
-            featuresCol="_vector", labelCol=TARGET, family="tweedie", variancePower=power, linkPower=0.0,
-            maxIter=max_iter, regParam=penalty, tol=tol,
-        )
         names = [f"_log_{f}" for f in features]
-        score = _fit(logs(matrix, features), names, labels, glm)
+        score = _fit(logs(matrix, features), names, labels, tweedie_estimator(power, max_iter, penalty, tol))
         return lambda rows: score(logs(rows, features)).drop(*names)
 
     return learn
@@ -160,13 +174,13 @@ def recursive_forecast(scorer: Scorer, panel: DataFrame, folds: Folds, specs: li
             F.slice(F.concat("past", "_new.v"), F.lit(-far), F.lit(far)).alias("past"),
             F.concat("path", "_new.v").alias("path"),
         )
-    out = unpack(state, lambda h: F.get("path", h - 1))
+    out = unpack(state, folds, lambda h: F.get("path", h - 1))
     return out.filter(F.col("y_hat").isNotNull())
 
 
 def _only(folds: Folds, i: int) -> Folds:
     """The folds with just the i-th window."""
-    return Folds(folds.cutoffs[i] + timedelta(days=folds.step), 1, folds.step, folds.horizon)
+    return replace(folds, last=folds.cutoffs[i] + timedelta(days=folds.step), windows=1)
 
 
 def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str, Column] | None = None,
@@ -182,11 +196,9 @@ def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str
             matrix = training_matrix(panel, specs, fold.first).withColumns(static)
             scorer = learner(matrix, names, list(static))
             parts.append(recursive_forecast(scorer, panel, fold, specs, static))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        return reduce(DataFrame.unionByName, parts)
 
+    forecaster.fitted = True
     return forecaster
 
 
@@ -210,17 +222,14 @@ def tweedie_glm(power: float = 1.5, specs: list[Spec] = BASE, refit: bool = DEFA
 def direct_features(contexts: DataFrame, size: int, rates: tuple[int, ...]) -> tuple[DataFrame, list[str]]:
     """Rows per step with the pooled history, scaled by the context's mean, plus the step and its weekday.
 
-    Each rate pools the newest part of the context: all of it at the coarsest rate, less at finer ones.
+    Each rate pools the whole context, in blocks of so many days.
     """
-    coarse = max(rates)
     scale = F.aggregate("past", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))) / size + 1.0
     out = contexts.withColumn("_scale", scale)
     names: list[str] = []
     for rate in rates:
-        span = size if rate == coarse else min(size, 14 * rate)
-        blocks = pooled_blocks(F.slice("past", size - span + 1, span), span, rate)
-        out = out.withColumn(f"_pool{rate}", blocks)
-        for i in range(span // rate):
+        out = out.withColumn(f"_pool{rate}", pooled_blocks(F.col("past"), size, rate))
+        for i in range(size // rate):
             name = f"pool{rate}_{i}"
             out = out.withColumn(name, F.coalesce(F.get(f"_pool{rate}", F.lit(i)) / F.col("_scale"), F.lit(0.0)))
             names.append(name)
@@ -234,40 +243,50 @@ def direct_features(contexts: DataFrame, size: int, rates: tuple[int, ...]) -> t
 
 
 def direct_multihorizon(learner: Learner | None = None, size: int = 84, rates: tuple[int, ...] = (1, 2, 7),
-                        origins: int = 12):
+                        start: date | None = None):
     """All steps at once: one model of the step and the pooled history, without feedback.
 
-    It is trained on ``origins`` earlier cutoffs whose test windows end by the first fold's cutoff.
+    It is trained on all earlier cutoffs, a horizon apart, whose test windows end by the first fold's cutoff and
+    whose context lies in the panel. ``start``, the panel's first day, saves the scan for it.
     """
-    learner = learner or tree_learner(TreeParams(trees=30))
+    learner = learner or tree_learner()
 
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
+        days = (folds.first - (start or day_span(panel)[0])).days + 1
+        origins = (days - size) // folds.horizon
+        if origins < 1:
+            raise ValueError(f"{days} days of history have no room for a context of {size} days and a horizon")
         past = Folds(folds.first, origins, folds.horizon, folds.horizon)
         train, names = direct_features(fold_context(panel, past, size), size, rates)
         train = train.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, F.col(TARGET) / F.col("_scale"))
         scorer = learner(train, names, [])
         rows, _ = direct_features(fold_context(panel, folds, size), size, rates)
-        scored = scorer(rows.filter(F.col(TARGET).isNotNull()))
+        scored = scorer(rows if folds.ahead else rows.filter(F.col(TARGET).isNotNull()))
         return scored.select(
             KEY, DAY, "cutoff", "h", TARGET, (F.col("y_hat") * F.col("_scale")).alias("y_hat")
         )
 
+    forecaster.fitted = True
     return forecaster
 
 
-def per_category(learner: Learner, categories: list[str], of: Column, specs: list[Spec] = BASE):
-    """One global model per category, on the same features. ``of`` gives a series' category."""
+def per_category(learner: Learner, of: Column, specs: list[Spec] = BASE):
+    """One global model per category, on the same features. ``of`` gives a series' category.
+
+    The panel is stored once, partitioned by category, so each model reads its own files. The categories are the
+    stored folders; the driver holds their names, one model each.
+    """
 
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
+        path = fresh_path(panel.sparkSession, "categories")
+        panel.withColumn("category", of).repartition("category", KEY).write.partitionBy("category").parquet(path)
+        stored = panel.sparkSession.read.parquet(path)
+        names = [r[0] for r in stored.select("category").distinct().orderBy("category").collect()]
         parts = []
-        for name in categories:
-            mine = panel.filter(of == name)
-            parts.append(recursive_model(learner, specs)(mine, folds).withColumn("category", F.lit(name)))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        for name in names:
+            mine = stored.filter(F.col("category") == name).drop("category")
+            parts.append(recursive_model(learner, specs)(mine, folds).withColumn("category", F.lit(str(name))))
+        return reduce(DataFrame.unionByName, parts)
 
+    forecaster.fitted = True
     return forecaster
-
-

@@ -14,7 +14,7 @@ from tidepanel.config import DAY, KEY, TARGET
 from tidepanel.operators import panel as P
 from tidepanel.operators.evaluate import named, union_forecasts
 from tidepanel.operators.features import Lag, Rolling
-from tidepanel.operators.folds import Folds
+from tidepanel.operators.folds import Folds, SparsePanel
 from tidepanel.operators.forecast import naive_gaussian, seasonal_naive_gaussian
 from tidepanel.operators.trained import linear_scorer, recursive_forecast
 
@@ -98,6 +98,11 @@ class Tables:
         """The panel without gaps: every day of the orders' date range, 0 where nothing was sold."""
         return P.zero_fill(P.fill_gaps(self.raw(kind), "global", "global", self.span))
 
+    def sparse(self, kind: str) -> SparsePanel:
+        """The same panel, of which only the days that are asked for are filled."""
+        raw = self.raw(kind)
+        return SparsePanel(raw, raw.select(KEY).distinct(), self.span)
+
     def folds(self, **settings) -> Folds:
         return Folds(self.last, **settings)
 

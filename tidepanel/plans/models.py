@@ -13,18 +13,22 @@ from tidepanel.operators.select import keep_series, top_series
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.session import settle
 
-# small trees keep the registered runs short; the library's defaults are larger
-TREES = T.TreeParams(trees=8, depth=4)
+# the library's defaults: 100 trees
+TREES = T.TreeParams()
+# Narrower ranges than the library's, so that three candidates of each search stay short. A reported
+# loss belongs to exactly the settings beside it.
+SHORT_TREES = H.TREE_RANGES | {"n_estimators": (4, 12), "learning_rate": (0.1, 0.4), "num_leaves": (4, 16)}
+SHORT_DIRECT = H.DIRECT_RANGES | {"max_steps": [4, 7, 10], "learning_rate": (0.1, 0.4)}
 
 
 @query("naive", sql("SELECT * FROM naive_supplier"))
 def _(t):
-    return N.naive(t.panel("supplier"), t.folds())
+    return N.naive(t.sparse("supplier"), t.folds())
 
 
 @query("seasonal_naive", sql("SELECT * FROM snaive_supplier"))
 def _(t):
-    return N.seasonal_naive(t.panel("supplier"), t.folds())
+    return N.seasonal_naive(t.sparse("supplier"), t.folds())
 
 
 @query("naive_interval_gaussian", sql("SELECT * FROM naive_band_nation", "lo_80 hi_80"))
@@ -56,10 +60,13 @@ def _(t):
     return tidy(T.recursive_forecast(T.linear_scorer(BLEND), t.panel("nation"), t.folds(), BLEND_SPECS))
 
 
-def _trained(t: Tables, forecaster, model: str, kind: str = "type"):
-    """Stored first, as fitting and forecasting read the panel several times."""
-    panel = settle(t.panel(kind), "model-panel")
-    return E.named(forecaster(panel, t.folds()), model, "ml")
+def _stored(t: Tables, kind: str = "supplier"):
+    """A panel that grows with the input, stored, as fitting and forecasting read it several times."""
+    return settle(t.panel(kind), "model-panel")
+
+
+def _trained(t: Tables, forecaster, model: str, kind: str = "supplier"):
+    return E.named(forecaster(_stored(t, kind), t.folds()), model, "ml")
 
 
 @query("gbt_base")
@@ -72,13 +79,16 @@ def _(t):
     return _trained(t, T.gbt_rich(TREES), "Trees-Rich")
 
 
-@query("gbt_cat")
-def _(t):
-    panel = t.panel("type_region")
+def leveled(t: Tables):
+    """The type and region panel with ids of five levels, stored."""
     parts = F.split(KEY, "_")
     five = F.concat_ws("_", parts[0], F.lit("ALL"), F.lit("0"), parts[1], F.lit("0"))
-    panel = settle(panel.withColumn(KEY, five), "model-panel")
-    return E.named(T.gbt_cat(TREES)(panel, t.folds()), "Trees-Cat", "ml")
+    return settle(t.panel("type_region").withColumn(KEY, five), "model-panel")
+
+
+@query("gbt_cat")
+def _(t):
+    return E.named(T.gbt_cat(TREES)(leveled(t), t.folds()), "Trees-Cat", "ml")
 
 
 @query("tweedie_glm")
@@ -88,20 +98,18 @@ def _(t):
 
 @query("recursive_forecast")
 def _(t):
-    return _trained(t, T.gbt_base(T.TreeParams(trees=4, depth=3), refit=True), "Trees-Refit")
+    return _trained(t, T.gbt_base(T.TreeParams(trees=10), refit=True), "Trees-Refit")
 
 
 @query("direct_multihorizon")
 def _(t):
-    return _trained(t, T.direct_multihorizon(T.tree_learner(TREES)), "Direct", "nation")
+    return _trained(t, T.direct_multihorizon(T.tree_learner(T.TreeParams(trees=20))), "Direct", "nation")
 
 
 @query("per_category_models")
 def _(t):
-    panel = settle(t.panel("type_region"), "model-panel")
     of = F.split(KEY, "_")[1]
-    regions = [r[0] for r in t["region"].select("r_name").orderBy("r_name").collect()]
-    return tidy(T.per_category(T.tweedie_learner(1.5), regions, of)(panel, t.folds()))
+    return tidy(T.per_category(T.tweedie_learner(1.5), of)(t.panel("type_region"), t.folds()))
 
 
 @query("user_forecaster", sql(
@@ -115,14 +123,15 @@ def _(t):
     return tidy(N.per_series(four_week_mean, 28)(t.panel("nation"), t.folds()))
 
 
-# the pool is the newest 364 seasonal errors; every day is known in this panel
+# the pool is all seasonal errors up to the cutoff; every day is known in this panel
 PATHS_SQL = """SELECT t.unique_id, t.cutoff, t.ds, t.h, t.y, CAST(s.sample AS INTEGER) AS sample, n.y_hat + e.e AS y_sim
 FROM tests_nation t CROSS JOIN range(1, 21) s(sample)
 JOIN snaive_nation n ON n.unique_id = t.unique_id AND n.cutoff = t.cutoff AND n.ds = t.ds
 JOIN pool e ON e.unique_id = t.unique_id AND e.cutoff = t.cutoff AND e.i = CAST('0x' || md5(t.unique_id || '|' ||
-CAST(t.cutoff AS VARCHAR) || '|' || t.h || '|' || s.sample)[1:8] AS BIGINT) % 364"""
-POOL_SQL = """SELECT a.unique_id, c.cutoff, 363 - (c.cutoff - a.ds) AS i, a.y - b.y AS e FROM panel_nation a
-JOIN cutoffs c ON a.ds <= c.cutoff AND a.ds > c.cutoff - 364
+CAST(t.cutoff AS VARCHAR) || '|' || t.h || '|' || s.sample)[1:8] AS BIGINT) % e.n"""
+POOL_SQL = """SELECT a.unique_id, c.cutoff, row_number() OVER (PARTITION BY a.unique_id, c.cutoff ORDER BY a.ds) - 1 AS i,
+count(*) OVER (PARTITION BY a.unique_id, c.cutoff) AS n, a.y - b.y AS e FROM panel_nation a
+JOIN cutoffs c ON a.ds <= c.cutoff
 JOIN panel_nation b ON b.unique_id = a.unique_id AND b.ds = a.ds - 7"""
 
 
@@ -166,10 +175,35 @@ def _(t):
     return tidy(N.conformal_interval(t.panel("nation"), N.seasonal_naive, t.folds()))
 
 
+def _banded(t: Tables, forecaster, model: str, panel):
+    """Point forecasts of a trained model, as without intervals, with intervals from earlier back-tests."""
+    return E.named(N.conformal_interval(panel, forecaster, t.folds()), model, "ml")
+
+
 @query("conformal_interval_trees")
 def _(t):
-    panel = settle(t.panel("type"), "model-panel")
-    return E.named(N.conformal_interval(panel, T.gbt_base(TREES), t.folds()), "Trees", "ml")
+    return _banded(t, T.gbt_base(T.TreeParams(trees=10)), "Trees", _stored(t))
+
+
+@query("conformal_interval_rich")
+def _(t):
+    return _banded(t, T.gbt_rich(T.TreeParams(trees=10)), "Trees-Rich", _stored(t))
+
+
+@query("conformal_interval_cat")
+def _(t):
+    return _banded(t, T.gbt_cat(T.TreeParams(trees=10)), "Trees-Cat", leveled(t))
+
+
+@query("conformal_interval_direct")
+def _(t):
+    direct = T.direct_multihorizon(T.tree_learner(T.TreeParams(trees=10)))
+    return _banded(t, direct, "Direct", _stored(t, "nation"))
+
+
+@query("conformal_interval_ets")
+def _(t):
+    return E.named(N.conformal_interval(_stored(t, "nation"), ets_auto, t.folds()), "ETS", "baseline")
 
 
 @query("score_full_and_micro", sql(
@@ -189,26 +223,21 @@ def _(t):
 # --- search ---------------------------------------------------------------------------------------------
 @query("search_cv")
 def _(t):
-    space = H.search_space(t.spark, 3)
-    return tidy(H.search_cv(t.panel("type"), space, H.tree_search(max_trees=4), t.folds()))
+    space = H.search_space(t.spark, 3, ranges=SHORT_TREES)
+    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidate, t.folds()))
 
 
 @query("search_cv_tweedie")
 def _(t):
     space = H.search_space(t.spark, 3, tweedie=True)
-    return tidy(H.search_cv(t.panel("type"), space, H.tree_search(), t.folds()))
+    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidate, t.folds()))
 
 
 @query("search_cv_direct")
 def _(t):
     """Each candidate is scored on one hold-out of a horizon."""
-    space = H.search_space_direct(t.spark, 3)
-
-    def forecaster(s):
-        rates = tuple(sorted({1, *s["n_freq_downsample"], 7}))
-        return T.direct_multihorizon(T.tree_learner(T.TreeParams(trees=4, depth=3)), s["input_size"], rates)
-
-    return tidy(H.search_cv(t.panel("type"), space, forecaster, t.folds(windows=1)))
+    space = H.search_space_direct(t.spark, 3, ranges=SHORT_DIRECT)
+    return tidy(H.search_cv(t.panel("nation"), space, H.direct_candidate, t.folds(windows=1)))
 
 
 WEIGHTS = [round(i / 10, 1) for i in range(11)]
@@ -248,12 +277,14 @@ def _(t):
 
 @query("compare_tuned")
 def _(t):
-    panel, folds = settle(t.panel("type"), "model-panel"), t.folds()
-    runs = {
-        "default": T.gbt_base(T.TreeParams(trees=4, depth=4)),
-        "tuned": T.gbt_base(T.TreeParams(trees=8, rate=0.2, depth=3, min_rows=35)),
-        "tweedie": T.tweedie_glm(1.4),
+    """The default settings, the winner of a search over trees, and that of one over the tweedie model."""
+    panel, folds = _stored(t), t.folds()
+    best = {
+        "tuned": H.search_cv(panel, H.search_space(t.spark, 2, ranges=SHORT_TREES), H.recursive_candidate, folds),
+        "tweedie": H.search_cv(panel, H.search_space(t.spark, 2, tweedie=True), H.recursive_candidate, folds),
     }
+    runs = {"default": T.gbt_base(T.TreeParams(trees=10))}
+    runs |= {name: H.recursive_candidate(H.winner(found)) for name, found in best.items()}
     rows = [(name, H.pooled_loss(run(panel, folds))) for name, run in runs.items()]
     losses = t.spark.createDataFrame(rows, "name string, loss double")
     return tidy(E.compare_losses(losses, "default"))

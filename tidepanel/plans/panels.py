@@ -31,11 +31,16 @@ def _(t):
     return P.context_rows(t.panel("nation"), cut(t))
 
 
+# every fourth supplier enters the panel 300 days before its end
+LATE_SQL = "SELECT r.* FROM raw_supplier r, span WHERE CAST(unique_id AS INTEGER) % 4 <> 0 OR ds > hi - 300"
+
+
 @query("filter_min_history", sql(
-    f"SELECT r.* FROM raw_supplier r WHERE unique_id IN (SELECT unique_id FROM stats WHERE first_day <= {CUT} - 365)",
-    stats=STATS % "raw_supplier"))
+    f"SELECT r.* FROM late r WHERE unique_id IN (SELECT unique_id FROM stats WHERE first_day <= {CUT} - 365)",
+    stats=STATS % "late", late=LATE_SQL))
 def _(t):
-    panel = t.raw("supplier")
+    entered = (F.col(KEY).cast("int") % 4 != 0) | (F.col(DAY) > F.date_sub(F.lit(t.last), 300))
+    panel = t.raw("supplier").filter(entered)
     return S.keep_series(panel, S.training_stats(panel, cut(t)).filter(S.long_enough(cut(t))))
 
 
@@ -47,11 +52,16 @@ def _(t):
     return S.keep_series(panel, S.training_stats(panel, cut(t)).filter(S.rarely_zero()))
 
 
+# nations with an even number of letters sell nothing
+IDLE_SQL = "SELECT unique_id, ds, CASE WHEN length(unique_id) % 2 = 0 THEN 0.0 ELSE y END AS y FROM panel_nation"
+
+
 @query("filter_positive_total", sql(
-    "SELECT p.* FROM panel_nation p WHERE unique_id IN (SELECT unique_id FROM stats WHERE total > 0)",
-    stats=STATS % "panel_nation"))
+    "SELECT p.* FROM idle p WHERE unique_id IN (SELECT unique_id FROM stats WHERE total > 0)",
+    stats=STATS % "idle", idle=IDLE_SQL.replace("0.0", "0.0::DOUBLE")))
 def _(t):
     panel = t.panel("nation")
+    panel = panel.withColumn(TARGET, F.when(F.length(KEY) % 2 == 0, 0.0).otherwise(F.col(TARGET)))
     return S.keep_series(panel, S.training_stats(panel, cut(t)).filter(S.sells()))
 
 

@@ -1,6 +1,6 @@
 """Registered queries: snapshots, corrections, late data, fallback, monitoring, streaming."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from tidepanel.operators import forecast as N
 from tidepanel.operators import monitor as O
 from tidepanel.operators import trained as T
 from tidepanel.operators.evaluate import named
+from tidepanel.operators.folds import Folds
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.plans.features import RICH_SQL, rich_sql
 from tidepanel.session import fresh_path, settle
@@ -30,7 +31,11 @@ def _(t):
 @query("feature_snapshot", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
                                " ".join(RICH_SQL), m=rich_sql("panel_nation")))
 def _(t):
-    out = O.feature_snapshot(t.panel("nation"), X.RICH, t.last)
+    path = fresh_path(t.spark, "snapshots")
+    panel = settle(t.panel("nation"), "panel")
+    for day in (t.last - timedelta(days=1), t.last):  # the older partition stays as it is
+        O.write_snapshot(panel, X.RICH, path, day)
+    out = t.spark.read.parquet(path).filter(F.col("snapshot_date") == F.lit(t.last))
     return tidy(out.withColumn("month", F.col("month").cast("double")))
 
 
@@ -48,6 +53,7 @@ def corrections(t: Tables):
     return rows.groupBy(F.col("n_name").alias(KEY), F.col("o_orderdate").cast("date").alias(DAY)).agg(kept.alias(TARGET))
 
 
+LATE_FIXES_SQL = f"SELECT f.* FROM ({FIXES_SQL}) f, span WHERE year(f.ds) = year(span.hi) - 1"
 CORRECTED_SQL = ("SELECT p.unique_id, p.ds, coalesce(f.y, p.y) AS y FROM panel_nation p LEFT JOIN fixes f "
                  "ON f.unique_id = p.unique_id AND f.ds = p.ds")
 
@@ -60,16 +66,30 @@ def _(t):
     return tidy(out.withColumn("month", F.col("month").cast("double")))
 
 
+@query("feature_backfill_table", sql(
+    "SELECT * EXCLUDE (y), CAST(year(ds) AS INTEGER) AS year FROM m", " ".join(RICH_SQL), fixes=LATE_FIXES_SQL,
+    corrected=CORRECTED_SQL, m=rich_sql("corrected")))
+def _(t):
+    """The feature table after a backfill that rewrites only the years it reaches."""
+    path = fresh_path(t.spark, "features")
+    panel = settle(t.panel("nation"), "panel")
+    O.write_features(panel, X.RICH, path)
+    O.backfill_features(panel, corrections(t).filter(F.year(DAY) == t.last.year - 1), X.RICH, path)
+    return tidy(t.spark.read.parquet(path).withColumn("month", F.col("month").cast("double")))
+
+
 @query("backfill_overwrite", sql(
     "SELECT unique_id, ds, coalesce(f.y, p.y) AS y, CAST(year(ds) AS INTEGER) AS year FROM panel_nation p LEFT JOIN "
-    "fixes f USING (unique_id, ds)", fixes=FIXES_SQL))
+    "fixes f USING (unique_id, ds)", fixes=LATE_FIXES_SQL))
 def _(t):
     path = fresh_path(t.spark, "backfill")
     year = F.year(DAY).alias("year")
     panel = t.panel("nation").select(KEY, DAY, TARGET, year)
     panel.repartition("year", KEY).write.partitionBy("year").parquet(path)
-    fixed = corrections(t).select(KEY, DAY, F.col(TARGET).alias("_new"))
-    out = panel.join(fixed, [KEY, DAY], "left").select(KEY, DAY, F.coalesce("_new", TARGET).alias(TARGET), "year")
+    fixed = settle(corrections(t).filter(F.year(DAY) == t.last.year - 1), "corrections")
+    years = [r[0] for r in fixed.select(F.year(DAY)).distinct().collect()]  # only these are read and written again
+    fixed = fixed.select(KEY, DAY, F.col(TARGET).alias("_new"))
+    out = panel.filter(F.col("year").isin(years)).join(fixed, [KEY, DAY], "left").select(KEY, DAY, F.coalesce("_new", TARGET).alias(TARGET), "year")
     writers.overwrite_partitions(out.repartition("year", KEY), path, ("year",))
     return t.spark.read.parquet(path)
 
@@ -141,14 +161,41 @@ def _(t):
 
 @query("batch_scoring_job")
 def _(t):
-    """Fit, forecast, write by run date, read back."""
-    panel = settle(t.panel("type"), "model-panel")
-    rows = named(T.tweedie_glm(1.5)(panel, t.folds(windows=1)), "Tweedie", "ml")
+    """Fit on all known days, forecast the 28 days after the last one, write by run date, read back."""
+    panel = settle(t.panel("supplier"), "model-panel")
+    return _scored(t, named(T.tweedie_glm(1.5)(panel, Folds.beyond(t.last)), "Tweedie", "ml"))
+
+
+def _scored(t: Tables, rows):
     path = fresh_path(t.spark, "runs")
-    writers.write_table(O.stamp_run(rows, date(2001, 8, 2)), path, "forecast", ("run_date",))
+    ahead = O.stamp_run(rows.drop(TARGET), t.last)
+    writers.write_table(ahead, path, "scoring", ("run_date",))
     return t.spark.read.parquet(path)
 
 
+# the forecast blocks of the last cutoff, moved to the end of the panel
+AHEAD_SQL = {
+    "start": "SELECT p.unique_id, s.hi AS cutoff, p.ds, p.y FROM panel_nation p, span s WHERE p.ds > s.hi - 40",
+    **{f"ahead{b}": (
+        f"SELECT k.unique_id, k.cutoff, k.cutoff + h.h AS ds, 0.0::DOUBLE + sum(CASE WHEN k.ds = k.cutoff + h.h - 7 THEN "
+        f"k.y ELSE 0 END) * 0.4::DOUBLE + sum(CASE WHEN k.ds = k.cutoff + h.h - 14 THEN k.y ELSE 0 END) * 0.2::DOUBLE "
+        f"+ avg(k.y) * 0.35::DOUBLE AS y FROM {'start' if b == 0 else f'seen{b}'} k JOIN (SELECT CAST(h AS INTEGER) AS h "
+        f"FROM range({7 * b + 1}, {7 * b + 8}) t(h)) h ON k.ds BETWEEN k.cutoff + h.h - 34 AND k.cutoff + h.h - 7 "
+        f"GROUP BY 1, 2, 3") for b in range(4)},
+    **{f"seen{b + 1}": f"SELECT * FROM {'start' if b == 0 else f'seen{b}'} UNION ALL SELECT * FROM ahead{b}"
+       for b in range(4)},
+}
+
+
+@query("batch_scoring_ahead", sql(
+    "SELECT unique_id, ds, 'LagBlend' AS model, greatest(y, 0.0) AS y_hat, NULL::DOUBLE AS lo_80, NULL::DOUBLE AS hi_80, "
+    "cutoff, 'ml' AS stage, cutoff AS run_date FROM seen4 WHERE ds > cutoff", "y_hat", **AHEAD_SQL))
+def _(t):
+    """The same job with a fixed linear scorer."""
+    rows = T.recursive_forecast(T.linear_scorer(BLEND), t.panel("nation"), Folds.beyond(t.last), BLEND_SPECS)
+    return tidy(_scored(t, named(rows, "LagBlend", "ml")))
+
+
 @query("batch_scoring_linear", sql(
     "SELECT unique_id, ds, y, model, y_hat, lo_80, hi_80, cutoff, stage, DATE '2001-08-02' AS run_date FROM "
     "forecasts_nation WHERE model = 'LagBlend'", "y_hat"))

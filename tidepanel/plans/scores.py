@@ -6,6 +6,8 @@ from tidepanel.config import TARGET
 from tidepanel.functions import metrics as M
 from tidepanel.operators import evaluate as E
 from tidepanel.operators import forecast as N
+from tidepanel.operators import trained as T
+from tidepanel.operators.ets import ets_auto
 from tidepanel.plans.base import Tables, query, sql, tidy
 from tidepanel.session import settle
 
@@ -22,7 +24,7 @@ def board(t: Tables):
 
 def flagship(t: Tables, kind: str = "type"):
     """Panel, folds, two baselines, scores, leaderboard."""
-    rows = N.both_naive(t.panel(kind), t.folds())
+    rows = N.both_naive(t.sparse(kind), t.folds())
     return E.build_leaderboard([E.score_forecasts(E.finalize(rows, "baseline").drop("lo_80", "hi_80"), kind)])
 
 
@@ -135,6 +137,24 @@ def _(t):
     return tidy(E.union_forecasts(*parts))
 
 
+@query("final_artifacts_models")
+def _(t):
+    """The same tables from smoothing, boosted trees of three kinds and the direct model, all with intervals."""
+    panel, folds = settle(t.panel("nation"), "model-panel"), t.folds()
+
+    def banded(forecaster, model: str, stage: str):
+        return settle(E.named(N.conformal_interval(panel, forecaster, folds), model, stage), "banded")
+
+    few = T.TreeParams(trees=10)
+    baselines = E.union_forecasts(banded(N.seasonal_naive, "SeasonalNaive", "baseline"), banded(ets_auto, "ETS", "baseline"))
+    trees = {"base": banded(T.gbt_base(few), "Trees", "ml"), "rich": banded(T.gbt_rich(few), "Trees-Rich", "ml")}
+    direct = banded(T.direct_multihorizon(T.tree_learner(few)), "Direct", "dl")
+    every, scored, ranked = E.final_tables(baselines, trees, direct, "nation")
+    counts = every.groupBy("model", "stage").agg(F.count(F.lit(1)).alias("n_rows"))
+    losses = scored.filter("metric = 'IntervalScore_80'").select("model", F.col("score").alias("interval_score"))
+    return tidy(ranked.select("model", "wMAPE").join(counts, "model").join(losses, "model"))
+
+
 @query("interval_coverage_levels", sql(
     "SELECT model, avg((hi_80 - lo_80) + 2 / (1 - 0.9::DOUBLE) * greatest(lo_80 - y, 0.0) + 2 / (1 - 0.9::DOUBLE) * "
     "greatest(y - hi_80, 0.0)) AS score FROM forecasts_nation WHERE lo_80 IS NOT NULL GROUP BY 1", "score"))

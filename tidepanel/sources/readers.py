@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +16,12 @@ DAY_PREFIX = "d_"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    try:
+        return bool(spark.read.text(path).schema)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def _need(spark: SparkSession, path: str) -> str:
@@ -45,12 +49,13 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, folder: str, sales: str = "sales.csv", calendar: str = "calendar.csv",
-             prices: str | None = None) -> dict[str, DataFrame]:
+             prices: str = "prices.csv") -> dict[str, DataFrame]:
     """The raw tables by name; a missing file raises FileNotFoundError naming it."""
-    out = {"sales": read_wide_sales(spark, f"{folder}/{sales}"), "calendar": read_calendar(spark, f"{folder}/{calendar}")}
-    if prices is not None:
-        out["prices"] = read_prices(spark, f"{folder}/{prices}")
-    return out
+    return {
+        "sales": read_wide_sales(spark, f"{folder}/{sales}"),
+        "calendar": read_calendar(spark, f"{folder}/{calendar}"),
+        "prices": read_prices(spark, f"{folder}/{prices}"),
+    }
 
 
 @dataclass(frozen=True)
