@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
+LOW = 24  # bits of a key beside its bucket, where a rare false match only costs work
 
 
 def batched(docs: DataFrame, text: str = "text", size: int = BATCH_BYTES) -> tuple[DataFrame, int]:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidepanel.llm.exchange import batched, bucket_bits, cut, find, ids, squeezed, texts, unsqueezed
+from tidepanel.llm.exchange import LOW, batched, bucket_bits, cut, find, ids, squeezed, texts, unsqueezed
 from tidepanel.llm.vector import ODD, byte_values, mixed, powers
 
 LENGTH = 50  # bytes of a repeated string
@@ -185,14 +186,14 @@ class Repeats:
     def bucket(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> _U(64 - self.bits)).astype(np.int32)
 
-    def low(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> _U(32 - self.bits)).astype(np.uint32)
+    def name(self, hashes: np.ndarray) -> np.ndarray:
+        """Bucket and LOW more bits: two anchors of one name only send more snippets."""
+        return hashes >> _U(64 - LOW - self.bits)
 
     def _unique(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, list]:
-        """The batch's different anchors as (bucket, 32 bits), which of them two documents share, and the anchors
-        of each document."""
+        """The names of the batch's anchors, which of them two documents share, and each document's anchors."""
         docs = [anchors(t, self.length, self.gram) for t in texts(table)]
-        names = [np.unique((self.bucket(d[0]).astype(_U) << _U(32)) | self.low(d[0])) for d in docs]
+        names = [np.unique(self.name(d[0])) for d in docs]
         each, count = np.unique(np.concatenate([*names, np.zeros(0, _U)]), return_counts=True)
         return each, count > 1, docs
 
@@ -200,8 +201,8 @@ class Repeats:
         """Which of the batch's anchors stand in several documents?"""
         each, twice, _ = self._unique(table)
         rows = [
-            (b, squeezed(each[i:j].astype(np.uint32)), np.packbits(twice[i:j]).tobytes())
-            for b, i, j in cut((each >> _U(32)).astype(np.int32))
+            (b, squeezed((each[i:j] & _U((1 << LOW) - 1)).astype(np.uint32)), np.packbits(twice[i:j]).tobytes())
+            for b, i, j in cut((each >> _U(LOW)).astype(np.int32))
         ]
         batch = table.column("_batch")[0].as_py()
         return pa.table({
@@ -242,7 +243,7 @@ class Repeats:
         number = ids(table)
         found = []
         for n, (anchor, first, end, cover, _) in enumerate(docs):
-            at = np.searchsorted(each, (self.bucket(anchor).astype(_U) << _U(32)) | self.low(anchor))
+            at = np.searchsorted(each, self.name(anchor))
             now = state[at] if len(at) else at
             pick = np.flatnonzero(now == 1)
             found.append((anchor[pick], _keys(anchor[pick], cover[pick]), first[pick], end[pick] - 1 + self.length, n))
@@ -452,18 +453,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
 
     A character of which only some bytes remain goes too. A null text stays null. n_chars, if there, is counted anew.
     """
-    names = docs.columns
+    names, schema = docs.columns, docs.schema
+    others = [n for n in names if n not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(n) for n in others]).alias("others")) if others else docs
 
     def finish(table: pa.Table, spans: list) -> pa.Table:
         known = table.column("text").is_valid().to_pylist()
         new = [
             _kept(t, *s).decode("utf-8", "ignore") if ok else None for t, s, ok in zip(texts(table), spans, known)
         ]
-        columns = {n: table.column(n) for n in names}
-        columns["text"] = pa.array(new, table.schema.field("text").type)
-        if "n_chars" in columns:
+        columns = {"doc_id": table.column("doc_id"), "text": pa.array(new, table.schema.field("text").type)}
+        if others:
+            columns |= dict(zip(others, table.column("others").combine_chunks().flatten()))
+        if "n_chars" in others:
             sizes = pa.array([None if t is None else len(t) for t in new], pa.int64())
-            columns["n_chars"] = sizes.cast(table.schema.field("n_chars").type)
-        return pa.table(columns)
+            columns["n_chars"] = sizes.cast(columns["n_chars"].type)
+        return pa.table({n: columns[n] for n in names})
 
-    return _applied(docs, finish, docs.schema, length, gram, hot)
+    return _applied(packed, finish, schema, length, gram, hot)
