@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.exchange import batched, bucket_bits, cut, squeezed, texts, unsqueezed
+from tidepanel.llm.exchange import LOW, batched, bucket_bits, cut, squeezed, texts, unsqueezed
 from tidepanel.llm.graph import components
 from tidepanel.llm.vector import ODD, gram_hashes, lower_ascii, mixed, word_bounds, word_hashes
 from tidepanel.session import settle
@@ -31,10 +31,15 @@ class Sets:
     def __init__(self, total: int, size: int, percent: int, orders: int):
         self.bits, self.size, self.percent, self.orders = bucket_bits(total), size, percent, orders
 
+    def _name(self, shingle: np.ndarray) -> np.ndarray:
+        """Bucket and LOW more bits. Two shingles of one name count as one: their classes may come out too high,
+        which makes more candidates, never fewer. Names get longer with the input, so that stays as rare."""
+        return shingle >> _U(64 - LOW - self.bits)
+
     def _each(self, table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Shingles per document, and the batch's different ones, as bucket and 32 bits, with their documents."""
+        """Shingles per document, and the batch's different names with how many of its documents have them."""
         docs = [shingles(t, self.size) for t in texts(table)]
-        names = [np.unique(d >> _U(32 - self.bits)) for d in docs]
+        names = [np.unique(self._name(d)) for d in docs]
         each, count = np.unique(np.concatenate([*names, np.zeros(0, _U)]), return_counts=True)
         return docs, each, count
 
@@ -43,8 +48,8 @@ class Sets:
         _, each, count = self._each(table)
         count = np.minimum(count, 255).astype(np.uint8)
         rows = [
-            (b, squeezed(each[i:j].astype(np.uint32)), count[i:j].tobytes())
-            for b, i, j in cut((each >> _U(32)).astype(np.int32))
+            (b, squeezed((each[i:j] & _U((1 << LOW) - 1)).astype(np.uint32)), count[i:j].tobytes())
+            for b, i, j in cut((each >> _U(LOW)).astype(np.int32))
         ]
         batch = table.column("_batch")[0].as_py()
         return pa.table({
@@ -69,8 +74,8 @@ class Sets:
         })
 
     def prefixes(self, table: pa.Table, answers: pa.Table) -> pa.Table:
-        """Per document: size and name of its set, how many shingles are its own, those that others may have too,
-        and under each order the shared part of its prefix.
+        """Per document: size and name of its set, how many shingles are its own, how common its shingles are on
+        average, those that others may have too, and under each order the shared part of its prefix.
 
         An order goes by class first, so rare shingles come first, and by a hash of its own within a class. A set
         of n shingles has a prefix of n - ceil(t n) + 1; alike sets share a shingle there under every order.
@@ -80,26 +85,27 @@ class Sets:
         order = np.argsort(answers.column("_bucket").to_numpy())
         levels = answers.column("levels").to_pylist()
         level = np.concatenate([*(np.frombuffer(levels[i], np.uint8) for i in order), np.zeros(0, np.uint8)])
-        sizes, own, names, shared = [], [], [], []
+        sizes, own, names, shared, usual = [], [], [], [], []
         prefixes: list[list[np.ndarray]] = [[] for _ in range(self.orders)]
+        places: list[np.ndarray] = []
         salts = [_U((o + 1) * int(ODD) % 2**64) for o in range(self.orders)]
         for d in docs:
-            rank = level[np.searchsorted(each, d >> _U(32 - self.bits))] if len(d) else np.zeros(0, np.uint8)
+            rank = level[np.searchsorted(each, self._name(d))] if len(d) else np.zeros(0, np.uint8)
             common = rank > 0
             n, alone = len(d), int(len(d) - common.sum())
             sizes.append(n)
             own.append(alone)
+            usual.append(float(rank.mean()) if n else 0.0)
             # two sums over differently scrambled members name the set
             names.append((int(mixed(d).sum(dtype=_U)), int(mixed(d ^ ODD).sum(dtype=_U))))
             alike = n > 0 and 100 * (n - alone) >= self.percent * n
             shared.append(d[common].view(np.int64) if alike else np.zeros(0, np.int64))
             length = n + (-self.percent * n // 100) + 1  # n - ceil(t n) + 1
             for o in range(self.orders):
-                if not alike:
-                    prefixes[o].append(np.zeros(0, np.int64))
-                    continue
-                pick = np.lexsort((mixed(d + salts[o]), rank))[:length]
+                pick = np.lexsort((mixed(d + salts[o]), rank))[:length] if alike else np.zeros(0, np.int64)
                 prefixes[o].append(d[pick[common[pick]]].view(np.int64))
+                if o == 0:
+                    places.append(np.flatnonzero(common[pick]))
 
         def lists(values: list[np.ndarray]) -> pa.Array:
             ends = np.cumsum([0, *map(len, values)])
@@ -108,17 +114,20 @@ class Sets:
         signed = np.array(names, _U).reshape(-1, 2).view(np.int64)
         return pa.table({
             "doc_id": table.column("doc_id"),
-            "n": pa.array(sizes, pa.int64()), "own": pa.array(own, pa.int64()),
+            "n": pa.array(sizes, pa.int64()), "own": pa.array(own, pa.int64()), "usual": pa.array(usual, pa.float64()),
             "name0": pa.array(signed[:, 0]), "name1": pa.array(signed[:, 1]),
             "shared": lists(shared),
+            "places": lists(places),
             **{f"prefix{o}": lists(prefixes[o]) for o in range(self.orders)},
         })
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether the sizes, and the shingles that no other set has, leave enough room for the overlap."""
-    most = F.least(F.col(f"n{a}") - F.col(f"own{a}"), F.col(f"n{b}") - F.col(f"own{b}"))
-    return 100 * most >= percent * (F.col(f"n{a}") + F.col(f"n{b}") - most)
+def _possible(percent: int) -> Column:
+    """Whether the sizes leave room for the overlap that x and y need, after their own shingles, which no other set
+    has, and with the shingle they meet at as the first common one: none before it in either order is common."""
+    need = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent))
+    room = [F.col(f"n_{s}") - F.greatest(F.col(f"own_{s}"), F.col(f"place_{s}")) for s in "xy"]
+    return (room[0] >= need) & (room[1] >= need)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
@@ -147,8 +156,8 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     A first pass counts in how many documents each shingle stands. A second keeps, per set, its prefix under
     ``orders`` global orders, rare shingles first. Sets that share a prefix shingle of the first order meet: first
     each with the most common-place set of the shingle's group, which a large group of near copies mostly links
-    to; then all pairs that those links have not joined yet. Pairs must share prefix shingles under every order,
-    and pass a bound from the shingles that are theirs alone, before the sets themselves are compared.
+    to; then all pairs that those links have not joined yet. Pairs must have room for the overlap they need after
+    the place where they meet, and share prefix shingles under every order, before the sets are compared.
 
     Null or empty text, or no word: size 0, linked with nothing. Fewer words than ``size``: all of them are one
     shingle. Null doc_id: never the smallest, unless all are null. Repeated rows: equal sets, one class. Empty
@@ -165,7 +174,7 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     prefixes = ", ".join(f"prefix{o} array<long>" for o in range(orders))
     sets = rows.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(
         lambda t, a: steps.prefixes(t, a),
-        f"doc_id long, n long, own long, name0 long, name1 long, shared array<long>, {prefixes}",
+        f"doc_id long, n long, own long, usual double, name0 long, name1 long, shared array<long>, places array<long>, {prefixes}",
     )
     sets = settle(sets.withColumn("_row", F.monotonically_increasing_id()), "shingles")
 
@@ -176,18 +185,19 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     reps = sets.join(classes.select(F.col("_rep").alias("_row")), "_row", "left_semi")
     members = settle(
         reps.filter(F.size("prefix0") > 0).select(
-            F.col("_row").alias("x"), F.col("n").alias("n_x"), F.col("own").alias("own_x"),
-            F.explode("prefix0").alias("token"),
+            F.col("_row").alias("x"), F.col("n").alias("n_x"), F.col("own").alias("own_x"), "usual",
+            F.inline(F.arrays_zip(F.col("prefix0").alias("token"), F.col("places").alias("place_x"))),
         ),
         "prefixes",
     )
-    plain = (F.col("own_x") / F.col("n_x")).alias("share")  # the fewer shingles of its own, the more others are like it
+    # the commoner a set's shingles are, the more others are like it
     centre = members.groupBy("token").agg(
-        F.min(F.struct(plain, F.col("x").alias("y"), F.col("n_x").alias("n_y"), F.col("own_x").alias("own_y"))).alias("c"),
+        F.min(F.struct((-F.col("usual")).alias("u"), F.col("x").alias("y"), F.col("n_x").alias("n_y"), F.col("own_x").alias("own_y"),
+                       F.col("place_x").alias("place_y"))).alias("c"),
         F.count(F.lit(1)).alias("in_group"),
     )
-    centre = centre.filter(F.col("in_group") > 1).select("token", "c.y", "c.n_y", "c.own_y")
-    pairs = members.join(centre, "token").filter((F.col("x") != F.col("y")) & _possible("_x", "_y", percent))
+    centre = centre.filter(F.col("in_group") > 1).select("token", "c.y", "c.n_y", "c.own_y", "c.place_y")
+    pairs = members.join(centre, "token").filter((F.col("x") != F.col("y")) & _possible(percent))
     pairs = settle(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
     links = settle(_verified(pairs, sets, percent, orders), "links")
 
@@ -195,13 +205,19 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     label = components(links)
     tagged = members.join(label.select(F.col("node").alias("x"), "component"), "x", "left")
     tagged = settle(tagged.withColumn("component", F.coalesce("component", "x")), "tagged")
-    open_groups = tagged.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    open_groups = open_groups.filter(F.col("a") != F.col("b")).select("token")
-    rest = settle(tagged.join(open_groups, "token"), "open")
-    other = rest.select("token", *[F.col(c).alias(c.replace("x", "y")) for c in ("x", "n_x", "own_x")],
+    rest = tagged
+    for _ in range(2):  # members without room for any set of the group leave it, which closes most groups
+        groups = rest.groupBy("token").agg(
+            F.min("component").alias("a"), F.max("component").alias("b"), F.min("n_x").alias("least")
+        )
+        groups = groups.filter(F.col("a") != F.col("b")).select("token", "least")
+        need = F.ceil(percent * (F.col("n_x") + F.col("least")) / (100 + percent))
+        room = F.col("n_x") - F.greatest("own_x", "place_x")
+        rest = settle(rest.join(groups, "token").filter(room >= need).drop("least"), "open")
+    other = rest.select("token", *[F.col(c).alias(c.replace("x", "y")) for c in ("x", "n_x", "own_x", "place_x")],
                         F.col("component").alias("component_y"))
     more = rest.join(other, "token").filter(
-        (F.col("x") < F.col("y")) & (F.col("component") != F.col("component_y")) & _possible("_x", "_y", percent)
+        (F.col("x") < F.col("y")) & (F.col("component") != F.col("component_y")) & _possible(percent)
     )
     # those met through a centre have been compared
     more = more.select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti")
@@ -225,6 +241,6 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, order
     """
     found = linked(docs, size, percent, orders)
     keep = found.filter((F.col("doc_id").isNull() & F.col("component_id").isNull()) | (F.col("doc_id") == F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+    keep = keep.select(F.col("doc_id").alias("__keep")).distinct()
+    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
     return rows
