@@ -7,7 +7,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +134,7 @@ class Model:
             self.cuts = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         else:
             self.cuts = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-        self.known: dict[str, tuple[bytes, bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}  # the ids of segments
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its bytes (and its end) the place in the original's UTF-8."""
@@ -306,37 +306,41 @@ class Model:
                 groups.append(([s], symbols, np.array([len(symbols)])))
         for texts, symbols, sizes in groups:
             ids, sizes = self._ids(symbols, sizes)
-            surfaces = [self.surface[i] for i in ids.tolist()]
-            ends = np.cumsum(sizes)
-            id_bytes, widths = ids.astype("<u4").tobytes(), self.widths[ids].tobytes()
-            letters, at = b"".join(surfaces), np.r_[0, np.cumsum([len(x) for x in surfaces])]
-            cuts = np.r_[0, ends]
-            for s, i, j, x, y in zip(texts, cuts.tolist(), ends.tolist(), at[cuts].tolist(), at[ends].tolist()):
-                self.known[s] = id_bytes[4 * i : 4 * j], letters[x:y], widths[4 * i : 4 * j]
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-        """Ids with begin and end, the first and last source byte of each, and the decoded bytes."""
-        normal, align = self.normalised(text)
-        segments = self.cuts.findall(normal)
-        try:
-            found = [self.known[s] for s in segments]
-        except KeyError:
-            self.learn(segments)
-            found = [self.known[s] for s in segments]
-        ids = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-        ends = np.cumsum(np.frombuffer(b"".join([f[2] for f in found]), "<u4"), dtype=np.int64)
-        decoded = b"".join([f[1] for f in found])
+            data, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
+            for s, i, j in zip(texts, (ends - 4 * sizes).tolist(), ends.tolist()):
+                self.known[s] = data[i:j]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+        """Of each text: ids with begin and end, the first and last source byte of each, and the decoded bytes.
+
+        Texts come in groups, as the rounds of merges are cheap for many segments at once.
+        """
+        normal = [self.normalised(t) for t in texts]
+        segments = [self.cuts.findall(n) for n, _ in normal]
+        different = {s: None for own in segments for s in own}
+        self.learn(list(different))
+        return [self._joined(t, align, own) for t, (_, align), own in zip(texts, normal, segments)]
+
+    def _joined(self, text: str, align: np.ndarray, segments: list[str]) -> tuple:
+        ids = b"".join(map(self.known.__getitem__, segments))
+        numbers = np.frombuffer(ids, "<u4")
+        widths = self.widths[numbers]
+        decoded = b"".join(map(self.surface.__getitem__, numbers.tolist()))
         if self.dummy_prefix and decoded.startswith(b" "):
             decoded = decoded[1:]
-        first = align[np.r_[0, ends[:-1]]] if len(ends) else ends
-        last = align[np.minimum(ends, len(align) - 1)] if len(ends) else ends
-        size = len(text.encode()) if len(ends) else 0
-        return (
-            np.concatenate([[self.begin], ids, [self.end]]).astype("<u4"),
-            np.concatenate([[0], first, [size]]),
-            np.concatenate([[0], last, [size]]),
-            decoded,
-        )
+        count = len(widths)
+        size = int(align[-1]) if count else 0
+        # where pieces begin in the source: at 0 for the begin id, then one after the other
+        begins = np.zeros(count + 2, np.int64)
+        ends = np.zeros(count + 2, np.int64)
+        if count:
+            places = np.cumsum(widths, dtype=np.int64)
+            ends[1:-1] = align[places]
+            begins[1] = align[0]
+            begins[2:-1] = ends[1:-2]
+        begins[-1] = ends[-1] = size
+        whole = self.begin.to_bytes(4, "little") + ids + self.end.to_bytes(4, "little")
+        return np.frombuffer(whole, "<u4"), begins, ends, decoded
 
 
 _models: dict[int, Model] = {}  # one per Python worker and model file
@@ -349,28 +353,23 @@ def _model(data: bytes) -> Model:
     return _models[key]
 
 
-def _learn_batch(model: Model, texts: list[str]) -> None:
-    """Fills the cache for a group of texts at once, as long rounds are cheap."""
-    segments: dict[str, None] = {}
-    for t in texts:
-        segments.update(dict.fromkeys(model.cuts.findall(model.normalised(t)[0])))
-        if len(segments) > CACHE // 4:
-            model.learn(list(segments))
-            segments.clear()
-    model.learn(list(segments))
+def _groups(batch: pa.RecordBatch, rows: int = 128, limit: int = 1_000_000) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of a few rows at a time: so many rows, or characters, or one text."""
+    for begin in range(0, batch.num_rows, rows):
+        part = batch.slice(begin, rows)
+        group: list[str] = []
+        size = first = 0
+        for n, text in enumerate(part.column("text").to_pylist()):
+            group.append(text)
+            size += len(text)
+            if size >= limit or n + 1 == part.num_rows:
+                yield part.column("doc_id").slice(first, len(group)), group
+                group, size, first = [], 0, n + 1
 
 
-def _groups(texts: list[str], limit: int = 2_000_000) -> Iterator[list[str]]:
-    group: list[str] = []
-    size = 0
-    for t in texts:
-        group.append(t)
-        size += len(t)
-        if size >= limit:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values).astype(np.int32)))
 
 
 def encoded(docs: DataFrame, model_file: str, digests: bool = False) -> DataFrame:
@@ -390,38 +389,30 @@ def encoded(docs: DataFrame, model_file: str, digests: bool = False) -> DataFram
         data = file.read()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sha(values: list[bytes]) -> pa.Array:
+        return pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(data)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"].tolist()]
-            at = 0
-            for group in _groups(texts):
-                _learn_batch(model, group)
-                rows = [model.encode(t) for t in group]
-                own = batch["doc_id"].iloc[at : at + len(group)].reset_index(drop=True)
-                at += len(group)
+            for own, group in _groups(batch):
+                rows = model.encode(group)
                 if digests:
-                    yield pd.DataFrame({
-                        "doc_id": own,
-                        "n_tokens": [len(r[0]) for r in rows],
-                        "ids_sha256": [hashlib.sha256(r[0].tobytes()).hexdigest() for r in rows],
-                        "decoded_sha256": [hashlib.sha256(r[3]).hexdigest() for r in rows],
-                        "spans_sha256": [
-                            hashlib.sha256(np.concatenate(r[1:3]).astype("<u4").tobytes()).hexdigest() for r in rows
-                        ],
-                    })
+                    columns = {
+                        "n_tokens": pa.array([len(r[0]) for r in rows], pa.int64()),
+                        "ids_sha256": sha([r[0].tobytes() for r in rows]),
+                        "decoded_sha256": sha([r[3] for r in rows]),
+                        "spans_sha256": sha([np.concatenate(r[1:3]).astype("<u4").tobytes() for r in rows]),
+                    }
                 else:
-                    yield pd.DataFrame({
-                        "doc_id": own,
-                        "ids": [r[0].astype(np.int32) for r in rows],
-                        "begins": [r[1].astype(np.int32) for r in rows],
-                        "ends": [r[2].astype(np.int32) for r in rows],
-                        "decoded": [r[3].decode("utf-8", "replace") for r in rows],
-                    })
+                    columns = {name: _lists([r[i] for r in rows]) for i, name in enumerate(("ids", "begins", "ends"))}
+                    columns["decoded"] = pa.array([r[3].decode("utf-8", "replace") for r in rows], pa.string())
+                yield pa.RecordBatch.from_pydict({"doc_id": own} | columns)
+            pa.default_memory_pool().release_unused()
 
     schema = (
         "n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string" if digests
         else "ids array<int>, begins array<int>, ends array<int>, decoded string"
     )
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return texts.mapInPandas(run, f"doc_id {kind}, {schema}")
+    return texts.mapInArrow(run, f"doc_id {kind}, {schema}")
