@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.exchange import batched, bucket_bits, cut, texts
-from tidepanel.llm.vector import lower_ascii, mixed, word_bounds, word_hashes
+from tidepanel.llm.vector import ODD, lower_ascii, mixed, word_bounds, word_hashes
 
 DEPTH = 6  # bytes of context
 FOLDS, HELD = 7, 2  # documents whose CRC-32 leaves this remainder do not train
@@ -19,7 +19,7 @@ END_WORD = np.uint64(0x9E3779B97F4A7C15)
 WORD_SHIFT = 6  # words go by 58 bits of their hash
 SMALL = 4096
 BATCH_BYTES = 16 << 20
-PART_BYTES = 4 << 20  # bytes whose contexts are sorted together
+PART_BYTES = 2 << 20  # bytes whose contexts are sorted together
 TREES = 256  # groups of subtrees
 _U = np.uint64
 
@@ -177,16 +177,17 @@ def byte_keys(bodies: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     if not bodies:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     data = np.concatenate([x for b in bodies for x in (pad, b, end)])
-    keep = np.ones(len(data), bool)
     sizes = np.array([len(b) + 1 for b in bodies])
-    starts = np.cumsum(sizes + depth) - sizes - depth
+    n = len(data)
+    keys = data[depth - 1 : n - 1].astype(_U)
+    for k in [*range(2, depth + 1), 0]:
+        np.left_shift(keys, _U(8), out=keys)
+        np.bitwise_or(keys, data[depth - k : n - k], out=keys)
+    keep = np.ones(len(keys), bool)  # places 0 to depth - 1 of each text are fill
+    begin = np.cumsum(sizes + depth)[:-1] - depth
     for k in range(depth):
-        keep[starts + k] = False
-    at = np.flatnonzero(keep)
-    keys = data[at - 1].astype(_U)
-    for k in range(2, depth + 1):
-        keys = (keys << _U(8)) | data[at - k]
-    return (keys << _U(8)) | data[at], np.cumsum(sizes) - sizes
+        keep[begin + k] = False
+    return keys[keep], np.cumsum(sizes) - sizes
 
 
 def _words(body: np.ndarray) -> np.ndarray:
@@ -226,33 +227,37 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 class Lookup:
-    """Places of keys in an open-addressed table."""
+    """Values of keys, in an open-addressed table."""
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(np.ceil(np.log2(max(1, 2 * len(keys))))))
-        self.slots = np.full(1 << self.bits, -1, np.int64)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            free = self.slots[slot] < 0
-            self.slots[slot[free]] = left[free]  # of several, the last one gets the slot
-            stay = self.slots[slot] != left
-            left, slot = left[stay], (slot[stay] + 1) & ((1 << self.bits) - 1)
+        self.last = (1 << self.bits) - 1
+        self.keys = np.full(1 << self.bits, _U(2**64 - 1))  # no key is that large
+        self.values = np.zeros(1 << self.bits, values.dtype)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] == _U(2**64 - 1))
+            self.keys[slot[free]] = keys[free]  # of several, the last one gets the slot
+            self.values[slot[free]] = values[free]
+            stay = self.keys[slot] != keys
+            keys, values, slot = keys[stay], values[stay], (slot[stay] + 1) & self.last
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (mixed(keys) >> _U(64 - self.bits)).astype(np.int64)
+        return ((keys * ODD) >> _U(64 - self.bits)).astype(np.int64)
 
     def __call__(self, wanted: np.ndarray) -> np.ndarray:
         slot = self._slot(wanted)
-        place = self.slots[slot]
-        left = np.flatnonzero(self.keys[place] != wanted)
+        out = self.values[slot]
+        left = np.flatnonzero(self.keys[slot] != wanted)
+        slot, wanted = slot[left], wanted[left]
         while len(left):
-            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
-            place[left] = self.slots[slot[left]]
-            if (place[left] < 0).any():
+            if (self.keys[slot] == _U(2**64 - 1)).any():
                 raise KeyError("a key that was never asked for")
-            left = left[self.keys[place[left]] != wanted[left]]
-        return place
+            slot = (slot + 1) & self.last
+            out[left] = self.values[slot]
+            stay = self.keys[slot] != wanted
+            left, slot, wanted = left[stay], slot[stay], wanted[stay]
+        return out
 
 
 class Scorer:
@@ -296,6 +301,7 @@ class Scorer:
                 (b, _packed(keys[i:j]), _planes(counts[i:j], "<u4")) for b, i, j in cut(self._bucket(kind, keys))
             ]
         batch = table.column("_batch")[0].as_py()
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "_bucket": pa.array([r[0] for r in rows], pa.int64()),
             "_batch": pa.array([batch] * len(rows), pa.int32()),
@@ -399,18 +405,21 @@ class Scorer:
         values = []
         for kind, dtype in ((0, "<f4"), (1, "<i8")):
             parts = [_unplanes(packed[i], dtype) for i in order if buckets[i] is not None and buckets[i] % 2 == kind]
-            values.append(np.concatenate([*parts, np.zeros(0)]).astype(np.float64))
+            values.append(np.concatenate([*parts, np.zeros(0, dtype)]))
         tokens = pc.max(replies.column("tokens")).as_py() or 0
         different = pc.max(replies.column("different")).as_py() or 0
-        symbols, words = (Lookup(self._asked(bodies, train, kind)[0]) for kind in (0, 1))
+        symbols, words = (Lookup(self._asked(bodies, train, kind)[0], values[kind]) for kind in (0, 1))
         n_tokens, n_known, base, score = [], [], [], []
-        for body in bodies:
-            own = _words(body)
-            count = values[1][words(own)]
-            n_tokens.append(len(own))
-            n_known.append(int((count > 0).sum()))
-            base.append(float(np.log10((count + 1) / (tokens + different + 1)).sum()))
-            score.append(float(values[0][symbols(byte_keys([body], self.depth)[0])].sum()))
+        for part in _parts(bodies):
+            keys, starts = byte_keys(bodies[part], self.depth)
+            score += np.add.reduceat(symbols(keys).astype(np.float64), starts).tolist()
+            own = [_words(b) for b in bodies[part]]
+            sizes = np.array([len(w) for w in own])
+            starts = np.cumsum(sizes) - sizes
+            count = words(np.concatenate(own))
+            n_tokens += sizes.tolist()
+            n_known += np.add.reduceat(count > 0, starts, dtype=np.int64).tolist()
+            base += np.add.reduceat(np.log10((count + 1) / (tokens + different + 1)), starts).tolist()
         return pa.table({
             "doc_id": table.column("doc_id"),
             "held_out": table.column("held_out"),
