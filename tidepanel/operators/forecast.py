@@ -137,20 +137,23 @@ def sample_paths(panel: DataFrame, folds: Folds, n_paths: int = 20, season: int
         F.slice("past", season + 1, length - season), F.slice("past", 1, length - season), lambda new, old: new - old
     )
     contexts = contexts.withColumn("_pool", F.filter(pool, lambda e: e.isNotNull()))
-    centre = _last_week(season)
-    steps = contexts.filter(F.size("_pool") > 0).select("*", F.posexplode("future").alias("_i", TARGET))
-    if not folds.ahead:
-        steps = steps.filter(F.col(TARGET).isNotNull())
-    steps = steps.withColumn("h", F.col("_i") + 1)
-    steps = steps.withColumn("_centre", centre(F.col("h")))
-    draws = steps.select(
-        KEY, "cutoff", F.date_add("cutoff", F.col("h")).alias(DAY), "h", TARGET, "_centre", "_pool",
-        F.explode(F.sequence(F.lit(1), F.lit(n_paths))).alias("sample"),
-    )
-    label = F.concat_ws("|", KEY, F.col("cutoff").cast("string"), F.col("h"), F.col("sample"))
-    seed = F.conv(F.substring(F.md5(label), 1, 8), 16, 10).cast("long")
-    pick = F.get("_pool", (seed % F.size("_pool")).cast("int"))
-    return draws.select(KEY, "cutoff", DAY, "h", TARGET, "sample", (F.col("_centre") + pick).alias("y_sim"))
+    contexts = contexts.filter(F.size("_pool") > 0)
+
+    # all draws of a context in one array, so that its pool is not copied for each of them
+    def draw(k: Column) -> Column:
+        h, sample = F.floor(k / n_paths).cast("int") + 1, (k % n_paths).cast("int") + 1
+        label = F.concat_ws("|", KEY, F.col("cutoff").cast("string"), h.cast("string"), sample.cast("string"))
+        seed = F.conv(F.substring(F.md5(label), 1, 8), 16, 10).cast("long")
+        error = F.get("_pool", (seed % F.size("_pool")).cast("int"))
+        value = _last_week(season)(h) + error
+        return F.struct(
+            F.date_add("cutoff", h).alias(DAY), h.alias("h"), F.get("future", h - 1).alias(TARGET),
+            sample.alias("sample"), value.alias("y_sim"),
+        )
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(folds.horizon * n_paths - 1)), draw)
+    draws = contexts.select(KEY, "cutoff", F.inline(every))
+    return draws if folds.ahead else draws.filter(F.col(TARGET).isNotNull())
 
 
 def path_summary(paths: DataFrame, coverage: float = DEFAULTS.coverage) -> DataFrame:
