@@ -36,8 +36,8 @@ NEIGHBOURS = 3  # diagonals that many words apart are one: so many words may be
 COVER = 0.75  # share of a longer template's pairs that a span must hold
 
 
-def templates(spark: SparkSession, base: dict[str, str], more: dict[str, str]) -> DataFrame:
-    """One row per word pair of each template; as many rows as the templates have words."""
+def template_rows(base: dict[str, str], more: dict[str, str]) -> list[tuple]:
+    """(template, whether a base phrase, label, place of the pair, pairs of the template, pair) for each word pair."""
     rows = []
     for n, (phrase, label) in enumerate([*base.items(), *more.items()]):
         terms = phrase.split()
@@ -45,8 +45,13 @@ def templates(spark: SparkSession, base: dict[str, str], more: dict[str, str]) -
             raise ValueError(f"a template needs {GRAM} words: {phrase!r}")
         for at in range(len(terms) - GRAM + 1):
             rows.append((n, n < len(base), label, at, len(terms) - GRAM + 1, " ".join(terms[at : at + GRAM])))
+    return rows
+
+
+def templates(spark: SparkSession, base: dict[str, str], more: dict[str, str]) -> DataFrame:
+    """The word pairs of all templates; as many rows as these have words."""
     table = spark.createDataFrame(
-        rows, "template int, base boolean, label string, at int, pairs int, t_gram string"
+        template_rows(base, more), "template int, base boolean, label string, at int, pairs int, t_gram string"
     )
     return table.withColumn("t_hash", F.xxhash64("t_gram"))
 
