@@ -52,7 +52,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.linked(documents(spark, sf_dir))
+    return ngram_join.linked(documents(spark, sf_dir)).drop("n_links")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,4 +194,20 @@ f AS (
 SELECT p.page_id, p.url, p.day, coalesce(f.blocks, false) AS blocked, f.domain AS entry_domain,
        CAST(f.since AS BIGINT) AS entry_since
 FROM p LEFT JOIN f ON p.page_id = f.page_id""",
+    "op8_ngram_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '{_WORD}') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(ws[i:i + 3], ' ') AS g
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r
+  JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r
+  GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach(r, c) AS (SELECT r, r FROM d UNION SELECT l.a, reach.c FROM reach JOIN l ON l.b = reach.r)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(e.doc_id) AS component_id
+FROM d JOIN reach ON reach.r = d.r JOIN d e ON e.r = reach.c LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id""",
 }
