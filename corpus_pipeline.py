@@ -13,8 +13,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of alike ones stays: the one with the smallest doc_id."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group of alike ones stays: the one with the smallest doc_id. Alike: 80 % of the runs of
+    five words."""
+    return ngram_join.one_of_each(docs, size=5, percent=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

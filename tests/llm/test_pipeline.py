@@ -79,7 +79,7 @@ def test_stages(spark, stages):
     assert sorted(map(tuple, found[names[0]].collect()), key=str) == sorted(docs, key=str)
     assert 0 < len(docs) < len(documents()) - 15  # the shop's pages go, and the short ones
 
-    smallest = {d: c for d, _, c in python_components([(d, t) for d, t, *_ in docs])}
+    smallest = {d: c for d, _, c in python_components([(d, t) for d, t, *_ in docs], size=5, percent=80)}
     docs = [r for r in docs if smallest[r[0]] == r[0]]
     assert sorted(map(tuple, found[names[1]].collect()), key=str) == sorted(docs, key=str)
 
