@@ -151,7 +151,8 @@ def without_frequent_lines(docs: DataFrame, rules: Rules = Rules(), host: str =
     """The rows of ``docs`` with the frequent lines of their host taken out of the text (null stays null)."""
     rows = measured(docs, host)
     key = F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
-    marked = docs.withColumns({"__id": F.monotonically_increasing_id(), "__host": key})
+    # stored, as both sides of the join below need the same numbers
+    marked = settle(docs.withColumns({"__id": F.monotonically_increasing_id(), "__host": key}), "numbered")
     lines = marked.select("__id", "__host", F.posexplode(F.split(whole(), "\n")).alias("__at", "__line"))
     lines = lines.withColumn("__h", F.xxhash64(F.lower(F.concat_ws(" ", words(F.col("__line"), WORD)))))
     often = frequent_lines(rows, rules).select(F.col("_host").alias("__host"), F.col("h").alias("__h"))

@@ -41,8 +41,8 @@ def judged(captures: DataFrame, entries: DataFrame, last_day: int, url: str = "u
 
     Entries become validity intervals [since, until). Each is listed under the blocks of SPAN days that it
     touches up to ``last_day``, so the as-of join is an equality on domain and block that leaves few intervals
-    for each capture; a hot domain's captures spread over the blocks and can be split further by Spark. An entry
-    covers its domain and all below it. Of the entries in force the one of the longest domain decides.
+    for each host and day, which are judged once however many captures they have. An entry covers its domain and all
+    below it. Of the entries in force the one of the longest domain decides.
 
     A capture without host or day, or with no entry in force: not blocked, null entry. Repeated captures: each
     gives its own row. Entries with a null are ignored. Empty tables: no rows, or nothing blocked. All columns of
@@ -57,24 +57,25 @@ def judged(captures: DataFrame, entries: DataFrame, last_day: int, url: str = "u
             )
         ),
     )
-    own = captures.withColumn("__id", F.monotonically_increasing_id())
-    names = F.when(host(F.col(url)) != "", domains(host(F.col(url)))).otherwise(F.array(F.lit("")))
-    asked = own.select(
-        "__id", F.col(day).cast("int").alias("_day"), F.explode(names).alias("domain"),
-        F.floor(F.col(day).cast("int") / SPAN).alias("block"),
+    own = captures.withColumns({"__host": host(F.col(url)), "__day": F.col(day).cast("int")})
+    # captures of one host and day are judged once
+    asked = own.select("__host", "__day").filter((F.col("__host") != "") & F.col("__day").isNotNull()).distinct()
+    asked = asked.select(
+        "__host", "__day", F.explode(domains(F.col("__host"))).alias("domain"),
+        F.floor(F.col("__day") / SPAN).alias("block"),
     )
     found = (
         asked.join(spans, ["domain", "block"])
-        .filter((F.col("since") <= F.col("_day")) & (F.col("_day") < F.col("until")))
-        .groupBy("__id")
+        .filter((F.col("since") <= F.col("__day")) & (F.col("__day") < F.col("until")))
+        .groupBy("__host", "__day")
         .agg(F.max(F.struct(F.length("domain").alias("n"), "domain", "since", "blocks")).alias("_e"))
         .select(
-            "__id",
+            "__host", "__day",
             (F.col("_e.blocks") == 1).alias("blocked"),
             F.col("_e.domain").alias("entry_domain"),
             F.col("_e.since").cast("long").alias("entry_since"),
         )
     )
     new = ["blocked", "entry_domain", "entry_since"]
-    out = own.drop(*new).join(found, "__id", "left").drop("__id")
+    out = own.drop(*new).join(found, ["__host", "__day"], "left").drop("__host", "__day")
     return out.withColumn("blocked", F.coalesce("blocked", F.lit(False)))
