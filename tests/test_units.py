@@ -21,6 +21,7 @@ from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.ets import candidate_grid, ets_auto, fit_paths, series_arrays
 from tidepanel.operators.folds import Folds, SparsePanel, cv_folds, fold_context
+from tidepanel.session import scratch, settle
 from tidepanel.sources import readers, writers
 
 START = date(2020, 1, 1)
@@ -497,6 +498,15 @@ def _raw_without_prices(spark):
     return (folder,)
 
 
+def test_scratch_empties_what_was_settled(spark):
+    before = settle(spark.range(5), "before")
+    with pytest.raises(RuntimeError), scratch(spark):
+        inside = settle(spark.range(7), "inside")
+        assert inside.count() == 7
+        raise RuntimeError
+    assert before.count() == 5 and spark.read.parquet(inside.inputFiles()[0].rsplit("/", 1)[0]).count() == 0
+
+
 def test_depth_beyond_the_learner_is_refused():
     with pytest.raises(ValueError, match="depth"):
         T.TreeParams.of({"num_leaves": 2**31})

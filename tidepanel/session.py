@@ -2,10 +2,14 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_root: str | None = None
+_settled: list[tuple[str, StructType]] = []  # what scratch() may empty
 
 
 def local_session(cores: str | int = "*", app: str = "tidepanel", **extra: str) -> SparkSession:
@@ -57,4 +61,20 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    _settled.append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Empties the tables that were settled inside the block when it ends, also after an error.
+
+    Write or collect what is needed of the results inside it: they read these tables.
+    """
+    begin = len(_settled)
+    try:
+        yield
+    finally:
+        for path, schema in _settled[begin:]:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        del _settled[begin:]
