@@ -184,8 +184,11 @@ def _only(folds: Folds, i: int) -> Folds:
 
 
 def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str, Column] | None = None,
-                    refit: bool = DEFAULTS.refit):
-    """A forecaster that fits once at the first cutoff, or at each cutoff when ``refit`` is set."""
+                    refit: bool = DEFAULTS.refit, matrix: Callable[..., DataFrame] = training_matrix):
+    """A forecaster that fits once at the first cutoff, or at each cutoff when ``refit`` is set.
+
+    ``matrix(panel, specs, cutoff)`` makes the training rows; a search passes one that stores them.
+    """
     static = static or {}
     names = [s.name for s in specs]
 
@@ -193,8 +196,7 @@ def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str
         fits = [_only(folds, i) for i in range(folds.windows)] if refit else [folds]
         parts = []
         for fold in fits:
-            matrix = training_matrix(panel, specs, fold.first).withColumns(static)
-            scorer = learner(matrix, names, list(static))
+            scorer = learner(matrix(panel, specs, fold.first).withColumns(static), names, list(static))
             parts.append(recursive_forecast(scorer, panel, fold, specs, static))
         return reduce(DataFrame.unionByName, parts)
 

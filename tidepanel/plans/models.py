@@ -224,13 +224,13 @@ def _(t):
 @query("search_cv")
 def _(t):
     space = H.search_space(t.spark, 3, ranges=SHORT_TREES)
-    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidate, t.folds()))
+    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidates(), t.folds()))
 
 
 @query("search_cv_tweedie")
 def _(t):
     space = H.search_space(t.spark, 3, tweedie=True)
-    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidate, t.folds()))
+    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidates(), t.folds()))
 
 
 @query("search_cv_direct")
@@ -280,8 +280,8 @@ def _(t):
     """The default settings, the winner of a search over trees, and that of one over the tweedie model."""
     panel, folds = _stored(t), t.folds()
     best = {
-        "tuned": H.search_cv(panel, H.search_space(t.spark, 2, ranges=SHORT_TREES), H.recursive_candidate, folds),
-        "tweedie": H.search_cv(panel, H.search_space(t.spark, 2, tweedie=True), H.recursive_candidate, folds),
+        "tuned": H.search_cv(panel, H.search_space(t.spark, 2, ranges=SHORT_TREES), H.recursive_candidates(), folds),
+        "tweedie": H.search_cv(panel, H.search_space(t.spark, 2, tweedie=True), H.recursive_candidates(), folds),
     }
     runs = {"default": T.gbt_base(T.TreeParams(trees=10))}
     runs |= {name: H.recursive_candidate(H.winner(found)) for name, found in best.items()}
