@@ -101,11 +101,17 @@ def gap_summary(panel: DataFrame) -> DataFrame:
     return out.withColumn("missing_pct", F.col("missing_rows") / F.col("expected_rows"))
 
 
+class GapError(ValueError):
+    def __init__(self, missing: int):
+        super().__init__(f"{missing} days are missing inside series; run fill_gaps first")
+        self.missing = missing
+
+
 def assert_no_gaps(panel: DataFrame) -> DataFrame:
     """Return ``panel``; raise when a day is missing inside a series."""
     missing = gap_summary(panel).agg(F.coalesce(F.sum("missing_rows"), F.lit(0))).first()[0]
     if missing:
-        raise ValueError(f"{missing} days are missing inside series; run fill_gaps first")
+        raise GapError(missing)
     return panel
 
 

@@ -230,9 +230,19 @@ def _(t):
     return tidy(R.gappiest(P.gap_summary(t.raw("supplier"))))
 
 
-@query("gap_assert", sql("SELECT * FROM panel_nation"))
-def _(t):
-    return P.assert_no_gaps(t.panel("nation"))
+@query("gap_assert", sql(
+    "SELECT 'filled' AS panel, CAST(0 AS BIGINT) AS missing, true AS passed UNION ALL SELECT 'raw', (SELECT CAST(sum(m) AS "
+    "BIGINT) FROM (SELECT max(ds) - min(ds) + 1 - count(*) AS m FROM raw_supplier GROUP BY unique_id) x), false"))
+def _(t):
+    """The check passes a filled panel and stops at a raw one, naming the missing days."""
+    rows = []
+    for name, panel in (("filled", t.panel("supplier")), ("raw", t.raw("supplier"))):
+        try:
+            P.assert_no_gaps(panel)
+            rows.append((name, 0, True))
+        except P.GapError as error:
+            rows.append((name, error.missing, False))
+    return t.spark.createDataFrame(rows, "panel string, missing long, passed boolean")
 
 
 DOW = "SELECT CAST(isodow(ds) - 1 AS INTEGER) AS dow, avg(y) AS mean_y FROM panel_nation GROUP BY 1"

@@ -115,10 +115,11 @@ def _(t):
 
 # --- reshapes -------------------------------------------------------------------------------------------
 @query("series_key", """
-SELECT p_type || '_' || CAST(s_nationkey AS VARCHAR) AS unique_id, count(*) AS n FROM lineitem
-LEFT JOIN part ON l_partkey = p_partkey AND p_size > 10 LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""")
+SELECT CASE WHEN p_size > 10 THEN p_type END || '_' || CAST(s_nationkey AS VARCHAR) AS unique_id, count(*) AS n
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""")
 def _(t):
-    part = t["part"].filter("p_size > 10").select("p_partkey", "p_type")
+    """Ids of which a part is NULL, as for small parts here, are NULL."""
+    part = t["part"].select("p_partkey", F.when(F.col("p_size") > 10, F.col("p_type")).alias("p_type"))
     supplier = t["supplier"].select("s_suppkey", "s_nationkey")
     rows = t["lineitem"].join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
