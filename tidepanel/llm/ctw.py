@@ -85,13 +85,18 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(counts, starts)
 
 
+def _both(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return _merge(*(np.concatenate(x) for x in zip(a, b)))
+
+
 def _counted(keys: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different sorted keys below 2**63, and how often each occurs where ``used``."""
-    both = np.sort((keys << _U(1)) | used.astype(_U))
+    both = (keys << _U(1)) | used
+    both.sort()
     starts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
     counts = np.diff(np.r_[starts, len(both)])
     each = both[starts]
-    return _merge(each >> _U(1), np.where(each & _U(1), counts, 0))
+    return _merge(each >> _U(1), np.where(each & _U(1), counts, 0).astype(np.uint32))
 
 
 class Tree:
@@ -284,9 +289,14 @@ class Scorer:
                 words = [_words(b) for b in bodies[part]]
                 keys, sizes = np.concatenate(words), [len(w) for w in words]
             found.append(_counted(keys, np.repeat(train[part], sizes)))
+            del keys
+            while len(found) > 1 and len(found[-2][0]) < 2 * len(found[-1][0]):  # alike sizes merge, so few wait
+                found[-2:] = [_both(*found[-2:])]
+        while len(found) > 1:
+            found[-2:] = [_both(*found[-2:])]
         if not found:
             return np.zeros(0, _U), np.zeros(0, np.int64)
-        keys, counts = _merge(*(np.concatenate(x) for x in zip(*found)))
+        keys, counts = found[0]
         order = np.argsort(self._bucket(kind, keys), kind="stable")
         return keys[order], counts[order]
 
