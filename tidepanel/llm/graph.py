@@ -20,8 +20,8 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: larger neighbours of a node link to its smallest one
-        large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = settle(large, "large-star")
+        large = both.join(least, "u").filter("v > u and v <> m")
+        large = settle(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         # small star: a node and its smaller neighbours link to the smallest of them
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -109,7 +109,8 @@ class Sets:
 
         def lists(values: list[np.ndarray]) -> pa.Array:
             ends = np.cumsum([0, *map(len, values)])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*values, np.zeros(0, np.int64)])))
+            flat = np.concatenate([*values, np.zeros(0, np.int64)])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
         signed = np.array(names, _U).reshape(-1, 2).view(np.int64)
         return pa.table({
@@ -135,15 +136,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> D
     others = [f"prefix{o}" for o in range(1, orders)]
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("_row").alias(name), F.col("n").alias(f"n_{name}"), F.col("shared").alias(f"s_{name}"),
-                           *[F.col(p).alias(f"{p}_{name}") for p in others])
+        return sets.select(
+            F.col("_row").alias(name), F.col("n").alias(f"n_{name}"), F.col("shared").alias(f"s_{name}"),
+            *[F.col(p).alias(f"{p}_{name}") for p in others],
+        )
 
     both = pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y")
     for p in others:
         both = both.filter(F.arrays_overlap(f"{p}_x", f"{p}_y"))
-    common = F.size(F.array_intersect("s_x", "s_y"))
-    both = both.withColumn("common", common)
-    return both.filter(100 * F.col("common") >= percent * (F.col("n_x") + F.col("n_y") - F.col("common"))).select("x", "y")
+    both = both.withColumn("common", F.size(F.array_intersect("s_x", "s_y")))
+    union = F.col("n_x") + F.col("n_y") - F.col("common")
+    return both.filter(100 * F.col("common") >= percent * union).select("x", "y")
 
 
 def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
@@ -174,7 +177,8 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     prefixes = ", ".join(f"prefix{o} array<long>" for o in range(orders))
     sets = rows.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(
         lambda t, a: steps.prefixes(t, a),
-        f"doc_id long, n long, own long, usual double, name0 long, name1 long, shared array<long>, places array<long>, {prefixes}",
+        "doc_id long, n long, own long, usual double, name0 long, name1 long, shared array<long>, "
+        f"places array<long>, {prefixes}",
     )
     sets = settle(sets.withColumn("_row", F.monotonically_increasing_id()), "shingles")
 
@@ -224,11 +228,14 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     links = settle(links.unionByName(_verified(more, sets, percent, orders)), "all-links")
 
     label = components(links).select(F.col("node").alias("_rep"), "component")
-    degree = links.select(F.explode(F.array("x", "y")).alias("_rep")).groupBy("_rep").agg(F.count(F.lit(1)).alias("n_links"))
+    ends = links.select(F.explode(F.array("x", "y")).alias("_rep"))
+    degree = ends.groupBy("_rep").agg(F.count(F.lit(1)).alias("n_links"))
     groups = classes.join(label, "_rep", "left").join(degree, "_rep", "left")
     groups = settle(groups.withColumn("component", F.coalesce("component", "_rep")), "groups")
     least = groups.groupBy("component").agg(F.min("_least").alias("component_id"))
-    groups = groups.join(least, "component").select("n", "name0", "name1", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    groups = groups.join(least, "component").select(
+        "n", "name0", "name1", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
     found = sets.select("doc_id", "n", *name).join(groups, ["n", "name0", "name1"])
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
 
@@ -240,7 +247,6 @@ def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, order
     per different text.
     """
     found = linked(docs, size, percent, orders)
-    keep = found.filter((F.col("doc_id").isNull() & F.col("component_id").isNull()) | (F.col("doc_id") == F.col("component_id")))
+    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = keep.select(F.col("doc_id").alias("__keep")).distinct()
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    return rows
+    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
