@@ -172,7 +172,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     )
     keys = keyed.select(*order)
     count = keys.count()
-    ranges = max(1, min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 5_000), count // 200))
+    ranges = max(1, min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 2_000), count // 200))
     ends = []
     if count:
         parts = settle(keys.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "url-ranges")

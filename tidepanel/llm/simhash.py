@@ -122,7 +122,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = ids.count()
-    ranges = max(1, min(RANGES, max(shuffles, count // 5_000), count // 500))
+    ranges = max(1, min(RANGES, max(shuffles, count // 2_000), count // 500))
     bounds = []
     if ranges > 1:
         at = [i / ranges for i in range(1, ranges)]
