@@ -396,6 +396,28 @@ def test_long_runs_of_pages(spark):
     assert got == want
 
 
+def test_differences_decide_inside_an_article(spark):
+    """Lines that two articles share go, captures of one URL are passed over, and a short page is no copy of its
+    frame; wherever the ranges of URLs are cut."""
+    def article(*lines):
+        return "<nav>menu</nav><article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>"
+
+    frame = "".join(f"<p>link {i}" for i in range(40))
+    rows = [(i, f"http://a.net/{i:03}", article(f"Own text {i}", "Subscribe to our letter", f"More of {i}")) for i in range(50)]
+    rows += [(100 + i, "http://b.net/1", article(f"Capture {i}", "Read this next")) for i in range(900)]
+    rows += [(2000, "http://b.net/2", article("Another", "Read this next")), (2001, "http://b.net/3", article("Third"))]
+    rows += [(3000 + i, f"http://c.net/{i}", f"{frame}<p>a few words of its own {i}") for i in range(2)]
+    rows += [(4000, "http://d.net/1", article("One", "Two")), (4001, "http://d.net/2", article("One", "Two")),
+             (4002, "http://d.net/3", article("Two", "Three"))]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extracted(docs).collect()}
+    assert all(got[i] == f"Own text {i}\nMore of {i}" for i in range(50))
+    assert all(got[100 + i] == f"Capture {i}" for i in range(900))
+    assert (got[2000], got[2001]) == ("Another", "Third")
+    assert [got[3000], got[3001]] == ["a few words of its own 0", "a few words of its own 1"]
+    assert [got[4000], got[4001], got[4002]] == ["One\nTwo", "One", "Three"]
+
+
 def test_empty_tables(spark, odd):
     docs = spark.createDataFrame([], "doc_id long, text string")
     web = spark.createDataFrame([], "page_id long, url string, html string")

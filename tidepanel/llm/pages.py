@@ -13,7 +13,9 @@ from tidepanel.llm.urls import host
 from tidepanel.session import settle
 
 RANGES = 20_000  # most ranges of URLs; the first and last key of each pass through the driver
-COPY = 0.9  # a neighbour that shares this much of the free text is a copy, and nothing is deleted
+COPY = 0.9  # a neighbour that shares this much of the main block is a copy, and nothing is deleted for it
+LONG = 0.5  # free lines at least so long, by the longest one, are the main block of a page without an article
+AT_ONCE = 500  # rows sent on at once
 
 # fixed values: elements of HTML
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -133,34 +135,76 @@ def common(a: list[str], b: list[str]) -> list[int]:
     return out[::-1]
 
 
-def main_text(marks: str, lines: list[str], other: list[str] | None) -> str:
-    """The lines inside an article or main element. A page without one keeps the free lines that the neighbour
-    does not share, all lines aligned in order."""
-    if MAIN_MARK in marks:
-        return "\n".join(line for mark, line in zip(marks, lines) if mark == MAIN_MARK)
-    free = [i for i, mark in enumerate(marks) if mark == FREE]
-    if other and free:
-        shared = set(common(lines, other)).intersection(free)
-        if sum(len(lines[i]) for i in shared) < COPY * sum(len(lines[i]) for i in free):
-            free = [i for i in free if i not in shared]
-    return "\n".join(lines[i] for i in free)
+def main_text(marks: str, lines: list[str], others: list[list[str]]) -> tuple[str, bool]:
+    """The lines that stay of a page, and whether one of ``others``, nearest first, has decided by its differences.
+
+    The page's own lines are those inside an article or main element, or the free ones of a page without such an
+    element. All lines are aligned in order with those of the first of ``others`` that is no copy, and own lines
+    that both have go. A copy has COPY of the page's main block: its article, or its LONG free lines, as the short
+    lines of a common frame do not make a copy.
+    """
+    mark = MAIN_MARK if MAIN_MARK in marks else FREE
+    own = [i for i, m in enumerate(marks) if m == mark]
+    least = 0 if mark == MAIN_MARK else LONG * max((len(lines[i]) for i in own), default=0)
+    block = [i for i in own if len(lines[i]) >= least]
+    for other in others if own else []:
+        shared = set(common(lines, other))
+        if sum(len(lines[i]) for i in block if i in shared) < COPY * sum(len(lines[i]) for i in block):
+            return "\n".join(lines[i] for i in own if i not in shared), True
+    return "\n".join(lines[i] for i in own), False
+
+
+def _neighbours(parts: DataFrame, order: list[str]) -> tuple[list, dict, dict]:
+    """First key of each range, and which ranges need a key's page as the nearest one of another URL before their
+    first page, or after their last one. A URL whose captures fill whole ranges is passed over."""
+    key = F.struct(*order)
+    ends = parts.groupBy("_range").agg(F.min(key).alias("a"), F.max(key).alias("b"))
+    ends = settle(ends, "url-ends")
+    inner = parts.join(F.broadcast(ends), "_range").groupBy("_range").agg(  # RANGES rows at most
+        F.max(F.when(F.col("_url") != F.col("b._url"), key)).alias("before"),
+        F.min(F.when(F.col("_url") != F.col("a._url"), key)).alias("after"),
+    )
+    found = sorted(
+        (tuple(r["a"]), tuple(r["b"]), r["before"] and tuple(r["before"]), r["after"] and tuple(r["after"]))
+        for r in ends.join(inner, "_range").collect()
+    )
+    link = order.index("_url")
+    wanted: tuple[dict, dict] = ({}, {})
+
+    def carried(numbers: range, near: int, far: int, within: int, out: dict) -> None:
+        key = last = None
+        for n in numbers:
+            if last is not None:
+                url = found[n][near][link]
+                if found[last][far][link] != url:
+                    key = found[last][far]
+                elif found[last][within] is not None:
+                    key = found[last][within]
+                if key is not None:
+                    out.setdefault(key, []).append(n)
+            last = n
+
+    carried(range(len(found)), 0, 1, 2, wanted[0])
+    carried(range(len(found) - 1, -1, -1), 1, 0, 3, wanted[1])
+    return [r[0] for r in found], *wanted
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """The main text of each row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    Blocks come from the markup. Each page is paired with the page before it by URL path within its host, or after
-    it for the first one, and their lines are aligned by a longest common subsequence. Shared lines go, as do
-    menus, headers, footers, sidebars, notices, adverts, forms and comments, known by their elements, roles and
-    class names. Lines inside an article or main element stay even if the neighbour has them, as copies of an
-    article would else delete each other; so differences decide for pages without such an element.
+    Blocks come from the markup. Each page's lines are aligned by a longest common subsequence with those of the
+    nearest page of another URL by URL path within its host: the one before it, or the one after it if there is none
+    before or that is a copy. Other captures of the same URL are passed over. Shared lines go. Structure only adds to
+    that: menus, headers, footers, sidebars, notices, adverts, forms and comments go, known by their elements, roles
+    and class names, and on a page with an article or main element also what is outside.
 
-    Pages are cut into blocks before they move, then dealt out once by ranges of host and path; only the first and
-    last key of each range pass through the driver, and tasks stream through their ranges.
+    Pages are cut into blocks before they move, then dealt out once by ranges of host and path; only four keys of
+    each range pass through the driver, and tasks stream through their ranges. They hold back the captures of one
+    URL that wait for the page after them.
 
-    Null or empty html, or no block: empty text, n_chars 0. Null url: host and path are empty. The same URL twice,
-    or a neighbour that has nearly all free lines: it is a copy, and nothing goes for it. Repeated rows: each gives
-    its own row. Empty table: no rows. Other columns are ignored.
+    Null or empty html, or no block: empty text, n_chars 0. Null url: host and path are empty. A neighbour that has
+    nearly all of the main block is a copy, and nothing goes for it. Repeated rows: each gives its own row. Empty
+    table: no rows. Other columns are ignored.
     """
     spark = pages.sparkSession
     url = F.coalesce("url", F.lit(""))
@@ -173,15 +217,20 @@ def extracted(pages: DataFrame) -> DataFrame:
     keys = keyed.select(*order)
     count = keys.count()
     ranges = max(1, min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 2_000), count // 200))
-    ends = []
+    firsts, before_of, after_of = [], {}, {}
     if count:
         parts = settle(keys.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "url-ranges")
-        ends = parts.groupBy("_range").agg(F.min(F.struct(*order)).alias("a"), F.max(F.struct(*order)).alias("b")).collect()
-    firsts = sorted(tuple(r["a"]) for r in ends)
-    lasts = sorted(tuple(r["b"]) for r in ends)
+        firsts, before_of, after_of = _neighbours(parts, order)
     # code points and UTF-8 bytes sort alike, so Python compares as Spark does
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["page_id", "url", *order, "_marks", "_lines", "_range", "_role"]
+
+        def frame(rows: list[tuple]) -> pd.DataFrame:
+            out = pd.DataFrame(rows, columns=names)
+            out["page_id"] = out["page_id"].astype("Int64")
+            return out
+
         for batch in batches:
             rows = []
             for page, link, source, *key in batch.itertuples(index=False):
@@ -190,14 +239,13 @@ def extracted(pages: DataFrame) -> DataFrame:
                 place = max(bisect_right(firsts, own) - 1, 0)
                 row = (page, link, *own, "".join(m for m, _ in found), "\n".join(t for _, t in found))
                 rows.append((*row, place, 1))
-                if place + 1 < len(firsts) and own == lasts[place]:
-                    rows.append((*row, place + 1, 0))
-                if place and own == firsts[place]:
-                    rows.append((*row, place - 1, 2))
-            names = ["page_id", "url", *order, "_marks", "_lines", "_range", "_role"]
-            out = pd.DataFrame(rows, columns=names)
-            out["page_id"] = out["page_id"].astype("Int64")
-            yield out
+                for role, wanted in ((0, before_of), (2, after_of)):
+                    for where in wanted.get(own, ()):
+                        rows.append((*row, where, role))
+                        if len(rows) >= AT_ONCE:
+                            yield frame(rows)
+                            rows = []
+            yield frame(rows)
 
     moved = keyed.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", *order).mapInPandas(
         cut,
@@ -207,15 +255,24 @@ def extracted(pages: DataFrame) -> DataFrame:
     moved = moved.repartition(ranges, "_range").sortWithinPartitions("_range", *order, "_role")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before = now = None
+        last = other = None  # the row before, and the last one of another URL
+        waiting: list = []  # captures of one URL that have no use for the page before
 
-        def result(left, row, right) -> tuple:
-            near = [x for x in (left, right) if x is not None and x.place == row.place and x.host == row.host]
-            pair = next((x for x in near if x.link != row.link), None)
-            lines = row.lines.split("\n") if row.lines else []
-            text = main_text(row.marks, lines, pair.lines.split("\n") if pair is not None else None)
+        def split(row) -> list[str]:
+            return row.lines.split("\n") if row.lines else []
+
+        def near(row, neighbour) -> list[list[str]]:
+            here = neighbour is not None and neighbour.place == row.place and neighbour.host == row.host
+            return [split(neighbour)] if here else []
+
+        def result(row, text: str) -> tuple:
             return None if pd.isna(row.page_id) else int(row.page_id), row.url, text, len(text)
 
+        def closed(neighbour) -> list[tuple]:
+            out = [result(row, main_text(row.marks, split(row), near(row, neighbour))[0]) for row in waiting]
+            waiting.clear()
+            return out
+
         def frame(rows: list[tuple]) -> pd.DataFrame:
             out = pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"])
             out["page_id"] = out["page_id"].astype("Int64")
@@ -224,12 +281,19 @@ def extracted(pages: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                if now is not None and now.role == 1:
-                    rows.append(result(before, now, row))
-                before, now = now, row
+                if last is not None and (last.place != row.place or last.link != row.link):
+                    rows += closed(row)
+                    other = last
+                last = row
+                if row.role != 1:
+                    continue
+                text, decided = main_text(row.marks, split(row), near(row, other))
+                if decided:
+                    rows.append(result(row, text))
+                else:
+                    waiting.append(row)
             yield frame(rows)
-        if now is not None and now.role == 1:
-            yield frame([result(before, now, None)])
+        yield frame(closed(None))
 
     return moved.select(
         "page_id", "url", F.col("_host").alias("host"), F.col("_url").alias("link"), F.col("_marks").alias("marks"),
