@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from __spark_entry__ import queries
 from tidepanel.llm import ctw, exchange, graph, ngram_join, pages, pieces, simhash, suffixes
 from tidepanel.llm.vector import gram_hashes, text_bytes, word_bounds, word_hashes
 
@@ -205,6 +206,36 @@ def test_simhash_within_radius(spark):
     assert found[0].fingerprint == python_print("a b").hex() and (found[1].f0, found[1].f1) == (0, 0)
 
 
+def test_simhash_finds_near_copies(spark, odd):
+    """Every hundredth document against all others, bit by bit; repeated ids and null ids count."""
+    rnd = random.Random(8)
+    docs = []
+    for i in range(60):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([40, 300]))]
+        docs.append((i * 100, " ".join(words)))
+        for k in range(rnd.choice([0, 1, 6])):
+            new = list(words)
+            for _ in range(k):
+                new[rnd.randrange(len(new))] = "edited"
+            docs.append((rnd.choice([None, i * 100 + k + 1, i * 100]), " ".join(new)))
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    caught = 0
+    for table, data in ((rows, docs), (odd, [(r.doc_id, r.text) for r in odd.collect()])):
+        prints = [int.from_bytes(python_print(t), "big") for _, t in data]
+        want = []
+        for i, (d, _) in enumerate(data):
+            near = [((prints[i] ^ p).bit_count(), 2**63 if o is None else o) for j, (p, (o, _)) in enumerate(zip(prints, data)) if j != i]
+            near = sorted(x for x in near if x[0] <= simhash.RADIUS)
+            caught += sum(x[0] > 3 for x in near)
+            asks = d is not None and d % 100 == 0
+            bits, one = near[0] if near else (None, None)
+            want.append((d, len(near), None if one == 2**63 else one, bits) if asks else (d, None, None, None))
+        got = simhash.searched(table).select("doc_id", "near_count", "nearest_id", "nearest_bits").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert caught > 10
+    assert {"near_count", "nearest_id"} <= set(queries()["op10_simhash"](spark, "/root/testdata/sf0.001").columns)
+
+
 # ---- SentencePiece
 
 def tricky():

@@ -60,7 +60,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.compared(documents(spark, sf_dir))
+    return simhash.searched(documents(spark, sf_dir))
 
 
 QUERIES = {
