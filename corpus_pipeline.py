@@ -8,8 +8,8 @@ from tidepanel.session import settle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return quality.accepted(docs)
+    """Documents that the rules reject go, and frequent lines of the others; n_chars is counted anew."""
+    return quality.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,6 +102,33 @@ def test_stages(spark, stages):
     assert Counter((r.doc_id, tuple(r.ids)) for r in whole.collect()) == want
 
 
+def python_cleaned(docs):
+    """The accepted documents without their source's frequent lines."""
+    lines, texts = defaultdict(set), defaultdict(set)
+    for _, t, _, s, _ in docs:
+        texts[s].add(t or "")
+        for x in (t or "").split("\n"):
+            lines[s, " ".join(x.split()).lower()].add(t or "")
+    out = []
+    for d, t, lang, s, _ in python_accepted(docs):
+        keep = [x for x in t.split("\n")
+                if not x.split() or len(lines[s, " ".join(x.split()).lower()]) <= max(10, 0.1 * len(texts[s]))]
+        out.append((d, "\n".join(keep), lang, s, len("\n".join(keep))))
+    return out
+
+
+def test_frequent_lines_go_from_kept_documents(spark):
+    rows = documents()
+    rows += [(2000 + i, f"{t}\n\nBack to  TOP\n", "en", "src0", None) for i, (_, t, *_) in enumerate(rows[:60])]
+    rows += [(3000 + i, f"back to top\n{t}", "fr", None, 1) for i, (_, t, *_) in enumerate(rows[60:90])] + rows[-1:] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.STAGES[0][1](spark, docs.repartition(3), "")
+    assert got.columns == docs.columns
+    want = python_cleaned(rows)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert len([r for r in want if r[0] >= 2000]) > 80 and not any("back to" in r[1].lower() for r in want)
+
+
 def test_an_empty_corpus(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")

@@ -115,9 +115,13 @@ def judged(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> Dat
     gives its own row, and equal texts count once per line. Empty table: no rows. Other columns are ignored.
     """
     rows = measured(docs, host)
+    return _verdicts(rows, frequent_lines(rows, rules), rules)
+
+
+def _verdicts(rows: DataFrame, often: DataFrame, rules: Rules) -> DataFrame:
     lines = rows.select("_row", "_host", F.inline("_parts"))
     removed = (
-        lines.join(frequent_lines(rows, rules), ["_host", "h"])
+        lines.join(often, ["_host", "h"])
         .groupBy("_row")
         .agg(F.sum("n").alias("_removed"))
     )
@@ -147,6 +151,31 @@ def accepted(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> D
     return marked.join(out, ["__host", "__text"], "left_semi").select(*docs.columns)
 
 
+def cleaned(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, without the frequent lines of their host. Columns stay; n_chars, if
+    there, is counted anew.
+
+    Lines are counted once, on ``docs``, for the verdict and for the removal. Both follow from the text and the
+    host, so they are looked up by both; a null doc_id does not matter.
+    """
+    rows = measured(docs, host)
+    often = settle(frequent_lines(rows, rules), "frequent-lines")
+    kept = _verdicts(rows, often, rules).filter("kept").select("_host", "_text").distinct()
+    lines = rows.select("_host", "_text", F.explode(F.array_distinct(F.transform("_parts", lambda p: p["h"]))).alias("h"))
+    gone = lines.join(often, ["_host", "h"]).groupBy("_host", "_text").agg(F.collect_set("h").alias("__gone"))
+    kept = kept.join(gone, ["_host", "_text"], "left").withColumnsRenamed({"_host": "__host", "_text": "__text"})
+    marked = docs.withColumn("__host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
+    found = marked.withColumn("__text", F.xxhash64(whole())).join(kept, ["__host", "__text"])
+    left = F.filter(
+        F.split("text", "\n"),
+        lambda x: ~F.array_contains("__gone", F.xxhash64(F.lower(F.concat_ws(" ", words(x))))),
+    )
+    found = found.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left)))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
 def without_frequent_lines(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
     """The rows of ``docs`` with the frequent lines of their host taken out of the text (null stays null)."""
     rows = measured(docs, host)
