@@ -150,6 +150,20 @@ def test_join(spark, monkeypatch, odd):
     assert ngram_join.one_of_each(odd).columns == odd.columns
 
 
+def test_one_row_of_each_class(spark):
+    """Repeated rows of a class's first document, ids with several texts, and classes of null ids."""
+    text = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(6)]
+    rows = [(1, text[0], "a")] * 5 + [(2, text[0], "a"), (None, text[0], "a"), (1, text[0] + " end", "a")]
+    rows += [(None, text[1], "b")] * 3 + [(None, text[1] + " end", "b"), (None, text[2], "c"), (7, text[2], "c")]
+    rows += [(1, text[3], "d"), (0, text[3], "d"), (None, text[4], "e"), (5, text[5], "f"), (5, text[5], "g")]
+    rows += [(9, None, "n"), (9, None, "n"), (None, " ", "n")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3)
+    got = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
+    found = Counter((d, s if s in "abcden" else "f") for d, _, s in got)
+    assert found == {(1, "a"): 1, (None, "b"): 1, (7, "c"): 1, (0, "d"): 1, (None, "e"): 1, (5, "f"): 1, (9, "n"): 2, (None, "n"): 1}
+    assert all(r in rows for r in got)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 103), (103, 101), (7, 7), (200, 201), (201, 200)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(links, "x long, y long")).collect()))

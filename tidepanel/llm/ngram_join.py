@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidepanel.llm.exchange import LOW, batched, bucket_bits, cut, squeezed, texts, unsqueezed
 from tidepanel.llm.graph import components
 from tidepanel.llm.vector import ODD, gram_hashes, lower_ascii, mixed, word_bounds, word_hashes
+from tidepanel.llm.words import WORD
 from tidepanel.session import settle
 
 SIZE = 4
@@ -115,6 +116,7 @@ class Sets:
         signed = np.array(names, _U).reshape(-1, 2).view(np.int64)
         return pa.table({
             "doc_id": table.column("doc_id"),
+            "text_key": table.column("text_key"),
             "n": pa.array(sizes, pa.int64()), "own": pa.array(own, pa.int64()), "usual": pa.array(usual, pa.float64()),
             "name0": pa.array(signed[:, 0]), "name1": pa.array(signed[:, 1]),
             "shared": lists(shared),
@@ -166,7 +168,17 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     shingle. Null doc_id: never the smallest, unless all are null. Repeated rows: equal sets, one class. Empty
     table: no rows. Other columns are ignored.
     """
-    rows, total = batched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return _classes(docs, size, percent, orders)[0]
+
+
+def _text_key() -> Column:
+    return F.xxhash64("text")
+
+
+def _classes(docs: DataFrame, size: int, percent: int, orders: int) -> tuple[DataFrame, DataFrame]:
+    """``linked``, and of each class of documents with words its first row by doc_id, nulls last, and text_key:
+    (doc_id, text_key, times: rows with both)."""
+    rows, total = batched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key")))
     steps = Sets(total, size, percent, orders)
     asked = rows.groupBy("_batch").applyInArrow(
         lambda t: steps.ask(t), "_bucket int, _batch int, keys binary, counts binary"
@@ -177,14 +189,15 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     prefixes = ", ".join(f"prefix{o} array<long>" for o in range(orders))
     sets = rows.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(
         lambda t, a: steps.prefixes(t, a),
-        "doc_id long, n long, own long, usual double, name0 long, name1 long, shared array<long>, "
+        "doc_id long, text_key long, n long, own long, usual double, name0 long, name1 long, shared array<long>, "
         f"places array<long>, {prefixes}",
     )
     sets = settle(sets.withColumn("_row", F.monotonically_increasing_id()), "shingles")
 
     # equal sets are one; a set without shingles stays alone
     name = [F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("_row")).alias(c) for c in ("name0", "name1")]
-    classes = sets.groupBy("n", *name).agg(F.min("_row").alias("_rep"), F.min("doc_id").alias("_least"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("_first")
+    classes = sets.groupBy("n", *name).agg(F.min("_row").alias("_rep"), first)
     classes = settle(classes, "classes")
     reps = sets.join(classes.select(F.col("_rep").alias("_row")), "_row", "left_semi")
     members = settle(
@@ -232,21 +245,36 @@ def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: in
     degree = ends.groupBy("_rep").agg(F.count(F.lit(1)).alias("n_links"))
     groups = classes.join(label, "_rep", "left").join(degree, "_rep", "left")
     groups = settle(groups.withColumn("component", F.coalesce("component", "_rep")), "groups")
-    least = groups.groupBy("component").agg(F.min("_least").alias("component_id"))
-    groups = groups.join(least, "component").select(
+    least = groups.groupBy("component").agg(F.min("_first").alias("_first"))
+    least_worded = groups.filter("n > 0").groupBy("component").agg(F.min("_first").alias("_first"))
+    groups = groups.join(least.select("component", F.col("_first.doc_id").alias("component_id")), "component").select(
         "n", "name0", "name1", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     found = sets.select("doc_id", "n", *name).join(groups, ["n", "name0", "name1"])
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    keep = least_worded.select("_first.doc_id", "_first.text_key")
+    key = ["doc_id", "text_key"]
+    times = sets.filter("n > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
+    times = times.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
+    keep = keep.join(times, (F.col("text_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    return found, keep.select(*key, "times")
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the one with its smallest doc_id. Columns stay.
+    """One row of ``docs`` for each class: with its smallest doc_id, of these with the smallest hash of the text.
+    Columns stay.
 
-    Documents without a word are in no class, so all of them stay. Rows that repeat the smallest doc_id stay once
-    per different text.
+    Null doc_ids come last, and a class of such rows alone keeps one of them. Of rows with one doc_id and text any
+    one stays, even if they differ in other columns. Documents without a word are in no class, so all of them stay.
     """
-    found = linked(docs, size, percent, orders)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    keep = _classes(docs, size, percent, orders)[1].withColumnsRenamed({"doc_id": "__keep", "text_key": "__key"})
+    keep = settle(keep, "first-rows")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")) & (_text_key() == F.col("__key"))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    once = docs.filter(worded).join(keep.filter("times = 1"), same, "left_semi")
+    out = docs.filter(~worded).unionByName(once)
+    again = keep.filter("times > 1")
+    if not again.isEmpty():
+        rows = docs.filter(worded).join(again, same).dropDuplicates(["__keep", "__key"])
+        out = out.unionByName(rows.select(*docs.columns))
+    return out
