@@ -4,8 +4,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import ctw, licenses, mixing, ngram_join, pages as web, pieces, quality, simhash, suffixes, urls
-from tidepanel.llm.words import documents, pages
+from tidepanel.llm import (
+    alignment, bktree, ctw, licenses, mixing, negatives, ngram_join, pages as web, pieces, quality, simhash, suffixes, urls,
+)
+from tidepanel.llm.words import documents, embeddings, pages
 
 YEAR = 365
 
@@ -63,6 +65,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.searched(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some rows get the next label, so that near rows of another label exist."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = embeddings(spark, sf_dir).withColumn("label", moved)
+    return negatives.mined(rows, anchors=F.col("vec_id") % 50 == 0)
+
+
+def op12_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bktree.linked(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.counted(documents(spark, sf_dir), *files)
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_source_mix": op2_source_mix,
@@ -74,6 +93,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_bk_trees": op12_bk_trees,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -210,4 +232,24 @@ l AS (
 reach(r, c) AS (SELECT r, r FROM d UNION SELECT l.a, reach.c FROM reach JOIN l ON l.b = reach.r)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(e.doc_id) AS component_id
 FROM d JOIN reach ON reach.r = d.r JOIN d e ON e.r = reach.c LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id""",
+    "op11_hard_negatives": r"""
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0),
+p AS (
+  SELECT anchor_id, id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score
+   AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3""",
 }

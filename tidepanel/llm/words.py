@@ -22,3 +22,7 @@ def documents(spark, sf_dir: str) -> DataFrame:
 
 def pages(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def embeddings(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
