@@ -25,7 +25,6 @@ from tidepanel.session import local_session, settle
 def jobs(t: Tables, panel, types):
     """Name to a function that returns the DataFrame to run. ``panel`` has one series per supplier."""
     folds = t.folds()
-    trees, fewer = T.TreeParams(), T.TreeParams(trees=20)  # 100 trees by default
     top = settle(S.top_n_panel(panel, 50), "bench-top")
     # ids of five levels for the hierarchy of the categorical model
     five = F.concat_ws("_", F.lit("F"), F.col(KEY).cast("int") % 3, KEY, F.lit("R"), F.col(KEY).cast("int") % 5)
@@ -54,12 +53,12 @@ def jobs(t: Tables, panel, types):
         "ets_auto": lambda: ets_auto(panel, folds),
         "sample_paths": lambda: N.path_summary(N.sample_paths(panel, folds)),
         "abc_tiers": lambda: O.abc_tiers(panel),
-        "gbt_base_50_series": lambda: T.gbt_base(trees)(top, folds),
-        "gbt_rich_50_series": lambda: T.gbt_rich(trees)(top, folds),
-        "gbt_cat_50_series": lambda: T.gbt_cat(trees)(levels, folds),
-        "direct_50_series": lambda: T.direct_multihorizon(T.tree_learner(fewer))(top, folds),
+        "gbt_base_50_series": lambda: T.gbt_base()(top, folds),
+        "gbt_rich_50_series": lambda: T.gbt_rich()(top, folds),
+        "gbt_cat_50_series": lambda: T.gbt_cat()(levels, folds),
+        "direct_50_series": lambda: T.direct_multihorizon()(top, folds),
         "tweedie_glm_all_series": lambda: T.tweedie_glm(1.5)(panel, folds),
-        "gbt_base_types": lambda: T.gbt_base(fewer)(types, folds),
+        "gbt_base_types": lambda: T.gbt_base()(types, folds),
     }
 
 

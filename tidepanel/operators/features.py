@@ -1,7 +1,8 @@
 """Lag, rolling and calendar features.
 
-A spec gives the same feature in two forms: ``over`` a day-ordered window, for training tables, and ``at`` an
-offset past the end of an array of recent values, for forecasting days whose lags are known so far. The window
+A spec gives the same feature in three forms: ``over`` a day-ordered window, for training tables, and ``at`` an
+offset past the end of an array of recent values, for forecasting days whose lags are known so far. ``last`` is the
+latter for the first unknown day in numpy, with one row of recent values per series and NaN for unknown. The window
 columns a feature is made of are its ``parts``; features share those they have in common. Panels must be free of
 gaps. A rolling feature is NULL until its window is full.
 """
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 from typing import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,9 @@ class Lag:
     def at(self, values: Column, ahead: Column) -> Column:
         return _back(values, self.lag, ahead)
 
+    def last(self, past: np.ndarray) -> np.ndarray:
+        return past[:, -self.lag]
+
 
 def _mean(x: Column, n: int) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
@@ -115,6 +120,17 @@ class Rolling:
         known = F.filter(part, lambda v: v.isNotNull())
         return self._of(known, F.sort_array(known))
 
+    def last(self, past: np.ndarray) -> np.ndarray:
+        end = past.shape[1] - self.lag + 1
+        part = past[:, end - self.window : end]  # an unknown value makes the result unknown
+        return {
+            "mean": lambda: part.mean(axis=1),
+            "std": lambda: part.std(axis=1, ddof=1),
+            "min": lambda: part.min(axis=1),
+            "max": lambda: part.max(axis=1),
+            "quantile": lambda: np.quantile(part, self.q, axis=1),
+        }[self.kind]()
+
     def _of(self, values: Column, ordered: Column) -> Column:
         n = self.window
         value = {
@@ -159,6 +175,9 @@ class SeasonalMean:
     def at(self, values: Column, ahead: Column) -> Column:
         return sum(_back(values, k, ahead) for k in self._lags) / self.seasons
 
+    def last(self, past: np.ndarray) -> np.ndarray:
+        return sum(past[:, -k] for k in self._lags) / self.seasons
+
 
 @dataclass(frozen=True)
 class Calendar:

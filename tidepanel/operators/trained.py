@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.scalars import day_of_week, fourier_weekly, hierarchy_parts
+from tidepanel.operators.boost import Ensemble
 from tidepanel.operators.features import (
     BASE, RICH, Calendar, Spec, block, lagged, pooled_blocks, reach, training_matrix,
 )
@@ -102,6 +103,16 @@ def tree_learner(params: TreeParams = TreeParams()) -> Learner:
     return lambda matrix, features, labels: _fit(matrix, features, labels, tree_estimator(params))
 
 
+def boosted_learner(params: TreeParams = TreeParams()) -> Learner:
+    """Boosted trees by cohorts and shards, which fit in one job."""
+
+    def learn(matrix: DataFrame, features: list[str], labels: list[str]) -> Scorer:
+        ensemble = Ensemble(matrix, features, labels, {0: params})
+        return lambda rows: ensemble.scored(rows).drop("trial", "trees")
+
+    return learn
+
+
 def tweedie_estimator(power: float = 1.5, max_iter: int = 25, penalty: float = 1e-6, tol: float = 1e-4
                       ) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(
@@ -204,17 +215,35 @@ def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str
     return forecaster
 
 
+def boosted_model(params: TreeParams = TreeParams(), specs: list[Spec] = BASE, static: dict[str, Column] | None = None,
+                  refit: bool = DEFAULTS.refit):
+    """A forecaster of boosted trees that fits in one job and forecasts all steps in another; lags may be short."""
+    static, names = static or {}, [s.name for s in specs]
+
+    def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
+        fits = [_only(folds, i) for i in range(folds.windows)] if refit else [folds]
+        parts = []
+        for fold in fits:
+            matrix = training_matrix(panel, specs, fold.first).withColumns(static)
+            ensemble = Ensemble(matrix, names, list(static), {0: params})
+            parts.append(ensemble.recursed(panel, fold, specs, static).drop("trial", "trees"))
+        return reduce(DataFrame.unionByName, parts)
+
+    forecaster.fitted = True
+    return forecaster
+
+
 def gbt_base(params: TreeParams = TreeParams(), refit: bool = DEFAULTS.refit):
-    return recursive_model(tree_learner(params), BASE, refit=refit)
+    return boosted_model(params, BASE, refit=refit)
 
 
 def gbt_rich(params: TreeParams = TreeParams(), refit: bool = DEFAULTS.refit):
-    return recursive_model(tree_learner(params), RICH, refit=refit)
+    return boosted_model(params, RICH, refit=refit)
 
 
 def gbt_cat(params: TreeParams = TreeParams(), refit: bool = DEFAULTS.refit):
     """Rich features plus the levels of the id hierarchy."""
-    return recursive_model(tree_learner(params), RICH, hierarchy_parts(F.col(KEY)), refit)
+    return boosted_model(params, RICH, hierarchy_parts(F.col(KEY)), refit)
 
 
 def tweedie_glm(power: float = 1.5, specs: list[Spec] = BASE, refit: bool = DEFAULTS.refit):
@@ -244,6 +273,25 @@ def direct_features(contexts: DataFrame, size: int, rates: tuple[int, ...]) -> t
     return out, [*names, "h", "dow", "week_sin1", "week_cos1"]
 
 
+def direct_frames(panel: DataFrame, folds: Folds, size: int, rates: tuple[int, ...], start: date | None = None
+                  ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Training rows with a scaled target, rows to forecast, and the features of a direct model."""
+    days = (folds.first - (start or day_span(panel)[0])).days + 1
+    origins = (days - size) // folds.horizon
+    if origins < 1:
+        raise ValueError(f"{days} days of history have no room for a context of {size} days and a horizon")
+    past = Folds(folds.first, origins, folds.horizon, folds.horizon)
+    train, names = direct_features(fold_context(panel, past, size), size, rates)
+    train = train.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, F.col(TARGET) / F.col("_scale"))
+    rows, _ = direct_features(fold_context(panel, folds, size), size, rates)
+    return train, rows if folds.ahead else rows.filter(F.col(TARGET).isNotNull()), names
+
+
+def direct_rows(scored: DataFrame, *more: str) -> DataFrame:
+    """Forecast rows at the series' own scale."""
+    return scored.select(KEY, DAY, "cutoff", "h", TARGET, *more, (F.col("y_hat") * F.col("_scale")).alias("y_hat"))
+
+
 def direct_multihorizon(learner: Learner | None = None, size: int = 84, rates: tuple[int, ...] = (1, 2, 7),
                         start: date | None = None):
     """All steps at once: one model of the step and the pooled history, without feedback.
@@ -251,22 +299,11 @@ def direct_multihorizon(learner: Learner | None = None, size: int = 84, rates: t
     It is trained on all earlier cutoffs, a horizon apart, whose test windows end by the first fold's cutoff and
     whose context lies in the panel. ``start``, the panel's first day, saves the scan for it.
     """
-    learner = learner or tree_learner()
+    learner = learner or boosted_learner()
 
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
-        days = (folds.first - (start or day_span(panel)[0])).days + 1
-        origins = (days - size) // folds.horizon
-        if origins < 1:
-            raise ValueError(f"{days} days of history have no room for a context of {size} days and a horizon")
-        past = Folds(folds.first, origins, folds.horizon, folds.horizon)
-        train, names = direct_features(fold_context(panel, past, size), size, rates)
-        train = train.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, F.col(TARGET) / F.col("_scale"))
-        scorer = learner(train, names, [])
-        rows, _ = direct_features(fold_context(panel, folds, size), size, rates)
-        scored = scorer(rows if folds.ahead else rows.filter(F.col(TARGET).isNotNull()))
-        return scored.select(
-            KEY, DAY, "cutoff", "h", TARGET, (F.col("y_hat") * F.col("_scale")).alias("y_hat")
-        )
+        train, rows, names = direct_frames(panel, folds, size, rates, start)
+        return direct_rows(learner(train, names, [])(rows))
 
     forecaster.fitted = True
     return forecaster

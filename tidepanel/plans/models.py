@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidepanel.config import DAY, KEY, TARGET
 from tidepanel.functions.metrics import wmape
 from tidepanel.operators import evaluate as E
+from tidepanel.operators import features as X
 from tidepanel.operators import forecast as N
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
@@ -15,10 +16,7 @@ from tidepanel.session import settle
 
 # the library's defaults: 100 trees
 TREES = T.TreeParams()
-# Narrower ranges than the library's, so that three candidates of each search stay short. A reported
-# loss belongs to exactly the settings beside it.
-SHORT_TREES = H.TREE_RANGES | {"n_estimators": (4, 12), "learning_rate": (0.1, 0.4), "num_leaves": (4, 16)}
-SHORT_DIRECT = H.DIRECT_RANGES | {"max_steps": [4, 7, 10], "learning_rate": (0.1, 0.4)}
+CANDIDATES = 10
 
 
 @query("naive", sql("SELECT * FROM naive_supplier"))
@@ -98,12 +96,18 @@ def _(t):
 
 @query("recursive_forecast")
 def _(t):
-    return _trained(t, T.gbt_base(T.TreeParams(trees=10), refit=True), "Trees-Refit")
+    return _trained(t, T.gbt_base(TREES, refit=True), "Trees-Refit")
+
+
+@query("recursive_short_lags")
+def _(t):
+    """The day before enters, so each step needs the one before it."""
+    return _trained(t, T.boosted_model(TREES, [X.Lag(1), *X.BASE]), "Trees-Lag1", "nation")
 
 
 @query("direct_multihorizon")
 def _(t):
-    return _trained(t, T.direct_multihorizon(T.tree_learner(T.TreeParams(trees=20))), "Direct", "nation")
+    return _trained(t, T.direct_multihorizon(), "Direct", "nation")
 
 
 @query("per_category_models")
@@ -182,23 +186,22 @@ def _banded(t: Tables, forecaster, model: str, panel):
 
 @query("conformal_interval_trees")
 def _(t):
-    return _banded(t, T.gbt_base(T.TreeParams(trees=10)), "Trees", _stored(t))
+    return _banded(t, T.gbt_base(TREES), "Trees", _stored(t))
 
 
 @query("conformal_interval_rich")
 def _(t):
-    return _banded(t, T.gbt_rich(T.TreeParams(trees=10)), "Trees-Rich", _stored(t))
+    return _banded(t, T.gbt_rich(TREES), "Trees-Rich", _stored(t))
 
 
 @query("conformal_interval_cat")
 def _(t):
-    return _banded(t, T.gbt_cat(T.TreeParams(trees=10)), "Trees-Cat", leveled(t))
+    return _banded(t, T.gbt_cat(TREES), "Trees-Cat", leveled(t))
 
 
 @query("conformal_interval_direct")
 def _(t):
-    direct = T.direct_multihorizon(T.tree_learner(T.TreeParams(trees=10)))
-    return _banded(t, direct, "Direct", _stored(t, "nation"))
+    return _banded(t, T.direct_multihorizon(), "Direct", _stored(t, "nation"))
 
 
 @query("conformal_interval_ets")
@@ -223,21 +226,18 @@ def _(t):
 # --- search ---------------------------------------------------------------------------------------------
 @query("search_cv")
 def _(t):
-    space = H.search_space(t.spark, 3, ranges=SHORT_TREES)
-    return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidates(), t.folds()))
+    return tidy(H.staged_search(t.panel("supplier"), H.search_space(t.spark, CANDIDATES), t.folds()))
 
 
 @query("search_cv_tweedie")
 def _(t):
-    space = H.search_space(t.spark, 3, tweedie=True)
+    space = H.search_space(t.spark, CANDIDATES, tweedie=True)
     return tidy(H.search_cv(t.panel("supplier"), space, H.recursive_candidates(), t.folds()))
 
 
 @query("search_cv_direct")
 def _(t):
-    """Each candidate is scored on one hold-out of a horizon."""
-    space = H.search_space_direct(t.spark, 3, ranges=SHORT_DIRECT)
-    return tidy(H.search_cv(t.panel("nation"), space, H.direct_candidate, t.folds(windows=1)))
+    return tidy(H.staged_search_direct(t.panel("nation"), H.search_space_direct(t.spark, CANDIDATES), t.folds()))
 
 
 WEIGHTS = [round(i / 10, 1) for i in range(11)]
@@ -278,12 +278,13 @@ def _(t):
 @query("compare_tuned")
 def _(t):
     """The default settings, the winner of a search over trees, and that of one over the tweedie model."""
-    panel, folds = _stored(t), t.folds()
+    panel, folds = _stored(t, "nation"), t.folds()
+    spaces = H.search_space(t.spark, CANDIDATES), H.search_space(t.spark, CANDIDATES, tweedie=True)
     best = {
-        "tuned": H.search_cv(panel, H.search_space(t.spark, 2, ranges=SHORT_TREES), H.recursive_candidates(), folds),
-        "tweedie": H.search_cv(panel, H.search_space(t.spark, 2, tweedie=True), H.recursive_candidates(), folds),
+        "tuned": H.staged_search(panel, spaces[0], folds),
+        "tweedie": H.search_cv(panel, spaces[1], H.recursive_candidates(), folds),
     }
-    runs = {"default": T.gbt_base(T.TreeParams(trees=10))}
+    runs = {"default": T.gbt_base(TREES)}
     runs |= {name: H.recursive_candidate(H.winner(found)) for name, found in best.items()}
     rows = [(name, H.pooled_loss(run(panel, folds))) for name, run in runs.items()]
     losses = t.spark.createDataFrame(rows, "name string, loss double")

@@ -145,10 +145,9 @@ def _(t):
     def banded(forecaster, model: str, stage: str):
         return settle(E.named(N.conformal_interval(panel, forecaster, folds), model, stage), "banded")
 
-    few = T.TreeParams(trees=10)
     baselines = E.union_forecasts(banded(N.seasonal_naive, "SeasonalNaive", "baseline"), banded(ets_auto, "ETS", "baseline"))
-    trees = {"base": banded(T.gbt_base(few), "Trees", "ml"), "rich": banded(T.gbt_rich(few), "Trees-Rich", "ml")}
-    direct = banded(T.direct_multihorizon(T.tree_learner(few)), "Direct", "dl")
+    trees = {"base": banded(T.gbt_base(), "Trees", "ml"), "rich": banded(T.gbt_rich(), "Trees-Rich", "ml")}
+    direct = banded(T.direct_multihorizon(), "Direct", "dl")
     every, scored, ranked = E.final_tables(baselines, trees, direct, "nation")
     counts = every.groupBy("model", "stage").agg(F.count(F.lit(1)).alias("n_rows"))
     losses = scored.filter("metric = 'IntervalScore_80'").select("model", F.col("score").alias("interval_score"))
