@@ -17,6 +17,7 @@ SOME = [
     "champion_challenger", "best_candidate", "feature_backfill", "abc_tiers", "stream_daily_panel",
     "coverage_drift", "user_forecaster", "naive", "filter_min_history", "filter_positive_total", "batch_scoring_ahead",
     "feature_snapshot", "feature_backfill_table", "backfill_overwrite", "contract_score", "scan_raw_csv",
+    "partitioned_append", "fallback_forecast", "fallback_events",
 ]
 NAMES = sorted(oracle_sql()) if os.environ.get("FULL") else SOME
 

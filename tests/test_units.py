@@ -16,6 +16,7 @@ from tidepanel.operators import forecast as N
 from tidepanel.operators import monitor as O
 from tidepanel.operators import panel as P
 from tidepanel.operators import profile as R
+from tidepanel.operators import runs as U
 from tidepanel.operators import select as S
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
@@ -23,6 +24,7 @@ from tidepanel.operators.ets import candidate_grid, ets_auto, fit_paths, series_
 from tidepanel.operators.folds import Folds, SparsePanel, cv_folds, fold_context
 from tidepanel.session import scratch, settle
 from tidepanel.sources import readers, writers
+from tidepanel.sources.batches import BatchTable
 
 START = date(2020, 1, 1)
 
@@ -532,6 +534,73 @@ def test_fallback_and_freshness(spark):
     assert rows == {START: (5.0, False), START + timedelta(days=1): (1.0, True)}
 
 
+def test_batches_are_there_once_and_whole(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), "unique_id string, ds date, y double, store string", ("store",), "panel")
+    assert table.read().columns == ["unique_id", "ds", "y", "store", "batch"] and table.read().count() == 0
+
+    def rows(series):
+        return panel(spark, series).withColumn("store", F.concat(F.lit("s/"), "unique_id"))
+
+    def there():
+        return sorted((r.unique_id, r.y, r.store, r.batch) for r in table.read().collect())
+
+    assert table.append(rows({"a": [1, 2], "b": [3]}), "1 a/b")
+    want = [("a", 1.0, "s/a", "1 a/b"), ("a", 2.0, "s/a", "1 a/b"), ("b", 3.0, "s/b", "1 a/b")]
+    assert there() == want
+    assert not table.append(rows({"a": [1, 2], "b": [3]}), "1 a/b") and there() == want
+    # a run that stops after it has staged, or fails while it stages, changes nothing; the next one adds its rows once
+    table.stage(rows({"c": [4]}), "2")
+    with pytest.raises(Exception, match="bad value in column y"):
+        table.append(rows({"c": [4]}).withColumn("y", F.lit(None).cast("double")), "2")
+    assert there() == want
+    assert table.append(rows({"c": [4]}), "2") and there() == [*want, ("c", 4.0, "s/c", "2")]
+    # two runs that stage and commit the same batch side by side
+    first, second = table.stage(rows({"d": [5]}), "3"), table.stage(rows({"d": [5]}), "3")
+    table.commit("3", first)
+    table.commit("3", second)
+    assert there() == [*want, ("c", 4.0, "s/c", "2"), ("d", 5.0, "s/d", "3")]
+    assert table.append(rows({}), "empty") and table.commits().count() == 4 and table.read("empty").count() == 0
+    assert [r.n_rows for r in table.commits().orderBy("batch").collect()] == [3, 1, 1, 0]
+
+
+def test_the_last_valid_run_is_served(spark, tmp_path):
+    known = U.largest_known(panel(spark, {"a": [1, 10], "b": [2, 4]}))
+    days = [START + timedelta(days=i) for i in range(6)]
+
+    def run(day, values):
+        rows = [(k, START + timedelta(days=9), "m", v, day, "ml") for k, v in values.items()]
+        return spark.createDataFrame(rows, "unique_id string, ds date, model string, y_hat double, cutoff date, stage string")
+
+    table = U.run_table(spark, str(tmp_path / "runs"))
+    assert U.store_run(table, run(days[1], {"a": 1.0, "b": 1.0, "other": 1e9}), days[1])
+    assert not U.store_run(table, run(days[1], {"a": 5.0, "b": 5.0}), days[1])  # the job of that day ran again
+    U.store_run(table, run(days[2], {"a": 30.0, "b": 12.5}), days[2])  # above three times the largest known
+    with pytest.raises(Exception, match="bad value in column y_hat"):  # refused before it is stored
+        U.store_run(table, run(days[3], {"a": float("nan"), "b": 1.0}), days[3])
+    U.store_run(table, run(days[3], {"a": float("inf"), "b": -1.0}), days[3])
+    U.store_run(table, run(days[4], {"a": 2.0}), days[4])  # a series is missing
+    U.store_run(table, run(days[5], {"a": 3.0, "b": 0.0}), days[5])
+    checks = U.run_checks(table.read(), known)
+    rows = {r.run_date: tuple(r)[1:] for r in checks.collect()}
+    assert rows == {days[1]: (3, 0, 0, True), days[2]: (2, 1, 0, False), days[3]: (2, 2, 0, False),
+                    days[4]: (1, 0, 1, False), days[5]: (2, 0, 0, True)}
+    asked = spark.createDataFrame([(d, k, START + timedelta(days=9)) for d in days for k in "ab"],
+                                  "as_of date, unique_id string, ds date")
+    got = {(r.as_of, r.unique_id): (r.y_hat, r.run_date, r.used_fallback) for r in
+           U.fallback_forecast(asked, table.read(), checks).collect()}
+    assert got[days[0], "a"] == (None, None, False) and got[days[1], "b"] == (1.0, days[1], False)
+    assert all(got[days[i], "a"] == (1.0, days[1], True) for i in (2, 3, 4)) and got[days[5], "a"] == (3.0, days[5], False)
+    odd = run(days[0], {"a": float("nan"), "b": None}).withColumn("run_date", F.lit(days[0]))
+    assert tuple(U.run_checks(odd, known).first()) == (days[0], 2, 2, 0, False)
+    assert U.run_checks(odd.limit(0), known).count() == 0
+    events = U.event_table(spark, str(tmp_path / "events"))
+    expected = asked.select("unique_id", "ds").distinct()
+    for day in (days[3], days[4], days[3], days[5]):
+        U.serve(table, events, expected, known, day)
+    found = events.read().orderBy("as_of").collect()
+    assert [tuple(r)[:5] for r in found] == [(days[3], days[3], days[1], 2, 0), (days[4], days[4], days[1], 0, 1)]
+
+
 def test_append_adds_and_overwrite_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     first = panel(spark, {"a": [1, 2], "b": [3]}).withColumn("store", F.col("unique_id"))

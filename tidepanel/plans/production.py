@@ -8,6 +8,7 @@ from tidepanel.config import DAY, KEY, TARGET
 from tidepanel.operators import features as X
 from tidepanel.operators import forecast as N
 from tidepanel.operators import monitor as O
+from tidepanel.operators import runs as U
 from tidepanel.operators import trained as T
 from tidepanel.operators.evaluate import named
 from tidepanel.operators.folds import Folds
@@ -15,17 +16,23 @@ from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query,
 from tidepanel.plans.features import RICH_SQL, rich_sql
 from tidepanel.session import fresh_path, settle
 from tidepanel.sources import writers
+from tidepanel.sources.batches import BatchTable
 from tidepanel.streaming import daily
 
 
-@query("partitioned_append", sql("SELECT unique_id, ds, y, split_part(unique_id, '_', 2) AS region FROM raw_type_region"))
+@query("partitioned_append", sql("SELECT unique_id, ds, y, split_part(unique_id, '_', 2) AS region, CASE WHEN ds < DATE "
+                                 "'1999-01-01' THEN 'old' ELSE 'new/2' END AS batch FROM raw_type_region"))
 def _(t):
-    path = fresh_path(t.spark, "append")
-    rows = t.raw("type_region").withColumn("region", F.split(KEY, "_")[1])
+    """Two batches, of which one is sent twice, and a third that is staged but never committed."""
+    table = BatchTable(t.spark, fresh_path(t.spark, "append"), f"{KEY} string, {DAY} date, {TARGET} double, region string",
+                       ("region",), "panel")
+    rows = settle(t.raw("type_region").withColumn("region", F.split(KEY, "_")[1]), "raw")
     border = F.lit("1999-01-01").cast("date")
-    for part in (rows.filter(F.col(DAY) < border), rows.filter(F.col(DAY) >= border)):
-        writers.append_partitions(part, path, "panel", ("region",))
-    return t.spark.read.parquet(path)
+    parts = {"old": rows.filter(F.col(DAY) < border), "new/2": rows.filter(F.col(DAY) >= border)}
+    for name in ("old", "new/2", "old"):
+        table.append(parts[name], name)
+    table.stage(parts["old"], "stopped")
+    return table.read()
 
 
 @query("feature_snapshot", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
@@ -215,18 +222,57 @@ def _(t):
     return tidy(out.drop("last_run"))
 
 
-@query("fallback_forecast", sql(
+@query("fallback_rows", sql(
     "SELECT t.unique_id, t.ds, coalesce(n.y_hat, s.y_hat) AS y_hat, n.y_hat IS NULL AND s.y_hat IS NOT NULL AS "
     "used_fallback FROM (SELECT DISTINCT unique_id, ds FROM tests_nation) t LEFT JOIN (SELECT * FROM naive_nation WHERE "
     "y_hat > 0) n ON n.unique_id = t.unique_id AND n.ds = t.ds LEFT JOIN snaive_nation s ON s.unique_id = t.unique_id "
     "AND s.ds = t.ds"))
 def _(t):
+    """The same policy row by row, between two tables of forecasts."""
     panel, folds = t.panel("nation"), t.folds()
     good = N.seasonal_naive(panel, folds)
     current = N.naive(panel, folds).filter(F.col("y_hat") > 0)
     return O.fallback_forecast(good.select(KEY, DAY).distinct(), current, good)
 
 
+def served(t: Tables):
+    """The runs of the last three days are stored, the newest one broken; what is served, and the table of events.
+
+    The job of the second day runs twice, and so does the serving.
+    """
+    panel = settle(t.panel("nation"), "panel")
+    runs = U.run_table(t.spark, fresh_path(t.spark, "runs"))
+    events = U.event_table(t.spark, fresh_path(t.spark, "events"))
+    for back in (2, 1, 1, 0):
+        day = t.last - timedelta(days=back)
+        rows = named(N.seasonal_naive(panel, Folds.beyond(day)), "SeasonalNaive", "baseline")
+        if back == 0:
+            rows = rows.withColumn("y_hat", F.when(F.col(KEY).contains("1"), F.col("y_hat") * 1000 + 1e6).otherwise(F.col("y_hat")))
+        U.store_run(runs, rows, day)
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(28))).alias("h")
+    expected = panel.select(KEY).distinct().select(KEY, ahead).select(KEY, F.date_add(F.lit(t.last), F.col("h")).alias(DAY))
+    for _ in range(2):
+        out = U.serve(runs, events, expected, U.largest_known(panel), t.last)
+    return out, events
+
+
+@query("fallback_forecast", sql(
+    "SELECT s.hi AS as_of, k.unique_id, s.hi + h.h AS ds, n.y AS y_hat, s.hi - 1 AS run_date, true AS used_fallback "
+    "FROM (SELECT DISTINCT unique_id FROM panel_nation) k CROSS JOIN span s CROSS JOIN (SELECT CAST(h AS INTEGER) AS h "
+    "FROM range(1, 29) t(h)) h LEFT JOIN panel_nation n ON n.unique_id = k.unique_id AND h.h < 28 AND n.ds = s.hi - 7 + h.h "
+    "% 7"))
+def _(t):
+    """Without its newest run, the run of the day before has 27 of the 28 days."""
+    return served(t)[0]
+
+
+@query("fallback_events", sql(
+    "SELECT s.hi AS as_of, s.hi AS wanted_run, s.hi - 1 AS served_run, (SELECT 28 * count(DISTINCT unique_id) FROM "
+    "panel_nation WHERE unique_id LIKE '%1%') AS n_bad, CAST(0 AS BIGINT) AS n_missing, CAST(s.hi AS VARCHAR) AS batch FROM span s"))
+def _(t):
+    return served(t)[1].read()
+
+
 @query("input_drift", sql("""SELECT unique_id, avg(y) FILTER (ds > hi - 28) AS recent_mean, avg(y) FILTER (ds <= hi - 28)
 AS prior_mean, stddev_samp(y) FILTER (ds <= hi - 28) AS prior_std, (avg(y) FILTER (ds > hi - 28) - avg(y) FILTER (ds <= hi
 - 28)) / nullif(stddev_samp(y) FILTER (ds <= hi - 28), 0) AS z_score, coalesce(abs((avg(y) FILTER (ds > hi - 28) - avg(y)
