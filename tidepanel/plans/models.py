@@ -7,6 +7,7 @@ from tidepanel.functions.metrics import wmape
 from tidepanel.operators import evaluate as E
 from tidepanel.operators import features as X
 from tidepanel.operators import forecast as N
+from tidepanel.operators import glm as G
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.ets import ets_auto, simple_smoothing
@@ -110,10 +111,38 @@ def _(t):
     return _trained(t, T.direct_multihorizon(), "Direct", "nation")
 
 
+def _glm_sql(steps: int, power: float) -> str:
+    """Weighted least squares on an intercept and one feature, so many times; a group's system is solved by Cramer's rule."""
+    parts = {
+        "glm_rows": "SELECT p.region, p.y, ln(1 + p.x) AS x FROM (SELECT split_part(unique_id, '_', 2) AS region, ds, y, "
+                    "lag(y, 7) OVER (PARTITION BY unique_id ORDER BY ds) AS x FROM panel_type_region) p "
+                    "WHERE p.x IS NOT NULL AND p.ds <= (SELECT min(cutoff) FROM cutoffs)",
+    }
+    for k in range(steps):
+        eta = "ln(CASE WHEN y > 0 THEN y ELSE 0.1::DOUBLE END)" if k == 0 else "b0 + b1 * x"
+        rows = "glm_rows" if k == 0 else f"glm_rows JOIN glm{k - 1} USING (region)"
+        parts[f"glm{k}"] = (
+            f"SELECT region, (r0 * s11 - r1 * s01) / (s00 * s11 - s01 * s01) AS b0, (r1 * s00 - r0 * s01) / (s00 * s11 - s01 "
+            f"* s01) AS b1 FROM (SELECT region, sum(w) AS s00, sum(w * x) AS s01, sum(w * x * x) AS s11, sum(w * z) AS r0, "
+            f"sum(w * x * z) AS r1 FROM (SELECT region, x, pow(exp(eta), {2 - power}::DOUBLE) AS w, eta + (y - exp(eta)) / "
+            f"exp(eta) AS z FROM (SELECT region, x, y, {eta} AS eta FROM {rows}) a) b GROUP BY region) c")
+    return sql(f"SELECT region AS category, b0 AS intercept, b1 AS slope FROM glm{steps - 1}", "intercept slope", **parts)
+
+
+@query("per_category_coefficients", _glm_sql(4, 1.5))
+def _(t):
+    """The coefficients of all categories after four steps, on last week's value."""
+    panel, specs = t.panel("type_region"), [X.Lag(7)]
+    rows = G.logged(X.training_matrix(panel, specs, t.folds().first), ["lag7"])
+    rows = settle(rows.select(F.split(KEY, "_")[1].alias("category"), TARGET, "_log_lag7"), "matrix")
+    beta = G.coefficients(rows, ["_log_lag7"], ["category"], steps=4)
+    return tidy(beta.select("category", F.col("_beta")[0].alias("intercept"), F.col("_beta")[1].alias("slope")))
+
+
 @query("per_category_models")
 def _(t):
-    of = F.split(KEY, "_")[1]
-    return tidy(T.per_category(T.tweedie_learner(1.5), of)(t.panel("type_region"), t.folds()))
+    panel = settle(t.panel("type_region"), "model-panel")
+    return tidy(G.per_category_glm(F.split(KEY, "_")[1])(panel, t.folds()))
 
 
 @query("user_forecaster", sql(

@@ -12,6 +12,7 @@ from tidepanel.operators import runs as U
 from tidepanel.operators import trained as T
 from tidepanel.operators.evaluate import named
 from tidepanel.operators.folds import Folds
+from tidepanel.operators.state import FeatureTable
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.plans.features import RICH_SQL, rich_sql
 from tidepanel.session import fresh_path, settle
@@ -35,8 +36,8 @@ def _(t):
     return table.read()
 
 
-@query("feature_snapshot", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
-                               " ".join(RICH_SQL), m=rich_sql("panel_nation")))
+@query("feature_snapshot_window", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
+                                      " ".join(RICH_SQL), m=rich_sql("panel_nation")))
 def _(t):
     path = fresh_path(t.spark, "snapshots")
     panel = settle(t.panel("nation"), "panel")
@@ -46,6 +47,31 @@ def _(t):
     return tidy(out.withColumn("month", F.col("month").cast("double")))
 
 
+@query("feature_snapshot", sql("SELECT *, ds AS snapshot_date FROM m WHERE ds = (SELECT max(ds) FROM panel_nation)",
+                               " ".join(RICH_SQL), m=rich_sql("panel_nation")))
+def _(t):
+    """The last three days are added one after the other, each from the state before it; the last one twice."""
+    panel = settle(t.panel("nation"), "panel")
+    table = FeatureTable(t.spark, fresh_path(t.spark, "snapshots"), X.RICH)
+    table.begin(panel, t.last - timedelta(days=3))
+    for back in (2, 1, 0, 0):
+        table.add(panel, t.last - timedelta(days=back))
+    return tidy(table.features(t.last).withColumn("month", F.col("month").cast("double")))
+
+
+@query("feature_state", sql(
+    "SELECT unique_id, count(*) AS n_days, sum(y) AS total, list(y ORDER BY ds)[-3:] AS recent, any_value(hi) AS "
+    "state_date FROM panel_nation, span GROUP BY 1", "total"))
+def _(t):
+    """The state behind it after a week of days: counts, sums and the last three values."""
+    panel = settle(t.panel("nation"), "panel")
+    table = FeatureTable(t.spark, fresh_path(t.spark, "snapshots"), X.BASE)
+    table.begin(panel, t.last - timedelta(days=7))
+    for back in range(6, -1, -1):
+        table.add(panel, t.last - timedelta(days=back))
+    return tidy(table.state(t.last).select(KEY, "n_days", "total", F.slice("past", -3, 3).alias("recent"), "state_date"))
+
+
 # corrections: returned quantities come off the day they were ordered
 FIXES_SQL = """SELECT n_name AS unique_id, CAST(o_orderdate AS DATE) AS ds, sum(l_quantity) FILTER (l_returnflag <> 'R')
 AS y FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON
