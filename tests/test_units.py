@@ -20,7 +20,7 @@ from tidepanel.operators import runs as U
 from tidepanel.operators import select as S
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
-from tidepanel.operators.ets import candidate_grid, ets_auto, fit_paths, series_arrays
+from tidepanel.operators.ets import SHORT_GRID, candidate_grid, ets_auto, ets_grid, fit_paths, series_arrays
 from tidepanel.operators.folds import Folds, SparsePanel, cv_folds, fold_context
 from tidepanel.session import scratch, settle
 from tidepanel.sources import readers, writers
@@ -290,6 +290,27 @@ def test_ets_follows_season_and_trend():
     assert np.allclose(out[1], 5 + 0.5 * np.arange(200, 228), rtol=0.05)
 
 
+def test_smoothing_on_the_jvm_equals_numpy(spark):
+    rng = random.Random(4)
+    p = panel(spark, {
+        "a": [20 + 5 * (i % 7) + rng.random() for i in range(130)], "b": [3 * i + rng.randint(0, 9) for i in range(130)],
+        "gaps": [None if i % 11 == 3 else 10 + (i % 7) + rng.random() for i in range(130)],
+        "late": [None] * 90 + [rng.randint(0, 9) for _ in range(40)], "flat": [4] * 130,
+    })
+    folds = Folds.of(p, windows=2)
+    grid = np.array([c.row() for c in SHORT_GRID])
+    got = {(r.unique_id, r.cutoff, r.h): r.y_hat for r in ets_grid(p, folds).collect()}
+    for row in series_arrays(p, folds).collect():
+        values = np.array([[np.nan if v is None else v for v in row.past]])
+        want = fit_paths(values, grid, folds.horizon, 7)[0]
+        for h in range(1, 29):
+            if (row.unique_id, row.cutoff, h) in got:
+                assert got[row.unique_id, row.cutoff, h] == pytest.approx(want[h - 1], rel=1e-9, abs=1e-9)
+    assert len(got) > 4 * 2 * 25
+    plan = ets_grid(p, folds)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "Pandas" not in plan
+
+
 def test_models_beat_naive_on_a_weekly_series(spark):
     rng = random.Random(5)
     weekly = [20.0 * (1 + i % 7) for i in range(7)]

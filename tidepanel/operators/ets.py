@@ -1,6 +1,8 @@
-"""Exponential smoothing per series: simple smoothing as a Spark expression, and a grid search over models."""
+"""Exponential smoothing per series: as Spark expressions, and a wide grid search in numpy."""
 
 import itertools
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -119,3 +121,96 @@ def ets_auto(panel: DataFrame, folds: Folds, season: int = DEFAULTS.season) -> D
     schema = f"{KEY} string, cutoff date, future array<double>, path array<double>"
     scored = series_arrays(panel, folds).mapInArrow(run, schema)
     return unpack(scored, folds, lambda h: F.get("path", h - 1))
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """beta and gamma are the shares that the recursions use; beta 0 is no trend, phi 1 no damping, gamma 0 no season."""
+
+    alpha: float
+    beta: float = 0.0
+    phi: float = 1.0
+    gamma: float = 0.0
+
+    @property
+    def size(self) -> int:
+        """Parameters and starting values, beside the two of the level."""
+        return 2 + (0 if self.beta == 0 else 2 if self.phi == 1 else 3) + (DEFAULTS.season if self.gamma > 0 else 0)
+
+    def row(self) -> tuple[float, ...]:
+        return self.alpha, self.beta, self.phi, self.gamma, self.size
+
+
+# A short grid for the form on the JVM, where each candidate walks the days by itself.
+SHORT_GRID = tuple(
+    Candidate(a, b * a, phi, g * (1 - a))
+    for a in (0.1, 0.4) for b, phi in ((0.0, 1.0), (0.1, 1.0), (0.1, 0.9)) for g in (0.0, 0.2)
+)
+
+
+def ets_grid(panel: DataFrame, folds: Folds, grid: tuple[Candidate, ...] = SHORT_GRID, season: int = DEFAULTS.season
+             ) -> DataFrame:
+    """The best candidate of a short grid per series and cutoff, by AICc, without leaving the JVM.
+
+    The same recursions as :func:`ets_auto`: each candidate is one ``aggregate`` over the days, whose state is the
+    level, the trend, the season's cycle and the squared errors. Ties go to the earlier candidate.
+    """
+    contexts = series_arrays(panel, folds)
+    start = F.slice("past", 1, 2 * season)
+
+    def mean(values: Column) -> Column:
+        known = F.filter(values, lambda v: v.isNotNull())
+        return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), F.size(known))
+
+    def weekday(i: Column) -> Column:
+        return F.coalesce(mean(F.filter("_start", lambda v, j: j % season == i)) - F.col("_mean"), F.lit(0.0))
+
+    slots = F.sequence(F.lit(0), F.lit(season - 1))
+    contexts = contexts.withColumn("_start", start).withColumn("_mean", mean(F.col("_start")))
+    contexts = contexts.withColumn("_cycle", F.transform(slots, weekday))
+    contexts = contexts.withColumn("_seen", F.size(F.filter("past", lambda v: v.isNotNull())))
+
+    def step(c: Column) -> Callable[[Column, Column], Column]:
+        def run(s: Column, y: Column) -> Column:
+            slot = s["t"] % season
+            base = s["level"] + c["phi"] * s["trend"]
+            error = F.coalesce(y - base - F.get(s["cycle"], slot), F.lit(0.0))
+            # the one-element transform binds the error, which each use would compute again
+            return F.get(F.transform(F.array(error), lambda e: F.struct(
+                (base + c["alpha"] * e).alias("level"), (c["phi"] * s["trend"] + c["beta"] * e).alias("trend"),
+                F.transform(s["cycle"], lambda v, i: F.when(i == slot, v + c["gamma"] * e).otherwise(v)).alias("cycle"),
+                (s["sse"] + e * e).alias("sse"), (s["t"] + 1).alias("t"),
+            )), F.lit(0))
+
+        return run
+
+    def walked(c: Column, place: Column) -> Column:
+        none = F.transform("_cycle", lambda v: F.lit(0.0))
+        begin = F.struct(
+            F.col("_mean").alias("level"), F.lit(0.0).alias("trend"),
+            F.when(c["gamma"] > 0, F.col("_cycle")).otherwise(none).alias("cycle"), F.lit(0.0).alias("sse"),
+            F.lit(0).alias("t"),
+        )
+        seen, size = F.col("_seen"), c["size"]
+
+        def scored(s: Column) -> Column:
+            spare = F.greatest(seen - size - 1.0, F.lit(1.0))
+            fit = seen * F.log(F.greatest(s["sse"], F.lit(1e-12)) / seen)
+            return F.struct(
+                (fit + 2 * size + 2 * size * (size + 1) / spare).alias("score"), place.alias("place"),
+                s["level"].alias("level"), s["trend"].alias("trend"), s["cycle"].alias("cycle"), c["phi"].alias("phi"),
+            )
+
+        return F.aggregate("past", begin, step(c), scored)
+
+    names = ("alpha", "beta", "phi", "gamma", "size")
+    cells = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(names, c.row())]) for c in grid])
+    contexts = contexts.withColumn("_best", F.array_min(F.transform(cells, walked)))
+    contexts = contexts.select(KEY, "cutoff", "future", "_best", F.size("past").alias("_n"))
+
+    def ahead(h: Column) -> Column:
+        phi = F.col("_best.phi")
+        damped = F.aggregate(F.sequence(F.lit(1), h), F.lit(0.0), lambda a, k: a + F.pow(phi, k.cast("double")))
+        return F.col("_best.level") + damped * F.col("_best.trend") + F.get("_best.cycle", ((F.col("_n") + h - 1) % season).cast("int"))
+
+    return unpack(contexts, folds, ahead)

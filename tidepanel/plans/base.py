@@ -213,10 +213,12 @@ def sql(body: str, doubles: str = "", **parts: str) -> str:
     """
     known = {**PARTS, **parts}
     placed: dict[str, str] = {}
+    opened: set[str] = set()  # a recursive part mentions itself
 
     def place(text: str) -> None:
         for name in known:
-            if name not in placed and _mentions(text, name):
+            if name not in opened and _mentions(text, name):
+                opened.add(name)
                 place(known[name])
                 placed[name] = known[name]
 

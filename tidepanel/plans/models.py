@@ -10,7 +10,7 @@ from tidepanel.operators import forecast as N
 from tidepanel.operators import glm as G
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
-from tidepanel.operators.ets import ets_auto, simple_smoothing
+from tidepanel.operators.ets import SHORT_GRID, ets_auto, ets_grid, simple_smoothing
 from tidepanel.operators.select import keep_series, top_series
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.session import settle
@@ -54,6 +54,37 @@ def _(t):
     return tidy(ets_auto(t.panel("nation"), t.folds()))
 
 
+def _ets_sql() -> str:
+    """The recursions day by day for all candidates at once; the best one by AICc at each cutoff."""
+    grid = ", ".join(f"({i}, {', '.join(f'{v}::DOUBLE' for v in c.row())})" for i, c in enumerate(SHORT_GRID))
+    parts = {
+        "grid": f"SELECT * FROM (VALUES {grid}) g(c, a, b, phi, g, k)",
+        "long": "SELECT unique_id, list(y ORDER BY ds) AS ys FROM panel_nation GROUP BY 1",
+        "opened": "SELECT unique_id, ys, list_avg(ys[1:14]) AS m, list_transform(range(1, 8), lambda i: (ys[i] + ys[i + 7]) "
+                  "/ 2 - list_avg(ys[1:14])) AS cyc FROM long",
+        "walk": "SELECT o.unique_id, g.c, 0 AS t, o.m AS level, 0.0::DOUBLE AS trend, CASE WHEN g.g > 0 THEN o.cyc ELSE "
+                "list_transform(o.cyc, lambda v: 0.0::DOUBLE) END AS cyc, 0.0::DOUBLE AS sse FROM opened o, grid g "
+                "UNION ALL SELECT unique_id, c, t + 1, base + a * e, phi * trend + b * e, list_transform(cyc, lambda v, i: "
+                "CASE WHEN i - 1 = t % 7 THEN v + g * e ELSE v END), sse + e * e FROM (SELECT w.*, g.a, g.b, g.phi, g.g, "
+                "w.level + g.phi * w.trend AS base, l.ys[w.t + 1] - (w.level + g.phi * w.trend) - w.cyc[w.t % 7 + 1] AS e "
+                "FROM walk w JOIN grid g ON g.c = w.c JOIN long l ON l.unique_id = w.unique_id WHERE w.t < len(l.ys)) x",
+        "ends": "SELECT cutoff, CAST(cutoff - lo AS INTEGER) + 1 AS n FROM cutoffs, span",
+        "best": "SELECT w.*, e.cutoff, g.phi FROM walk w JOIN ends e ON e.n = w.t JOIN grid g ON g.c = w.c QUALIFY "
+                "row_number() OVER (PARTITION BY w.unique_id, e.cutoff ORDER BY w.t * ln(greatest(w.sse, 1e-12) / w.t) + 2 "
+                "* g.k + 2 * g.k * (g.k + 1) / greatest(w.t - g.k - 1, 1), w.c) = 1",
+    }
+    text = sql(
+        "SELECT s.unique_id, s.ds, s.cutoff, s.h, s.y, b.level + b.trend * list_sum(list_transform(range(1, s.h + 1), lambda "
+        "i: pow(b.phi, i))) + b.cyc[(b.t + s.h - 1) % 7 + 1] AS y_hat FROM tests_nation s JOIN best b ON b.unique_id = "
+        "s.unique_id AND b.cutoff = s.cutoff", "y_hat", **parts)
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("ets_grid", _ets_sql())
+def _(t):
+    return tidy(ets_grid(t.panel("nation"), t.folds()))
+
+
 @query("recursive_linear", sql("SELECT * FROM blend_nation", "y_hat"))
 def _(t):
     return tidy(T.recursive_forecast(T.linear_scorer(BLEND), t.panel("nation"), t.folds(), BLEND_SPECS))
@@ -157,15 +188,15 @@ def _(t):
 
 
 # the pool is all seasonal errors up to the cutoff; every day is known in this panel
-PATHS_SQL = """SELECT t.unique_id, t.cutoff, t.ds, t.h, t.y, CAST(s.sample AS INTEGER) AS sample, n.y_hat + e.e AS y_sim
+PATHS_SQL = """SELECT t.unique_id, t.cutoff, t.ds, t.h, t.y, CAST(s.sample AS INTEGER) AS sample,
+n.y_hat + e.es[CAST('0x' || md5(t.unique_id || '|' || CAST(t.cutoff AS VARCHAR) || '|' || t.h || '|' || s.sample)[1:8] AS
+BIGINT) % len(e.es) + 1] AS y_sim
 FROM tests_nation t CROSS JOIN range(1, 21) s(sample)
 JOIN snaive_nation n ON n.unique_id = t.unique_id AND n.cutoff = t.cutoff AND n.ds = t.ds
-JOIN pool e ON e.unique_id = t.unique_id AND e.cutoff = t.cutoff AND e.i = CAST('0x' || md5(t.unique_id || '|' ||
-CAST(t.cutoff AS VARCHAR) || '|' || t.h || '|' || s.sample)[1:8] AS BIGINT) % e.n"""
-POOL_SQL = """SELECT a.unique_id, c.cutoff, row_number() OVER (PARTITION BY a.unique_id, c.cutoff ORDER BY a.ds) - 1 AS i,
-count(*) OVER (PARTITION BY a.unique_id, c.cutoff) AS n, a.y - b.y AS e FROM panel_nation a
-JOIN cutoffs c ON a.ds <= c.cutoff
-JOIN panel_nation b ON b.unique_id = a.unique_id AND b.ds = a.ds - 7"""
+JOIN pool e ON e.unique_id = t.unique_id AND e.cutoff = t.cutoff"""
+POOL_SQL = """SELECT unique_id, cutoff, list(e ORDER BY ds) AS es FROM (SELECT unique_id, ds, y - lag(y, 7) OVER
+(PARTITION BY unique_id ORDER BY ds) AS e FROM panel_nation) a JOIN cutoffs c ON a.ds <= c.cutoff WHERE e IS NOT NULL
+GROUP BY 1, 2"""
 
 
 @query("sample_path_bootstrap", sql(PATHS_SQL, pool=POOL_SQL))
