@@ -10,6 +10,7 @@ from tidepanel.operators import forecast as N
 from tidepanel.operators import glm as G
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
+from tidepanel.operators.custom import LinearModel, custom_learner
 from tidepanel.operators.ets import SHORT_GRID, ets_auto, ets_grid, simple_smoothing
 from tidepanel.operators.select import keep_series, top_series
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
@@ -187,6 +188,18 @@ def _(t):
     return tidy(N.per_series(four_week_mean, 28)(t.panel("nation"), t.folds()))
 
 
+@query("user_model", sql(
+    "SELECT t.*, f.a * list_sum(list_transform(range(0, (t.h + 6) // 7), lambda i: pow(f.b, i))) + pow(f.b, (t.h + 6) // 7) * "
+    "p.y AS y_hat FROM tests_nation t JOIN panel_nation p ON p.unique_id = t.unique_id AND p.ds = t.cutoff - 6 + (t.h - 1) % 7 "
+    "CROSS JOIN fitted f", "y_hat",
+    fitted="SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT ds, y, lag(y, 7) OVER (PARTITION BY unique_id "
+           "ORDER BY ds) AS x FROM panel_nation) m WHERE ds <= (SELECT min(cutoff) FROM cutoffs)"))
+def _(t):
+    """A user's linear model of last week's value, fitted by partial states, in the recursion of the library."""
+    panel = settle(t.panel("nation"), "model-panel")
+    return tidy(T.recursive_model(custom_learner(LinearModel()), [X.Lag(7)])(panel, t.folds()))
+
+
 # the pool is all seasonal errors up to the cutoff; every day is known in this panel
 PATHS_SQL = """SELECT t.unique_id, t.cutoff, t.ds, t.h, t.y, CAST(s.sample AS INTEGER) AS sample,
 n.y_hat + e.es[CAST('0x' || md5(t.unique_id || '|' || CAST(t.cutoff AS VARCHAR) || '|' || t.h || '|' || s.sample)[1:8] AS

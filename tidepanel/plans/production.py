@@ -19,6 +19,7 @@ from tidepanel.session import fresh_path, settle
 from tidepanel.sources import writers
 from tidepanel.sources.batches import BatchTable
 from tidepanel.streaming import daily
+from tidepanel.streaming.upsert import DailyTables
 
 
 @query("partitioned_append", sql("SELECT unique_id, ds, y, split_part(unique_id, '_', 2) AS region, CASE WHEN ds < DATE "
@@ -163,6 +164,36 @@ def _(t):
     return tidy(out)
 
 
+def arriving(t: Tables) -> str:
+    """The events as four files in order of arrival; some come with the last one, some once more."""
+    folder = fresh_path(t.spark, "arriving")
+    day = F.dayofmonth("ts")
+    usual = F.when(day <= 8, 0).when(day <= 16, 1).when(day <= 24, 2).otherwise(3)
+    place = F.when(F.col("event_id") % 97 == 0, 3).otherwise(usual)
+    again = F.when((F.col("event_id") % 89 == 0), F.array(place, F.lit(3))).otherwise(F.array(place))
+    rows = settle(t["events"].select("event_id", "ts", "event_type", "value", F.explode(again).alias("_file")), "events")
+    for i in range(4):
+        rows.filter(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@query("stream_late_rows", sql(
+    "SELECT event_type AS unique_id, CAST(ts AS DATE) AS ds, late, sum(value) AS y, count(*) AS n FROM (SELECT *, (day(ts) > "
+    "24 OR event_id % 97 = 0) AND ts < (SELECT max(ts) FROM events WHERE day(ts) <= 24 AND event_id % 97 <> 0) - INTERVAL 1 "
+    "DAY AS late FROM events) x GROUP BY ALL", "y"))
+def _(t):
+    """A stream of four files, started twice; days and late rows together have every event once."""
+    source = arriving(t)
+    rows = t.spark.readStream.schema(t["events"].select("event_id", "ts", "event_type", "value").schema)
+    rows = rows.option("maxFilesPerTrigger", 1).parquet(source)
+    stream = rows.select(F.col("event_id").alias("id"), F.col("event_type").alias(KEY), "ts", "value")
+    tables, state = DailyTables(fresh_path(t.spark, "daily")), fresh_path(t.spark, "stream-state")
+    for _ in range(2):
+        tables.run(stream, state)
+    late = tables.late(t.spark).withColumn("late", F.lit(True))
+    return tidy(tables.days(t.spark).withColumn("late", F.lit(False)).unionByName(late))
+
+
 @query("segment_scores", sql(
     f"SELECT model, segment, {METRIC_SQL} FROM (SELECT *, split_part(unique_id, '_', 2) AS segment FROM "
     "forecasts_type_region) x GROUP BY 1, 2", "wMAPE Bias IntervalScore_80 Coverage_80"))
