@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import boost
 from tidepanel.operators import features as X
+from tidepanel.operators import multirate as R
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.folds import Folds
@@ -172,3 +173,24 @@ def test_labels_enter_and_unknown_ones_pass(spark):
                                  "unique_id string, lag7 double, kind string")
     assert ensemble.scored(rows).filter("y_hat IS NOT NULL").count() == 3
     assert ensemble.scored(rows.limit(0)).count() == 0
+
+
+def test_rates_hand_on_what_they_leave(spark):
+    p = panel(spark, 4, 260)
+    folds = Folds.of(p, windows=2)
+    trees = T.TreeParams(trees=25, depth=3, min_rows=3)
+    loss = {rates: H.pooled_loss(R.multirate_direct(T.boosted_learner(trees), 56, rates)(p, folds)) for rates in ((7,), (7, 2, 1))}
+    assert loss[7, 2, 1] < 0.6 * loss[7,]  # blocks of a week know nothing of weekdays
+    ahead = R.multirate_direct(T.boosted_learner(trees), 28, (4, 1))(p, Folds.beyond(START + timedelta(days=259)))
+    assert ahead.count() == 4 * 28 and ahead.filter("y_hat IS NULL").isEmpty()
+    with pytest.raises(ValueError, match="blocks"):
+        R.multirate_direct(size=28, rates=(5,))
+
+
+def test_steps_of_one_day_come_back(spark):
+    rows = spark.createDataFrame([([1.0, 5.0, None, 2.0, 8.0],)], "v array<double>")
+    one = R.coarse_steps(F.col("v"), 5, 1)
+    two = R.coarse_steps(F.col("v"), 5, 2)
+    assert rows.select(one, R.expanded_steps(one, 5, 1), two).first() == ([1.0, 5.0, None, 2.0, 8.0], [1.0, 5.0, None, 2.0, 8.0], [3.0, 2.0, 8.0])
+    flat = rows.select(R.expanded_steps(F.array(F.lit(4.0), F.lit(4.0), F.lit(4.0)), 5, 2)).first()[0]
+    assert flat == [4.0] * 5

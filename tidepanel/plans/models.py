@@ -8,10 +8,12 @@ from tidepanel.operators import evaluate as E
 from tidepanel.operators import features as X
 from tidepanel.operators import forecast as N
 from tidepanel.operators import glm as G
+from tidepanel.operators import multirate as R
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.custom import LinearModel, custom_learner
 from tidepanel.operators.ets import SHORT_GRID, ets_auto, ets_grid, simple_smoothing
+from tidepanel.operators.folds import fold_context
 from tidepanel.operators.select import keep_series, top_series
 from tidepanel.plans.base import BLEND, BLEND_SPECS, METRIC_SQL, Tables, query, sql, tidy
 from tidepanel.session import settle
@@ -161,6 +163,40 @@ def _glm_sql(steps: int, power: float) -> str:
     return sql(f"SELECT region AS category, b0 AS intercept, b1 AS slope FROM glm{steps - 1}", "intercept slope", **parts)
 
 
+@query("direct_multirate")
+def _(t):
+    return _trained(t, R.multirate_direct(), "Direct-Rates", "nation")
+
+
+_BLOCKS_SQL = ("SELECT unique_id, cutoff, r.rate, CAST((h - 1) // r.rate AS INTEGER) AS knot, avg(y) AS v FROM tests_nation "
+               "CROSS JOIN (VALUES (2), (5), (7)) r(rate) GROUP BY ALL")
+
+
+@query("coarse_steps", sql("SELECT unique_id, cutoff, rate, knot, v FROM blocks", "v", blocks=_BLOCKS_SQL))
+def _(t):
+    """Block means of the test windows at three rates; 28 steps have a short last block at rate 5."""
+    contexts = fold_context(t.panel("nation"), t.folds(), 7)
+    parts = F.array(*[F.struct(F.lit(r).alias("rate"), R.coarse_steps(F.col("future"), 28, r).alias("k")) for r in (2, 5, 7)])
+    rows = contexts.select(KEY, "cutoff", F.inline(parts))
+    return tidy(rows.select(KEY, "cutoff", "rate", F.posexplode("k").alias("knot", "v")))
+
+
+@query("expanded_steps", sql(
+    "SELECT p.unique_id, p.cutoff, p.rate, CAST(p.d + 1 AS INTEGER) AS h, a.v * (1 - (p.place - floor(p.place))) + b.v * "
+    "(p.place - floor(p.place)) AS v FROM (SELECT k.unique_id, k.cutoff, k.rate, max(k.knot) AS last, d.d, greatest(least((d.d "
+    "- (k.rate - 1) / 2) / k.rate, max(k.knot)), 0) AS place FROM blocks k CROSS JOIN range(28) d(d) GROUP BY k.unique_id, "
+    "k.cutoff, k.rate, d.d) p JOIN blocks a ON a.unique_id = p.unique_id AND a.cutoff = p.cutoff AND a.rate = p.rate AND a.knot "
+    "= floor(p.place) JOIN blocks b ON b.unique_id = p.unique_id AND b.cutoff = p.cutoff AND b.rate = p.rate AND b.knot = "
+    "least(floor(p.place) + 1, p.last)", "v", blocks=_BLOCKS_SQL))
+def _(t):
+    """The block means as a value per step again."""
+    contexts = fold_context(t.panel("nation"), t.folds(), 7)
+    parts = F.array(*[F.struct(F.lit(r).alias("rate"), R.expanded_steps(
+        R.coarse_steps(F.col("future"), 28, r), 28, r).alias("s")) for r in (2, 5, 7)])
+    rows = contexts.select(KEY, "cutoff", F.inline(parts)).select(KEY, "cutoff", "rate", F.posexplode("s").alias("_i", "v"))
+    return tidy(rows.select(KEY, "cutoff", "rate", (F.col("_i") + 1).alias("h"), "v"))
+
+
 @query("per_category_coefficients", _glm_sql(4, 1.5))
 def _(t):
     """The coefficients of all categories after four steps, on last week's value."""
