@@ -102,10 +102,11 @@ def test_url_entries_in_force(spark):
                ("example.net", 100, "block"), ("example.net", 100, "allow"), (None, 1, "block"), ("b.org", None, "block")]
     captures = [("http://a.example.net/x", 4), ("http://a.example.net/x", 7), ("https://A.example.net:8080/", 12),
                 ("http://u@example.net?q", 12), ("http://example.net/", 20), ("ftp://c.example.net/", 364),
-                ("http://b.org/", 50), (None, 3), ("nothing", 3), ("http://example.net/", None)]
+                ("http://b.org/", 50), (None, 3), ("nothing", 3), ("http://example.net/", None),
+                ("http://example.net/", 380), ("http://x.a.example.net/", 400), ("http://example.net/", 2_000_000)]
     rows = spark.createDataFrame([(u, d, True, 1) for u, d in captures], "url string, day int, blocked boolean, _id int")
     table = spark.createDataFrame(entries, "domain string, day int, action string")
-    got = urls.judged(rows, table, last_day=365)
+    got = urls.judged(rows, table)
     assert set(got.columns) == {"url", "day", "_id", "blocked", "entry_domain", "entry_since"}
 
     def judge(url, day):
@@ -173,5 +174,5 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([], "url string, day int")
     entries = spark.createDataFrame([], "domain string, day int, action string")
     for found in (licenses.scan(docs), quality.judged(docs), quality.accepted(docs), mixing.mixed(docs),
-                  mixing.mixture(docs), urls.judged(pages, entries, 10)):
+                  mixing.mixture(docs), urls.judged(pages, entries)):
         assert found.collect() == []

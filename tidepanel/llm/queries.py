@@ -38,7 +38,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("page_id") * 37) % YEAR).alias("day"),
         F.when(F.col("page_id") % 3 == 0, "block").otherwise("allow").alias("action"),
     )
-    return urls.judged(captures, entries, last_day=YEAR)
+    return urls.judged(captures, entries)
 
 
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPAN = 32  # days in a block; an interval is listed under each block that it touches
+SPAN = 32  # days in a block; an interval that has an end is listed under each block that it touches
+OPEN = -(2**40)  # the block of intervals without an end, which every capture asks too
 FOREVER = 2**31 - 1
 
 
@@ -36,34 +37,28 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.withColumn("until", until)
 
 
-def judged(captures: DataFrame, entries: DataFrame, last_day: int, url: str = "url", day: str = "day") -> DataFrame:
+def judged(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
     """``captures`` with the list's verdict at the time of each fetch: blocked, entry_domain, entry_since.
 
     Entries become validity intervals [since, until). Each is listed under the blocks of SPAN days that it
-    touches up to ``last_day``, so the as-of join is an equality on domain and block that leaves few intervals
-    for each host and day, which are judged once however many captures they have. An entry covers its domain and all
-    below it. Of the entries in force the one of the longest domain decides.
+    touches, so the as-of join is an equality on domain and block that leaves few intervals for each host and day,
+    which are judged once however many captures they have. The last interval of a domain has no end; it is listed once
+    and holds for captures of any later day. An entry covers its domain and all below it. Of the entries in force the
+    one of the longest domain decides.
 
     A capture without host or day, or with no entry in force: not blocked, null entry. Repeated captures: each
     gives its own row. Entries with a null are ignored. Empty tables: no rows, or nothing blocked. All columns of
     ``captures`` stay; ones named like the new columns are replaced.
     """
-    spans = intervals(entries).withColumn(
-        "block",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("since") / SPAN),
-                F.floor(F.least(F.col("until") - 1, F.greatest(F.lit(last_day), F.col("since"))) / SPAN),
-            )
-        ),
-    )
+    touched = F.sequence(F.floor(F.col("since") / SPAN), F.floor((F.col("until") - 1) / SPAN))
+    blocks = F.when(F.col("until") == FOREVER, F.array(F.lit(OPEN))).otherwise(touched)
+    spans = intervals(entries).withColumn("block", F.explode(blocks))
     own = captures.withColumns({"__host": host(F.col(url)), "__day": F.col(day).cast("int")})
     # captures of one host and day are judged once
     asked = own.select("__host", "__day").filter((F.col("__host") != "") & F.col("__day").isNotNull()).distinct()
-    asked = asked.select(
-        "__host", "__day", F.explode(domains(F.col("__host"))).alias("domain"),
-        F.floor(F.col("__day") / SPAN).alias("block"),
-    )
+    asked = asked.select("__host", "__day", F.explode(domains(F.col("__host"))).alias("domain"))
+    own_block = F.floor(F.col("__day") / SPAN)
+    asked = asked.select("*", F.explode(F.array(own_block, F.lit(OPEN))).alias("block"))
     found = (
         asked.join(spans, ["domain", "block"])
         .filter((F.col("since") <= F.col("__day")) & (F.col("__day") < F.col("until")))
