@@ -11,6 +11,7 @@ from tidepanel.operators import evaluate as E
 from tidepanel.operators import features as X
 from tidepanel.operators import folds as B
 from tidepanel.operators import forecast as N
+from tidepanel.operators import glm as G
 from tidepanel.operators import monitor as O
 from tidepanel.operators import panel as P
 from tidepanel.operators import profile as R
@@ -57,7 +58,7 @@ def jobs(t: Tables, panel, types):
         "gbt_rich_50_series": lambda: T.gbt_rich()(top, folds),
         "gbt_cat_50_series": lambda: T.gbt_cat()(levels, folds),
         "direct_50_series": lambda: T.direct_multihorizon()(top, folds),
-        "tweedie_glm_all_series": lambda: T.tweedie_glm(1.5)(panel, folds),
+        "tweedie_glm_all_series": lambda: G.tweedie_glm(1.5)(panel, folds),
         "gbt_base_types": lambda: T.gbt_base()(types, folds),
     }
 

@@ -121,3 +121,14 @@ def per_category_glm(of: Column, power: float = 1.5, specs: list[Spec] = BASE, p
 
     forecaster.fitted = True
     return forecaster
+
+
+def tweedie_glm(power: float = 1.5, specs: list[Spec] = BASE, penalty: float = 1e-6, steps: int = STEPS):
+    """One tweedie model of all series, by the same sums."""
+    whole = per_category_glm(F.lit("all"), power, specs, penalty, steps)
+
+    def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
+        return whole(panel, folds).drop("category")
+
+    forecaster.fitted = True
+    return forecaster

@@ -126,7 +126,7 @@ def _(t):
 
 @query("tweedie_glm")
 def _(t):
-    return _trained(t, T.tweedie_glm(1.5), "Tweedie")
+    return _trained(t, G.tweedie_glm(1.5), "Tweedie")
 
 
 @query("recursive_forecast")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidepanel.config import DAY, KEY, TARGET
 from tidepanel.operators import features as X
 from tidepanel.operators import forecast as N
+from tidepanel.operators import glm as G
 from tidepanel.operators import monitor as O
 from tidepanel.operators import runs as U
 from tidepanel.operators import trained as T
@@ -227,7 +228,7 @@ def _(t):
 def _(t):
     """Fit on all known days, forecast the 28 days after the last one, write by run date, read back."""
     panel = settle(t.panel("supplier"), "model-panel")
-    return _scored(t, named(T.tweedie_glm(1.5)(panel, Folds.beyond(t.last)), "Tweedie", "ml"))
+    return _scored(t, named(G.tweedie_glm(1.5)(panel, Folds.beyond(t.last)), "Tweedie", "ml"))
 
 
 def _scored(t: Tables, rows):
