@@ -7,6 +7,7 @@ from hashlib import md5
 import pytest
 
 from tidepanel.llm import licenses, mixing, quality, urls
+from tidepanel.llm.words import lower_ascii
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -41,6 +42,12 @@ def test_license_places(spark, odd):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_only_ascii_letters_are_lowered(spark):
+    text = "AZaz ÉÀ \u212a \u0130 ẞ Ω"
+    rows = spark.createDataFrame([(text,)], "t string")
+    assert rows.select(lower_ascii(rows.t)).first()[0] == "azaz ÉÀ \u212a \u0130 ẞ Ω"
+
+
 def test_license_texts_with_changed_words(spark):
     long = next(t for t in licenses.MORE if t.startswith("redistribution"))
     words = long.split()

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.words import TERM, whole, words
+from tidepanel.llm.words import TERM, lower_ascii, whole, words
 
 # fixed values: the phrases of the contract, and the label of each
 BASE = {
@@ -72,7 +72,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, more: dict[str, str] = MO
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", words(F.lower(whole()), TERM).alias("_w")
+        F.monotonically_increasing_id().alias("_row"), "doc_id", words(lower_ascii(whole()), TERM).alias("_w")
     )
     pairs = F.transform(
         F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))),

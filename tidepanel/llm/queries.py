@@ -110,7 +110,8 @@ SQL = {
 WITH t(template, base, label, place, pairs, gram) AS (VALUES {_TEMPLATES}),
 d AS (
   SELECT row_number() OVER () AS r, doc_id,
-         regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 g AS (SELECT r, unnest(ws) AS w, unnest(list_append(ws[2:], NULL)) AS v, generate_subscripts(ws, 1) - 1 AS p FROM d),
 h AS (SELECT g.r, t.*, g.p - t.place AS start FROM g JOIN t ON g.w || ' ' || g.v = t.gram),
 votes AS (

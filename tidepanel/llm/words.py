@@ -1,5 +1,7 @@
 """Expressions on text that several operators share."""
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def whole(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def lower_ascii(text: Column) -> Column:
+    """A to Z in lower case, and nothing else: full case mapping would also turn a Kelvin sign into a k."""
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
 def words(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
