@@ -93,15 +93,31 @@ def test_frequent_lines_deplete(spark):
     assert all(got[d].kept for d in [*range(40), *range(200, 220), *range(300, 330)])
     assert not any(got[d].kept or got[d].base_failed for d in range(100, 120))
     assert got[200].n_words - got[200].n_words_left == 2
-    assert {r.doc_id for r in quality.accepted(docs).collect()} == {d for d in got if got[d].kept}
-    clean = {r.doc_id: r.text for r in quality.without_frequent_lines(docs).collect()}
-    assert clean[200] == body[0] and clean[100] == f"{body[0]} 0" and clean[300] == body[0]
-
-
-def test_accepted_keeps_rows_and_columns(spark, odd):
+    clean = {r.doc_id: r.text for r in quality.cleaned(docs).collect()}
+    assert set(clean) == {d for d in got if got[d].kept}
+    assert clean[200] == body[0] and clean[300] == body[0]
+
+
+@pytest.mark.parametrize("texts", [60, 600, 6000])
+def test_verdicts_hold_in_a_growing_host(spark, texts):
+    """Eighty documents made of a banner are found whatever the size of their host; lines of its few copies stay."""
+    banner = "\n".join(" ".join(f"m{i}x{j}" for j in range(20)) for i in range(8))
+    body = spark.range(texts).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), x -> 'w' || id || x)) AS text")
+    rows = [(100_000 + d, f"{banner}\nown line {d}") for d in range(80)]
+    rows += [(200_000 + d, " ".join(f"c{i}" for i in range(60)) + f"\n{d} end") for d in range(8)]
+    docs = body.unionByName(spark.createDataFrame(rows, body.schema)).selectExpr("*", "'one' AS source")
+    got = quality.judged(docs).groupBy("kept").agg({"doc_id": "count", "n_words": "sum", "n_words_left": "sum"}).collect()
+    got = {r.kept: r for r in got}
+    assert got[False]["count(doc_id)"] == 80 and got[False]["sum(n_words_left)"] == 80 * 3
+    assert got[True]["count(doc_id)"] == texts + 8 and got[True]["sum(n_words)"] == got[True]["sum(n_words_left)"]
+
+
+def test_cleaned_keeps_rows_and_columns(spark, odd):
     text = " ".join(f"w{i}" for i in range(60))
     docs = odd.unionByName(spark.createDataFrame([(None, text, None, 1, "l", 9)] * 2, odd.schema))
-    assert [tuple(r) for r in quality.accepted(docs).collect()] == [(None, text, None, 1, "l", 9)] * 2
+    docs = docs.withColumnsRenamed({"size": "__host", "_row": "__text"})
+    got = quality.cleaned(docs)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(None, text, None, 1, "l", 9)] * 2
 
 
 def test_url_entries_in_force(spark):
@@ -176,10 +192,22 @@ def test_mix(spark, odd):
     assert mixing.mixture(odd).columns == odd.columns
 
 
+def test_mixture_of_ties_repeats(spark):
+    """Rows of one size without an id, or with one id: texts differ, and other columns. Reruns and other orders agree."""
+    rows = [(None if i % 2 else 7, f"t{i % 40} two three", "a", i) for i in range(400)]
+    rows += [(None, "same text here", "a", i) for i in range(300)] + [(i, "x " * 50, "b", i) for i in range(5)]
+    schema = "doc_id long, text string, source string, _key int"
+    one, two = spark.createDataFrame(rows, schema), spark.createDataFrame(rows[::-1], schema).repartition(5)
+    first, again = (Counter(map(tuple, mixing.mixture(docs, share=1.2).collect())) for docs in (one, two))
+    assert first == again and len(first) > 100
+    words = sum(n * len(r[1].split()) for r, n in first.items())
+    assert words == sum(r.taken for r in mixing.mixed(one, share=1.2).collect())
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     pages = spark.createDataFrame([], "url string, day int")
     entries = spark.createDataFrame([], "domain string, day int, action string")
-    for found in (licenses.scan(docs), quality.judged(docs), quality.accepted(docs), mixing.mixed(docs),
+    for found in (licenses.scan(docs), quality.judged(docs), quality.cleaned(docs), mixing.mixed(docs),
                   mixing.mixture(docs), urls.judged(pages, entries)):
         assert found.collect() == []

@@ -23,6 +23,7 @@ def sized(docs: DataFrame, seed: str, source: str = "source") -> DataFrame:
             F.regexp_count(whole(), F.lit(WORD)).cast("long").alias("size"),
             F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
             .alias("_key"),
+            F.xxhash64(whole()).alias("_text"),
         ),
         "sizes",
     )
@@ -84,7 +85,7 @@ def mixed(
     added up first, so the running sum never needs a whole source in one task.
 
     Null source: a source of its own, last in order. Null or empty text: size 0, nothing taken. Repeated rows:
-    each counts; ties of the key go by size. Empty table: no rows. Other columns are ignored.
+    each counts; ties of the key go by size, then by a hash of the text. Empty table: no rows. Other columns are ignored.
     """
     sizes = sized(docs, seed, source)
     goal = targets(sizes, share, epochs, weights)
@@ -99,7 +100,7 @@ def mixed(
     before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_s", "_b", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     sums = sums.join(goal, "_s")
-    inside = Window.partitionBy("_s", "_b").orderBy("_key", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_s", "_b").orderBy("_key", "size", "_text").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.join(sums, ["_s", "_b"])
     start = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     rows = rows.withColumn("_start", start)
@@ -108,30 +109,45 @@ def mixed(
         "doc_id", "size", "source_size", "target",
         ((F.col("_times") + once_more) * F.col("size")).cast("long").alias("taken"),
         (F.col("_times") + once_more).cast("long").alias("times"),
-        "_source", "_key",
+        "_source", "_text",
     )
 
 
 def mixture(docs: DataFrame, source: str = "source", **settings) -> DataFrame:
     """The mix itself: the rows of ``docs``, repeated or left out as :func:`mixed` says, with the same columns.
 
-    Rows are matched by doc_id, source and size, which is all that the decision depends on. Rows that agree in
-    these share their counts.
+    Rows are matched by doc_id, source, size and a hash of the text. All that agree in these are taken equally often,
+    but for one group per source at most, in which its running sum passes the missing words: there the first rows by a
+    hash of all columns are taken once more, so reruns differ in nothing that a reader can see.
+
+    Null source, null or empty text, repeated rows: as in :func:`mixed`; rows without words are
+    repeated like their neighbours in the order. Empty
+    table: no rows. Columns whose names begin with ``_mix_`` are reserved.
     """
-    keys = ["_mix_id", "_mix_source", "_mix_size"]
+    keys = ["_mix_id", "_mix_source", "_mix_size", "_mix_text"]
 
-    def keyed(rows: DataFrame, own: str, size: Column) -> DataFrame:
+    def keyed(rows: DataFrame, own: str, size: Column, text: Column) -> DataFrame:
         return rows.withColumns({
             "_mix_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
             "_mix_source": F.coalesce(F.concat(F.lit("="), F.col(own).cast("string")), F.lit("")),
             "_mix_size": size,
+            "_mix_text": text,
         })
 
-    chosen = keyed(mixed(docs, source=source, **settings), "_source", F.col("size"))
-    chosen = chosen.groupBy(*keys).agg(F.sum("times").alias("_mix_times"), F.count(F.lit(1)).alias("_mix_rows"))
-    rows = keyed(docs, source, F.regexp_count(whole(), F.lit(WORD)).cast("long")).join(chosen, keys)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    share = F.col("_mix_times") / F.col("_mix_rows")
-    times = (F.floor(share * place + 1e-9) - F.floor(share * (place - 1) + 1e-9)).cast("int")
-    rows = rows.withColumn("_mix_times", times).filter("_mix_times > 0")
-    return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
+    def copies(rows: DataFrame, times: Column) -> DataFrame:
+        rows = rows.withColumn("_mix_times", times.cast("int")).filter("_mix_times > 0")
+        return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
+
+    chosen = keyed(mixed(docs, source=source, **settings), "_source", F.col("size"), F.col("_text"))
+    chosen = chosen.groupBy(*keys).agg(
+        F.min("times").alias("_mix_least"), F.max("times").alias("_mix_most"),
+        F.sum(F.col("times")).alias("_mix_sum"), F.count(F.lit(1)).alias("_mix_rows"),
+    )
+    chosen = settle(chosen.filter("_mix_most > 0"), "mix-times")
+    size = F.regexp_count(whole(), F.lit(WORD)).cast("long")
+    rows = keyed(docs, source, size, F.xxhash64(whole()))
+    alike = rows.join(chosen.filter("_mix_least = _mix_most"), keys)
+    passed = rows.join(chosen.filter("_mix_least < _mix_most"), keys)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns)))))
+    more = (place <= F.col("_mix_sum") - F.col("_mix_rows") * F.col("_mix_least")).cast("long")
+    return copies(alike, F.col("_mix_least")).unionByName(copies(passed, F.col("_mix_least") + more))

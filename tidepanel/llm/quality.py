@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.words import WORD, whole, words
+from tidepanel.llm.words import whole, words
 from tidepanel.session import settle
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -16,13 +16,13 @@ WINDOW = 3
 class Rules:
     """Limits of the rules.
 
-    A line goes when it stands in more than ``share`` of its host's different texts, and in more than
-    ``least`` of them. A document is depleted when less than ``left`` of its words remain.
+    A line goes when it stands in more than ``least`` of its host's n different texts, and in more than the square
+    root of n of them: that grows far slower than the host, so a line's verdict does not vanish in a large one. A
+    document is depleted when less than ``left`` of its words remain.
     """
 
     min_words: int = 50
     max_repeat: float = 0.5
-    share: float = 0.1
     least: int = 10
     left: float = 0.3
 
@@ -101,8 +101,7 @@ def frequent_lines(rows: DataFrame, rules: Rules) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_in"))
         .filter(F.col("_in") > rules.least)
     )
-    limit = F.greatest(F.lit(float(rules.least)), F.col("_texts") * F.lit(rules.share))
-    return lines.join(texts, "_host").filter(F.col("_in") > limit).select("_host", "h")
+    return lines.join(texts, "_host").filter(F.col("_in") * F.col("_in") > F.col("_texts")).select("_host", "h")
 
 
 def judged(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
@@ -139,55 +138,29 @@ def _verdicts(rows: DataFrame, often: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns unchanged.
-
-    A verdict follows from the text and the host, so it is looked up by both; a null doc_id does not matter.
-    """
-    out = judged(docs, rules, host).filter("kept")
-    out = out.select(F.col("_host").alias("__host"), F.col("_text").alias("__text")).distinct()
-    marked = docs.withColumn("__host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
-    marked = marked.withColumn("__text", F.xxhash64(whole()))
-    return marked.join(out, ["__host", "__text"], "left_semi").select(*docs.columns)
-
-
 def cleaned(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, without the frequent lines of their host. Columns stay; n_chars, if
     there, is counted anew.
 
     Lines are counted once, on ``docs``, for the verdict and for the removal. Both follow from the text and the
     host, so they are looked up by both; a null doc_id does not matter.
+
+    Null or empty text: rejected. Null host: a host of its own. Repeated rows: all are kept or none. Empty table: no
+    rows. Other columns stay as they are; names that begin with ``__quality_`` are reserved.
     """
     rows = measured(docs, host)
     often = settle(frequent_lines(rows, rules), "frequent-lines")
     kept = _verdicts(rows, often, rules).filter("kept").select("_host", "_text").distinct()
     lines = rows.select("_host", "_text", F.explode(F.array_distinct(F.transform("_parts", lambda p: p["h"]))).alias("h"))
-    gone = lines.join(often, ["_host", "h"]).groupBy("_host", "_text").agg(F.collect_set("h").alias("__gone"))
-    kept = kept.join(gone, ["_host", "_text"], "left").withColumnsRenamed({"_host": "__host", "_text": "__text"})
-    marked = docs.withColumn("__host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
-    found = marked.withColumn("__text", F.xxhash64(whole())).join(kept, ["__host", "__text"])
+    gone = lines.join(often, ["_host", "h"]).groupBy("_host", "_text").agg(F.collect_set("h").alias("__quality_gone"))
+    kept = kept.join(gone, ["_host", "_text"], "left").withColumnsRenamed({"_host": "__quality_host", "_text": "__quality_text"})
+    marked = docs.withColumn("__quality_host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
+    found = marked.withColumn("__quality_text", F.xxhash64(whole())).join(kept, ["__quality_host", "__quality_text"])
     left = F.filter(
         F.split("text", "\n"),
-        lambda x: ~F.array_contains("__gone", F.xxhash64(F.lower(F.concat_ws(" ", words(x))))),
+        lambda x: ~F.array_contains("__quality_gone", F.xxhash64(F.lower(F.concat_ws(" ", words(x))))),
     )
-    found = found.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left)))
+    found = found.withColumn("text", F.when(F.col("__quality_gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left)))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)
-
-
-def without_frequent_lines(docs: DataFrame, rules: Rules = Rules(), host: str = "source") -> DataFrame:
-    """The rows of ``docs`` with the frequent lines of their host taken out of the text (null stays null)."""
-    rows = measured(docs, host)
-    key = F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
-    # stored, as both sides of the join below need the same numbers
-    marked = settle(docs.withColumns({"__id": F.monotonically_increasing_id(), "__host": key}), "numbered")
-    lines = marked.select("__id", "__host", F.posexplode(F.split(whole(), "\n")).alias("__at", "__line"))
-    lines = lines.withColumn("__h", F.xxhash64(F.lower(F.concat_ws(" ", words(F.col("__line"), WORD)))))
-    often = frequent_lines(rows, rules).select(F.col("_host").alias("__host"), F.col("h").alias("__h"))
-    cut = lines.join(often, ["__host", "__h"], "left_anti")
-    text = cut.groupBy("__id").agg(F.sort_array(F.collect_list(F.struct("__at", "__line"))).alias("__l"))
-    text = text.select("__id", F.concat_ws("\n", F.col("__l.__line")).alias("__new"))
-    joined = marked.join(text, "__id", "left")
-    new = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.coalesce(F.col("__new"), F.lit("")))
-    return joined.withColumn("text", new).select(*docs.columns)

@@ -181,7 +181,7 @@ dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY r),
 texts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 often AS (
   SELECT host, norm FROM (SELECT host, norm, count(DISTINCT t) AS c FROM ln GROUP BY host, norm)
-  JOIN texts USING (host) WHERE c > 10 AND c > greatest(10.0, n * 0.1::DOUBLE)),
+  JOIN texts USING (host) WHERE c > 10 AND c * c > n),
 gone AS (SELECT r, sum(n) AS n FROM ln JOIN often USING (host, norm) GROUP BY r),
 m AS (
   SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
