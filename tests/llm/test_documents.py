@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -404,6 +405,42 @@ def test_blocks():
     assert pages.blocks("<p>x <span class='share'>s</span> y") == [("o", "x"), ("x", "s"), ("o", "y")]
 
 
+def test_end_tags_that_html_lets_out():
+    cases = {
+        "<article><h1>T</h1><p class='notice'>Note<p>Main one<p>Main two</article>": "mT xNote mMain one mMain two",
+        "<ul><li class=ad>x<li>y<ul><li class=promo>z</ul>w</ul>v": "xx oy xz ow ov",
+        "<table><tr><td class=ad>a<td>b<tr class='ad'><td>c<tr><td>d</table>e": "xa ob xc od oe",
+        "<dl><dt class=ad>k<dd>v<dt>l</dl>": "xk ov ol",
+        "<div class=ad><p>a<div>b</div>c</div><p>d": "xa xb xc od",
+        "<p class=ad>a<table><tr><td>b</table>": "xa ob",
+        "<p>a<button class=ad><p>b</button>c": "oa xb oc",
+        "<p class='ad'>a</article></nav><p>b": "xa ob",
+        "a<svg/>b<svg><text>no</text></svg>c": "oabc",
+        "x < y <a href='a>b'>z</a> <b title=\"it's\">w</b> <!- <a 'q": "ox < y z w <!- <a 'q",
+    }
+    for page, want in cases.items():
+        assert " ".join(m + t for m, t in pages.blocks(page)) == want, page
+
+
+def test_class_names_count_as_a_whole():
+    inside = "<article><div class='{}'>a</div></article>"
+    for name in ("side-by-side", "search-results", "discussion", "copyright", "shared", "formula", "menuconfig adjacent", "form"):
+        assert pages.blocks(inside.format(name)) == [("m", "a")], name
+    for name in ("ad", "x site-footer", "ad_slot-3", "comment-list", "Cookie-Banner", "main_nav"):
+        assert pages.blocks(inside.format(name)) == [("x", "a")], name
+    assert pages.blocks("<div class='search'>a</div>") == [("x", "a")]
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", "<a \"", "<a '\"", "<script ", "<!", "<p>", "</p>", "<div>", "</div><div>", "<ul><li>", "<table><tr><td><p>",
+    "<button><div>", "<span class=ad><p>", "<!--", "<svg>", "&amp", "<b"])
+def test_broken_pages_take_linear_time(part):
+    """A megabyte of one broken part: a quadratic scan would take hours."""
+    begin = time.process_time()
+    pages.blocks(part * ((1 << 20) // len(part)))
+    assert time.process_time() - begin < 20
+
+
 def test_longest_common_lines():
     rnd = random.Random(1)
     for _ in range(300):

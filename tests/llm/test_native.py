@@ -60,6 +60,21 @@ def test_license_texts_with_changed_words(spark):
     assert [(s.begin, s.end) for s in got[1].spans] == [(1, 1 + len(words))] and len(got[4].spans) == 3
 
 
+def test_license_versions_exclude_each_other(spark):
+    notice = next(t for t in licenses.MORE if t.startswith("this program is free software") and "version 3" in t)
+    lesser = "the gnu general public license and the gnu lesser general public license"
+    mit = [t for t, label in licenses.MORE.items() if label == "mit"]
+    rows = [(1, "This work is licensed under the GNU General Public License, version 3."),
+            (2, "This work is licensed under the GNU General Public License version 2."), (3, notice),
+            (4, notice.replace("version 3", "version 2")), (5, notice.replace("version 3", "version 4")), (6, lesser),
+            (7, f"{notice} {'x ' * 9} {notice.replace('version 3', 'version 2')}"), (8, " . ".join(mit)),
+            (9, "CC BY 4.0"), (10, "w " * 300_000 + notice)]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(1, 11)] == [
+        "gpl,gpl-3.0", "gpl,gpl-2.0", "gpl,gpl-3.0", "gpl,gpl-2.0", "gpl", "gpl,lgpl", "gpl,gpl-2.0,gpl-3.0", "mit", "cc-by",
+        "gpl,gpl-3.0"]
+
+
 def python_counts(text):
     text = text or ""
     words = WORD.findall(text)

@@ -3,6 +3,7 @@
 import html
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ AT_ONCE = 500  # rows sent on at once
 
 # fixed values: elements of HTML
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|template|noscript|textarea|svg|iframe|object|math|canvas|select|title"
+SKIPPED = set("script style template noscript textarea svg iframe object math canvas select title".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
     "strike strong sub sup time tt u var br wbr img".split()
@@ -27,24 +28,45 @@ INLINE = set(
 APART = set("head nav footer aside form dialog menu button".split())  # never main text
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 MAIN = set("article main".split())
-# fixed values: words in class and id that name what is not main text
+# fixed values: which open elements a start tag ends, as HTML lets their end tags out
+_ENDS_P = (
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul"
+).split()
+ENDS: dict[str, tuple[str, ...]] = {name: ("p",) for name in _ENDS_P} | {
+    "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "option": ("option",), "optgroup": ("option", "optgroup"),
+    "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "caption", "colgroup", "p"),
+    "thead": ("caption", "colgroup", "thead", "tbody", "tfoot"), "tbody": ("caption", "colgroup", "thead", "tbody", "tfoot"),
+    "tfoot": ("caption", "colgroup", "thead", "tbody", "tfoot"), "body": ("head",), "article": ("head", "p"), "main": ("head", "p"),
+}
+SCOPES = set("table ul ol menu dl button".split())  # a start tag inside ends nothing that was open before
+# fixed values: class names and ids that name what is not main text, alone or as the last part of a longer name
 NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice notices notification alert popup modal overlay menu menus nav navbar navigation breadcrumb breadcrumbs "
-    "sidebar side aside footer header masthead topbar toolbar comment comments disqus discussion replies respond share "
-    "sharing social related recommended newsletter subscribe subscription signup login search form widget pagination "
-    "pager skip copyright".split()
-)
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{SKIPPED})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
+    "sidebar aside footer header masthead topbar toolbar comment comments disqus replies respond share sharing "
+    "newsletter subscribe subscription signup login pagination pager".split()
 )
+# and such that also do as the first part, as in "comment-list" or "ad_slot-3"
+LEADING = set("ad ads advert adverts sponsored promo cookie breadcrumb sidebar comment comments disqus newsletter navbar".split())
+# these can name a part of an article too, and count outside of it only
+OUTSIDE = set("side discussion social related recommended search form widget skip copyright".split())
+_TAG = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+_STOP = re.compile("[>\"']")
 FREE, APART_MARK, MAIN_MARK = "o", "x", "m"
 
 
+def _names_apart(value: str, inside_main: bool) -> bool:
+    """Whether one of the class names or ids in ``value`` says that the element is not main text."""
+    for token in value.split():
+        parts = _PART.findall(token)
+        if parts and (parts[-1] in NAMES or parts[0] in LEADING or not inside_main and len(parts) == 1 and parts[0] in OUTSIDE):
+            return True
+    return False
+
+
 def _kind(name: str, rest: str, inside_main: bool) -> str:
     """x: not main text; m: main text; o: neither."""
     if name in APART or name == "header" and not inside_main:
@@ -56,16 +78,118 @@ def _kind(name: str, rest: str, inside_main: bool) -> str:
                 return APART_MARK
             if value == "main":
                 return MAIN_MARK
-        elif name not in MAIN and name not in ("body", "html") and NAMES.intersection(_PART.findall(value)):
+        elif name not in MAIN and name not in ("body", "html") and _names_apart(value, inside_main):
             return APART_MARK
     return MAIN_MARK if name in MAIN else FREE
 
 
+class _Ends:
+    """Where the tags of a page end. Each place is looked at a bounded number of times, whatever is left unclosed."""
+
+    def __init__(self, page: str):
+        self.page, self.known, self.stop, self.stop_from = page, {}, -1, len(page) + 1
+
+    def _next(self, at: int) -> int:
+        """The first >, " or ' from ``at`` on, or -1; every place between two of them has the same answer."""
+        if not self.stop_from <= at <= (self.stop if self.stop >= 0 else len(self.page)):
+            found = _STOP.search(self.page, at)
+            self.stop_from, self.stop = at, found.start() if found else -1
+        return self.stop
+
+    def of(self, at: int) -> int:
+        """Behind the > of a tag whose name ends at ``at``; a > between quotes does not count. -1 if it has none."""
+        seen, end = [], -1
+        place = self._next(at)
+        while place >= 0:
+            if place in self.known:
+                end = self.known[place]
+                break
+            seen.append(place)
+            if self.page[place] == ">":
+                end = place + 1
+                break
+            quote = self.page.find(self.page[place], place + 1)
+            found = _STOP.search(self.page, quote + 1) if quote >= 0 else None
+            place = found.start() if found else -1
+        self.known.update(dict.fromkeys(seen, end))
+        return end
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(begin, end, "/" or "", name, attributes) of each tag; comments, declarations and the elements whose content is
+    never text come with an empty name. A < without an end is text."""
+    ends, at, no_more = _Ends(page), 0, set()
+    while found := _TAG.search(page, at):
+        begin, at = found.span()
+        name = (found[2] or "").lower()
+        if page.startswith("<!--", begin):
+            end = page.find("-->", at)
+            at = end + 3 if end >= 0 else len(page)
+            yield begin, at, "", "", ""
+            continue
+        if name:
+            end = ends.of(at)
+        elif ">" in no_more:
+            end = -1
+        else:
+            end = page.find(">", at) + 1 or -1
+            if end < 0:
+                no_more.add(">")
+        if end < 0:
+            continue
+        rest = page[at : end - 1] if name else ""
+        at = end
+        if name in SKIPPED and not found[1]:
+            if not (rest.endswith("/") and name in ("svg", "math")):
+                close = re.compile(rf"</{name}\s*>", re.I).search(page, end)
+                at = close.end() if close else len(page)
+            name = ""
+        yield begin, at, found[1] or "", name, rest
+
+
+class _Open:
+    """The open elements, with counts, so that no tag has to look through them in vain."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, str]] = []
+        self.counts: Counter = Counter()
+        self.scopes: list[Counter] = [Counter()]
+        self.kinds: Counter = Counter()
+
+    def push(self, name: str, kind: str) -> None:
+        self.elements.append((name, kind))
+        self.counts[name] += 1
+        self.kinds[kind] += 1
+        self.scopes[-1][name] += 1
+        if name in SCOPES:
+            self.scopes.append(Counter())
+
+    def pop_to(self, *names: str) -> None:
+        """Closes the innermost element of these names and all inside it."""
+        while True:
+            name, kind = self.elements.pop()
+            if name in SCOPES:
+                self.scopes.pop()
+            self.counts[name] -= 1
+            self.kinds[kind] -= 1
+            self.scopes[-1][name] -= 1
+            if name in names:
+                return
+
+    def end_implied(self, name: str) -> None:
+        if name in SCOPES or name in ENDS:
+            for other in ENDS.get(name, ()):
+                while self.scopes[-1][other] > 0:
+                    self.pop_to(other)
+
+
 def blocks(page: str) -> list[tuple[str, str]]:
-    """(mark, text) of each block of the page with text: x is apart from the main text, m inside it, o free."""
+    """(mark, text) of each block of the page with text: x is apart from the main text, m inside it, o free.
+
+    End tags that HTML lets out are implied (ENDS). Time grows with the length of the page, also if nothing is closed.
+    """
     found: list[tuple[str, str]] = []
-    open_elements: list[tuple[str, str]] = []
-    apart = main = 0
+    opened = _Open()
     pieces: list[str] = []
     at = 0
 
@@ -74,38 +198,33 @@ def blocks(page: str) -> list[tuple[str, str]]:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                found.append((APART_MARK if apart else MAIN_MARK if main else FREE, text))
-
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            pieces.append(page[at : token.start()])
-        at = token.end()
-        name = token["name"]
-        if name is None:
+                kinds = opened.kinds
+                found.append((APART_MARK if kinds[APART_MARK] else MAIN_MARK if kinds[MAIN_MARK] else FREE, text))
+
+    for begin, end, close, name, rest in _tokens(page):
+        if begin > at:
+            pieces.append(page[at:begin])
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name in INLINE:
             if name == "br":
                 pieces.append(" ")
             # an inline element counts only if its names say that it is apart, and then until it closes
-            if token["close"]:
-                if all(e[0] != name for e in open_elements):
+            if close:
+                if not opened.counts[name]:
                     continue
-            elif name in VOID or not token["rest"] or _kind(name, token["rest"], main > 0) != APART_MARK:
+            elif name in VOID or not rest or _kind(name, rest, opened.kinds[MAIN_MARK] > 0) != APART_MARK:
                 continue
         flush()
-        if token["close"]:
-            places = [i for i, e in enumerate(open_elements) if e[0] == name]
-            if places:
-                for _, kind in open_elements[places[-1] :]:
-                    apart -= kind == APART_MARK
-                    main -= kind == MAIN_MARK
-                del open_elements[places[-1] :]
-        elif name not in VOID and not token["rest"].endswith("/"):
-            kind = _kind(name, token["rest"], main > 0)
-            open_elements.append((name, kind))
-            apart += kind == APART_MARK
-            main += kind == MAIN_MARK
+        if close:
+            if opened.counts[name]:
+                opened.pop_to(name)
+            continue
+        if name not in INLINE:
+            opened.end_implied(name)
+        if name not in VOID and not rest.endswith("/"):
+            opened.push(name, _kind(name, rest, opened.kinds[MAIN_MARK] > 0))
     if at < len(page):
         pieces.append(page[at:])
     flush()

@@ -101,13 +101,13 @@ QUERIES = {
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _TEMPLATES = ", ".join(
-    f"({n}, {base}, '{label}', {at}, {pairs}, '{gram}')"
-    for n, base, label, at, pairs, gram in licenses.template_rows(licenses.BASE, licenses.MORE)
+    f"({n}, {base}, '{label}', {at}, {pairs}, {musts}, {must}, '{gram}')"
+    for n, base, label, at, pairs, musts, must, gram in licenses.template_rows(licenses.BASE, licenses.MORE)
 )
 
 SQL = {
     "op1_license_scans": rf"""
-WITH t(template, base, label, place, pairs, gram) AS (VALUES {_TEMPLATES}),
+WITH t(template, base, label, place, pairs, musts, must, gram) AS (VALUES {_TEMPLATES}),
 d AS (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -115,8 +115,9 @@ d AS (
 g AS (SELECT r, unnest(ws) AS w, unnest(list_append(ws[2:], NULL)) AS v, generate_subscripts(ws, 1) - 1 AS p FROM d),
 h AS (SELECT g.r, t.*, g.p - t.place AS start FROM g JOIN t ON g.w || ' ' || g.v = t.gram),
 votes AS (
-  SELECT r, template, base, label, pairs, start, list(DISTINCT place) AS places, count(DISTINCT place) = pairs AS exact
-  FROM h GROUP BY r, template, base, label, pairs, start),
+  SELECT r, template, base, label, pairs, musts, start, list(DISTINCT place) AS places,
+         coalesce(list(DISTINCT place) FILTER (must), []) AS must, count(DISTINCT place) = pairs AS exact
+  FROM h GROUP BY r, template, base, label, pairs, musts, start),
 marked AS (
   SELECT *, CASE WHEN base OR exact OR lag(exact) OVER o OR lag(start) OVER o IS NULL
             OR start - lag(start) OVER o > {licenses.NEIGHBOURS} THEN 1 ELSE 0 END AS fresh
@@ -124,9 +125,10 @@ marked AS (
 banded AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY start ROWS UNBOUNDED PRECEDING) AS band FROM marked),
 bands AS (
   SELECT r, template, base, label, band, min(start) AS first, bool_or(exact) AS exact,
-         len(list_distinct(flatten(list(places)))) / pairs AS cover
-  FROM banded GROUP BY r, template, base, label, pairs, band),
-good AS (SELECT *, CASE WHEN base THEN exact ELSE cover >= {licenses.COVER}::DOUBLE END AS good FROM bands),
+         len(list_distinct(flatten(list(places)))) / pairs AS cover,
+         len(list_distinct(flatten(list(must)))) = musts AS decided
+  FROM banded GROUP BY r, template, base, label, pairs, musts, band),
+good AS (SELECT *, CASE WHEN base THEN exact ELSE decided AND cover >= {licenses.COVER}::DOUBLE END AS good FROM bands),
 found AS (
   SELECT r, count(*) FILTER (good AND base) AS n_base, min(first) FILTER (good AND base) AS first_word,
          max(first) FILTER (good AND base) AS last_word,
