@@ -51,7 +51,7 @@ def python_accepted(docs):
     for row in docs:
         d, t, _, s, _ = row
         words, *_, failed = python_counts(t)
-        gone = sum(len(x.split()) for x in split[d] if len(lines[s, x]) > max(10, 0.1 * len(texts[s])))
+        gone = sum(len(x.split()) for x in split[d] if len(lines[s, x]) > max(10, len(texts[s]) ** 0.5))
         if not failed and words - gone >= 0.3 * words:
             out.append(row)
     return out

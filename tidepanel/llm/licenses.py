@@ -115,11 +115,12 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, more: dict[str, str] = MO
         F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))),
         lambda w, i: F.concat_ws(" ", w, F.get(F.col("_w"), i + 1)),
     )
-    # place 0 stands for the document itself, so that one without hits keeps its row
+    # place 0 stands for the document itself, so that one without hits keeps its row; the words are left behind before
+    # the pairs become rows, or each of these would carry all of them
     rows = rows.select(
-        "_row", "doc_id", F.size("_w").cast("long").alias("n_words"),
-        F.posexplode(F.concat(F.array(F.lit("")), pairs)).alias("_place", "_gram"),
+        "_row", "doc_id", F.size("_w").cast("long").alias("n_words"), F.concat(F.array(F.lit("")), pairs).alias("_grams")
     )
+    rows = rows.select("_row", "doc_id", "n_words", F.posexplode("_grams").alias("_place", "_gram"))
     wanted = F.broadcast(templates(spark, base, more))  # as large as the given phrases
     on = (F.xxhash64("_gram") == F.col("t_hash")) & (F.col("_gram") == F.col("t_gram"))
     hits = rows.join(wanted, on, "left").filter((F.col("_place") == 0) | F.col("t_hash").isNotNull())
