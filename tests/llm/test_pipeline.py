@@ -112,7 +112,7 @@ def python_cleaned(docs):
     out = []
     for d, t, lang, s, _ in python_accepted(docs):
         keep = [x for x in t.split("\n")
-                if not x.split() or len(lines[s, " ".join(x.split()).lower()]) <= max(10, 0.1 * len(texts[s]))]
+                if not x.split() or len(lines[s, " ".join(x.split()).lower()]) <= max(10, len(texts[s]) ** 0.5)]
         out.append((d, "\n".join(keep), lang, s, len("\n".join(keep))))
     return out
 
@@ -151,5 +151,5 @@ def test_same_as_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert "pipeline" in queries() and set(QUERIES) <= set(queries())
