@@ -151,6 +151,48 @@ def test_join(spark, monkeypatch, odd):
     assert ngram_join.one_of_each(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("part", [3, 1000])
+def test_members_meet_once(spark, monkeypatch, part):
+    """All pairs of a token's group, each once, also where the group is cut into parts; no part grows with it."""
+    monkeypatch.setattr(ngram_join, "PART", part)
+    rows = [(t, x, 5, 0, 0, x) for t, n in ((1, 40), (2, 1), (3, 3), (4, 4)) for x in range(n)]
+    members = spark.createDataFrame(rows, "token long, x long, n_x long, own_x long, place_x int, component long")
+    got = sorted((r.token, r.x, r.y) for r in ngram_join._met(members).select("token", "x", "y").collect())
+    assert got == sorted((a[0], a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1])
+
+
+def test_equal_rows_are_dealt_out(spark, odd):
+    """Rows that agree in id and text do not meet in one batch when they are many; the others stay where they were."""
+    text = "the same words again and again " * 3
+    rows = spark.range(100_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS doc_id",
+        f"CASE WHEN id % 9 = 1 THEN NULL ELSE '{text}' END AS text",
+    )
+    for table in (rows, rows.withColumn("doc_id", exchange.F.lit(None).cast("long")), rows.filter("text IS NULL")):
+        size = 1 << 17
+        dealt, total, count = exchange.batched(table, size=size)
+        assert dealt.columns == table.columns + ["_batch"] and count > 5
+        weights = dealt.groupBy("_batch").agg(exchange.F.expr("sum(coalesce(octet_length(text), 0) + 64)").alias("w")).collect()
+        assert len(weights) == count and max(r.w for r in weights) <= 2 * size
+        assert total == table.selectExpr("sum(octet_length(text))").first()[0] or not total
+    assert exchange.batched(odd)[0].columns.count("_batch") == 1
+
+
+def test_repeated_rows_give_the_same(spark, monkeypatch):
+    """Operators over rows that are dealt out one by one, against one batch for all."""
+    texts = [" ".join(f"w{k}x{i % 50}" for i in range(200)) for k in range(3)]
+    data = [(7, texts[0])] * 60 + [(None, texts[1])] * 40 + [(8, texts[1]), (9, texts[2]), (3, texts[0][:900]), (None, None)]
+    rows = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    got = []
+    for size in (1 << 26, 5_000):
+        for module in (ngram_join, suffixes, ctw):
+            monkeypatch.setattr(module, "batched", lambda docs, size=None, s=size: exchange.batched(docs, size=s))
+        parts = [ngram_join.linked(rows), ngram_join.one_of_each(rows), suffixes.repeats(rows), ctw.scored(rows)]
+        found = [sorted((tuple(round(x, 6) if isinstance(x, float) else str(x) for x in r) for r in p.collect()), key=str) for p in parts]
+        got.append(found)
+    assert got[0] == got[1]
+
+
 def test_one_row_of_each_class(spark):
     """Repeated rows of a class's first document, ids with several texts, and classes of null ids."""
     text = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(6)]
@@ -217,6 +259,10 @@ def test_simhash_within_radius(spark):
     got = {((r.q0, r.q1), (r.f0, r.f1), r.distance) for r in simhash.within(rows, ask, radius=3).collect()}
     want = {(halves(b), halves(p), (b ^ p).bit_count()) for b in base for p in prints if (b ^ p).bit_count() <= 3}
     assert got == want and len(want) > 50
+    for blocks in (4, 5, 6):
+        again = simhash.within(rows, ask, radius=3, blocks=blocks).collect()
+        assert {((r.q0, r.q1), (r.f0, r.f1), r.distance) for r in again} == want
+    assert [simhash.cheapest_blocks(10, n, n // 100) for n in (10**5, 10**9, 10**11)] == [11, 12, 13]
     found = simhash.fingerprints(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")).collect()
     assert found[0].fingerprint == python_print("a b").hex() and (found[1].f0, found[1].f1) == (0, 0)
 
@@ -247,7 +293,29 @@ def test_simhash_finds_near_copies(spark, odd):
             want.append((d, len(near), None if one == 2**63 else one, bits) if asks else (d, None, None, None))
         got = simhash.searched(table).select("doc_id", "near_count", "nearest_id", "nearest_bits").collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
-    assert caught > 10
+    assert caught > 10  # also pairs beyond 3 bits
+
+
+def test_simhash_radius_finds_nine_in_ten(spark):
+    """Copies of given documents with one word replaced, searched among all documents."""
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    given = [(r.doc_id, r.text) for r in given if len((r.text or "").split()) >= 5]
+    rnd = random.Random(3)
+    copies = []
+    for d, text in given:
+        words = text.split(" ")
+        words[rnd.choice([i for i, w in enumerate(words) if w.strip()])] = f"other{d}"
+        copies.append((10**9 + 100 * d, " ".join(words)))
+    rows = spark.createDataFrame(given + copies, "doc_id long, text string")
+    prints = simhash.fingerprints(rows)
+    ask = prints.filter("doc_id >= 1000000000")
+    found = {(r.q0, r.q1, r.f0, r.f1) for r in simhash.within(prints, ask, simhash.RADIUS).collect()}
+    own = {r.doc_id: (r.f0, r.f1) for r in prints.collect()}
+    caught = sum((*own[10**9 + 100 * d], *own[d]) in found for d, _ in given)
+    assert caught >= 0.9 * len(given)
+
+
+def test_simhash_query_has_the_search(spark):
     assert {"near_count", "nearest_id"} <= set(queries()["op10_simhash"](spark, "/root/testdata/sf0.001").columns)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from tidepanel.llm.vector import gram_hashes, lower_ascii, mixed, text_bytes, wo
 from tidepanel.session import settle
 
 BITS = 128
-RADIUS = 7  # of the documents of sf0.01, 82 % of the copies with one other word are that near, 36 % are within 3
+RADIUS = 10  # of the documents of sf0.01, 92 % of the copies with one other word are that near, 78 % are within 7
+DEAL = 30  # comparisons that take as long as putting a fingerprint into one table
 AT_ONCE = 100_000  # fingerprints compared with one at once
 RANGES = 20_000  # most ranges of doc_id; their bounds pass through the driver
 
@@ -81,6 +83,16 @@ def _tables(radius: int, blocks: int) -> list[tuple[int, int]]:
     return masks
 
 
+def cheapest_blocks(radius: int, rows: int, asks: int) -> int:
+    """Into how many blocks to cut the bits: more blocks make more tables with longer keys, where fewer fingerprints
+    meet. Every choice finds the same pairs."""
+    def work(blocks: int) -> float:
+        meet = asks / 2 ** (BITS * (blocks - radius) / blocks)
+        return comb(blocks, radius) * rows * (DEAL + meet)
+
+    return min(range(radius + 1, radius + 6), key=work)
+
+
 class Tables:
     """The passes of the block tables: prints are dealt out by each table's key, and compared where keys meet."""
 
@@ -143,12 +155,14 @@ def within(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int |
     Both tables have f0 and f1 and are reduced to different fingerprints first, so copies cost one row; join the
     result back on them for the documents. The bits are cut into ``blocks``; two fingerprints within the radius
     agree in at least blocks - radius of them, so each choice of that many blocks is a table, keyed by its
-    blocks' bits, and a near pair meets in one table or more. A fingerprint moves as 16 bytes per table.
+    blocks' bits, and a near pair meets in one table or more. A fingerprint moves as 16 bytes per table. Without
+    ``blocks``, the number of fingerprints and queries tells how many take the least work.
     """
-    blocks = blocks or radius + 2
     asks = queries.select("f0", "f1").distinct().withColumn("asks", F.lit(True))
     rows = settle(prints.select("f0", "f1").distinct().withColumn("asks", F.lit(False)).unionByName(asks), "prints")
-    moved = rows.count() * len(_tables(radius, blocks)) * BITS // 8
+    asked, count = rows.agg(F.count_if("asks"), F.count(F.lit(1))).first()
+    blocks = blocks or cheapest_blocks(radius, count - asked, asked)
+    moved = count * comb(blocks, radius) * BITS // 8
     steps = Tables(radius, blocks, max(16, moved >> 23))  # buckets of 8 MB
     dealt = rows.mapInArrow(lambda b: steps.deal(b), "bucket int, table int, asks boolean, prints binary")
     pairs = dealt.groupBy("bucket").applyInArrow(
