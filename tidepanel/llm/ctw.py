@@ -465,8 +465,7 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     held = (F.crc32(name.cast("binary")) % FOLDS) == HELD
-    rows, total = batched(docs.select("doc_id", "text", held.alias("held_out")), size=BATCH_BYTES)
-    batches = max(1, -(-total // BATCH_BYTES))
+    rows, total, batches = batched(docs.select("doc_id", "text", held.alias("held_out")), size=BATCH_BYTES)
     steps = Scorer(depth, total)
     packed = "keys binary, counts binary"
     asked = rows.groupBy("_batch").applyInArrow(lambda t: steps.ask(t), f"_bucket long, _batch int, {packed}")

@@ -13,16 +13,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.session import settle
+
 BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
+ROW_BYTES = 64  # what a row takes beside its text
 LOW = 24  # bits of a key beside its bucket, where a rare false match only costs work
 
 
-def batched(docs: DataFrame, text: str = "text", size: int = BATCH_BYTES) -> tuple[DataFrame, int]:
-    """``docs`` with the column _batch, and how many bytes of text there are."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    count = max(1, math.ceil(total / size))
-    return docs.withColumn("_batch", F.pmod(F.xxhash64("doc_id", text), F.lit(count)).cast("int")), total
+def batched(docs: DataFrame, text: str = "text", size: int = BATCH_BYTES) -> tuple[DataFrame, int, int]:
+    """``docs`` with the column _batch, how many bytes of text there are, and how many batches.
+
+    The batch follows from doc_id and text, so a repeated task deals its rows out as before. Rows that agree in both
+    and together fill a quarter of a batch or more are dealt out one by one; such rows may change places, as they
+    are alike. Null ids and texts count as equal.
+    """
+    key = F.xxhash64("doc_id", text)
+    length = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    each = docs.groupBy(key.alias("_key")).agg(F.sum(length).alias("bytes"), F.sum(length + ROW_BYTES).alias("weight"))
+    total, weight, most = each.agg(F.sum("bytes"), F.sum("weight"), F.max("weight")).first()
+    total, count = total or 0, max(1, math.ceil((weight or 0) / size))
+    if (most or 0) < size // 4 or count == 1:
+        return docs.withColumn("_batch", F.pmod(key, F.lit(count)).cast("int")), total, count
+    often = settle(each.filter(F.col("weight") >= size // 4).select("_key", F.lit(True).alias("_often")), "often")
+    own = F.when(F.col("_often"), F.monotonically_increasing_id())
+    rows = docs.withColumn("_key", key).join(often, "_key", "left")
+    rows = rows.withColumn("_batch", F.pmod(F.xxhash64("_key", own), F.lit(count)).cast("int"))
+    return rows.drop("_key", "_often"), total, count
 
 
 def bucket_bits(total: int, least: int = 8) -> int:

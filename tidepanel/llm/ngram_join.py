@@ -14,6 +14,7 @@ from tidepanel.session import settle
 SIZE = 4
 PERCENT = 85
 ORDERS = 3
+PART = 1_000  # members of a token's group that meet others at once
 _U = np.uint64
 
 
@@ -133,6 +134,29 @@ def _possible(percent: int) -> Column:
     return (room[0] >= need) & (room[1] >= need)
 
 
+def _met(members: DataFrame) -> DataFrame:
+    """Every two members (x < y) of a token once, with their columns; those of y end in _y.
+
+    A group of more than PART members is cut into parts by x. Each pair of parts meets under a key of its own, so no
+    task gets more than twice PART members at once, however common the token is.
+    """
+    sizes = members.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART)
+    parts = members.join(sizes, "token", "left").withColumn("parts", F.coalesce(F.ceil(F.col("size") / PART), F.lit(1)))
+    parts = parts.withColumn("part", F.pmod(F.xxhash64("x"), "parts").cast("int"))
+    dealt = parts.select("*", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("with"))
+    dealt = dealt.withColumns({"lo": F.least("part", "with"), "hi": F.greatest("part", "with")})
+    dealt = dealt.drop("size", "parts", "with")
+    key = ["token", "lo", "hi"]
+    other = dealt.select(
+        *key, F.col("part").alias("part_y"),
+        *[F.col(c).alias(c.replace("x", "y")) for c in ("x", "n_x", "own_x", "place_x")],
+        F.col("component").alias("component_y"),
+    )
+    both = dealt.join(other, key).filter(F.col("x") < F.col("y"))
+    # under a key of two parts, only members of different ones meet
+    return both.filter((F.col("lo") == F.col("hi")) | (F.col("part") != F.col("part_y")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (x, y) that share prefix shingles under the other orders too, and are alike."""
     others = [f"prefix{o}" for o in range(1, orders)]
@@ -178,7 +202,9 @@ def _text_key() -> Column:
 def _classes(docs: DataFrame, size: int, percent: int, orders: int) -> tuple[DataFrame, DataFrame]:
     """``linked``, and of each class of documents with words its first row by doc_id, nulls last, and text_key:
     (doc_id, text_key, times: rows with both)."""
-    rows, total = batched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key")))
+    rows, total, _ = batched(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
+    )
     steps = Sets(total, size, percent, orders)
     asked = rows.groupBy("_batch").applyInArrow(
         lambda t: steps.ask(t), "_bucket int, _batch int, keys binary, counts binary"
@@ -231,11 +257,7 @@ def _classes(docs: DataFrame, size: int, percent: int, orders: int) -> tuple[Dat
         need = F.ceil(percent * (F.col("n_x") + F.col("least")) / (100 + percent))
         room = F.col("n_x") - F.greatest("own_x", "place_x")
         rest = settle(rest.join(groups, "token").filter(room >= need).drop("least"), "open")
-    other = rest.select("token", *[F.col(c).alias(c.replace("x", "y")) for c in ("x", "n_x", "own_x", "place_x")],
-                        F.col("component").alias("component_y"))
-    more = rest.join(other, "token").filter(
-        (F.col("x") < F.col("y")) & (F.col("component") != F.col("component_y")) & _possible(percent)
-    )
+    more = _met(rest).filter((F.col("component") != F.col("component_y")) & _possible(percent))
     # those met through a centre have been compared
     more = more.select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti")
     links = settle(links.unionByName(_verified(more, sets, percent, orders)), "all-links")

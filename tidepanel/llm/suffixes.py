@@ -390,7 +390,7 @@ def _kept(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
 
 
 def _applied(docs: DataFrame, finish: Callable, schema: str, length: int, gram: int, hot: int) -> DataFrame:
-    rows, total = batched(docs)
+    rows, total, _ = batched(docs)
     steps = Repeats(total, length, gram, hot)
     asked = rows.groupBy("_batch").applyInArrow(
         lambda t: steps.ask(t), "_bucket int, _batch int, keys binary, twice binary"
