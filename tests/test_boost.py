@@ -3,6 +3,7 @@
 import math
 import random
 from collections import defaultdict
+from dataclasses import replace
 from datetime import date, timedelta
 
 import numpy as np
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import boost
 from tidepanel.operators import features as X
+from tidepanel.operators import forecast as N
 from tidepanel.operators import multirate as R
 from tidepanel.operators import trained as T
 from tidepanel.operators import tune as H
 from tidepanel.operators.folds import Folds
+from tidepanel.plans import base
 
 START = date(2020, 1, 1)
 
@@ -194,3 +197,71 @@ def test_steps_of_one_day_come_back(spark):
     assert rows.select(one, R.expanded_steps(one, 5, 1), two).first() == ([1.0, 5.0, None, 2.0, 8.0], [1.0, 5.0, None, 2.0, 8.0], [3.0, 2.0, 8.0])
     flat = rows.select(R.expanded_steps(F.array(F.lit(4.0), F.lit(4.0), F.lit(4.0)), 5, 2)).first()[0]
     assert flat == [4.0] * 5
+
+
+def plain_booster(x, y, params, seed):
+    """The same boosting by plain sums: each bin adds its errors in row order, the larger child is what the smaller one
+    leaves of the parent."""
+    n, width = x.shape
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, params.bins + 1)[1:-1])) for c in x.T]
+    codes = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T)])
+    bins = max(len(e) for e in edges) + 1
+    rest, trees = y - y.mean(), []
+    for t in range(params.trees):
+        draw = np.random.default_rng((seed, params.seed, t))
+        rows = np.flatnonzero(draw.random(n) < params.row_share) if params.row_share < 1 else np.arange(n)
+        some = max(1, round(width * params.feature_share))
+        used = np.sort(draw.permutation(width)[:some]) if some < width else np.arange(width)
+        node, made = np.zeros(n, int), []
+        sums = sizes = None
+        for level in range(params.depth):
+            def count(own, of, nodes):
+                s, k = np.zeros((len(used), nodes, bins)), np.zeros((len(used), nodes, bins), int)
+                for f, u in enumerate(used):
+                    for i in own:
+                        s[f, of[i], codes[u, i]] += rest[i]
+                        k[f, of[i], codes[u, i]] += 1
+                return s, k
+            if level == 0:
+                sums, sizes = count(rows, node, 1)
+            else:
+                less = np.bincount(node[rows], minlength=2**level).reshape(-1, 2).argmin(axis=1)
+                part = count([i for i in rows if less[node[i] >> 1] == node[i] & 1], node >> 1, 2 ** (level - 1))
+                sums, sizes = (boost._both(whole, own, less) for whole, own in zip((sums, sizes), part))
+            best, f, at = boost._splits(sums, sizes, params.min_rows)
+            split, at = np.where(best > 1e-12, used[f], 0), np.where(best > 1e-12, at, bins - 1)
+            made += [(int(u), edges[u][k] if k < len(edges[u]) else np.inf) for u, k in zip(split, at)]
+            node = 2 * node + (codes[split[node], np.arange(n)] > at[node])
+        own = np.bincount(node[rows], rest[rows], 2**params.depth)
+        leaf = params.rate * own / np.maximum(np.bincount(node[rows], minlength=2**params.depth), 1)
+        rest = rest - leaf[node]
+        trees.append((made, leaf))
+    return trees
+
+
+@pytest.mark.parametrize("shares", [(1.0, 1.0), (0.7, 0.5)])
+def test_fit_is_that_of_plain_sums(shares):
+    """To the last bit, as ties of gain hang on it; a constant feature and one that is nearly always zero."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=300), rng.integers(0, 9, 300) * (rng.random(300) < 0.2), np.ones(300), rng.integers(0, 40, 300)])
+    y = rng.normal(size=300) + 3 * (x[:, 1] > 2) + x[:, 3] / 7
+    params = T.TreeParams(trees=4, depth=4, min_rows=4, row_share=shares[0], feature_share=shares[1])
+    own = boost.fit_booster(x, y, params, 5)
+    for t, (made, leaf) in enumerate(plain_booster(x, y, params, 5)):
+        assert list(zip(own.feature[t].tolist(), own.above[t].tolist())) == made
+        assert np.array_equal(own.leaf[t], leaf)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.7])
+def test_a_fit_goes_on_where_a_shorter_one_ended(share, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(500, 4)).round(1), rng.normal(size=500)
+    whole = T.TreeParams(trees=12, depth=4, min_rows=3, row_share=share, feature_share=share)
+    first = boost.fit_booster(x, y, replace(whole, trees=7), 2)
+    alone = boost.fit_booster(x, y, whole, 2)
+    looked = []
+    monkeypatch.setattr(boost, "_splits", lambda *a, own=boost._splits: looked.append(1) or own(*a))
+    longer = boost.fit_booster(x, y, whole, 2, begun=first)
+    assert len(looked) == 5 * 4  # only the five new trees look for splits
+    for name in ("feature", "above", "leaf"):
+        assert np.array_equal(getattr(alone, name), getattr(longer, name))
