@@ -265,3 +265,22 @@ def test_a_fit_goes_on_where_a_shorter_one_ended(share, monkeypatch):
     assert len(looked) == 5 * 4  # only the five new trees look for splits
     for name in ("feature", "above", "leaf"):
         assert np.array_equal(getattr(alone, name), getattr(longer, name))
+
+
+def test_training_rows_have_the_features_of_windows(spark):
+    """Bit by bit, over batches that cut series, with fractions, unknown days and a series without a name."""
+    rng = random.Random(4)
+    rows = [(k, START + timedelta(days=i), None if rng.random() < 0.01 else rng.choice([0.0, rng.random() * 9]))
+            for k in ("a", "b", None, "short") for i in range(20 if k == "short" else 190)]
+    p = spark.createDataFrame(rows, "unique_id string, ds date, y double").withColumn("more", F.lit(1))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for specs in (X.RICH, [X.Lag(1), X.DOW], [X.MONTH]):
+            want = X.add_features(p, specs).dropna(subset=["y", *[s.name for s in specs]])
+            got = X.training_matrix(p, specs)
+            assert got.dtypes == want.dtypes
+            key = lambda r: (r[0] or "", r[1])
+            assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+            assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

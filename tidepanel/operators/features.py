@@ -2,16 +2,19 @@
 
 A spec gives the same feature in three forms: ``over`` a day-ordered window, for training tables, and ``at`` an
 offset past the end of an array of recent values, for forecasting days whose lags are known so far. ``last`` is the
-latter for the first unknown day in numpy, with one row of recent values per series and NaN for unknown. The window
-columns a feature is made of are its ``parts``; features share those they have in common. Panels must be free of
+latter for the first unknown day in numpy, with one row of recent values per series and NaN for unknown. ``along`` is
+``over`` in numpy, for many days of many series in one array, NaN for unknown, with the same sums in the same order. The
+window columns a feature is made of are its ``parts``; features share those they have in common. Panels must be free of
 gaps. A rolling feature is NULL until its window is full.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
 from typing import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +53,9 @@ class Lag:
     def last(self, past: np.ndarray) -> np.ndarray:
         return past[:, -self.lag]
 
+    def along(self, run: "Run") -> np.ndarray:
+        return run.back(self.lag)
+
 
 def _mean(x: Column, n: int) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
@@ -131,6 +137,23 @@ class Rolling:
             "quantile": lambda: np.quantile(part, self.q, axis=1),
         }[self.kind]()
 
+    def along(self, run: "Run") -> np.ndarray:
+        n, known = self.window, run.full(self.lag, self.window)
+        value = {
+            "mean": lambda: run.total(self.lag, n) / n,
+            "std": lambda: run.deviation(self.lag, n),
+            "min": lambda: run.ordered(self.lag, n)[:, 0],
+            "max": lambda: run.ordered(self.lag, n)[:, -1],
+            "quantile": lambda: self._between(run.ordered(self.lag, n)),
+        }[self.kind]()
+        return np.where(known, value, np.nan)
+
+    def _between(self, ordered: np.ndarray) -> np.ndarray:
+        place = self.q * (self.window - 1)
+        low = int(place)
+        share = place - low
+        return ordered[:, low] * (1 - share) + ordered[:, min(low + 1, self.window - 1)] * share
+
     def _of(self, values: Column, ordered: Column) -> Column:
         n = self.window
         value = {
@@ -178,6 +201,9 @@ class SeasonalMean:
     def last(self, past: np.ndarray) -> np.ndarray:
         return sum(past[:, -k] for k in self._lags) / self.seasons
 
+    def along(self, run: "Run") -> np.ndarray:
+        return sum(run.back(k) for k in self._lags) / self.seasons
+
 
 @dataclass(frozen=True)
 class Calendar:
@@ -244,11 +270,95 @@ def add_features(panel: DataFrame, specs: list[Spec]) -> DataFrame:
     return windowed.select(*panel.columns, *features)
 
 
+class Run:
+    """The values of consecutive rows of a table in series and day order, and of some rows before them.
+
+    ``place`` counts the rows of the same series before each row, so that no look back leaves the series. What several
+    features need of one frame is computed once.
+    """
+
+    def __init__(self, before: np.ndarray, values: np.ndarray, place: np.ndarray, reach: int):
+        gap = np.full(reach - len(before), np.nan)
+        self.all, self.reach, self.place = np.concatenate([gap, before, values]), reach, place
+        self.kept: dict[tuple, np.ndarray] = {}
+
+    def _shifted(self, days: int) -> np.ndarray:
+        return self.all[self.reach - days : len(self.all) - days]
+
+    def back(self, lag: int) -> np.ndarray:
+        return np.where(self.place >= lag, self._shifted(lag), np.nan)
+
+    def _once(self, key: tuple, make: Callable[[], np.ndarray]) -> np.ndarray:
+        if key not in self.kept:
+            self.kept[key] = make()
+        return self.kept[key]
+
+    def _frame(self, lag: int, window: int) -> Iterator[np.ndarray]:
+        """The window's first value of each row, then the second…"""
+        return (self._shifted(lag + window - 1 - i) for i in range(window))
+
+    def full(self, lag: int, window: int) -> np.ndarray:
+        unknown = lambda: np.logical_or.reduce([np.isnan(v) for v in self._frame(lag, window)])
+        return self._once(("full", lag, window), lambda: (self.place >= lag + window - 1) & ~unknown())
+
+    def total(self, lag: int, window: int) -> np.ndarray:
+        return self._once(("total", lag, window), lambda: sum(self._frame(lag, window)))
+
+    def deviation(self, lag: int, window: int) -> np.ndarray:
+        """One value after the other moves mean and squares, as the engine's aggregate does."""
+        mean, squares = np.zeros(len(self.place)), np.zeros(len(self.place))
+        for i, v in enumerate(self._frame(lag, window)):
+            delta = v - mean
+            part = delta / (i + 1)
+            mean = mean + part
+            squares = squares + delta * (delta - part)
+        return np.sqrt(squares / (window - 1))
+
+    def ordered(self, lag: int, window: int) -> np.ndarray:
+        return self._once(("ordered", lag, window), lambda: np.sort(np.column_stack(list(self._frame(lag, window))), axis=1))
+
+
 def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: date | None = None,
                     static: DataFrame | None = None) -> DataFrame:
-    """Feature rows up to ``cutoff`` without NULLs, with the series' static columns if given."""
+    """Feature rows up to ``cutoff`` without NULLs, with the series' static columns if given.
+
+    The features are those of :func:`add_features`. Spark brings the series together and sorts their days; the tasks
+    pass over the rows in batches and keep the last values of one batch for the next, so that no frame is summed up by
+    an aggregate of its own for each row.
+    """
     rows = panel if cutoff is None else panel.filter(F.col(DAY) <= F.lit(cutoff))
-    out = add_features(rows, specs).dropna(subset=[TARGET, *[s.name for s in specs]])
+    back, names = lagged(specs), [s.name for s in specs]
+    far = max((s.reach for s in back), default=0)
+    own = [f.name for f in rows.schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, before, seen = None, np.empty(0), 0  # of the rows before the batch
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            ids = batch.column(own.index(KEY)).dictionary_encode(null_encoding="encode")
+            codes = ids.indices.to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+            labels = ids.dictionary.to_pylist()
+            if seen and labels[codes[0]] == key:
+                place[: starts[1] if len(starts) > 1 else n] += seen
+            values = batch.column(own.index(TARGET)).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            frames = Run(before, values, place, far)
+            found = {s.name: s.along(frames) for s in back}
+            keep = ~np.isnan(values)
+            for v in found.values():
+                keep &= ~np.isnan(v)
+            key, seen, before = labels[codes[-1]], int(place[-1]) + 1, frames.all[len(frames.all) - far :]
+            columns = [*batch.columns, *[pa.array(v) for v in found.values()]]
+            yield pa.RecordBatch.from_arrays(columns, [*own, *found]).filter(pa.array(keep))
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{s.name}` double" for s in back]
+    sorted_rows = rows.repartition(KEY).sortWithinPartitions(KEY, DAY)
+    out = sorted_rows.mapInArrow(run, ", ".join(kinds))
+    out = out.withColumns({s.name: s.of(F.col(DAY)) for s in specs if isinstance(s, Calendar)})
+    out = out.dropna(subset=names).select(*own, *names)
     return attach_static(out, static) if static is not None else out
 
 
