@@ -267,6 +267,22 @@ def test_a_fit_goes_on_where_a_shorter_one_ended(share, monkeypatch):
         assert np.array_equal(getattr(alone, name), getattr(longer, name))
 
 
+def test_fits_at_several_cutoffs_share_their_rows(spark, monkeypatch):
+    """One table of training rows for all fits of a refit, and for both fits of intervals; results as of each alone."""
+    made = []
+    monkeypatch.setattr(T, "training_matrix", lambda *a, own=T.training_matrix, **b: made.append(1) or own(*a, **b))
+    p, trees = panel(spark, 3, 220), T.TreeParams(trees=3, depth=3, min_rows=3)
+    folds = Folds.of(p, windows=2)
+    columns = ["unique_id", "cutoff", "h", "y_hat"]
+    got = sorted_rows(T.gbt_base(trees, refit=True)(p, folds), *columns)
+    assert len(made) == 1
+    assert got == sorted(r for i in range(2) for r in sorted_rows(T.gbt_base(trees)(p, T._only(folds, i)), *columns))
+    made.clear()
+    banded = N.conformal_interval(p, T.gbt_base(trees), folds, 2)
+    assert len(made) == 1
+    assert sorted_rows(banded, *columns) == sorted_rows(T.gbt_base(trees)(p, folds), *columns)
+
+
 def test_training_rows_have_the_features_of_windows(spark):
     """Bit by bit, over batches that cut series, with fractions, unknown days and a series without a name."""
     rng = random.Random(4)

@@ -90,13 +90,16 @@ def conformal_interval(panel: DataFrame, forecaster: Forecaster, folds: Folds, n
     calibration cutoffs; each is forecast once, and one window per series reads the errors before each fold.
 
     A forecaster that is fitted (``fitted`` is set on it) runs twice: the errors come from the fit at the first
-    calibration cutoff, which never leaks, the forecasts from the same fit as without intervals.
+    calibration cutoff, which never leaks, the forecasts from the same fit as without intervals. One that has ``many``
+    shares its training rows between the two.
     """
     if folds.step != folds.horizon:
         raise ValueError("conformal_interval needs step == horizon")
-    rows = forecaster(panel, folds.earlier(n_windows))
-    if getattr(forecaster, "fitted", False):
-        point = forecaster(panel, folds).select(KEY, "cutoff", "h", DAY, TARGET, F.col("y_hat").alias("_point"))
+    both = [folds.earlier(n_windows), folds] if getattr(forecaster, "fitted", False) else [folds.earlier(n_windows)]
+    many = getattr(forecaster, "many", lambda panel, several: [forecaster(panel, f) for f in several])
+    rows, *points = many(panel, both)
+    if points:
+        point = points[0].select(KEY, "cutoff", "h", DAY, TARGET, F.col("y_hat").alias("_point"))
         later = F.col("cutoff") >= F.lit(folds.first)
         errors = rows.withColumn("_error", F.abs(F.col(TARGET) - F.col("y_hat")))
         errors = errors.select(KEY, "cutoff", "h", "_error")

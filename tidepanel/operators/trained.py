@@ -24,7 +24,7 @@ from tidepanel.operators.features import (
 )
 from tidepanel.operators.folds import Folds, fold_context, unpack
 from tidepanel.operators.panel import day_span
-from tidepanel.session import fresh_path
+from tidepanel.session import fresh_path, settle
 
 Scorer = Callable[[DataFrame], DataFrame]
 Learner = Callable[[DataFrame, list[str], list[str]], Scorer]
@@ -217,19 +217,30 @@ def recursive_model(learner: Learner, specs: list[Spec] = BASE, static: dict[str
 
 def boosted_model(params: TreeParams = TreeParams(), specs: list[Spec] = BASE, static: dict[str, Column] | None = None,
                   refit: bool = DEFAULTS.refit):
-    """A forecaster of boosted trees that fits in one job and forecasts all steps in another; lags may be short."""
+    """A forecaster of boosted trees that fits in one job and forecasts all steps in another; lags may be short.
+
+    ``many(panel, several)`` gives the forecasts of several folds. All fits read the training rows of the newest one,
+    which are made and stored once: a feature only looks back, so an older fit takes the rows up to its cutoff.
+    """
     static, names = static or {}, [s.name for s in specs]
 
+    def many(panel: DataFrame, several: list[Folds]) -> list[DataFrame]:
+        fits = [[_only(folds, i) for i in range(folds.windows)] if refit else [folds] for folds in several]
+        newest = max(fold.first for own in fits for fold in own)
+        matrix = training_matrix(panel, specs, newest).withColumns(static)
+        matrix = settle(matrix.select(KEY, DAY, TARGET, *names, *static), "matrix")
+
+        def forecast(fold: Folds) -> DataFrame:
+            rows = matrix.filter(F.col(DAY) <= F.lit(fold.first))
+            ensemble = Ensemble(rows, names, list(static), {0: params}, stored=True)
+            return ensemble.recursed(panel, fold, specs, static).drop("trial", "trees")
+
+        return [reduce(DataFrame.unionByName, [forecast(fold) for fold in own]) for own in fits]
+
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
-        fits = [_only(folds, i) for i in range(folds.windows)] if refit else [folds]
-        parts = []
-        for fold in fits:
-            matrix = training_matrix(panel, specs, fold.first).withColumns(static)
-            ensemble = Ensemble(matrix, names, list(static), {0: params})
-            parts.append(ensemble.recursed(panel, fold, specs, static).drop("trial", "trees"))
-        return reduce(DataFrame.unionByName, parts)
+        return many(panel, [folds])[0]
 
-    forecaster.fitted = True
+    forecaster.fitted, forecaster.many = True, many
     return forecaster
 
 
