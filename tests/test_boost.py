@@ -300,3 +300,16 @@ def test_training_rows_have_the_features_of_windows(spark):
             assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_tasks_of_a_panel_follow_its_filled_days(spark, monkeypatch, tmp_path):
+    """Few rows that fill to many days: the engine would put them into one task."""
+    orders = [(i, 0, START + timedelta(days=i % 400)) for i in range(400)]
+    lines = [(i, 0, i % 40, 1.0) for i in range(400)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(base, "FILLED_ROWS", 1_000)
+    filled = base.Tables(spark, str(tmp_path)).panel("supplier")
+    sizes = [r["n"] for r in filled.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 40 * 400 and len(sizes) > 8 and max(sizes) <= 5_000

@@ -22,6 +22,8 @@ from tidepanel.operators.trained import linear_scorer, recursive_forecast
 BLEND_SPECS = [Lag(7), Lag(14), Rolling("mean", 7, 28)]
 BLEND = {"lag7": 0.4, "lag14": 0.2, "mean_l7_w28": 0.35}
 
+FILLED_ROWS = 1_000_000  # rows of a filled panel in a task, on average
+
 SERIES_SQL = {
     "type": ("p_type", "JOIN part ON l_partkey = p_partkey"),
     "nation": ("n_name", "JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"),
@@ -95,8 +97,17 @@ class Tables:
         return self.span[1]
 
     def panel(self, kind: str) -> DataFrame:
-        """The panel without gaps: every day of the orders' date range, 0 where nothing was sold."""
-        return P.zero_fill(P.fill_gaps(self.raw(kind), "global", "global", self.span))
+        """The panel without gaps: every day of the orders' date range, 0 where nothing was sold.
+
+        Filled, a series is much larger than the rows that are shuffled, so the engine, which looks at these, would
+        join far too much of the panel in a task. Series are dealt out by the days that they will have instead.
+        """
+        raw = self.raw(kind)
+        if kind == "supplier":  # the other kinds have a bounded number of series
+            days = (self.span[1] - self.span[0]).days + 1
+            tasks = -(-self["supplier"].count() * days // FILLED_ROWS)
+            raw = raw.repartition(tasks, KEY) if tasks > 1 else raw
+        return P.zero_fill(P.fill_gaps(raw, "global", "global", self.span))
 
     def sparse(self, kind: str) -> SparsePanel:
         """The same panel, of which only the days that are asked for are filled."""
