@@ -13,6 +13,7 @@ from tidepanel.operators import features as X
 from tidepanel.operators import glm as G
 from tidepanel.operators.folds import Folds
 from tidepanel.operators.state import FeatureTable, state_of
+from tidepanel.session import settle
 
 START = date(2020, 1, 1)
 
@@ -138,3 +139,37 @@ def test_models_of_categories_follow_their_series(spark):
     assert out.count() == 4 * 28 and {r.category for r in out.collect()} == {"up", "down"}
     worst = out.agg(F.max(F.abs(F.col("y_hat") / F.col("y") - 1))).first()[0]
     assert worst < 0.25
+
+
+def test_a_step_reads_packed_rows(spark, monkeypatch):
+    """What is stored for the steps has a value per PIECE rows, not a field per feature and row."""
+    p = panel(spark, {f"s{k}": [(i, (5 + k) * (1 + (i * i) % 7)) for i in range(400)] for k in range(6)})
+    kept = []
+    monkeypatch.setattr(G, "settle", lambda df, label: kept.append((label, settle(df, label))) or kept[-1][1])
+    folds = Folds.of(p, windows=1)
+    out = G.tweedie_glm(1.5)(p, folds)
+    assert out.count() == 6 * 28 and "category" not in out.columns
+    rows = X.training_matrix(p, X.BASE, folds.first).toPandas()
+    stored = [df for label, df in kept if label == "matrix"]
+    assert len(stored) == 1 and stored[0].count() < len(rows) / (G.PIECE / 4)
+    names = [s.name for s in X.BASE]
+    x = np.column_stack([np.ones(len(rows)), np.log1p(rows[names].to_numpy(float))])
+    beta = kept[-1][1].first()._beta
+    assert beta == pytest.approx(numpy_glm(x, rows["y"].to_numpy(), 1.5, 1e-6, G.STEPS).tolist(), rel=1e-6)
+
+
+def test_groups_that_share_small_batches(spark, glm_rows):
+    """Pieces of any length, of groups in any order, unknown groups and rows with unknown numbers among them."""
+    rows, _ = glm_rows
+    more = [(None, 0, 1.0, 1.0, 3.0), ("u", 0, None, 1.0, 3.0), ("v", 1, 1.0, 1.0, None)]
+    table = spark.createDataFrame(sorted(rows, key=lambda r: r[3]) + more, "g string, half int, x1 double, x2 double, y double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "101")
+    try:
+        found = G.coefficients(table.coalesce(2), ["x1", "x2"], ["g", "half"], 1.3, 0.01, 6).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r.g, r.half) for r in found} == {(g, h) for g in "uvw" for h in (0, 1)}
+    for r in found:
+        own = np.array([x[2:] for x in rows if x[0] == r.g and x[1] == r.half])
+        x = np.column_stack([np.ones(len(own)), own[:, :2]])
+        assert r._beta == pytest.approx(numpy_glm(x, own[:, 2], 1.3, 0.01, 6).tolist(), rel=1e-8)

@@ -318,6 +318,42 @@ class Run:
         return self._once(("ordered", lag, window), lambda: np.sort(np.column_stack(list(self._frame(lag, window))), axis=1))
 
 
+def _feature_batches(batches: Iterator[pa.RecordBatch], own: list[str], back: list[Spec], sets: list[list[str]]
+                     ) -> Iterator[pa.RecordBatch]:
+    """Batches in series and day order with the features ``back``; rows with a target and all features of some set stay."""
+    far = max((s.reach for s in back), default=0)
+    key, before, seen = None, np.empty(0), 0  # of the rows before the batch
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        ids = batch.column(own.index(KEY)).dictionary_encode(null_encoding="encode")
+        codes = ids.indices.to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+        labels = ids.dictionary.to_pylist()
+        if seen and labels[codes[0]] == key:
+            place[: starts[1] if len(starts) > 1 else n] += seen
+        values = batch.column(own.index(TARGET)).cast(pa.float64()).to_numpy(zero_copy_only=False)
+        frames = Run(before, values, place, far)
+        found = {s.name: s.along(frames) for s in back}
+        whole = np.zeros(n, bool)
+        for names in sets:
+            known = np.ones(n, bool)
+            for name in names:
+                known &= ~np.isnan(found[name])
+            whole |= known
+        keep = whole & ~np.isnan(values)
+        key, seen, before = labels[codes[-1]], int(place[-1]) + 1, frames.all[len(frames.all) - far :]
+        columns = [*batch.columns, *[pa.array(v) for v in found.values()]]
+        yield pa.RecordBatch.from_arrays(columns, [*own, *found]).filter(pa.array(keep))
+
+
+def _sorted_days(panel: DataFrame, cutoff: date | None) -> DataFrame:
+    rows = panel if cutoff is None else panel.filter(F.col(DAY) <= F.lit(cutoff))
+    return rows.repartition(KEY).sortWithinPartitions(KEY, DAY)
+
+
 def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: date | None = None,
                     static: DataFrame | None = None) -> DataFrame:
     """Feature rows up to ``cutoff`` without NULLs, with the series' static columns if given.
@@ -326,42 +362,35 @@ def training_matrix(panel: DataFrame, specs: list[Spec], cutoff: date | None = N
     pass over the rows in batches and keep the last values of one batch for the next, so that no frame is summed up by
     an aggregate of its own for each row.
     """
-    rows = panel if cutoff is None else panel.filter(F.col(DAY) <= F.lit(cutoff))
+    rows = _sorted_days(panel, cutoff)
     back, names = lagged(specs), [s.name for s in specs]
-    far = max((s.reach for s in back), default=0)
-    own = [f.name for f in rows.schema]
+    own, sets = [f.name for f in rows.schema], [[s.name for s in lagged(specs)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, before, seen = None, np.empty(0), 0  # of the rows before the batch
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            ids = batch.column(own.index(KEY)).dictionary_encode(null_encoding="encode")
-            codes = ids.indices.to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-            labels = ids.dictionary.to_pylist()
-            if seen and labels[codes[0]] == key:
-                place[: starts[1] if len(starts) > 1 else n] += seen
-            values = batch.column(own.index(TARGET)).cast(pa.float64()).to_numpy(zero_copy_only=False)
-            frames = Run(before, values, place, far)
-            found = {s.name: s.along(frames) for s in back}
-            keep = ~np.isnan(values)
-            for v in found.values():
-                keep &= ~np.isnan(v)
-            key, seen, before = labels[codes[-1]], int(place[-1]) + 1, frames.all[len(frames.all) - far :]
-            columns = [*batch.columns, *[pa.array(v) for v in found.values()]]
-            yield pa.RecordBatch.from_arrays(columns, [*own, *found]).filter(pa.array(keep))
+        return _feature_batches(batches, own, back, sets)
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{s.name}` double" for s in back]
-    sorted_rows = rows.repartition(KEY).sortWithinPartitions(KEY, DAY)
-    out = sorted_rows.mapInArrow(run, ", ".join(kinds))
+    out = rows.mapInArrow(run, ", ".join(kinds))
     out = out.withColumns({s.name: s.of(F.col(DAY)) for s in specs if isinstance(s, Calendar)})
     out = out.dropna(subset=names).select(*own, *names)
     return attach_static(out, static) if static is not None else out
 
 
+def training_batches(panel: DataFrame, sets: list[list[Spec]], cutoff: date | None, columns: dict[str, Column],
+                     into: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``into`` makes of the rows of :func:`training_matrix` in the tasks that compute them.
+
+    ``into`` gets the features of all sets, the target and ``columns``. A row stays when the lagged features of one
+    set are known; those of another set may be NULL or NaN in it, and calendar features are as they come.
+    """
+    specs = list(dict.fromkeys(s for own in sets for s in own))
+    back, needed = lagged(specs), [[s.name for s in lagged(own)] for own in sets]
+    calendars = [s.of(F.col(DAY)).alias(s.name) for s in specs if isinstance(s, Calendar)]
+    rows = _sorted_days(panel, cutoff).select(KEY, TARGET, *[c.alias(n) for n, c in columns.items()], *calendars)
+    own = rows.columns
+    return rows.mapInArrow(lambda batches: into(_feature_batches(batches, own, back, needed)), schema)
+
+
 def attach_static(rows: DataFrame, static: DataFrame) -> DataFrame:
     return rows.join(static, KEY, "left")
 

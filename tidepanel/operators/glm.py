@@ -3,9 +3,13 @@
 A group is a category of series, or a candidate of a search, or both. Each step of iteratively reweighted least
 squares is one aggregation over all rows: the weighted normal equations of every group, some dozens of sums. The
 small systems are solved per group inside tasks, so neither rows nor groups pass through the driver.
+
+The training rows are stored packed, some to a binary value, as tasks make them. So a step moves bytes to the tasks'
+numpy instead of fields, and its sums are products of small matrices. Candidates of a search are few and each has some
+dozens of numbers, so their systems are solved by the driver.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, KEY, TARGET
-from tidepanel.operators.features import BASE, Spec, training_matrix
-from tidepanel.operators.folds import Folds
+from tidepanel.operators.features import BASE, Calendar, Spec, lagged, reach, training_batches
+from tidepanel.operators.folds import Folds, fold_context, unpack
 from tidepanel.operators.trained import Scorer, recursive_forecast
 from tidepanel.session import settle
 
 STEPS = 8
 LARGEST = 50.0  # most that the linear predictor may reach either way, so that no step leaves the numbers
+PIECE = 64  # training rows in a binary value, feature by feature; a reader of the table holds thousands of values at once
+CHUNK = 8_192  # training rows whose sums are formed at once
 
 
 def logged(rows: DataFrame, features: list[str]) -> DataFrame:
@@ -35,21 +41,113 @@ def _linear(features: list[str]) -> Column:
     return F.when(total.isNotNull(), F.least(F.greatest(total, F.lit(-LARGEST)), F.lit(LARGEST)))
 
 
-def _equations(rows: DataFrame, features: list[str], groups: list[str], power: Column, penalty: Column, eta: Column
-               ) -> DataFrame:
-    """Per group the sums of weight * x_i * x_j and weight * x_i * response, as two arrays, and the penalty."""
-    mean = F.exp(eta)
-    rows = rows.select(
-        *groups, *features, eta.alias("_eta"), mean.alias("_mean"), F.pow(mean, 2 - power).alias("_w"),
-        penalty.alias("_penalty"), TARGET,
-    )
-    rows = rows.withColumn("_z", F.col("_eta") + (F.col(TARGET) - F.col("_mean")) / F.col("_mean"))
-    x = [F.lit(1.0), *[F.col(f) for f in features]]
-    n = len(x)
-    squares = [F.sum(F.col("_w") * x[i] * x[j]) for i in range(n) for j in range(i, n)]
-    right = [F.sum(F.col("_w") * x[i] * F.col("_z")) for i in range(n)]
-    return rows.groupBy(*groups).agg(
-        F.array(*squares).alias("_squares"), F.array(*right).alias("_right"), F.first("_penalty").alias("_penalty")
+def _packed(features: list[str], groups: list[str], sets: list[list[str]], logs: bool = False
+            ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches to PIECE rows of a group at a time, all targets first, then feature by feature, as ``_rows``, with the
+    group's columns. Rows in which each of the sets has an unknown feature, or without a target, are left out."""
+    within = [[1 + features.index(name) for name in names] for names in sets]
+
+    def into(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in (TARGET, *features)]
+            if logs:
+                numbers[1:] = [np.sign(v) * np.log1p(np.abs(v)) for v in numbers[1:]]
+            rows = np.column_stack(numbers)
+            known = ~np.isnan(rows)
+            keep = known[:, 0] & np.logical_or.reduce([known[:, own].all(axis=1) for own in within])
+            if not keep.any():
+                continue
+            rows, batch = rows[keep], batch.select(groups).filter(pa.array(keep))
+            codes = np.zeros(len(rows), np.int64)
+            for c in groups:
+                ids = batch.column(c).dictionary_encode(null_encoding="encode")
+                codes = codes * len(ids.dictionary) + ids.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(codes, kind="stable")
+            opens = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            rows, starts, parts = rows[order], [], []
+            for i, j in zip(opens, [*opens[1:], len(rows)]):
+                whole = j - (j - i) % PIECE
+                starts += range(i, j, PIECE)
+                parts += [rows[i:whole].reshape(-1, PIECE, rows.shape[1]).transpose(0, 2, 1).ravel(), rows[whole:j].T.ravel()]
+            ends = (np.append(starts, len(rows)) * rows.shape[1] * 8).astype(np.int32)
+            buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(parts))]
+            pieces = pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+            own = [batch.column(c).take(pa.array(order[starts])) for c in groups]
+            yield pa.RecordBatch.from_arrays([*own, pieces], [*groups, "_rows"])
+
+    return into
+
+
+def _kinds(table: DataFrame, names: list[str]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in table.schema}
+    return "".join(f"`{name}` {kinds[name]}, " for name in names)
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of binary values, and at which of them each value begins, with the end."""
+    column = column.cast(pa.binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(np.float64), (ends - ends[0]) // 8
+
+
+def _chunks(numbers: np.ndarray, at: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(targets, an intercept's ones and the features, a line each) of neighbouring pieces, at most CHUNK rows."""
+    sizes = np.diff(at)
+    opens = np.flatnonzero(np.diff(sizes, prepend=-1))
+    for i, j in zip(opens, [*opens[1:], len(sizes)]):
+        for k in range(i, j, CHUNK // PIECE):
+            end = min(j, k + CHUNK // PIECE)
+            part = numbers[at[k] : at[end]].reshape(end - k, width, -1).transpose(1, 0, 2).reshape(width, -1).copy()
+            y = part[0].copy()
+            part[0] = 1.0
+            yield y, part
+
+
+def _products(x: np.ndarray, weight: np.ndarray | None, z: np.ndarray) -> np.ndarray:
+    """Sums of weight * a * b for all pairs of the columns x and z."""
+    every = np.vstack([x, z])
+    return (every if weight is None else every * weight) @ every.T
+
+
+def _equations(blocks: DataFrame, groups: list[str], width: int, first: bool) -> DataFrame:
+    """Per group the sums of weight * x_i * x_j and weight * x_i * response, as two arrays, and the penalty.
+
+    ``width`` counts the features and the intercept. Apart from the first step, ``blocks`` have their group's ``_beta``.
+    """
+    upper = np.triu_indices(width)
+    n = len(upper[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers, at = _unpacked(batch.column("_rows"))
+            changes = np.zeros(batch.num_rows, bool)
+            changes[0] = True
+            for c in groups:
+                codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                changes[1:] |= codes[1:] != codes[:-1]
+            opens = np.flatnonzero(changes)
+            found = []
+            for i, j in zip(opens, [*opens[1:], batch.num_rows]):
+                power = batch.column("_power")[i].as_py()
+                beta = None if first else np.array(batch.column("_beta")[i].as_py())
+                sums = np.zeros((width + 1, width + 1))
+                for y, x in _chunks(numbers, at[i : j + 1], width):
+                    eta = np.log(np.where(y > 0, y, 0.1)) if first else np.clip(beta @ x, -LARGEST, LARGEST)
+                    mean = np.exp(eta)
+                    sums += _products(x, np.exp((2 - power) * eta), eta + (y - mean) / mean)
+                found.append([*sums[:width, :width][upper], *sums[:width, width]])
+            own = batch.select([*groups, "_penalty"]).take(pa.array(opens))
+            sums = [pa.array(v) for v in np.array(found).T]
+            yield pa.RecordBatch.from_arrays([*own.columns, *sums], [*own.schema.names, *[f"_s{i}" for i in range(len(sums))]])
+
+    names = [f"_s{i}" for i in range(n + width)]
+    schema = _kinds(blocks, [*groups, "_penalty"]) + ", ".join(f"{s} double" for s in names)
+    return blocks.mapInArrow(run, schema).groupBy(*groups).agg(
+        F.array(*[F.sum(s) for s in names[:n]]).alias("_squares"), F.array(*[F.sum(s) for s in names[n:]]).alias("_right"),
+        F.first("_penalty").alias("_penalty"),
     )
 
 
@@ -75,6 +173,11 @@ def _solved(equations: DataFrame, width: int) -> DataFrame:
     return equations.mapInArrow(run, f"{schema}, _beta array<double>")
 
 
+def _settings(power: Column | float, penalty: Column | float) -> dict[str, Column]:
+    both = {"_power": power, "_penalty": penalty}
+    return {n: (F.lit(float(v)) if isinstance(v, (int, float)) else v).cast("double") for n, v in both.items()}
+
+
 def coefficients(rows: DataFrame, features: list[str], groups: list[str], power: Column | float = 1.5,
                  penalty: Column | float = 0.0, steps: int = STEPS) -> DataFrame:
     """(groups…, _beta): intercept and a coefficient per feature after so many steps, from the target itself on.
@@ -82,12 +185,17 @@ def coefficients(rows: DataFrame, features: list[str], groups: list[str], power:
     ``power`` and ``penalty`` may be expressions of the group's columns. Variance is the mean to the power. Rows are
     stored once; a group of any size is a partial aggregation. The first step takes a zero target as 0.1.
     """
-    power, penalty = (F.lit(float(v)) if isinstance(v, (int, float)) else v for v in (power, penalty))
-    start = F.log(F.when(F.col(TARGET) > 0, F.col(TARGET)).otherwise(F.lit(0.1)))
-    beta = settle(_solved(_equations(rows, features, groups, power, penalty, start), len(features) + 1), "beta")
+    own = rows.select(*groups, *[c.alias(n) for n, c in _settings(power, penalty).items()], TARGET, *features)
+    keys = [*groups, "_power", "_penalty"]
+    blocks = own.mapInArrow(_packed(features, keys, [features]), _kinds(own, keys) + "_rows binary")
+    return _fitted(settle(blocks, "matrix"), groups, len(features) + 1, steps)
+
+
+def _fitted(blocks: DataFrame, groups: list[str], width: int, steps: int) -> DataFrame:
+    beta = settle(_solved(_equations(blocks, groups, width, True), width), "beta")
     for _ in range(steps - 1):
-        known = rows.join(beta, groups)
-        beta = settle(_solved(_equations(known, features, groups, power, penalty, _linear(features)), len(features) + 1), "beta")
+        known = blocks.join(beta, groups)
+        beta = settle(_solved(_equations(known, groups, width, False), width), "beta")
     return beta
 
 
@@ -111,24 +219,30 @@ def per_category_glm(of: Column, power: float = 1.5, specs: list[Spec] = BASE, p
     names = [s.name for s in specs]
 
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
-        rows = logged(training_matrix(panel, specs, folds.first).withColumn("category", of), names)
-        logs = [f"_log_{n}" for n in names]
-        rows = settle(rows.select(KEY, DAY, TARGET, "category", *logs), "matrix")
-        beta = coefficients(rows, logs, ["category"], power, penalty, steps)
-        static = {"category": of}
-        scored = recursive_forecast(glm_scorer(beta, names, ["category"]), panel, folds, specs, static)
-        return scored.withColumn("category", of)
+        kinds = _kinds(panel.select(of.alias("category")), ["category"])
+        blocks = training_batches(panel, [specs], folds.first, {"category": of}, _packed(names, ["category"], [names], True),
+                                  kinds + "_rows binary")
+        return _recursed(blocks, of, panel, folds, power, specs, penalty, steps).withColumn("category", of)
 
     forecaster.fitted = True
     return forecaster
 
 
+def _recursed(blocks: DataFrame, of: Column, panel: DataFrame, folds: Folds, power: float, specs: list[Spec],
+              penalty: float, steps: int) -> DataFrame:
+    names = [s.name for s in specs]
+    blocks = settle(blocks.withColumns(_settings(power, penalty)), "matrix")
+    beta = _fitted(blocks, ["category"], len(names) + 1, steps)
+    return recursive_forecast(glm_scorer(beta, names, ["category"]), panel, folds, specs, {"category": of})
+
+
 def tweedie_glm(power: float = 1.5, specs: list[Spec] = BASE, penalty: float = 1e-6, steps: int = STEPS):
     """One tweedie model of all series, by the same sums."""
-    whole = per_category_glm(F.lit("all"), power, specs, penalty, steps)
+    names, one = [s.name for s in specs], F.lit("all")
 
     def forecaster(panel: DataFrame, folds: Folds) -> DataFrame:
-        return whole(panel, folds).drop("category")
+        blocks = training_batches(panel, [specs], folds.first, {}, _packed(names, [], [names], True), "_rows binary")
+        return _recursed(blocks.withColumn("category", one), one, panel, folds, power, specs, penalty, steps)
 
     forecaster.fitted = True
     return forecaster
