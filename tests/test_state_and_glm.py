@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import features as X
 from tidepanel.operators import glm as G
+from tidepanel.operators import tune as H
 from tidepanel.operators.folds import Folds
 from tidepanel.operators.state import FeatureTable, state_of
 from tidepanel.session import settle
@@ -173,3 +174,28 @@ def test_groups_that_share_small_batches(spark, glm_rows):
         own = np.array([x[2:] for x in rows if x[0] == r.g and x[1] == r.half])
         x = np.column_stack([np.ones(len(own)), own[:, :2]])
         assert r._beta == pytest.approx(numpy_glm(x, own[:, 2], 1.3, 0.01, 6).tolist(), rel=1e-8)
+
+
+def test_candidates_are_fitted_together_as_alone(spark, monkeypatch):
+    """One table of training rows for all sets of lags, and the losses of separate fits by MLlib's estimator."""
+    rng = random.Random(11)
+    values = {f"s{k}": [(i, None if k == 2 and i == 90 else rng.randint(0, 5) * (1 + i % 7) + k) for i in range(200)]
+              for k in range(4)}
+    p, kept = panel(spark, values | {"young": [(i, 3) for i in range(150, 200)]}), []
+    space = spark.createDataFrame([(0, "7_14_28", 1.0, 0.5), (1, "7_14_21_28", 1.6, 1e-3), (2, "14_28", 1.2, 0.1)],
+                                  "trial long, lags string, tweedie_variance_power double, reg_lambda double")
+    folds = Folds.of(p, windows=2)
+    monkeypatch.setattr(G, "settle", lambda df, label: kept.append(label) or settle(df, label))
+    found = {r.trial: r.loss for r in H.search_cv(p, space, H.recursive_candidates(), folds).collect()}
+    assert kept == ["matrix"]
+    alone = {r.trial: r.loss for r in H.search_cv(p, space, H.recursive_candidate, folds).collect()}
+    assert found == pytest.approx(alone, rel=1e-9) and len(set(found.values())) == 3
+
+
+def test_a_tweedie_candidate_needs_targets_that_are_not_negative(spark):
+    p = panel(spark, {"a": [(i, i % 7 - 1) for i in range(200)]})
+    one = {0: G.Tweedie(tuple(X.BASE), 1.5, 0.1)}
+    with pytest.raises(Exception, match="below zero"):
+        G.fitted_candidates(p, one, START + timedelta(days=180))
+    with pytest.raises(ValueError, match="no training rows"):
+        G.fitted_candidates(p, one, START + timedelta(days=10))

@@ -10,6 +10,7 @@ dozens of numbers, so their systems are solved by the driver.
 """
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ STEPS = 8
 LARGEST = 50.0  # most that the linear predictor may reach either way, so that no step leaves the numbers
 PIECE = 64  # training rows in a binary value, feature by feature; a reader of the table holds thousands of values at once
 CHUNK = 8_192  # training rows whose sums are formed at once
+MEANS = np.log([1e-16, np.finfo(float).max])  # bounds of the logarithm of a mean, those of MLlib's estimator
 
 
 def logged(rows: DataFrame, features: list[str]) -> DataFrame:
@@ -246,3 +248,153 @@ def tweedie_glm(power: float = 1.5, specs: list[Spec] = BASE, penalty: float = 1
 
     forecaster.fitted = True
     return forecaster
+
+
+@dataclass(frozen=True)
+class Tweedie:
+    """A candidate of a search: what MLlib's estimator is given, and the features."""
+
+    specs: tuple[Spec, ...]
+    power: float
+    penalty: float
+    max_iter: int = 25
+    tol: float = 1e-4
+
+
+def _solution(sums: np.ndarray, penalty: float, first: bool) -> np.ndarray:
+    """Intercept and coefficients of MLlib's weighted least squares, from the sums of all products of the columns.
+
+    The penalty is a share of the weight; in the first step it is one of the scaled features and target. A feature
+    that has one value only gets no coefficient, and neither do all features of a target that has one value only.
+    """
+    width, mean = len(sums) - 1, sums / sums[0, 0]
+    spread = np.sqrt(np.maximum(np.diag(mean) - mean[0] ** 2, 0.0))  # of the intercept 0, of the response the last one
+    beta = np.zeros(width)
+    if spread[-1] == 0:
+        beta[0] = mean[0, -1]
+        return beta
+    kept = np.flatnonzero(np.append(True, spread[1:-1] != 0))
+    ridge = np.full(width, penalty) if not first else penalty / spread[-1] * spread[:-1] ** 2
+    ridge[0] = 0.0
+    a, right = (mean[:width, :width] + np.diag(ridge))[np.ix_(kept, kept)], mean[kept, -1]
+    try:
+        beta[kept] = np.linalg.solve(a, right)
+    except np.linalg.LinAlgError:
+        beta[kept] = np.linalg.lstsq(a, right, rcond=None)[0]
+    return beta
+
+
+def _candidate_sums(blocks: DataFrame, models: dict[int, tuple[Tweedie, list[int]]], betas: dict[int, np.ndarray],
+                    width: int) -> dict[int, np.ndarray]:
+    """Per candidate the sums of weight * a * b for all columns a and b: the intercept, all features, the response.
+
+    A candidate without coefficients starts from the target itself. Features of others are 0 in its sums.
+    """
+    upper = np.triu_indices(width + 1)
+    names = [f"_s{i}" for i in range(len(upper[0]))]
+
+    def response(model: Tweedie, y: np.ndarray, x: np.ndarray, beta: np.ndarray | None):
+        if beta is None:
+            return None, np.log(np.maximum(y, 0.1) if model.power == 1 else np.where(y == 0, 0.1, y))
+        eta = beta @ x
+        bounded = np.clip(eta, *MEANS)
+        mean = np.exp(bounded)
+        return np.exp((2 - model.power) * bounded), eta + (y - mean) / mean
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sums = {t: np.zeros((width + 1, width + 1)) for t in models}
+            for y, x in _chunks(*_unpacked(batch.column("_rows")), width):
+                if (y < 0).any():
+                    raise ValueError("the target of a tweedie model is below zero")
+                unknown = np.isnan(x).any()
+                for t, (model, lines) in models.items():
+                    own, target = x[lines], y
+                    if unknown:
+                        known = ~np.isnan(own).any(axis=0)
+                        own, target = own[:, known], y[known]
+                    weight, z = response(model, target, own, betas.get(t))
+                    sums[t][np.ix_([*lines, width], [*lines, width])] += _products(own, weight, z)
+            found = np.array([v[upper] for v in sums.values()]).T
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), *map(pa.array, found)], ["trial", *names])
+
+    each = blocks.mapInArrow(run, "trial long, " + ", ".join(f"{s} double" for s in names))
+    out = {}
+    for row in each.groupBy("trial").agg(*[F.sum(s).alias(s) for s in names]).collect():
+        whole = np.zeros((width + 1, width + 1))
+        whole[upper] = row[1:]
+        lines = [*models[row[0]][1], width]
+        out[row[0]] = (whole + np.triu(whole, 1).T)[np.ix_(lines, lines)]
+    return out
+
+
+def fitted_candidates(panel: DataFrame, candidates: dict[int, Tweedie], cutoff) -> dict[int, np.ndarray]:
+    """Intercept and coefficients of each candidate, by the steps of MLlib's estimator and its rule to end them.
+
+    All candidates read one stored table of training rows, and each step is one pass over it for all that go on.
+    """
+    sets = list(dict.fromkeys(c.specs for c in candidates.values()))
+    names = list(dict.fromkeys(s.name for own in sets for s in own))
+    into = _packed(names, [], [[s.name for s in own] for own in sets], True)
+    blocks = settle(training_batches(panel, [list(own) for own in sets], cutoff, {}, into, "_rows binary"), "matrix")
+    models = {t: (c, [0, *[1 + names.index(s.name) for s in c.specs]]) for t, c in candidates.items()}
+    betas: dict[int, np.ndarray] = {}
+    going, step = dict(models), 0
+    while going:
+        sums = _candidate_sums(blocks, going, betas, len(names) + 1)
+        for t, (c, _) in list(going.items()):
+            if t not in sums or not sums[t][0, 0]:
+                raise ValueError("there are no training rows")
+            beta = _solution(sums[t], c.penalty, step == 0)
+            if step and np.abs(beta - betas[t]).max() < c.tol or step == c.max_iter:
+                del going[t]
+            betas[t] = beta
+        step += 1
+    return betas
+
+
+def candidate_forecasts(panel: DataFrame, candidates: dict[int, Tweedie], folds: Folds) -> DataFrame:
+    """Forecasts of the folds once per candidate: (unique_id, ds, cutoff, h, y, y_hat, trial), fitted at the first cutoff.
+
+    Tasks walk the horizon on batches of contexts, which are made once for all candidates.
+    """
+    betas, horizon = fitted_candidates(panel, candidates, folds.first), folds.horizon
+    far = max(reach(list(c.specs)) for c in candidates.values())
+    days = F.sequence(F.lit(1), F.lit(horizon))
+    calendars = {s.name: s for c in candidates.values() for s in c.specs if isinstance(s, Calendar)}
+
+    def by_step(spec: Calendar) -> Column:
+        return F.transform(days, lambda i: spec.of(F.date_add("cutoff", i)).cast("double"))
+
+    contexts = fold_context(panel, folds, far).withColumns({name: by_step(s) for name, s in calendars.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+
+            def table(column: str) -> np.ndarray:
+                return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+            past, later = table("past"), {name: table(name) for name in calendars}
+            for t, c in candidates.items():
+                seen = np.column_stack([past, np.full((n, horizon), np.nan)])
+                known = np.empty((n, horizon), bool)
+                for h in range(horizon):
+                    x = np.array([later[s.name][:, h] if isinstance(s, Calendar) else s.last(seen[:, h : h + far])
+                                  for s in c.specs])
+                    known[:, h] = ~np.isnan(x).any(axis=0)  # a series too short for a feature gets no forecast
+                    eta = betas[t][0] + betas[t][1:] @ (np.sign(x) * np.log1p(np.abs(x)))
+                    seen[:, far + h] = np.exp(np.clip(eta, *MEANS))
+                flat = pa.array(seen[:, far:].ravel(), mask=~known.ravel())
+                ends = pa.array(np.arange(0, n * horizon + 1, horizon, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.select([KEY, "cutoff", "future"]).columns, pa.ListArray.from_arrays(ends, flat),
+                     pa.array([t] * n, pa.int64())], [KEY, "cutoff", "future", "path", "trial"])
+
+    paths = contexts.mapInArrow(run, f"{KEY} string, cutoff date, future array<double>, path array<double>, trial long")
+    out = unpack(paths, folds, lambda h: F.get("path", h - 1), {"trial": F.col("trial")})
+    return out.filter(F.col("y_hat").isNotNull())
