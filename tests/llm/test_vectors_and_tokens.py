@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -297,3 +298,40 @@ def test_linked_pairs_are_feasible():
     for p in pairs[some].tolist():
         x, y = a[p >> 32], b[p & 0xFFFFFFFF]
         assert x.endswith(y) or y.endswith(x)
+
+
+def test_stored_links_are_small(spark, monkeypatch):
+    """A row keeps its different pairs, however often it has them."""
+    kept, settle = [], alignment.settle
+    monkeypatch.setattr(alignment, "settle", lambda df, label: kept.append(settle(df, label)) or kept[-1])
+    rows = [(1, "one two three " * 20_000), (2, None), (3, "one two"), (4, "")]
+    got = alignment.counted(spark.createDataFrame(rows, "doc_id long, text string"), A, B).select(COLUMNS).collect()
+    assert sorted(map(tuple, got)) == sorted(python_counted(rows))
+    size = {r.doc_id: (r.n_links, len(bytes(r.links))) for r in kept[0].select("doc_id", "n_links", "links").collect()}
+    assert size[1][0] >= 60_000 and size[1][1] < 1_000 and size[2] == size[4] == (0, 0) and size[3][1] <= 4 * size[3][0]
+
+
+def test_links_are_looked_up_in_parts():
+    """Beside the batch, a task's memory does not follow the batch."""
+    rng, size = np.random.default_rng(5), 324_300
+    counts = rng.integers(0, 1_200, 10_000)
+    counts[[0, 1, 2999, 9999]] = 0, 30_000, 0, 0
+    links = rng.integers(0, size, counts.sum())
+    links[: len(links) // 2] %= 5  # some pairs many times in a row
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(10_000)), "links": alignment._stored(links, counts, size)})
+    assert len(batch.column("links").buffers()[2]) <= 4 * len(links)
+    halves = [batch.slice(0, 2_500), batch.slice(2_500), batch.slice(0, 0)]
+    tracemalloc.start()
+    sums = alignment._sums(halves, size)
+    totals = np.zeros(size, np.int64)
+    totals[sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
+    best = totals % 3 == 0
+    got = pa.Table.from_batches(list(alignment._looked(halves, totals, best)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20 < 8 * len(links)
+    assert np.array_equal(totals, np.bincount(links, minlength=size))
+    row = np.repeat(np.arange(10_000), counts)
+    assert got["doc_id"].to_pylist() == list(range(10_000))
+    assert got["n_best"].to_pylist() == np.bincount(row, best[links], 10_000).astype(int).tolist()
+    assert got["count_sum"].to_pylist() == np.bincount(row, totals[links], 10_000).astype(int).tolist()

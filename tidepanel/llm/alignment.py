@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame
@@ -17,7 +18,8 @@ from tidepanel.session import settle
 SPACE = "▁"  # fixed value: stands for a space in pieces
 # fixed value: how byte-level vocabularies of this kind cut texts before they merge
 CUTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-ROWS, CHARS = 256, 1_000_000  # texts that are encoded together: so many, or the first beyond so many characters
+ROWS = 256  # rows of a batch that are handled together, or fewer:
+TEXT_BYTES, LINK_BYTES = 1 << 18, 1 << 20  # those that first reach so many bytes of text, or of stored links
 
 
 def byte_of_char() -> dict[str, int]:
@@ -176,22 +178,74 @@ def _aligner(a: bytes, b: bytes, pairs: np.ndarray) -> Aligner:
     return _aligners[key]
 
 
+def _runs(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A few rows of a batch at a time, so that a task's arrays follow ``most`` and its largest row, not the batch."""
+    begin = size = 0
+    for end, own in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), 1):
+        size += own
+        if size >= most or end - begin == ROWS or end == batch.num_rows:
+            yield batch.slice(begin, end - begin)
+            begin, size = end, 0
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str | None]]]:
     """Ids and texts of a few rows at a time."""
-    for begin in range(0, batch.num_rows, ROWS):
-        part = batch.slice(begin, ROWS)
-        texts, first, size = part.column("text").to_pylist(), 0, 0
-        for n, text in enumerate(texts, 1):
-            size += len(text or "")
-            if size >= CHARS or n == len(texts):
-                yield part.column("doc_id").slice(first, n - first), texts[first:n]
-                first, size = n, 0
+    for part in _runs(batch, "text", TEXT_BYTES):
+        yield part.column("doc_id"), part.column("text").to_pylist()
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(values.astype(np.int32)))
 
 
+def _stored(links: np.ndarray, counts: np.ndarray, size: int) -> pa.Array:
+    """Each row's links as bytes: words of 32 bits, a pair's place below ``size`` and above it how often the row has
+    the pair, less one. A pair that a row has more often than fits has several words."""
+    bits = size.bit_length()
+    most = 1 << 32 - bits
+    keys, times = np.unique(np.repeat(np.arange(len(counts)), counts) * size + links, return_counts=True)
+    words = -(-times // most)
+    own = np.full(words.sum(), most)
+    own[np.cumsum(words) - 1] = times - most * (words - 1)
+    keys = np.repeat(keys, words)
+    data = ((own - 1) << bits | keys % max(size, 1)).astype("<u4")
+    ends = 4 * np.searchsorted(keys, np.arange(len(counts) + 1) * size)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _links(stored: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs and times of all rows' words, and where each row's begin and end, from 0."""
+    stored = stored.cast(pa.binary())
+    ends = np.frombuffer(stored.buffers()[1], np.int32, len(stored) + 1, 4 * stored.offset)
+    data = stored.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    words, bits = data.view("<u4").astype(np.int64), size.bit_length()
+    return words & (1 << bits) - 1, (words >> bits) + 1, (ends - ends[0]) // 4
+
+
+def _sums(batches: Iterator[pa.RecordBatch], size: int) -> pa.RecordBatch:
+    """How often each pair is among the links of all rows."""
+    total = np.zeros(size, np.int64)
+    for batch in batches:
+        for part in _runs(batch, "links", LINK_BYTES):
+            pair, times, _ = _links(part.column("links"), size)
+            np.add.at(total, pair, times)
+    some = np.flatnonzero(total)
+    return pa.RecordBatch.from_pydict({"pair": pa.array(some, pa.int32()), "n": pa.array(total[some])})
+
+
+def _looked(batches: Iterator[pa.RecordBatch], totals: np.ndarray, best: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows with n_best and count_sum in place of their links."""
+    for batch in batches:
+        for part in _runs(batch, "links", LINK_BYTES):
+            pair, times, ends = _links(part.column("links"), len(totals))
+            out = {name: part.column(name) for name in part.schema.names if name != "links"}
+            for name, value in (("n_best", best), ("count_sum", totals)):
+                sums = np.r_[0, np.cumsum(value[pair] * times, dtype=np.int64)]
+                out[name] = pa.array(sums[ends[1:]] - sums[ends[:-1]], pa.int64())
+            yield pa.RecordBatch.from_pydict(out)
+
+
 def _files(a: str, b: str) -> tuple[bytes, bytes, np.ndarray]:
     """The driver reads them; tasks get their bytes and the feasible pairs."""
     data = []
@@ -244,13 +298,15 @@ def counted(docs: DataFrame, a: str, b: str) -> DataFrame:
     n_best: links whose pair of ids is the most frequent one of its B id, ties included; count_sum: over the links,
     how many links of the table have the same pair; n_overlaps: pairs of tokens that share a byte; groups_sha256.
 
-    Texts are encoded once. A linked pair of ids is one of ``feasible``, so a link is stored as its place there, the
-    counts of all pairs are a table bounded by the vocabularies, and they go to the tasks that look them up.
+    Texts are encoded once. A linked pair of ids is one of ``feasible``, so a row's links are stored as the places
+    there of its different pairs, each with how often the row has it; the counts of all pairs are a table bounded by
+    the vocabularies, and they go to the tasks that look them up. So a stored row follows its different pairs, which
+    the vocabularies bound, and a task holds a few rows' links at a time beside the batch that Spark hands it.
 
     Rows without tokens (see ``aligned``) have zeros and an empty groups_sha256. Repeated rows count each.
     """
     files = _files(a, b)
-    pairs = files[2]
+    pairs, size = files[2], len(files[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(*files)
@@ -262,23 +318,19 @@ def counted(docs: DataFrame, a: str, b: str) -> DataFrame:
                 shas = [hashlib.sha256(w).hexdigest() if w else "" for w in aligner.written(found)]
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": own} | {c: pa.array(v, pa.int64()) for c, v in names.items()}
-                    | {"groups_sha256": pa.array(shas, pa.string()), "links": _lists(found["links"], found["n_links"])}
+                    | {"groups_sha256": pa.array(shas, pa.string()), "links": _stored(found["links"], found["n_links"], size)}
                 )
 
     plain = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_overlaps long, groups_sha256 string"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = settle(rows.mapInArrow(run, f"{plain}, links array<int>"), "links")
+    rows = settle(rows.mapInArrow(run, f"{plain}, links binary"), "links")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(pairs), np.int64)
-        for batch in batches:
-            total += np.bincount(batch.column("links").flatten().to_numpy(), minlength=len(pairs))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"pair": pa.array(some, pa.int32()), "n": pa.array(total[some])})
+        yield _sums(batches, size)
 
     sums = rows.select("links").mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    totals = np.zeros(len(pairs), np.int64)
-    for part in sums.toArrow().to_batches():  # len(pairs) rows at most
+    totals = np.zeros(size, np.int64)
+    for part in sums.toArrow().to_batches():  # one row per pair at most
         totals[part.column("pair").to_numpy()] = part.column("n").to_numpy()
     piece = pairs & 0xFFFFFFFF
     most = np.zeros(int(piece.max(initial=0)) + 1, np.int64)
@@ -286,14 +338,6 @@ def counted(docs: DataFrame, a: str, b: str) -> DataFrame:
     best = totals == most[piece]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("links")
-            ends = np.r_[0, np.cumsum(np.diff(lists.offsets.to_numpy()))]
-            links = lists.flatten().to_numpy()
-            out = {name: batch.column(name) for name in batch.schema.names if name != "links"}
-            for name, value in (("n_best", best), ("count_sum", totals)):
-                sums = np.r_[0, np.cumsum(value[links], dtype=np.int64)]
-                out[name] = pa.array(sums[ends[1:]] - sums[ends[:-1]], pa.int64())
-            yield pa.RecordBatch.from_pydict(out)
+        return _looked(batches, totals, best)
 
     return rows.mapInArrow(look, f"{plain}, n_best long, count_sum long")
