@@ -313,3 +313,67 @@ def test_tasks_of_a_panel_follow_its_filled_days(spark, monkeypatch, tmp_path):
     filled = base.Tables(spark, str(tmp_path)).panel("supplier")
     sizes = [r["n"] for r in filled.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 40 * 400 and len(sizes) > 8 and max(sizes) <= 5_000
+
+
+def models(ensemble):
+    import pickle
+    return [pickle.loads(r.booster) for r in ensemble.models.orderBy("trial").collect()]
+
+
+@pytest.mark.parametrize("share", [1.0, 0.7])
+def test_one_booster_of_all_rows(spark, monkeypatch, share):
+    """The same to the last bit from rows or from sums over rows, by one task or by several; and that of all rows in one
+    table."""
+    matrix = X.training_matrix(panel(spark, 5, 300), X.BASE).persist()
+    names, trees = [s.name for s in X.BASE], T.TreeParams(trees=5, depth=4, min_rows=6, row_share=share)
+    made = []
+    for part_rows in (10_000, 100):
+        for cohort_rows in (2_000_000, 300):
+            monkeypatch.setattr(boost, "PART_ROWS", part_rows)
+            monkeypatch.setattr(boost, "COHORT_ROWS", cohort_rows)
+            made += models(boost.Ensemble(matrix, names, [], {0: trees}))
+    made.append(models(boost.Ensemble(matrix, names, [], {0: trees, 1: replace(trees, rate=0.2)}, stored=True))[0])
+    if share == 1.0:
+        (laid,) = boost.prepare(matrix, names, [], {0: trees})
+        rows = boost.Rows(names, [])
+        for packed, packs in ((boost._dealt(matrix, rows, laid.layout), laid.count),
+                              boost._summed(matrix, rows, {0: laid.layout}, False, None)[0]):
+            prepared = replace(laid, packed=packed, packs=packs)
+            made += models(boost.Ensemble(matrix, names, [], {0: trees}, prepared=prepared))
+        table = matrix.toPandas().sort_values(["unique_id", "ds"])
+        alone = boost.fit_booster(table[names].to_numpy(float), table["y"].to_numpy(), trees, 0)
+        assert np.array_equal(alone.feature, made[0].feature) and np.array_equal(alone.above, made[0].above)
+        assert np.allclose(alone.leaf, made[0].leaf, atol=1e-5) and alone.base == pytest.approx(made[0].base)
+    for own in made[1:]:
+        for name in ("base", "feature", "above", "leaf"):
+            assert np.array_equal(getattr(own, name), getattr(made[0], name)), name
+
+
+@pytest.mark.parametrize("specs", [X.BASE, X.RICH])
+def test_forecasts_do_not_depend_on_a_size(spark, monkeypatch, specs):
+    """A panel that was dealt out into several cohorts had several models."""
+    p, columns = panel(spark, 5, 220), ["unique_id", "cutoff", "h", "y_hat"]
+    model = T.boosted_model(T.TreeParams(trees=4, depth=3, min_rows=3), specs)
+    want = sorted_rows(model(p, Folds.of(p, windows=1)), *columns)
+    monkeypatch.setattr(boost, "COHORT_ROWS", 100)
+    monkeypatch.setattr(boost, "PART_ROWS", 80)
+    assert sorted_rows(model(p, Folds.of(p, windows=1)), *columns) == want and len(want) == 5 * 28
+
+
+def test_steps_give_the_quantiles_of_all_values():
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.integers(-5, 40, 999), [0.0, -0.0, 0.25]]).astype(float)
+    step, size, top = (np.concatenate(v) for v in zip(boost._steps(values[:400]), boost._steps(values[400:])))
+    order = np.argsort(step, kind="stable")
+    assert set(top) == set(values) and size.sum() == len(values)
+    assert np.array_equal(boost._quantiles(top[order], size[order], 32), np.unique(np.quantile(values, np.linspace(0, 1, 33)[1:-1])))
+
+
+def test_scratch_leaves_memory(monkeypatch, tmp_path):
+    monkeypatch.setattr(boost, "HELD", 50)
+    with open(tmp_path / "f", "w+b") as f:
+        scratch = boost.Scratch(f)
+        kept = [scratch.keep(np.arange(i, i + 5.0)) for i in range(4)]
+        kept[3] -= 1
+        assert [k.tolist() for k in kept] == [[0, 1, 2, 3, 4], [1, 2, 3, 4, 5], [2, 3, 4, 5, 6], [2, 3, 4, 5, 6]]
+        assert scratch.file.tell() == 120

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.config import DAY, DEFAULTS, KEY, TARGET
 from tidepanel.functions.scalars import day_of_week, fourier_weekly, hierarchy_parts
-from tidepanel.operators.boost import Ensemble
+from tidepanel.operators.boost import Ensemble, prepare
 from tidepanel.operators.features import (
     BASE, RICH, Calendar, Spec, block, lagged, pooled_blocks, reach, training_matrix,
 )
@@ -226,13 +226,13 @@ def boosted_model(params: TreeParams = TreeParams(), specs: list[Spec] = BASE, s
 
     def many(panel: DataFrame, several: list[Folds]) -> list[DataFrame]:
         fits = [[_only(folds, i) for i in range(folds.windows)] if refit else [folds] for folds in several]
-        newest = max(fold.first for own in fits for fold in own)
-        matrix = training_matrix(panel, specs, newest).withColumns(static)
-        matrix = settle(matrix.select(KEY, DAY, TARGET, *names, *static), "matrix")
+        cutoffs = sorted({fold.first for own in fits for fold in own})
+        matrix = training_matrix(panel, specs, cutoffs[-1]).withColumns(static)
+        matrix = settle(matrix.select(DAY, TARGET, *names, *static), "matrix")
+        prepared = dict(zip(cutoffs, prepare(matrix, names, list(static), {0: params}, cutoffs)))
 
         def forecast(fold: Folds) -> DataFrame:
-            rows = matrix.filter(F.col(DAY) <= F.lit(fold.first))
-            ensemble = Ensemble(rows, names, list(static), {0: params}, stored=True)
+            ensemble = Ensemble(matrix, names, list(static), {0: params}, prepared=prepared[fold.first])
             return ensemble.recursed(panel, fold, specs, static).drop("trial", "trees")
 
         return [reduce(DataFrame.unionByName, [forecast(fold) for fold in own]) for own in fits]
