@@ -377,3 +377,11 @@ def test_scratch_leaves_memory(monkeypatch, tmp_path):
         kept[3] -= 1
         assert [k.tolist() for k in kept] == [[0, 1, 2, 3, 4], [1, 2, 3, 4, 5], [2, 3, 4, 5, 6], [2, 3, 4, 5, 6]]
         assert scratch.file.tell() == 120
+
+
+def test_a_search_scores_every_candidate_to_its_whole_length(spark):
+    p = panel(spark, 3, 200)
+    ranges = H.TREE_RANGES | {"n_estimators": (101, 130), "min_child_samples": (3, 9), "num_leaves": (3, 7)}
+    found = H.staged_search(p, H.search_space(spark, 4, ranges=ranges), Folds.of(p, windows=1)).collect()
+    assert {r.trial for r in found if r.finished and r.trees == r.n_estimators} == set(range(4))
+    assert sorted((r.trial, r.trees) for r in found if not r.finished) == [(t, k) for t in range(4) for k in (25, 50, 100)]
